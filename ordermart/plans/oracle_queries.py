@@ -58,3 +58,138 @@ oracle("ltv_segments", with_ctes(ltv_sql(LTV_AS_OF_EARLY, upper_bound=True), "si
 oracle("ltv_segment_counts", with_ctes(
     "SELECT ltv_segment, count(*) AS customers, CAST(sum(total_revenue_usd) AS DECIMAL(18,2)) AS segment_revenue_usd "
     f"FROM ({ltv_sql(LTV_AS_OF_EARLY, upper_bound=True)}) GROUP BY ltv_segment", "silver_orders"))
+
+
+# --- Marts ------------------------------------------------------------------
+from ordermart.plans.oracle_sql import revenue_summary_sql  # noqa: E402
+from ordermart.plans.queries import INCREMENTAL_TARGET_BEFORE, PROFILE_DATE, SNAPSHOT_RUN_TS  # noqa: E402
+
+oracle("stg_orders", with_ctes("SELECT * FROM stg_orders", "stg_orders"))
+oracle("stg_customers", with_ctes("SELECT * FROM stg_customers", "stg_customers"))
+oracle("orders_enriched", with_ctes(
+    "SELECT order_id, customer_id, customer_tier, customer_country, acquisition_channel, "
+    "days_since_customer_signup, is_cross_border, revenue_band FROM orders_enriched", "orders_enriched"))
+oracle("revenue_bands", with_ctes(
+    "SELECT revenue_band, is_cross_border, count(*) AS orders, CAST(sum(order_total_usd) AS DECIMAL(18,2)) AS revenue_usd "
+    "FROM orders_enriched GROUP BY 1, 2", "orders_enriched"))
+oracle("fct_orders", with_ctes("SELECT * FROM fct_orders", "fct_orders"))
+_PREV = f"(SELECT * FROM first_fct WHERE order_date < DATE '{INCREMENTAL_TARGET_BEFORE}')"
+_INCR = f"(SELECT * FROM fct_orders WHERE order_date >= (SELECT max(order_date) FROM {_PREV}) - INTERVAL 3 DAY)"
+oracle("fct_orders_incremental", with_ctes(
+    f"SELECT order_id, order_date, order_status, order_total_usd FROM {_INCR}", "fct_orders", "first_fct"))
+oracle("fct_orders_merged", with_ctes(
+    f"SELECT order_id, order_date, order_status, order_total_usd, recognised_revenue_usd, lost_revenue_usd FROM ("
+    f"SELECT * FROM {_PREV} p WHERE NOT EXISTS (SELECT 1 FROM {_INCR} i WHERE i.order_id = p.order_id) "
+    f"UNION ALL SELECT * FROM {_INCR})", "fct_orders", "first_fct"))
+oracle("dim_customers", with_ctes(f"""
+SELECT c.customer_id, c.email, c.first_name, c.last_name, c.first_name || ' ' || c.last_name AS full_name,
+  c.country_code, c.acquisition_channel, c.customer_tier, c.is_email_verified, c.is_marketing_opted_in, c.date_of_birth,
+  coalesce(l.total_orders, 0) AS total_orders, coalesce(l.completed_orders, 0) AS completed_orders,
+  coalesce(l.cancelled_orders, 0) AS cancelled_orders,
+  CAST(coalesce(l.total_revenue_usd, 0) AS DECIMAL(18,2)) AS total_revenue_usd,
+  l.avg_order_value_usd, l.first_order_date, l.last_order_date, l.days_since_last_order,
+  CAST(coalesce(l.revenue_l12m_usd, 0) AS DECIMAL(18,2)) AS revenue_l12m_usd,
+  coalesce(l.orders_l12m, 0) AS orders_l12m, coalesce(l.ltv_segment, 'new_customers') AS ltv_segment,
+  CAST(coalesce(l.cancel_rate, 0) AS DOUBLE) AS cancel_rate,
+  datediff('day', CAST(c.customer_created_at AS DATE), DATE '{LTV_AS_OF}') AS customer_age_days,
+  l.first_order_date IS NULL AS is_never_purchased,
+  c.customer_created_at, c.customer_updated_at, TIMESTAMP '2001-08-02 06:00:00' AS _updated_at
+FROM stg_customers c LEFT JOIN ({ltv_sql(LTV_AS_OF)}) l USING (customer_id)""", "stg_customers", "silver_orders"))
+oracle("revenue_summary", with_ctes(revenue_summary_sql(), "fct_orders"))
+oracle("revenue_rates", with_ctes(
+    "SELECT order_date, channel, customer_tier, country_code, revenue_band, cancellation_rate, "
+    f"high_value_order_pct, international_order_pct FROM ({revenue_summary_sql()})", "fct_orders"))
+
+# --- Change -----------------------------------------------------------------
+oracle("scd2_history", with_ctes(
+    "SELECT customer_id, customer_tier, valid_from, valid_to, scd_id FROM customer_history", "customer_history"))
+_SCD_EXTRA = {
+    "snap": ("""
+  SELECT *, md5(customer_id || '|' || CAST(customer_updated_at AS VARCHAR)) AS scd_id
+  FROM stg_customer_versions WHERE customer_updated_at = customer_created_at""", ["stg_customer_versions"]),
+    "latest": ("""
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_updated_at DESC) AS rn
+                 FROM stg_customer_versions) WHERE rn = 1 AND _k % 11 <> 0""", ["stg_customer_versions"]),
+}
+oracle("scd2_apply_step", with_ctes(f"""
+SELECT s.customer_id, s.customer_tier, s.customer_updated_at AS valid_from,
+  CASE WHEN l.customer_id IS NULL THEN TIMESTAMP '{SNAPSHOT_RUN_TS}'
+       WHEN l.customer_updated_at > s.customer_updated_at THEN l.customer_updated_at END AS valid_to,
+  s.scd_id
+FROM snap s LEFT JOIN latest l USING (customer_id)
+UNION ALL
+SELECT l.customer_id, l.customer_tier, l.customer_updated_at AS valid_from, NULL AS valid_to,
+  md5(l.customer_id || '|' || CAST(l.customer_updated_at AS VARCHAR)) AS scd_id
+FROM latest l LEFT JOIN snap s USING (customer_id)
+WHERE s.customer_id IS NULL OR l.customer_updated_at > s.customer_updated_at""", "snap", "latest", extra=_SCD_EXTRA))
+oracle("tier_at_order_time", with_ctes("""
+SELECT o.order_id, o.customer_id, o.order_created_at, h.customer_tier AS customer_tier_at_event
+FROM stg_orders o LEFT JOIN customer_history h
+  ON o.customer_id = h.customer_id AND o.order_created_at >= h.valid_from
+ AND (h.valid_to IS NULL OR o.order_created_at < h.valid_to)""", "stg_orders", "customer_history"))
+
+# --- Fraud ------------------------------------------------------------------
+oracle("tx_velocity", with_ctes(
+    "SELECT transaction_id, card_id, event_ts, tx_count_1min, tx_count_5min FROM tx_features", "tx_features"))
+oracle("tx_avg_amount_30d", with_ctes(
+    "SELECT transaction_id, card_id, amount_count_30d, amount_sum_30d, avg_amount_30d FROM tx_scored_features",
+    "tx_scored_features"))
+oracle("tx_avg_amount_nightly", with_ctes("""
+SELECT t.transaction_id, t.card_id,
+  CASE WHEN p.rn > 0 THEN CAST(((2 * CAST(p.rs * 10000 AS HUGEINT) + p.rn) // (2 * p.rn)) / 10000.0 AS DECIMAL(18,4))
+       ELSE CAST(0 AS DECIMAL(18,4)) END AS avg_amount_nightly
+FROM transactions t LEFT JOIN (
+  SELECT card_id, d,
+    sum(ds) OVER (PARTITION BY card_id ORDER BY di RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rs,
+    sum(dn) OVER (PARTITION BY card_id ORDER BY di RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rn
+  FROM (SELECT card_id, CAST(event_ts AS DATE) AS d, datediff('day', DATE '1970-01-01', CAST(event_ts AS DATE)) AS di,
+               sum(amount_usd) AS ds, count(*) AS dn FROM transactions GROUP BY 1, 2, 3)) p
+ON t.card_id = p.card_id AND CAST(t.event_ts AS DATE) = p.d""", "transactions"))
+oracle("tx_last_position", with_ctes(
+    "SELECT transaction_id, card_id, last_latitude, last_longitude, last_tx_timestamp FROM tx_features", "tx_features"))
+oracle("tx_device_seen", with_ctes(
+    "SELECT transaction_id, device_fingerprint, device_seen_90d FROM tx_features", "tx_features"))
+oracle("tx_category_seen", with_ctes(
+    "SELECT transaction_id, merchant_category, category_seen_30d FROM tx_features", "tx_features"))
+oracle("tx_haversine_speed", with_ctes(
+    "SELECT transaction_id, round(distance_km, 3) AS distance_km, round(speed_kmh, 3) AS speed_kmh FROM tx_scored_features",
+    "tx_scored_features"))
+for _r, _k in [("blacklisted_merchant", "rule_blocklist"), ("velocity_1min", "rule_velocity_1min"),
+               ("velocity_5min", "rule_velocity_5min"), ("amount_spike", "rule_amount_spike"),
+               ("geo_impossibility", "rule_geo"), ("new_device_high_amount", "rule_new_device"),
+               ("unusual_merchant_category", "rule_category")]:
+    oracle(_k, with_ctes(f"SELECT transaction_id, r_{_r} AS {_r} FROM tx_rules", "tx_rules"))
+oracle("fraud_decisions", with_ctes("SELECT * FROM tx_scored", "tx_scored"))
+oracle("fraud_alerts", with_ctes(
+    "SELECT transaction_id, fraud_decision, triggered_rules FROM tx_scored WHERE fraud_decision IN ('BLOCK', 'REVIEW')",
+    "tx_scored"))
+oracle("fraud_summary", with_ctes(
+    "SELECT fraud_decision, count(*) AS transactions, CAST(sum(amount_usd) AS DECIMAL(18,4)) AS amount_usd, "
+    "count(DISTINCT card_id) AS cards FROM tx_scored GROUP BY 1", "tx_scored"))
+oracle("fraud_rule_hits", with_ctes(
+    "SELECT rule, fraud_decision, count(*) AS hits FROM (SELECT fraud_decision, unnest(rl) AS rule FROM tx_decided) "
+    "GROUP BY 1, 2", "tx_decided"))
+oracle("fraud_score_bands", """
+SELECT score_band, count(*) AS transactions, round(min(fraud_score), 2) AS min_score, round(max(fraud_score), 2) AS max_score
+FROM (SELECT fraud_score, CASE WHEN fraud_score > 0.85 THEN 'BLOCK' WHEN fraud_score >= 0.6 THEN 'REVIEW' ELSE 'PASS' END AS score_band
+      FROM (SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) / 100.0 AS fraud_score FROM events))
+GROUP BY 1""")
+oracle("offline_features", with_ctes(
+    "SELECT transaction_id, tx_count_1min, tx_count_5min, amount_count_30d, avg_amount_30d, last_tx_timestamp, "
+    "device_seen_90d, category_seen_30d FROM tx_scored_features", "tx_scored_features"))
+oracle("nightly_profile", with_ctes(f"""
+SELECT card_id,
+  CASE WHEN n30 > 0 THEN CAST(((2 * CAST(s30 * 10000 AS HUGEINT) + n30) // (2 * n30)) / 10000.0 AS DECIMAL(18,4))
+       ELSE CAST(0 AS DECIMAL(18,4)) END AS avg_amount_30d,
+  n30 AS tx_count_30d, last_pos.latitude AS last_latitude, last_pos.longitude AS last_longitude,
+  last_pos.event_ts AS last_tx_timestamp, devices_90d, merchant_categories_30d,
+  CAST(DATE '{PROFILE_DATE}' + INTERVAL 35 DAY AS DATE) AS expires_on
+FROM (
+  SELECT card_id,
+    sum(CASE WHEN d > DATE '{PROFILE_DATE}' - INTERVAL 30 DAY AND d <= DATE '{PROFILE_DATE}' THEN amount_usd END) AS s30,
+    count(CASE WHEN d > DATE '{PROFILE_DATE}' - INTERVAL 30 DAY AND d <= DATE '{PROFILE_DATE}' THEN 1 END) AS n30,
+    arg_max({{'latitude': latitude, 'longitude': longitude, 'event_ts': event_ts}}, (event_ts, transaction_id)) AS last_pos,
+    count(DISTINCT CASE WHEN d > DATE '{PROFILE_DATE}' - INTERVAL 90 DAY AND d <= DATE '{PROFILE_DATE}' THEN device_fingerprint END) AS devices_90d,
+    list_sort(list(DISTINCT merchant_category) FILTER (WHERE d > DATE '{PROFILE_DATE}' - INTERVAL 30 DAY AND d <= DATE '{PROFILE_DATE}')) AS merchant_categories_30d
+  FROM (SELECT *, CAST(event_ts AS DATE) AS d FROM transactions WHERE event_ts < DATE '{PROFILE_DATE}' + INTERVAL 1 DAY)
+  GROUP BY card_id)""", "transactions"))

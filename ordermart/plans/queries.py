@@ -127,3 +127,253 @@ def q_ltv_segments(spark, sf):
 @query("ltv_segment_counts")
 def q_ltv_segment_counts(spark, sf):
     return gold.segment_counts(gold.compute_ltv_metrics(silver(spark, sf), LTV_AS_OF_EARLY, l12m_upper_bound=True))
+
+
+# --- Marts ------------------------------------------------------------------
+from ordermart.operators import change, features, marts, rules  # noqa: E402
+
+AS_OF_TS = "2001-08-02 06:00:00"
+INCREMENTAL_TARGET_BEFORE = "2000-01-01"
+SNAPSHOT_RUN_TS = "2002-01-01 00:00:00"
+BLOCKLISTED_MERCHANTS = ["M-13", "M-42"]
+PROFILE_DATE = "2024-01-20"
+
+
+def stg_orders(spark, sf):
+    return marts.stage_orders(silver(spark, sf))
+
+
+def stg_customers(spark, sf):
+    return marts.stage_customers(A.customers_src(A.load_table(spark, sf, "customer")))
+
+
+def enriched(spark, sf):
+    return marts.enrich_orders(stg_orders(spark, sf), stg_customers(spark, sf))
+
+
+def fct(spark, sf):
+    return marts.fct_orders(enriched(spark, sf), AS_OF_TS)
+
+
+def fct_previous_run(spark, sf):
+    """The fact table as an earlier run left it: built from first CDC
+    versions only, up to a cut-off date."""
+    first = A.bronze_rows(_orders(spark, sf)).where(F.col("_cdc_operation") == "c")
+    prev_silver = clean.silver_orders(first)[0]
+    prev = marts.fct_orders(marts.enrich_orders(marts.stage_orders(prev_silver), stg_customers(spark, sf)), AS_OF_TS)
+    return prev.where(F.col("order_date") < F.lit(INCREMENTAL_TARGET_BEFORE).cast("date"))
+
+
+def fct_incremental(spark, sf):
+    target = fct_previous_run(spark, sf)
+    wm = change.read_target_watermark(target)
+    return change.incremental_lookback(fct(spark, sf), wm)
+
+
+@query("stg_orders")
+def q_stg_orders(spark, sf):
+    return stg_orders(spark, sf)
+
+
+@query("stg_customers")
+def q_stg_customers(spark, sf):
+    return stg_customers(spark, sf)
+
+
+@query("orders_enriched")
+def q_orders_enriched(spark, sf):
+    return enriched(spark, sf).select(
+        "order_id", "customer_id", "customer_tier", "customer_country", "acquisition_channel",
+        "days_since_customer_signup", "is_cross_border", "revenue_band")
+
+
+@query("revenue_bands")
+def q_revenue_bands(spark, sf):
+    return enriched(spark, sf).groupBy("revenue_band", "is_cross_border").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("order_total_usd").cast("decimal(18,2)").alias("revenue_usd"))
+
+
+@query("fct_orders")
+def q_fct_orders(spark, sf):
+    return fct(spark, sf)
+
+
+@query("fct_orders_incremental")
+def q_fct_incremental(spark, sf):
+    return fct_incremental(spark, sf).select("order_id", "order_date", "order_status", "order_total_usd")
+
+
+@query("fct_orders_merged")
+def q_fct_merged(spark, sf):
+    merged = change.merge_upsert(fct_previous_run(spark, sf), fct_incremental(spark, sf), "order_id")
+    return merged.select("order_id", "order_date", "order_status", "order_total_usd",
+                         "recognised_revenue_usd", "lost_revenue_usd")
+
+
+@query("dim_customers")
+def q_dim_customers(spark, sf):
+    ltv = gold.compute_ltv_metrics(silver(spark, sf), LTV_AS_OF)
+    return marts.dim_customers(stg_customers(spark, sf), ltv, LTV_AS_OF, AS_OF_TS)
+
+
+@query("revenue_summary")
+def q_revenue_summary(spark, sf):
+    return marts.revenue_summary(fct(spark, sf), AS_OF_TS)
+
+
+@query("revenue_rates")
+def q_revenue_rates(spark, sf):
+    return marts.revenue_summary(fct(spark, sf), AS_OF_TS).select(
+        *marts.REVENUE_KEYS, "cancellation_rate", "high_value_order_pct", "international_order_pct")
+
+
+# --- Change: SCD2 and as-of ---------------------------------------------------
+def customer_history(spark, sf):
+    versions = marts.stage_customers(A.customer_versions(A.load_table(spark, sf, "customer")))
+    return change.scd2_from_changelog(versions)
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf):
+    return customer_history(spark, sf).select("customer_id", "customer_tier", "valid_from", "valid_to", "scd_id")
+
+
+@query("scd2_apply_step")
+def q_scd2_apply(spark, sf):
+    staged = marts.stage_customers(
+        A.customer_versions(A.load_table(spark, sf, "customer"))
+    ).withColumn("_k", F.element_at(F.split("customer_id", "-"), 2).cast("bigint"))
+    first = staged.where(F.col("customer_updated_at") == F.to_timestamp(F.col("customer_created_at")))
+    snapshot = change.scd2_initial(first.drop("_k"))
+    latest = clean.latest_per_key(staged, "customer_id", ["customer_updated_at"])
+    source = latest.where(F.col("_k") % 11 != 0).drop("_k")
+    step = change.scd2_apply(snapshot, source, SNAPSHOT_RUN_TS)
+    return step.select("customer_id", "customer_tier", "valid_from", "valid_to", "scd_id")
+
+
+@query("tier_at_order_time")
+def q_tier_at_order_time(spark, sf):
+    orders = stg_orders(spark, sf).select("order_id", "customer_id", "order_created_at")
+    return change.as_of_join(orders, customer_history(spark, sf), "customer_id", "order_created_at")
+
+
+# --- Fraud features and rules -----------------------------------------------
+def tx(spark, sf):
+    return A.transactions_burst(A.load_table(spark, sf, "events"))
+
+
+@query("tx_velocity")
+def q_tx_velocity(spark, sf):
+    return features.velocity_counts(features.with_event_ts(tx(spark, sf))).select(
+        "transaction_id", "card_id", "event_ts", "tx_count_1min", "tx_count_5min")
+
+
+@query("tx_avg_amount_30d")
+def q_tx_avg(spark, sf):
+    return features.avg_amount_30d(features.with_event_ts(tx(spark, sf))).select(
+        "transaction_id", "card_id", "amount_count_30d", "amount_sum_30d", "avg_amount_30d")
+
+
+@query("tx_avg_amount_nightly")
+def q_tx_avg_nightly(spark, sf):
+    return features.nightly_avg_amount(tx(spark, sf)).select("transaction_id", "card_id", "avg_amount_nightly")
+
+
+@query("tx_last_position")
+def q_tx_last_position(spark, sf):
+    return features.last_position(features.with_event_ts(tx(spark, sf))).select(
+        "transaction_id", "card_id", "last_latitude", "last_longitude", "last_tx_timestamp")
+
+
+@query("tx_device_seen")
+def q_tx_device_seen(spark, sf):
+    return features.device_seen(features.with_event_ts(tx(spark, sf))).select(
+        "transaction_id", "device_fingerprint", "device_seen_90d")
+
+
+@query("tx_category_seen")
+def q_tx_category_seen(spark, sf):
+    return features.category_seen(features.with_event_ts(tx(spark, sf))).select(
+        "transaction_id", "merchant_category", "category_seen_30d")
+
+
+@query("tx_haversine_speed")
+def q_tx_speed(spark, sf):
+    df = features.geo_speed(features.last_position(features.with_event_ts(tx(spark, sf))))
+    return df.select(
+        "transaction_id",
+        F.round("distance_km", 3).alias("distance_km"),
+        F.round("speed_kmh", 3).alias("speed_kmh"),
+    )
+
+
+def decided(spark, sf):
+    feats = features.offline_features(tx(spark, sf))
+    return rules.decide(rules.blocklist_flag(feats, BLOCKLISTED_MERCHANTS))
+
+
+def scored(spark, sf):
+    return rules.score_projection(decided(spark, sf), AS_OF_TS)
+
+
+def _rule_query(name):
+    def fn(spark, sf):
+        df = rules.blocklist_flag(features.offline_features(tx(spark, sf)), BLOCKLISTED_MERCHANTS)
+        return df.select("transaction_id", rules.rule_columns()[name].alias(name))
+    return fn
+
+
+for _rule in ["blacklisted_merchant", "velocity_1min", "velocity_5min", "amount_spike",
+              "geo_impossibility", "new_device_high_amount", "unusual_merchant_category"]:
+    _key = {"blacklisted_merchant": "rule_blocklist", "velocity_1min": "rule_velocity_1min",
+            "velocity_5min": "rule_velocity_5min", "amount_spike": "rule_amount_spike",
+            "geo_impossibility": "rule_geo", "new_device_high_amount": "rule_new_device",
+            "unusual_merchant_category": "rule_category"}[_rule]
+    QUERIES[_key] = _rule_query(_rule)
+
+
+@query("fraud_decisions")
+def q_fraud_decisions(spark, sf):
+    return scored(spark, sf)
+
+
+@query("fraud_alerts")
+def q_fraud_alerts(spark, sf):
+    return rules.alerts(scored(spark, sf)).select("transaction_id", "fraud_decision", "triggered_rules")
+
+
+@query("fraud_summary")
+def q_fraud_summary(spark, sf):
+    return rules.fraud_summary(scored(spark, sf))
+
+
+@query("fraud_rule_hits")
+def q_fraud_rule_hits(spark, sf):
+    return rules.rule_hits(scored(spark, sf))
+
+
+@query("fraud_score_bands")
+def q_fraud_score_bands(spark, sf):
+    """Bands a supplied probability: the events' ``props.k`` / 100 stands in
+    for the external model's score."""
+    ev = A.load_table(spark, sf, "events")
+    scored_ev = ev.select(
+        F.concat(F.lit("TX-"), F.col("event_id").cast("string")).alias("transaction_id"),
+        (F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)).alias("fraud_score"),
+    )
+    return rules.score_bands(scored_ev).groupBy("score_band").agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.round(F.min("fraud_score"), 2).alias("min_score"),
+        F.round(F.max("fraud_score"), 2).alias("max_score"))
+
+
+@query("offline_features")
+def q_offline_features(spark, sf):
+    return features.offline_features(tx(spark, sf)).select(
+        "transaction_id", "tx_count_1min", "tx_count_5min", "amount_count_30d", "avg_amount_30d",
+        "last_tx_timestamp", "device_seen_90d", "category_seen_30d")
+
+
+@query("nightly_profile")
+def q_nightly_profile(spark, sf):
+    return features.nightly_profile(tx(spark, sf), PROFILE_DATE)
