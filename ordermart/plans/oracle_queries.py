@@ -193,3 +193,124 @@ FROM (
     list_sort(list(DISTINCT merchant_category) FILTER (WHERE d > DATE '{PROFILE_DATE}' - INTERVAL 30 DAY AND d <= DATE '{PROFILE_DATE}')) AS merchant_categories_30d
   FROM (SELECT *, CAST(event_ts AS DATE) AS d FROM transactions WHERE event_ts < DATE '{PROFILE_DATE}' + INTERVAL 1 DAY)
   GROUP BY card_id)""", "transactions"))
+
+
+# --- Data quality -------------------------------------------------------------
+from ordermart.functions import fixed as _fx  # noqa: E402
+from ordermart.plans.oracle_sql import CHANNEL_IN, CURRENCY_IN, STATUS_IN  # noqa: E402
+
+
+def _dq(dataset, name, passed, details):
+    return f"SELECT '{dataset}' AS dataset, '{name}' AS check_name, {passed} AS passed, {details} AS details"
+
+
+def _sq(*parts):
+    return " UNION ALL ".join(parts)
+
+
+def _not_null(ds, src, col):
+    return _dq(ds, f"no_nulls:{col}", f"(SELECT count(*) FILTER (WHERE {col} IS NULL) = 0 FROM {src})",
+               f"(SELECT printf('null_count=%d', count(*) FILTER (WHERE {col} IS NULL)) FROM {src})")
+
+
+def _unique(ds, src, cols):
+    c = ", ".join(cols)
+    inner = f"(SELECT sum(n) AS t, count(*) AS d FROM (SELECT {c}, count(*) AS n FROM {src} GROUP BY {c}))"
+    return (f"SELECT '{ds}' AS dataset, 'unique:{','.join(cols)}' AS check_name, coalesce(t, 0) = d AS passed, "
+            f"printf('total=%d distinct=%d dupes=%d', coalesce(t, 0), d, coalesce(t, 0) - d) AS details FROM {inner}")
+
+
+def _accepted(ds, src, col, in_list):
+    vals = (f"(SELECT coalesce(list_slice(list_sort(list(DISTINCT CAST({col} AS VARCHAR))), 1, 20), []) "
+            f"FROM {src} WHERE NOT ({col} IN {in_list}))")
+    n = f"(SELECT count(*) FILTER (WHERE NOT ({col} IN {in_list})) FROM {src})"
+    text = f"'[' || array_to_string(list_transform({vals}, lambda x: '''' || x || ''''), ', ') || ']'"
+    return _dq(ds, f"accepted_values:{col}", f"{n} = 0", f"'invalid_values=' || {text} || printf(' invalid_rows=%d', {n})")
+
+
+def _expr(ds, src, name, expr):
+    n = f"(SELECT count(*) FILTER (WHERE NOT coalesce({expr}, TRUE)) FROM {src})"
+    return _dq(ds, f"expression_is_true:{name}", f"{n} = 0", f"printf('failing_rows=%d', {n})")
+
+
+def _null_rate(ds, src, col, max_rate):
+    rate = (f"(SELECT CASE WHEN count(*) > 0 THEN CAST(count(*) FILTER (WHERE {col} IS NULL) AS DOUBLE) / count(*) "
+            f"ELSE 0.0 END FROM {src})")
+    return _dq(ds, f"null_rate:{col}", f"{rate} <= {max_rate}",
+               f"'null_rate=' || printf('%.4f', round({rate}, 4)) || ' threshold={max_rate}'")
+
+
+def _not_empty(ds, src):
+    return _dq(ds, "not_empty", f"(SELECT count(*) > 0 FROM {src})", f"(SELECT printf('row_count=%d', count(*)) FROM {src})")
+
+
+def _relationship(ds, src, col, parent, pcol):
+    inner = (f"(SELECT count(*) AS o, count(DISTINCT k) AS od FROM (SELECT {col} AS k FROM {src} WHERE {col} IS NOT NULL) c "
+             f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.k))")
+    return (f"SELECT '{ds}' AS dataset, 'relationships:{col}' AS check_name, o = 0 AS passed, "
+            f"printf('orphan_rows=%d orphan_keys=%d', o, od) AS details FROM {inner}")
+
+
+_PRODUCTS = {"products": ("SELECT 'PRD-' || p_partkey AS product_id, p_name AS product_name FROM part", [])}
+oracle("dq_suite_results", with_ctes(_sq(
+    _not_null("orders", "silver_orders", "order_id"), _unique("orders", "silver_orders", ["order_id"]),
+    _not_null("orders", "silver_orders", "customer_id"), _accepted("orders", "silver_orders", "order_status", STATUS_IN),
+    _not_null("orders", "silver_orders", "order_total_usd"),
+    _expr("orders", "silver_orders", "order_total_usd_non_negative", "order_total_usd >= 0"),
+    _not_null("customers", "stg_customers", "customer_id"), _unique("customers", "stg_customers", ["customer_id"]),
+    _not_null("customers", "stg_customers", "email"),
+    _not_null("products", "products", "product_id"), _unique("products", "products", ["product_id"]),
+), "silver_orders", "stg_customers", "products", extra=_PRODUCTS))
+oracle("dq_null_rate", with_ctes(_sq(
+    _null_rate("silver_orders", "silver_orders", "shipping_country", 0.01),
+    _null_rate("silver_orders", "silver_orders", "item_count", 0.05)), "silver_orders"))
+oracle("dq_unique", with_ctes(_sq(
+    _unique("bronze_orders", "silver_typed", ["order_id"]),
+    _unique("bronze_orders", "silver_typed", ["order_id", "order_updated_at"]),
+    _unique("silver_orders", "silver_orders", ["order_id"])), "silver_typed", "silver_orders"))
+oracle("dq_accepted_values", with_ctes(_sq(
+    _accepted("bronze_orders", "silver_typed", "order_status", STATUS_IN),
+    _accepted("bronze_orders", "silver_typed", "channel", CHANNEL_IN),
+    _accepted("bronze_orders", "silver_typed", "currency_code", CURRENCY_IN)), "silver_typed"))
+oracle("dq_volume", with_ctes("""
+SELECT _ingestion_date, actual, expected,
+  round(abs(actual - expected) / greatest(expected, 1.0), 4) AS deviation,
+  coalesce(round(abs(actual - expected) / greatest(expected, 1.0), 4) <= 0.3, TRUE) AS passed
+FROM (SELECT _ingestion_date, actual,
+        round(avg(actual) OVER (ORDER BY _ingestion_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 2) AS expected
+      FROM (SELECT _ingestion_date, count(*) AS actual FROM orders_dirty GROUP BY 1))""", "orders_dirty"))
+_dev = "(SELECT CAST(abs(count(*) - 30000) AS DOUBLE) / 30000.0 FROM silver_typed)"
+oracle("dq_expression", with_ctes(_sq(
+    _expr("bronze_orders", "silver_typed", "amount_non_negative", "order_total_amount >= 0"),
+    _expr("bronze_orders", "silver_typed", "items_positive", "item_count > 0"),
+    _not_empty("bronze_orders", "silver_typed"),
+    _dq("bronze_orders", "volume_anomaly", f"{_dev} <= {_fx.BRONZE_VOLUME_TOLERANCE}",
+        f"(SELECT printf('actual=%d expected=%d deviation=', count(*), 30000) FROM silver_typed) || "
+        f"printf('%.2f', round({_dev} * 100, 2)) || '%'"),
+), "silver_typed"))
+oracle("dq_relationships", with_ctes(_sq(
+    _relationship("fct_orders", "fct_orders", "customer_id", "stg_customers", "customer_id"),
+    _relationship("transactions", "transactions", "customer_id", "stg_customers", "customer_id"),
+), "fct_orders", "stg_customers", "transactions"))
+
+
+def _fresh(source, src):
+    age = f"(CAST(epoch_us(TIMESTAMP '{AS_OF_TS_DQ}') - epoch_us(max(_ingested_at)) AS DOUBLE) / 3.6e9)"
+    return (f"SELECT '{source}' AS source, max(_ingested_at) AS max_loaded_at, round({age}, 2) AS age_hours, "
+            f"CASE WHEN max(_ingested_at) IS NULL OR {age} > 6 THEN 'error' WHEN {age} > 2 THEN 'warn' ELSE 'pass' END AS status "
+            f"FROM {src}")
+
+
+AS_OF_TS_DQ = "2001-08-02 06:00:00"
+oracle("dq_freshness", with_ctes(_sq(_fresh("orders", "orders_dirty"), _fresh("customers", "stg_customers")),
+                                 "orders_dirty", "stg_customers"))
+oracle("dq_layer_gate", with_ctes(_sq(
+    _not_empty("silver_orders", "silver_orders"),
+    *[_not_null("silver_orders", "silver_orders", c) for c in ["order_id", "customer_id", "order_date", "order_total_usd"]],
+    _unique("silver_orders", "silver_orders", ["order_id"]),
+    _accepted("silver_orders", "silver_orders", "order_status", STATUS_IN)), "silver_orders"))
+oracle("silver_reject_accounting", with_ctes(
+    "SELECT 'silver' AS layer, count(*) AS input_rows, count(*) FILTER (WHERE _quarantine_reason IS NULL) AS valid_rows, "
+    "count(*) FILTER (WHERE _quarantine_reason IS NOT NULL) AS rejected_rows, "
+    "count(*) = count(*) FILTER (WHERE _quarantine_reason IS NULL) + count(*) FILTER (WHERE _quarantine_reason IS NOT NULL) AS balanced "
+    "FROM silver_tagged", "silver_tagged"))

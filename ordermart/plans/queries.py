@@ -377,3 +377,123 @@ def q_offline_features(spark, sf):
 @query("nightly_profile")
 def q_nightly_profile(spark, sf):
     return features.nightly_profile(tx(spark, sf), PROFILE_DATE)
+
+
+# --- Data quality -------------------------------------------------------------
+from ordermart import schemas  # noqa: E402
+from ordermart.functions import fixed  # noqa: E402
+from ordermart.operators import quality  # noqa: E402
+
+SILVER_SCHEMA_DDL = (
+    "order_id string, customer_id string, order_status string, order_total_amount decimal(18,4), "
+    "currency_code string, channel string, shipping_country string, item_count int, "
+    "order_created_at timestamp, order_updated_at timestamp, order_date date, "
+    "order_total_usd decimal(18,4), is_high_value boolean, order_size_tier string, is_international boolean"
+)
+
+
+def products(spark, sf):
+    """Product catalogue stand-in from ``part``."""
+    return A.load_table(spark, sf, "part").select(
+        F.concat(F.lit("PRD-"), F.col("p_partkey").cast("string")).alias("product_id"),
+        F.col("p_name").alias("product_name"))
+
+
+ORDER_SPECS = [
+    {"test": "not_null", "column": "order_id"},
+    {"test": "unique", "column": "order_id"},
+    {"test": "not_null", "column": "customer_id"},
+    {"test": "accepted_values", "column": "order_status", "values": fixed.VALID_ORDER_STATUSES},
+    {"test": "not_null", "column": "order_total_usd"},
+    {"test": "expression_is_true", "column": "order_total_usd", "expression": ">= 0", "name": "order_total_usd_non_negative"},
+]
+CUSTOMER_SPECS = [
+    {"test": "not_null", "column": "customer_id"},
+    {"test": "unique", "column": "customer_id"},
+    {"test": "not_null", "column": "email"},
+]
+PRODUCT_SPECS = [
+    {"test": "not_null", "column": "product_id"},
+    {"test": "unique", "column": "product_id"},
+]
+
+
+@query("dq_suite_results")
+def q_dq_suite(spark, sf):
+    a = quality.suite_from_specs(silver(spark, sf), "orders", ORDER_SPECS).results()
+    b = quality.suite_from_specs(stg_customers(spark, sf), "customers", CUSTOMER_SPECS).results()
+    c = quality.suite_from_specs(products(spark, sf), "products", PRODUCT_SPECS).results()
+    return a.unionByName(b).unionByName(c)
+
+
+@query("dq_null_rate")
+def q_dq_null_rate(spark, sf):
+    return (quality.QualitySuite(silver(spark, sf), "silver_orders")
+            .null_rate("shipping_country", 0.01).null_rate("item_count", 0.05).results())
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf):
+    typed = clean.cast_and_normalise(bronze(spark, sf))
+    a = quality.QualitySuite(typed, "bronze_orders").unique(["order_id"]).unique(["order_id", "order_updated_at"]).results()
+    b = quality.QualitySuite(silver(spark, sf), "silver_orders").unique(["order_id"]).results()
+    return a.unionByName(b)
+
+
+@query("dq_accepted_values")
+def q_dq_accepted(spark, sf):
+    typed = clean.cast_and_normalise(bronze(spark, sf))
+    return (quality.QualitySuite(typed, "bronze_orders")
+            .accepted_values("order_status", fixed.VALID_ORDER_STATUSES)
+            .accepted_values("channel", fixed.VALID_CHANNELS)
+            .accepted_values("currency_code", list(fixed.FX_RATES_TO_USD)).results())
+
+
+@query("dq_volume")
+def q_dq_volume(spark, sf):
+    return quality.volume_by_partition(bronze(spark, sf), "_ingestion_date")
+
+
+@query("dq_expression")
+def q_dq_expression(spark, sf):
+    typed = clean.cast_and_normalise(bronze(spark, sf))
+    return (quality.QualitySuite(typed, "bronze_orders")
+            .expression_is_true("amount_non_negative", "order_total_amount >= 0")
+            .expression_is_true("items_positive", "item_count > 0").not_empty().volume(30000, fixed.BRONZE_VOLUME_TOLERANCE)
+            .results())
+
+
+@query("dq_relationships")
+def q_dq_relationships(spark, sf):
+    cust = stg_customers(spark, sf)
+    a = quality.QualitySuite(fct(spark, sf), "fct_orders").relationships("customer_id", cust, "customer_id").results()
+    b = quality.QualitySuite(tx(spark, sf), "transactions").relationships("customer_id", cust, "customer_id").results()
+    return a.unionByName(b)
+
+
+@query("dq_freshness")
+def q_dq_freshness(spark, sf):
+    a = quality.source_freshness(bronze(spark, sf), "orders", "_ingested_at", AS_OF_TS)
+    b = quality.source_freshness(stg_customers(spark, sf), "customers", "_ingested_at", AS_OF_TS)
+    return a.unionByName(b)
+
+
+@query("dq_schema")
+def q_dq_schema(spark, sf):
+    from pyspark.sql.types import _parse_datatype_string
+
+    return quality.schema_conformance(silver(spark, sf).select(SILVER_COLUMNS), _parse_datatype_string(SILVER_SCHEMA_DDL))
+
+
+@query("dq_layer_gate")
+def q_dq_layer_gate(spark, sf):
+    s = (quality.QualitySuite(silver(spark, sf), "silver_orders").not_empty()
+         .no_nulls(["order_id", "customer_id", "order_date", "order_total_usd"])
+         .unique(["order_id"]).accepted_values("order_status", fixed.VALID_ORDER_STATUSES))
+    return s.results()
+
+
+@query("silver_reject_accounting")
+def q_silver_reject_accounting(spark, sf):
+    tagged = clean.cast_and_normalise(bronze(spark, sf)).withColumn("_quarantine_reason", clean.invalid_reason())
+    return quality.reject_accounting(tagged, "silver")
