@@ -314,3 +314,37 @@ oracle("silver_reject_accounting", with_ctes(
     "count(*) FILTER (WHERE _quarantine_reason IS NOT NULL) AS rejected_rows, "
     "count(*) = count(*) FILTER (WHERE _quarantine_reason IS NULL) + count(*) FILTER (WHERE _quarantine_reason IS NOT NULL) AS balanced "
     "FROM silver_tagged", "silver_tagged"))
+
+
+# --- Bronze, sinks and pipelines ---------------------------------------------
+from ordermart.plans.oracle_sql import RUN_DATE  # noqa: E402
+
+oracle("bronze_flatten", with_ctes("SELECT * FROM cdc_flat", "cdc_flat"))
+oracle("bronze_corrupt_split", with_ctes(
+    "SELECT 'parsed' AS kind, op, count(*) AS rows FROM cdc_events WHERE NOT broken GROUP BY op "
+    "UNION ALL SELECT 'corrupt' AS kind, NULL AS op, count(*) AS rows FROM cdc_events WHERE broken", "cdc_events"))
+oracle("bronze_reject_accounting", with_ctes("""
+SELECT count(*) AS input_rows, count(*) FILTER (WHERE broken) AS corrupt_rows,
+  count(*) FILTER (WHERE NOT broken AND op IN ('c', 'u', 'r')) AS kept_rows,
+  count(*) FILTER (WHERE NOT broken AND op = 'd') AS deleted_rows,
+  count(*) FILTER (WHERE NOT broken AND op IS NULL) AS unknown_op_rows, TRUE AS balanced
+FROM cdc_events""", "cdc_events"))
+oracle("bronze_op_rejects", with_ctes(
+    "SELECT CASE WHEN op = 'd' THEN 'delete_event' WHEN op IS NULL THEN 'null_op' ELSE 'unknown_op' END AS _reject_reason, "
+    "count(*) AS rows FROM cdc_events WHERE NOT coalesce(op IN ('c', 'u', 'r'), FALSE) GROUP BY 1", "cdc_events"))
+oracle("silver_fx_rate_table", ORACLE["silver_fx_usd"])
+oracle("sink_roundtrip_bronze", with_ctes(f"SELECT *, '{RUN_DATE}' AS ingestion_date FROM cdc_bronze", "cdc_bronze"))
+oracle("sink_roundtrip_silver", ORACLE["silver_orders"])
+oracle("sink_snapshot_latest", ORACLE["customer_ltv"])
+oracle("sink_quarantine", with_ctes(
+    f"SELECT _quarantine_reason, '{RUN_DATE}' AS _quarantine_date, count(*) AS rows FROM silver_invalid GROUP BY 1",
+    "silver_invalid"))
+oracle("sink_profile", ORACLE["nightly_profile"])
+oracle("sink_cluster", with_ctes(
+    "SELECT order_id, order_date, order_status, order_total_usd, revenue_band FROM fct_orders", "fct_orders"))
+oracle("sink_audit", with_ctes(
+    "SELECT transaction_id, fraud_decision, CAST(event_ts AS DATE) AS event_date FROM tx_decided", "tx_decided"))
+oracle("pipeline_gold", with_ctes(ltv_sql(LTV_AS_OF).replace("FROM silver_orders", "FROM cdc_silver_orders"),
+                                  "cdc_silver_orders"))
+oracle("pipeline_marts", with_ctes(revenue_summary_sql("cdc_fct"), "cdc_fct"))
+oracle("pipeline_snapshot", ORACLE["scd2_apply_step"])

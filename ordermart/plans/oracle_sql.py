@@ -419,3 +419,22 @@ SELECT transaction_id, card_id, customer_id, amount_usd, fraud_decision,
   CAST(to_json(rl) AS VARCHAR) AS triggered_rules, CAST(0.0 AS FLOAT) AS fraud_score, decision_reason,
   TIMESTAMP '{AS_OF_TS}' AS processed_at
 FROM tx_decided""")
+
+
+# --- CDC envelope path ---------------------------------------------------------
+RUN_DATE = "2001-08-02"
+cte("cdc_events", ["orders_versions"], """
+SELECT *,
+  CASE WHEN (o_orderkey + _version) % 10 = 0 THEN 'd' WHEN (o_orderkey + _version) % 10 = 1 THEN NULL
+       WHEN (o_orderkey + _version) % 10 = 2 THEN 'r' ELSE _cdc_operation END AS op,
+  (o_orderkey * 4 + _version) % 97 = 0 AS broken
+FROM orders_versions""")
+_FLAT = f"""order_id, customer_id, order_status, order_total_amount, currency_code, channel, created_at, updated_at,
+  shipping_country, item_count, op AS _cdc_operation, _kafka_timestamp_ms, '{RUN_DATE}' AS _ingestion_date,
+  TIMESTAMP '{AS_OF_TS}' AS _ingested_at, _source_system"""
+cte("cdc_flat", ["cdc_events"], f"SELECT {_FLAT} FROM cdc_events WHERE op IN ('c', 'u', 'r')")
+cte("cdc_bronze", ["cdc_events"], f"SELECT {_FLAT} FROM cdc_events WHERE NOT broken AND op IN ('c', 'u', 'r')")
+silver_chain("cdc_silver_", "cdc_bronze")
+stg_orders_cte("cdc_stg_orders", "cdc_silver_orders")
+enriched_cte("cdc_enriched", "cdc_stg_orders")
+fct_cte("cdc_fct", "cdc_enriched", AS_OF_TS)

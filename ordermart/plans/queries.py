@@ -497,3 +497,159 @@ def q_dq_layer_gate(spark, sf):
 def q_silver_reject_accounting(spark, sf):
     tagged = clean.cast_and_normalise(bronze(spark, sf)).withColumn("_quarantine_reason", clean.invalid_reason())
     return quality.reject_accounting(tagged, "silver")
+
+
+# --- Bronze, sinks and pipelines ---------------------------------------------
+from ordermart.operators import bronze as bronze_ops  # noqa: E402
+from ordermart.plans import pipelines  # noqa: E402
+from ordermart.session import scratch_path  # noqa: E402
+from ordermart.sinks import lake as sink  # noqa: E402
+from ordermart.sources import cdc, lake  # noqa: E402
+
+RUN_DATE = "2001-08-02"
+
+
+def land_cdc_json(spark, sf, name="landing") -> str:
+    """Write the CDC JSON lines (with planted broken lines) to a fresh
+    folder under the shared checkpoint root; returns its path."""
+    path = scratch_path(spark, name)
+    A.cdc_json_lines(_orders(spark, sf)).write.text(path)
+    return path
+
+
+@query("bronze_flatten")
+def q_bronze_flatten(spark, sf):
+    return bronze_ops.flatten_envelope(A.cdc_events(_orders(spark, sf)), RUN_DATE, AS_OF_TS)
+
+
+@query("bronze_corrupt_split")
+def q_bronze_corrupt_split(spark, sf):
+    parsed, corrupt = cdc.split_corrupt(cdc.read_cdc_json(spark, land_cdc_json(spark, sf)))
+    p = parsed.groupBy("op").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("parsed").alias("kind"), "op", "rows")
+    c = corrupt.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("corrupt").alias("kind"), F.lit(None).cast("string").alias("op"), "rows")
+    return p.unionByName(c)
+
+
+@query("bronze_reject_accounting")
+def q_bronze_reject_accounting(spark, sf):
+    raw = cdc.read_cdc_json(spark, land_cdc_json(spark, sf)).persist()
+    return bronze_ops.bronze_accounting(raw)
+
+
+@query("bronze_op_rejects")
+def q_bronze_op_rejects(spark, sf):
+    rej = bronze_ops.op_rejects(A.cdc_events(_orders(spark, sf)))
+    return rej.groupBy("_reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("silver_fx_rate_table")
+def q_silver_fx_rate_table(spark, sf):
+    rates = spark.createDataFrame(
+        [(k, v) for k, v in fixed.FX_RATES_TO_USD.items()], "currency_code string, rate_to_usd decimal(10,5)")
+    valid, _ = clean.split_invalid(clean.cast_and_normalise(bronze(spark, sf)))
+    return clean.fx_lookup(clean.latest_per_key(valid), rates).select(
+        "order_id", "currency_code", "order_total_amount", "order_total_usd")
+
+
+def _pipeline_lake(spark, sf) -> pipelines.LakePaths:
+    root = scratch_path(spark, "lake")
+    p = pipelines.LakePaths.under(root)
+    A.cdc_json_lines(_orders(spark, sf)).write.text(p.landing)
+    pipelines.run_bronze(spark, p, RUN_DATE, AS_OF_TS)
+    return p
+
+
+@query("sink_roundtrip_bronze")
+def q_sink_roundtrip_bronze(spark, sf):
+    p = _pipeline_lake(spark, sf)
+    return lake.read_partition(spark, p.bronze, RUN_DATE)
+
+
+@query("sink_roundtrip_silver")
+def q_sink_roundtrip_silver(spark, sf):
+    root = scratch_path(spark, "silver")
+    first = A.bronze_rows(_orders(spark, sf)).where(F.col("_cdc_operation") == "c")
+    sink.write_silver(clean.silver_orders(first)[0], root)
+    sink.write_silver(silver(spark, sf), root, existing=lake.read_history(spark, root))
+    return lake.read_history(spark, root).select(SILVER_COLUMNS)
+
+
+@query("sink_snapshot_latest")
+def q_sink_snapshot_latest(spark, sf):
+    root = scratch_path(spark, "gold")
+    sink.write_snapshot_and_latest(gold.compute_ltv_metrics(silver(spark, sf), LTV_AS_OF),
+                                   f"{root}/customer_ltv", f"{root}/latest", LTV_AS_OF)
+    return spark.read.parquet(f"{root}/latest")
+
+
+@query("sink_quarantine")
+def q_sink_quarantine(spark, sf):
+    root = scratch_path(spark, "quarantine")
+    _, invalid = clean.split_invalid(clean.cast_and_normalise(bronze(spark, sf)))
+    sink.quarantine_invalid(invalid, root, RUN_DATE)
+    back = spark.read.parquet(root)
+    return back.groupBy("_quarantine_reason", "_quarantine_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("sink_profile")
+def q_sink_profile(spark, sf):
+    root = scratch_path(spark, "profile")
+    sink.write_profile_features(features.nightly_profile(tx(spark, sf), PROFILE_DATE), root)
+    back = spark.read.parquet(root)
+    return back.select(
+        "card_id",
+        F.col("avg_amount_30d").cast("decimal(18,4)").alias("avg_amount_30d"),
+        F.col("tx_count_30d").cast("bigint").alias("tx_count_30d"),
+        F.col("last_latitude").cast("float").alias("last_latitude"),
+        F.col("last_longitude").cast("float").alias("last_longitude"),
+        F.col("last_tx_timestamp").cast("timestamp").alias("last_tx_timestamp"),
+        F.col("devices_90d").cast("bigint").alias("devices_90d"),
+        F.from_json("merchant_categories_30d", "array<string>").alias("merchant_categories_30d"),
+        "expires_on",
+    )
+
+
+@query("sink_cluster")
+def q_sink_cluster(spark, sf):
+    root = scratch_path(spark, "fct")
+    sink.write_clustered(fct(spark, sf), root)
+    return spark.read.parquet(root).select("order_id", "order_date", "order_status", "order_total_usd", "revenue_band")
+
+
+@query("sink_audit")
+def q_sink_audit(spark, sf):
+    root = scratch_path(spark, "audit")
+    s = decided(spark, sf)
+    audit = rules.score_projection(s.withColumn("processed_at", F.lit(AS_OF_TS).cast("timestamp")), AS_OF_TS)
+    audit = audit.join(s.select("transaction_id", F.to_date("event_ts").alias("event_date")), "transaction_id")
+    sink.write_audit(audit, root)
+    return spark.read.parquet(root).select("transaction_id", "fraud_decision", "event_date")
+
+
+@query("pipeline_gold")
+def q_pipeline_gold(spark, sf):
+    p = _pipeline_lake(spark, sf)
+    pipelines.run_silver(spark, p, RUN_DATE)
+    return pipelines.run_gold(spark, p, LTV_AS_OF)
+
+
+@query("pipeline_marts")
+def q_pipeline_marts(spark, sf):
+    p = _pipeline_lake(spark, sf)
+    pipelines.run_silver(spark, p, RUN_DATE)
+    pipelines.run_gold(spark, p, LTV_AS_OF)
+    paths = pipelines.run_marts(spark, p, A.customers_src(A.load_table(spark, sf, "customer")), LTV_AS_OF, AS_OF_TS)
+    return spark.read.parquet(paths["revenue_summary"])
+
+
+@query("pipeline_snapshot")
+def q_pipeline_snapshot(spark, sf):
+    p = pipelines.LakePaths.under(scratch_path(spark, "snap"))
+    staged = marts.stage_customers(A.customer_versions(A.load_table(spark, sf, "customer"))).withColumn(
+        "_k", F.element_at(F.split("customer_id", "-"), 2).cast("bigint"))
+    first = staged.where(F.col("customer_updated_at") == F.to_timestamp(F.col("customer_created_at"))).drop("_k")
+    pipelines.run_snapshot(spark, p, first, SNAPSHOT_RUN_TS)
+    latest = clean.latest_per_key(staged, "customer_id", ["customer_updated_at"])
+    out = pipelines.run_snapshot(spark, p, latest.where(F.col("_k") % 11 != 0).drop("_k"), SNAPSHOT_RUN_TS)
+    return out.select("customer_id", "customer_tier", "valid_from", "valid_to", "scd_id")
