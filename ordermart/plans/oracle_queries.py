@@ -348,3 +348,25 @@ oracle("pipeline_gold", with_ctes(ltv_sql(LTV_AS_OF).replace("FROM silver_orders
                                   "cdc_silver_orders"))
 oracle("pipeline_marts", with_ctes(revenue_summary_sql("cdc_fct"), "cdc_fct"))
 oracle("pipeline_snapshot", ORACLE["scd2_apply_step"])
+
+
+# --- Streams ------------------------------------------------------------------
+oracle("stream_velocity", with_ctes(
+    "SELECT transaction_id, tx_count_1min, tx_count_5min, last_latitude, last_longitude, last_tx_timestamp FROM tx_features",
+    "tx_features"))
+oracle("stream_scored", with_ctes(
+    "SELECT transaction_id AS key, fraud_decision, triggered_rules, decision_reason FROM stream_scored", "stream_scored"))
+oracle("stream_alerts", with_ctes(
+    "SELECT transaction_id AS key, fraud_decision FROM stream_scored WHERE fraud_decision IN ('BLOCK', 'REVIEW')",
+    "stream_scored"))
+oracle("stream_dedup", with_ctes(
+    "SELECT count(*) AS rows, count(DISTINCT transaction_id) AS transactions FROM transactions", "transactions"))
+oracle("stream_tumbling_velocity", with_ctes("""
+SELECT card_id, time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
+  time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end, count(*) AS tx_count
+FROM transactions GROUP BY 1, 2, 3""", "transactions"))
+oracle("stream_sliding_velocity", with_ctes("""
+SELECT card_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS tx_count
+FROM (SELECT card_id, time_bucket(INTERVAL 1 MINUTE, event_ts) - k * INTERVAL 1 MINUTE AS window_start
+      FROM transactions, (SELECT unnest(generate_series(0, 4)) AS k))
+GROUP BY 1, 2, 3""", "transactions"))

@@ -383,7 +383,12 @@ FROM (
     FROM tx_features))""")
 
 BLOCKLIST = ["M-13", "M-42"]
-cte("tx_rules", ["tx_scored_features"], f"""
+
+
+def fraud_chain(prefix: str, src: str) -> None:
+    """Rules, decision and scored record over a feature CTE ``src``."""
+    p = prefix
+    cte(f"{p}rules", [src], f"""
 SELECT *,
   merchant_id IN {_in_list(BLOCKLIST)} AS r_blacklisted_merchant,
   tx_count_1min >= 5 AS r_velocity_1min,
@@ -392,8 +397,8 @@ SELECT *,
   coalesce(speed_kmh > 900.0, FALSE) AS r_geo_impossibility,
   (NOT coalesce(device_seen_90d, FALSE)) AND amount_usd > 500.0 AS r_new_device_high_amount,
   coalesce(length(merchant_category) > 0, FALSE) AND NOT coalesce(category_seen_30d, FALSE) AS r_unusual_merchant_category
-FROM tx_scored_features""")
-cte("tx_decided", ["tx_rules"], """
+FROM {src}""")
+    cte(f"{p}decided", [f"{p}rules"], f"""
 SELECT *,
   CASE WHEN r_blacklisted_merchant OR r_velocity_1min OR r_geo_impossibility OR len(rl) >= 2 THEN 'BLOCK'
        WHEN len(rl) >= 1 THEN 'REVIEW' ELSE 'PASS' END AS fraud_decision,
@@ -413,12 +418,29 @@ FROM (
     SELECT *,
       list_filter([CASE WHEN r_velocity_5min THEN 'velocity_5min' END, CASE WHEN r_amount_spike THEN 'amount_spike' END], lambda x: x IS NOT NULL) AS pre,
       list_filter([CASE WHEN r_new_device_high_amount THEN 'new_device_high_amount' END, CASE WHEN r_unusual_merchant_category THEN 'unusual_merchant_category' END], lambda x: x IS NOT NULL) AS post
-    FROM tx_rules))""")
-cte("tx_scored", ["tx_decided"], f"""
+    FROM {p}rules))""")
+    cte(f"{p}scored", [f"{p}decided"], f"""
 SELECT transaction_id, card_id, customer_id, amount_usd, fraud_decision,
   CAST(to_json(rl) AS VARCHAR) AS triggered_rules, CAST(0.0 AS FLOAT) AS fraud_score, decision_reason,
   TIMESTAMP '{AS_OF_TS}' AS processed_at
-FROM tx_decided""")
+FROM {p}decided""")
+
+
+fraud_chain("tx_", "tx_scored_features")
+
+PROFILE_DATE = "2024-01-20"
+cte("stream_features", ["tx_scored_features"], f"""
+SELECT f.* EXCLUDE (amount_count_30d, amount_sum_30d, device_seen_90d, category_seen_30d),
+  coalesce(a.n, 0) AS amount_count_30d, CAST(coalesce(a.s, 0) AS DECIMAL(28,4)) AS amount_sum_30d,
+  EXISTS (SELECT 1 FROM transactions d WHERE d.card_id = f.card_id AND d.device_fingerprint = f.device_fingerprint
+          AND CAST(d.event_ts AS DATE) <= DATE '{PROFILE_DATE}' AND CAST(d.event_ts AS DATE) > DATE '{PROFILE_DATE}' - INTERVAL 90 DAY) AS device_seen_90d,
+  EXISTS (SELECT 1 FROM transactions c WHERE c.card_id = f.card_id AND c.merchant_category = f.merchant_category
+          AND CAST(c.event_ts AS DATE) <= DATE '{PROFILE_DATE}' AND CAST(c.event_ts AS DATE) > DATE '{PROFILE_DATE}' - INTERVAL 30 DAY) AS category_seen_30d
+FROM tx_scored_features f LEFT JOIN (
+  SELECT card_id, sum(amount_usd) AS s, count(*) AS n FROM transactions
+  WHERE CAST(event_ts AS DATE) <= DATE '{PROFILE_DATE}' AND CAST(event_ts AS DATE) > DATE '{PROFILE_DATE}' - INTERVAL 30 DAY
+  GROUP BY card_id) a ON a.card_id = f.card_id""")
+fraud_chain("stream_", "stream_features")
 
 
 # --- CDC envelope path ---------------------------------------------------------

@@ -653,3 +653,100 @@ def q_pipeline_snapshot(spark, sf):
     latest = clean.latest_per_key(staged, "customer_id", ["customer_updated_at"])
     out = pipelines.run_snapshot(spark, p, latest.where(F.col("_k") % 11 != 0).drop("_k"), SNAPSHOT_RUN_TS)
     return out.select("customer_id", "customer_tier", "valid_from", "valid_to", "scd_id")
+
+
+# --- Streams ------------------------------------------------------------------
+from ordermart.schemas import TRANSACTION  # noqa: E402
+from ordermart.streaming import scorer as stream_scorer  # noqa: E402
+from ordermart.streaming import source as stream_source  # noqa: E402
+
+STREAM_SLICE_DAYS = 6
+REPLAY_MODULUS = 50
+
+
+def _tx_with_slice(spark, sf):
+    t = features.with_event_ts(tx(spark, sf))
+    return t.withColumn("_slice", F.floor((F.dayofyear("event_ts") - 1) / STREAM_SLICE_DAYS).cast("int"))
+
+
+def _stream_run(spark, sf, build, name):
+    """Land the transactions slice by slice (JSON lines, event-time order,
+    ids with id % 50 = 0 replayed in the next slice) and after each landing
+    run the stream with ``availableNow`` from the same checkpoint: every
+    slice is a restart from the checkpoint (J3)."""
+    root = scratch_path(spark, name)
+    t = _tx_with_slice(spark, sf)
+    value = F.to_json(F.struct(*[F.col(f.name) for f in TRANSACTION.fields])).alias("value")
+    replay = t.where(F.element_at(F.split("transaction_id", "-"), 2).cast("bigint") % REPLAY_MODULUS == 0)
+    slices = [r["_slice"] for r in t.select("_slice").distinct().orderBy("_slice").collect()]
+    for s in slices:
+        land = t.where(F.col("_slice") == s).select(value)
+        land = land.unionByName(replay.where(F.col("_slice") == s - 1).select(value))
+        land.write.text(f"{root}/landing/slice={s:03d}")
+        txs = stream_source.read_transactions(spark, path=f"{root}/landing/slice=*")
+        q = build(txs, root).trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return root
+
+
+def _scorer_build(spark, sf):
+    profile = stream_scorer.profile_tables(tx(spark, sf), PROFILE_DATE)
+
+    def build(txs, root):
+        scored = stream_scorer.score_stream(txs, profile, BLOCKLISTED_MERCHANTS, F.lit(AS_OF_TS).cast("timestamp"))
+        return scored.writeStream.foreachBatch(stream_scorer.fan_out(f"{root}/out")).option(
+            "checkpointLocation", f"{root}/checkpoint")
+    return build
+
+
+@query("stream_velocity")
+def q_stream_velocity(spark, sf):
+    root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-velocity")
+    return spark.read.parquet(f"{root}/out/audit").select(
+        "transaction_id", "tx_count_1min", "tx_count_5min", "last_latitude", "last_longitude", "last_tx_timestamp")
+
+
+@query("stream_scored")
+def q_stream_scored(spark, sf):
+    root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-scored")
+    kv = spark.read.schema("key string, value string").json(f"{root}/out/scored")
+    rec = F.from_json("value", "transaction_id string, fraud_decision string, triggered_rules string, decision_reason string")
+    return kv.select("key", rec.alias("r")).select("key", "r.fraud_decision", "r.triggered_rules", "r.decision_reason")
+
+
+@query("stream_alerts")
+def q_stream_alerts(spark, sf):
+    root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-alerts")
+    kv = spark.read.schema("key string, value string").json(f"{root}/out/alerts")
+    return kv.select("key", F.get_json_object("value", "$.fraud_decision").alias("fraud_decision"))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf):
+    root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-dedup")
+    a = spark.read.parquet(f"{root}/out/audit")
+    return a.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("transaction_id").alias("transactions"))
+
+
+def _window_build(which):
+    def build(txs, root):
+        tumbling, sliding = stream_scorer.velocity_windows(txs)
+        df = tumbling if which == "tumbling" else sliding
+        return (df.writeStream.outputMode("update")
+                .foreachBatch(stream_scorer.upsert_batches(f"{root}/out", ["card_id", "window_start"]))
+                .option("checkpointLocation", f"{root}/checkpoint"))
+    return build
+
+
+@query("stream_tumbling_velocity")
+def q_stream_tumbling(spark, sf):
+    root = _stream_run(spark, sf, _window_build("tumbling"), "stream-tumbling")
+    return stream_scorer.latest_rows(spark, f"{root}/out", ["card_id", "window_start"])
+
+
+@query("stream_sliding_velocity")
+def q_stream_sliding(spark, sf):
+    root = _stream_run(spark, sf, _window_build("sliding"), "stream-sliding")
+    return stream_scorer.latest_rows(spark, f"{root}/out", ["card_id", "window_start"])
