@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
 from ordermart.functions.columns import elapsed_hours, haversine_km, parse_iso_instant
-from ordermart.operators.fraud_windows import keyed_lag_lead, trailing_stats
+from ordermart.operators.fraud_windows import keyed_lag_lead, trailing_counts, trailing_stats
 
 DAY = 86400
 
@@ -25,9 +25,10 @@ def with_event_ts(tx: DataFrame, text_col: str = "event_time", out: str = "event
 
 def velocity_counts(tx: DataFrame, ts: str = "event_ts") -> DataFrame:
     """earlier events of the card in the last 60 s and 300 s."""
-    out = trailing_stats(tx, ["card_id"], ts, fixed.VELOCITY_SHORT_SECONDS, prefix="_v1_")
-    out = trailing_stats(out, ["card_id"], ts, fixed.VELOCITY_LONG_SECONDS, prefix="_v5_")
-    return out.withColumnRenamed("_v1_count", "tx_count_1min").withColumnRenamed("_v5_count", "tx_count_5min")
+    return trailing_counts(tx, ["card_id"], ts, {
+        "tx_count_1min": fixed.VELOCITY_SHORT_SECONDS,
+        "tx_count_5min": fixed.VELOCITY_LONG_SECONDS,
+    })
 
 
 def avg_amount_30d(tx: DataFrame, ts: str = "event_ts", days: int = fixed.AMOUNT_WINDOW_DAYS) -> DataFrame:

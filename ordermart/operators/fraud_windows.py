@@ -104,6 +104,43 @@ def trailing_stats(
     return out.select(*df.columns, f"{prefix}count", *[f"{prefix}sum_{n}" for n in values])
 
 
+def trailing_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    frames: Mapping[str, int],
+    unit_seconds: int | None = None,
+) -> DataFrame:
+    """Several short frames in one pass: for each ``name -> seconds`` add the
+    count of earlier rows of the key in ``[t - seconds, t)``. Every frame must
+    fit in one unit (default: the longest frame). Rows of bucket ``b - 1``
+    are replicated into ``b`` shifted by one unit; a frame of ``f`` seconds
+    counts own rows in ``[t - f, t)`` and context rows shifted to at least
+    ``t + unit - f``. One shuffle and one window operator for all frames."""
+    unit = unit_seconds or max(frames.values())
+    if any(f > unit for f in frames.values()):
+        raise ValueError("every frame must fit in one unit")
+    unit_us = unit * MICROS
+    keys = list(keys)
+    base = df.withColumn("_t", _micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(unit_us)).cast("bigint"))
+    own = base.withColumn("_ctx", F.lit(False))
+    other = [c for c in own.columns if c not in keys + ["_t", "_b", "_ctx"]]
+    ctx = base.select(
+        *keys, (F.col("_t") + F.lit(unit_us)).alias("_t"), (F.col("_b") + F.lit(1)).alias("_b"),
+        *[F.lit(None).cast(own.schema[c].dataType).alias(c) for c in other], F.lit(True).alias("_ctx"),
+    ).select(own.columns)
+    w = Window.partitionBy(*keys, "_b").orderBy("_t")
+    is_own, is_ctx = ~F.col("_ctx"), F.col("_ctx")
+    cols = []
+    for name, f in frames.items():
+        f_us = f * MICROS
+        own_c = F.count(F.when(is_own, F.lit(1))).over(w.rangeBetween(-f_us, -1))
+        ctx_c = F.count(F.when(is_ctx, F.lit(1))).over(w.rangeBetween(unit_us - f_us, Window.unboundedFollowing))
+        cols.append((own_c + ctx_c).cast("bigint").alias(name))
+    out = own.unionByName(ctx).select("*", *cols).where(~F.col("_ctx"))
+    return out.select(*df.columns, *frames)
+
+
 def keyed_lag_lead(
     df: DataFrame,
     keys: Sequence[str],
