@@ -92,12 +92,37 @@ def geo_speed(tx: DataFrame, ts: str = "event_ts") -> DataFrame:
     )
 
 
+def amounts_and_last_position(tx: DataFrame, ts: str = "event_ts", days: int = fixed.AMOUNT_WINDOW_DAYS) -> DataFrame:
+    """F3 + F4 in one pass: both partition by (card, day), so the previous
+    position rides on the 30-day amount window (one shuffle, not two)."""
+    out = trailing_stats(
+        tx, ["card_id"], ts, days * DAY, unit_seconds=DAY, values={"amount": F.col("amount_usd")},
+        prefix="_a30_", lag_cols=["latitude", "longitude", ts], tie="transaction_id", lag_prefix="_prev_",
+    )
+    return (
+        out.withColumnRenamed("_a30_count", "amount_count_30d")
+        .withColumn("amount_sum_30d", F.col("_a30_sum_amount").cast("decimal(28,4)"))
+        .drop("_a30_sum_amount")
+        .withColumn(
+            "avg_amount_30d",
+            F.when(F.col("amount_count_30d") > 0,
+                   (F.col("amount_sum_30d") / F.col("amount_count_30d")).cast("decimal(18,4)"))
+            .otherwise(F.lit(0).cast("decimal(18,4)")),
+        )
+        .withColumnRenamed("_prev_latitude", "last_latitude")
+        .withColumnRenamed("_prev_longitude", "last_longitude")
+        .withColumnRenamed(f"_prev_{ts}", "last_tx_timestamp")
+    )
+
+
 def offline_features(tx: DataFrame) -> DataFrame:
-    """Point-in-time feature row for every event (training table)."""
+    """Point-in-time feature row for every event (training table).
+    Four keyed passes: velocity (card, 5-minute bucket), amounts + last
+    position (card, day), devices (card, device, day), categories
+    (card, category, day)."""
     df = with_event_ts(tx)
     df = velocity_counts(df)
-    df = avg_amount_30d(df)
-    df = last_position(df)
+    df = amounts_and_last_position(df)
     df = device_seen(df)
     df = category_seen(df)
     return geo_speed(df)

@@ -39,11 +39,20 @@ def trailing_stats(
     unit_seconds: int | None = None,
     values: Mapping[str, Column] | None = None,
     prefix: str = "w_",
+    lag_cols: Sequence[str] = (),
+    tie: str | None = None,
+    lag_prefix: str = "prev_",
 ) -> DataFrame:
     """Add ``{prefix}count`` and ``{prefix}sum_<name>`` over the earlier rows
     of the same key with time in ``[t - frame, t)`` (rows at the same instant
     are not earlier). ``frame_seconds`` must be a multiple of ``unit_seconds``
-    (default: one unit = the frame)."""
+    (default: one unit = the frame).
+
+    With ``lag_cols`` the same pass also adds ``{lag_prefix}<col>`` of the
+    previous row of the key by (time, ``tie``): the latest earlier own row of
+    the bucket (a ROWS frame over the same partitioning, no extra shuffle),
+    else the last row of the previous non-empty bucket from the per-bucket
+    aggregate that the full-bucket sums already use."""
     unit = unit_seconds or frame_seconds
     if frame_seconds % unit:
         raise ValueError("frame_seconds must be a multiple of unit_seconds")
@@ -80,28 +89,44 @@ def trailing_stats(
     for v in vcols:
         stats[f"_s_own{v}"] = F.sum(F.when(is_own, F.col(v))).over(before)
         stats[f"_s_ctx{v}"] = F.sum(F.when(is_ctx, F.col(v))).over(from_now)
+    lag_cols = list(lag_cols)
+    if lag_cols:
+        payload = F.struct(F.col("_t").alias("_pt"), *([F.col(tie).alias("_ptie")] if tie else []),
+                           *[F.col(c).alias(c) for c in lag_cols])
+        u = u.withColumn("_payload", F.when(is_own, payload))
+        order = ["_t"] + ([tie] if tie else [])
+        earlier = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        stats["_prev_in"] = F.max("_payload").over(earlier)
     scored = u.select("*", *[e.alias(n) for n, e in stats.items()]).where(~F.col("_ctx"))
 
     count = F.col("_cnt_own") + F.col("_cnt_ctx")
     sums = {v: F.coalesce(F.col(f"_s_own{v}"), F.lit(0)) + F.coalesce(F.col(f"_s_ctx{v}"), F.lit(0)) for v in vcols}
-    if k > 1:
-        per_bucket = base.groupBy(*keys, "_b").agg(
-            F.count(F.lit(1)).alias("_bc"), *[F.sum(v).alias(f"_bs{v}") for v in vcols]
-        )
-        roll = Window.partitionBy(*keys).orderBy("_b").rangeBetween(-(k - 1), -1)
-        full = per_bucket.select(
-            *keys, "_b",
-            F.coalesce(F.sum("_bc").over(roll), F.lit(0)).alias("_full_c"),
-            *[F.sum(f"_bs{v}").over(roll).alias(f"_full_s{v}") for v in vcols],
-        )
-        scored = scored.join(full, keys + ["_b"], "left")
-        count = count + F.coalesce(F.col("_full_c"), F.lit(0))
-        sums = {v: s + F.coalesce(F.col(f"_full_s{v}"), F.lit(0)) for v, s in sums.items()}
+    prev = F.col("_prev_in") if lag_cols else None
+    if k > 1 or lag_cols:
+        aggs = [F.count(F.lit(1)).alias("_bc"), *[F.sum(v).alias(f"_bs{v}") for v in vcols]]
+        if lag_cols:
+            aggs.append(F.max(payload).alias("_edge"))
+        per_bucket = base.groupBy(*keys, "_b").agg(*aggs)
+        by_bucket = Window.partitionBy(*keys).orderBy("_b")
+        roll = by_bucket.rangeBetween(-(k - 1), -1) if k > 1 else None
+        sel = [*keys, "_b"]
+        if k > 1:
+            sel += [F.coalesce(F.sum("_bc").over(roll), F.lit(0)).alias("_full_c"),
+                    *[F.sum(f"_bs{v}").over(roll).alias(f"_full_s{v}") for v in vcols]]
+        if lag_cols:
+            sel.append(F.lag("_edge").over(by_bucket).alias("_carry"))
+        scored = scored.join(per_bucket.select(*sel), keys + ["_b"], "left")
+        if k > 1:
+            count = count + F.coalesce(F.col("_full_c"), F.lit(0))
+            sums = {v: s + F.coalesce(F.col(f"_full_s{v}"), F.lit(0)) for v, s in sums.items()}
+        if lag_cols:
+            prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
 
     out = scored.withColumn(f"{prefix}count", count.cast("bigint"))
     for name, v in zip(values, vcols):
         out = out.withColumn(f"{prefix}sum_{name}", sums[v])
-    return out.select(*df.columns, f"{prefix}count", *[f"{prefix}sum_{n}" for n in values])
+    lag_out = [prev.getField(c).alias(f"{lag_prefix}{c}") for c in lag_cols]
+    return out.select(*df.columns, f"{prefix}count", *[f"{prefix}sum_{n}" for n in values], *lag_out)
 
 
 def trailing_counts(

@@ -67,3 +67,16 @@ def test_hot_key_is_split_across_buckets(events):
     many partitions instead of one."""
     b = events.where("k = 'HOT'").select(F.floor(F.unix_seconds("ts") / 86400).alias("b")).distinct().count()
     assert b > 20
+
+
+def test_trailing_stats_with_lag_in_same_pass(events):
+    rows = sorted(events.collect(), key=lambda r: (r["k"], r["ts"], r["id"]))
+    want_prev = {}
+    for i, r in enumerate(rows):
+        ok = i > 0 and rows[i - 1]["k"] == r["k"]
+        want_prev[r["id"]] = rows[i - 1]["id"] if ok else None
+    want = brute(rows, timedelta(days=30))
+    got = trailing_stats(events, ["k"], "ts", 30 * 86400, 86400, values={"v": F.col("v")},
+                         lag_cols=["id"], tie="id", lag_prefix="p_").collect()
+    assert {r["id"]: r["p_id"] for r in got} == want_prev
+    assert {r["id"]: (r["w_count"], Decimal(r["w_sum_v"])) for r in got} == want
