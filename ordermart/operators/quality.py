@@ -4,8 +4,9 @@ Checks are declared on a :class:`QualitySuite` and evaluated lazily as one
 small result DataFrame (check_name, passed, details):
 
 * every row-level count (not-empty, nulls, null rates, expressions, values
-  outside a domain, freshness) is one aggregate in **one** pass;
-* each uniqueness check adds one grouped aggregate (one shuffle);
+  outside a domain, freshness) is one aggregate in **one** pass, fused with
+  the first uniqueness check (group by its key, then a one-row merge);
+* each further uniqueness check adds one grouped aggregate (one shuffle);
 * each accepted-values check adds a bounded sample (sorted distinct bad
   values, ``limit`` k) for the details text;
 * each relationship check adds one anti join.
@@ -48,10 +49,13 @@ class QualitySuite:
     _counts: list = field(default_factory=list)   # (alias, agg expr)
     _rows: list = field(default_factory=list)     # row builders over the main aggregate
     _extra: list = field(default_factory=list)    # separate one-row frames
+    _unique: list = field(default_factory=list)   # column lists of uniqueness checks
 
     # -- declarations -----------------------------------------------------
-    def _count(self, alias: str, expr: Column) -> str:
-        self._counts.append((alias, expr))
+    def _count(self, alias: str, expr: Column, combine: str = "sum") -> str:
+        """Register a row-level aggregate; ``combine`` says how per-group
+        partial values merge (``sum`` for counts, ``max`` for maxima)."""
+        self._counts.append((alias, expr, combine))
         return alias
 
     def not_empty(self) -> "QualitySuite":
@@ -83,28 +87,33 @@ class QualitySuite:
         return self
 
     def unique(self, columns: Sequence[str]) -> "QualitySuite":
+        """L4: total rows = distinct keys. The first uniqueness check of a
+        suite is fused with the row-level aggregate (see :meth:`results`);
+        further ones add one grouped aggregate each."""
         cols = list(columns)
-        per_key = self.df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-        agg = per_key.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_total"), F.count(F.lit(1)).alias("_distinct"))
-        name = "unique:" + ",".join(cols)
-        self._extra.append(agg.select(_result(
-            name, F.col("_total") == F.col("_distinct"),
-            F.format_string("total=%d distinct=%d dupes=%d", F.col("_total"), F.col("_distinct"), F.col("_total") - F.col("_distinct")),
-        ).alias("r")))
+        self._unique.append(cols)
         return self
 
+    def _unique_row(self, cols: list[str], total: Column, distinct: Column) -> Column:
+        return _result(
+            "unique:" + ",".join(cols), total == distinct,
+            F.format_string("total=%d distinct=%d dupes=%d", total, distinct, total - distinct),
+        )
+
     def accepted_values(self, column: str, allowed: Sequence[str]) -> "QualitySuite":
         """NULL passes; details list the first ``sample_size`` distinct
         bad values in sort order and the number of bad rows."""
         bad = ~F.col(column).isin(list(allowed))
         a = self._count(f"_bad_{column}", F.count_if(F.coalesce(bad, F.lit(False))))
-        sample = (
+        self._rows.append(("accepted", column, a, bad))
+        return self
+
+    def _sample(self, column: str, bad: Column) -> DataFrame:
+        return (
             self.df.where(bad).select(F.col(column).cast("string").alias("_v")).distinct()
             .orderBy("_v").limit(self.sample_size)
             .agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
         )
-        self._rows.append(("accepted", column, a, sample))
-        return self
 
     def volume(self, expected: int, tolerance: float = fixed.VOLUME_TOLERANCE) -> "QualitySuite":
         """|actual - expected| / max(expected, 1) <= tolerance."""
@@ -121,7 +130,7 @@ class QualitySuite:
                   warn_hours: float = fixed.FRESHNESS_WARN_HOURS,
                   error_hours: float = fixed.FRESHNESS_ERROR_HOURS) -> "QualitySuite":
         """Newest ``column`` older than warn / error hours."""
-        a = self._count(f"_max_{column}", F.max(column))
+        a = self._count(f"_max_{column}", F.max(column), combine="max")
         age = (F.unix_micros(F.lit(as_of_ts).cast("timestamp")) - F.unix_micros(F.col(a))).cast("double") / 3.6e9
         status = F.when(F.col(a).isNull() | (age > error_hours), F.lit("error")).when(age > warn_hours, F.lit("warn")).otherwise(F.lit("pass"))
         self._rows.append(lambda: _result(
@@ -132,41 +141,62 @@ class QualitySuite:
 
     def relationships(self, column: str, parent: DataFrame, parent_column: str) -> "QualitySuite":
         """Every non-NULL child key exists in the parent."""
+        self._extra.append(("relationships", column, parent, parent_column))
+        return self
+
+    def _relationship_frame(self, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
         child = self.df.select(F.col(column).alias("_k")).where(F.col("_k").isNotNull())
         par = parent.select(F.col(parent_column).alias("_k"))
         orphans = child.join(par, "_k", "left_anti").agg(
             F.count(F.lit(1)).alias("_o"), F.count_distinct("_k").alias("_od"))
-        self._extra.append(orphans.select(_result(
+        return orphans.select(_result(
             f"relationships:{column}", F.col("_o") == 0,
             F.format_string("orphan_rows=%d orphan_keys=%d", F.col("_o"), F.col("_od")),
-        ).alias("r")))
-        return self
+        ).alias("r"))
 
     # -- evaluation -------------------------------------------------------
     def results(self) -> DataFrame:
-        seen, aggs = set(), []
-        for alias, expr in self._counts:
+        """All checks as one small frame. Row-level aggregates run in one
+        pass; with a uniqueness check that pass groups by its key first
+        (map-side partial aggregation), so counts, totals and the distinct
+        key count all come from one shuffle plus a one-row global merge."""
+        seen, parts = set(), []
+        for alias, expr, combine in self._counts:
             if alias not in seen:
                 seen.add(alias)
-                aggs.append(expr.alias(alias))
+                parts.append((alias, expr, combine))
         frames: list[DataFrame] = []
-        main = self.df.agg(*aggs) if aggs else None
+        unique_rows = []
+        if self._unique:
+            first, *rest = self._unique
+            grouped = self.df.groupBy(*first).agg(
+                F.count(F.lit(1)).alias("_gc"), *[e.alias(a) for a, e, _ in parts])
+            merge = [F.coalesce(F.sum("_gc"), F.lit(0)).alias("_utotal"), F.count(F.lit(1)).alias("_udistinct")]
+            merge += [(F.max(a) if c == "max" else F.coalesce(F.sum(a), F.lit(0))).alias(a) for a, _, c in parts]
+            main = grouped.agg(*merge)
+            unique_rows.append(self._unique_row(first, F.col("_utotal"), F.col("_udistinct")))
+            for cols in rest:
+                per_key = self.df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+                agg = per_key.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_t"), F.count(F.lit(1)).alias("_d"))
+                frames.append(agg.select(self._unique_row(cols, F.col("_t"), F.col("_d")).alias("r")))
+        else:
+            main = self.df.agg(*[e.alias(a) for a, e, _ in parts]) if parts else None
         plain = [r for r in self._rows if callable(r)]
-        if plain:
-            frames.append(main.select(F.explode(F.array(*[r() for r in plain])).alias("r")))
+        if plain or unique_rows:
+            frames.append(main.select(F.explode(F.array(*[r() for r in plain], *unique_rows)).alias("r")))
         for r in self._rows:
             if callable(r):
                 continue
-            _, column, a, sample = r
-            u = sample.select("_vals", F.lit(None).cast("bigint").alias(a)).unionByName(
-                main.select(F.lit(None).cast("array<string>").alias("_vals"), a))
+            _, column, a, bad = r
+            u = self._sample(column, bad).select("_vals", F.lit(None).cast("bigint").alias(a)).unionByName(
+                main.select(F.lit(None).cast("array<string>").alias("_vals"), F.col(a).cast("bigint").alias(a)))
             one = u.agg(F.max("_vals").alias("_vals"), F.max(a).alias(a))
             frames.append(one.select(_result(
                 f"accepted_values:{column}", F.col(a) == 0,
                 F.concat(F.lit("invalid_values="), py_list_text(F.coalesce(F.col("_vals"), F.array().cast("array<string>"))),
                          F.format_string(" invalid_rows=%d", F.col(a))),
             ).alias("r")))
-        frames.extend(self._extra)
+        frames.extend(self._relationship_frame(*spec[1:]) for spec in self._extra)
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
