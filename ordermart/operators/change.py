@@ -53,6 +53,20 @@ def merge_upsert(
     return kept.unionByName(ups.select(target.columns))
 
 
+def latest_deletes(changes: DataFrame, key: str = "order_id", op: str = "_cdc_operation",
+                   order_by: Sequence[str] = ("_kafka_timestamp_ms",)) -> DataFrame:
+    """Keys whose latest change event is a delete (one aggregate with
+    map-side partial aggregation, no per-key sort)."""
+    latest = changes.groupBy(key).agg(F.max_by(F.col(op), F.struct(*[F.col(c) for c in order_by])).alias("_op"))
+    return latest.where(F.col("_op") == "d").select(key)
+
+
+def apply_deletes(target: DataFrame, delete_keys: DataFrame, key: str = "order_id") -> DataFrame:
+    """X24 option of B8: remove deleted keys (anti join on the key; AQE
+    broadcasts a small delete set)."""
+    return target.join(delete_keys, key, "left_anti")
+
+
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to", "snapshot_updated_at"]
 
 

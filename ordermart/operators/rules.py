@@ -43,11 +43,18 @@ def rule_columns(
     spike_multiplier: float = fixed.AMOUNT_SPIKE_MULTIPLIER,
     high_amount: float = fixed.HIGH_AMOUNT_NEW_DEVICE,
     max_speed_kmh: float = fixed.GEO_SPEED_KMH_MAX,
+    cold_card_policy: str = "flag",
 ) -> dict[str, Column]:
     """M1-M7 over feature columns. The spike test compares exact decimals:
-    ``amount * n > multiplier * sum`` is ``amount > multiplier * mean``."""
+    ``amount * n > multiplier * sum`` is ``amount > multiplier * mean``.
+
+    ``cold_card_policy``: a card with no 30-day history has no known devices
+    or categories. ``"flag"`` (default, the reference behaviour) lets the
+    new-device and unusual-category rules fire for it; ``"skip"`` keeps them
+    silent until the card has history (only hard rules and velocity apply)."""
     amount = F.col("amount_usd")
     mult = F.lit(str(spike_multiplier)).cast("decimal(10,4)")
+    warm = F.lit(True) if cold_card_policy == "flag" else ~is_cold()
     return {
         "blacklisted_merchant": F.coalesce(F.col("is_blacklisted_merchant"), F.lit(False)),
         "velocity_1min": F.col("tx_count_1min") >= velocity_1min,
@@ -56,12 +63,17 @@ def rule_columns(
         & (F.col("amount_sum_30d") > 0)
         & (amount * F.col("amount_count_30d") > mult * F.col("amount_sum_30d")),
         "geo_impossibility": F.coalesce(F.col("speed_kmh") > max_speed_kmh, F.lit(False)),
-        "new_device_high_amount": ~F.coalesce(F.col("device_seen_90d"), F.lit(False)) & (amount > high_amount),
-        "unusual_merchant_category": F.coalesce(F.length(F.col("merchant_category")) > 0, F.lit(False))
+        "new_device_high_amount": warm & ~F.coalesce(F.col("device_seen_90d"), F.lit(False)) & (amount > high_amount),
+        "unusual_merchant_category": warm & F.coalesce(F.length(F.col("merchant_category")) > 0, F.lit(False))
         & ~F.coalesce(F.col("category_seen_30d"), F.lit(False)),
     }
 
 
+def is_cold() -> Column:
+    """No 30-day history for the card (empty profile)."""
+    return F.coalesce(F.col("amount_count_30d"), F.lit(0)) == 0
+
+
 def decide(df: DataFrame, review_accumulate: int = fixed.REVIEW_SCORE_ACCUMULATE, **thresholds) -> DataFrame:
     """M8: hard blocks first (blocklist, 1-minute velocity), then soft
     signals in order; geo-impossibility blocks and keeps the soft signals
@@ -84,7 +96,8 @@ def decide(df: DataFrame, review_accumulate: int = fixed.REVIEW_SCORE_ACCUMULATE
     hard = r["blacklisted_merchant"] | r["velocity_1min"] | r["geo_impossibility"]
     vel_threshold = thresholds.get("velocity_1min", fixed.VELOCITY_1MIN_THRESHOLD)
     return (
-        df.withColumn("triggered_rules_list", triggered)
+        df.withColumn("is_cold", is_cold())
+        .withColumn("triggered_rules_list", triggered)
         .withColumn(
             "fraud_decision",
             F.when(hard | (n >= review_accumulate), F.lit("BLOCK")).when(n >= 1, F.lit("REVIEW")).otherwise(F.lit("PASS")),

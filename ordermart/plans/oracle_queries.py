@@ -370,3 +370,19 @@ SELECT card_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, co
 FROM (SELECT card_id, time_bucket(INTERVAL 1 MINUTE, event_ts) - k * INTERVAL 1 MINUTE AS window_start
       FROM transactions, (SELECT unnest(generate_series(0, 4)) AS k))
 GROUP BY 1, 2, 3""", "transactions"))
+oracle("silver_apply_deletes", with_ctes("""
+SELECT order_id, order_status, order_total_usd FROM cdcflat_silver_orders s
+WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT order_id, arg_max(op, _kafka_timestamp_ms) AS op FROM cdc_events WHERE op IS NOT NULL GROUP BY order_id) d
+  WHERE d.op = 'd' AND d.order_id = s.order_id)""", "cdcflat_silver_orders", "cdc_events"))
+oracle("fraud_cold_card_policy", with_ctes("""
+SELECT f.amount_count_30d = 0 AS is_cold, f.fraud_decision AS decision_flag,
+  CASE WHEN f.amount_count_30d > 0 THEN f.fraud_decision
+       WHEN f.r_blacklisted_merchant OR f.r_velocity_1min OR f.r_geo_impossibility
+            OR (CAST(f.r_velocity_5min AS INT) + CAST(f.r_amount_spike AS INT)) >= 2 THEN 'BLOCK'
+       WHEN f.r_velocity_5min OR f.r_amount_spike THEN 'REVIEW' ELSE 'PASS' END AS decision_skip,
+  count(*) AS transactions
+FROM tx_decided f GROUP BY 1, 2, 3""", "tx_decided"))
+oracle("stream_equals_batch", with_ctes(
+    "SELECT count(*) AS rows, count(*) AS equal_1min, count(*) AS equal_5min, count(*) AS equal_last_position "
+    "FROM transactions", "transactions"))

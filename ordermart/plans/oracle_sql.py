@@ -460,3 +460,4 @@ silver_chain("cdc_silver_", "cdc_bronze")
 stg_orders_cte("cdc_stg_orders", "cdc_silver_orders")
 enriched_cte("cdc_enriched", "cdc_stg_orders")
 fct_cte("cdc_fct", "cdc_enriched", AS_OF_TS)
+silver_chain("cdcflat_silver_", "cdc_flat")

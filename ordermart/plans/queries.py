@@ -779,3 +779,43 @@ def q_stream_tumbling(spark, sf):
 def q_stream_sliding(spark, sf):
     root = _stream_run(spark, sf, _window_build("sliding"), "stream-sliding")
     return stream_scorer.latest_rows(spark, f"{root}/out", ["card_id", "window_start"])
+
+
+@query("silver_apply_deletes")
+def q_silver_apply_deletes(spark, sf):
+    """Silver from the CDC envelopes with delete events applied: an
+    order whose latest change is a delete leaves the table."""
+    events = A.cdc_events(_orders(spark, sf))
+    kept = bronze_ops.flatten_envelope(events, RUN_DATE, AS_OF_TS)
+    all_changes = bronze_ops.flatten_envelope(events, RUN_DATE, AS_OF_TS, keep_ops=["c", "u", "r", "d"])
+    silver_cdc = clean.silver_orders(kept)[0]
+    out = change.apply_deletes(silver_cdc, change.latest_deletes(all_changes))
+    return out.select("order_id", "order_status", "order_total_usd")
+
+
+@query("fraud_cold_card_policy")
+def q_fraud_cold_card(spark, sf):
+    """Decisions under both cold-card policies, counted."""
+    feats = rules.blocklist_flag(features.offline_features(tx(spark, sf)), BLOCKLISTED_MERCHANTS)
+    flag = rules.decide(feats).select("transaction_id", "is_cold", F.col("fraud_decision").alias("decision_flag"))
+    skip = rules.decide(feats, cold_card_policy="skip").select("transaction_id", F.col("fraud_decision").alias("decision_skip"))
+    return flag.join(skip, "transaction_id").groupBy("is_cold", "decision_flag", "decision_skip").agg(
+        F.count(F.lit(1)).alias("transactions"))
+
+
+@query("stream_equals_batch")
+def q_stream_equals_batch(spark, sf):
+    """Stream = batch: the stream's keyed-state features joined with the
+    batch window features of the same events, per feature equality."""
+    root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-eq")
+    s = spark.read.parquet(f"{root}/out/audit").select(
+        "transaction_id", *[F.col(c).alias(f"s_{c}") for c in ["tx_count_1min", "tx_count_5min", "last_tx_timestamp"]])
+    b = features.offline_features(tx(spark, sf)).select("transaction_id", "tx_count_1min", "tx_count_5min", "last_tx_timestamp")
+    j = b.join(s, "transaction_id", "full_outer")
+    same = lambda c: F.col(c).eqNullSafe(F.col(f"s_{c}"))
+    return j.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(same("tx_count_1min")).alias("equal_1min"),
+        F.count_if(same("tx_count_5min")).alias("equal_5min"),
+        F.count_if(same("last_tx_timestamp")).alias("equal_last_position"),
+    )
