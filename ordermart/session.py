@@ -33,8 +33,12 @@ def get_spark(
             .config("spark.driver.memory", "8g")
         )
     else:
-        builder = builder.config(
-            "spark.sql.shuffle.partitions", str(CLUSTER_SHUFFLE_PARTITIONS)
+        # AQE coalesces and REBALANCE sizes files toward the advisory size:
+        # ~200 MB snappy files, the layer's target, from 256 MB of shuffle data
+        builder = (
+            builder.config("spark.sql.shuffle.partitions", str(CLUSTER_SHUFFLE_PARTITIONS))
+            .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+            .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "4")
         )
     builder = (
         builder.config("spark.ui.enabled", "false")
