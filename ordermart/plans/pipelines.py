@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
+from ordermart.session import cut_lineage
 from ordermart.operators import bronze, change, clean, gold, marts, quality
 from ordermart.sinks import lake as sink
 from ordermart.sources import cdc, lake
@@ -66,11 +67,7 @@ def run_silver(spark: SparkSession, p: LakePaths, run_date: str) -> DataFrame:
      .no_nulls(["order_id", "customer_id", "order_date", "order_total_usd"])
      .unique(["order_id"]).accepted_values("order_status", fixed.VALID_ORDER_STATUSES)
      .validate(raise_on_failure=True))
-    existing = None
-    try:
-        existing = lake.read_history(spark, p.silver)
-    except Exception:  # noqa: BLE001 - first run: no folder yet
-        existing = None
+    existing = lake.read_history(spark, p.silver) if lake.path_exists(spark, p.silver) else None
     written = sink.write_silver(silver, p.silver, existing=existing)
     silver.unpersist()
     return written
@@ -95,11 +92,11 @@ def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of
     stg_o = marts.stage_orders(lake.read_history(spark, p.silver))
     fct_new = marts.fct_orders(marts.enrich_orders(stg_o, stg_c), as_of_ts)
     fct_path = f"{p.marts}/fct_orders"
-    try:
+    if lake.path_exists(spark, fct_path):
         target = spark.read.parquet(fct_path)
         wm = change.read_target_watermark(target)
-        fct = change.merge_upsert(target, change.incremental_lookback(fct_new, wm), "order_id").checkpoint(eager=True)
-    except Exception:  # noqa: BLE001 - first run: full load
+        fct = cut_lineage(change.merge_upsert(target, change.incremental_lookback(fct_new, wm), "order_id"))
+    else:  # first run: full load
         fct = fct_new
     sink.write_clustered(fct, fct_path)
     fct = spark.read.parquet(fct_path)
@@ -114,10 +111,9 @@ def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of
 def run_snapshot(spark: SparkSession, p: LakePaths, source: DataFrame, run_ts: str) -> DataFrame:
     """C7 -> E7. Applies one snapshot step to the stored history (or
     starts it) and replaces the history folder via a lineage cut."""
-    try:
-        snap = spark.read.parquet(p.snapshots)
-        out = change.scd2_apply(snap, source, run_ts).checkpoint(eager=True)
-    except Exception:  # noqa: BLE001 - first run
+    if lake.path_exists(spark, p.snapshots):
+        out = cut_lineage(change.scd2_apply(spark.read.parquet(p.snapshots), source, run_ts))
+    else:  # first run
         out = change.scd2_initial(source)
     sink._writer(out).parquet(p.snapshots)
     return spark.read.parquet(p.snapshots)

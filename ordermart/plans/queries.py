@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.operators import clean, gold
+from ordermart.session import cut_lineage, prepare_session
 from ordermart.sources import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,8 +20,14 @@ LTV_AS_OF_EARLY = "1998-06-30"
 
 
 def query(name: str):
+    """Register ``fn(spark, sf_dir)``; the caller's session is prepared first
+    (UTC clock, shared checkpoint folder when none is set)."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            prepare_session(spark)
+            return fn(spark, sf)
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -233,7 +241,7 @@ def q_fct_incremental(spark, sf):
 def q_fct_merged(spark, sf):
     # the target is a stored table in a real run: cut it into the shared
     # checkpoint folder once, then read the watermark and merge from it
-    target = fct_previous_run(spark, sf).checkpoint(eager=True)
+    target = cut_lineage(fct_previous_run(spark, sf))
     merged = change.merge_upsert(target, fct_incremental(spark, sf, target), "order_id")
     return merged.select("order_id", "order_date", "order_status", "order_total_usd",
                          "recognised_revenue_usd", "lost_revenue_usd")
@@ -358,7 +366,7 @@ for _rule in ["blacklisted_merchant", "velocity_1min", "velocity_5min", "amount_
             "velocity_5min": "rule_velocity_5min", "amount_spike": "rule_amount_spike",
             "geo_impossibility": "rule_geo", "new_device_high_amount": "rule_new_device",
             "unusual_merchant_category": "rule_category"}[_rule]
-    QUERIES[_key] = _rule_query(_rule)
+    query(_key)(_rule_query(_rule))
 
 
 @query("fraud_decisions")

@@ -80,6 +80,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "ordermart", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Settings the registered queries rely on, applied to any caller's
+    session: UTC session clock (timestamps are parsed and formatted as UTC)
+    and a checkpoint folder (kept when the cluster names one)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
 from ordermart.operators.change import merge_upsert
+from ordermart.session import cut_lineage
 
 MAX_RECORDS_PER_FILE = 2_000_000
 
@@ -65,7 +66,7 @@ def write_silver(df: DataFrame, root: str, key: str = "order_id", partition_col:
         touched = df.select(partition_col).distinct()
         old = existing.join(touched, partition_col, "left_semi")
         df = merge_upsert(old, df.select(existing.columns), key)
-        df = df.checkpoint(eager=True)
+        df = cut_lineage(df)
     write_partitioned(df, root, partition_col, files, [key])
     return df
 

@@ -14,6 +14,14 @@ def read_partition(spark: SparkSession, root: str, run_date: str, partition_col:
     return spark.read.parquet(root).where(F.col(partition_col) == F.lit(str(run_date)))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists (first-run detection), via the Hadoop
+    file system of the path, so it works for object stores too."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_history(spark: SparkSession, root: str) -> DataFrame:
     """A3: all partitions."""
     return spark.read.parquet(root)
