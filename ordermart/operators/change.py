@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
-from ordermart.operators.fraud_windows import keyed_lag_lead
+from ordermart.operators.fraud_windows import keyed_as_of, keyed_lag_lead
 
 
 def read_target_watermark(target: DataFrame | None, column: str = "order_date"):
@@ -167,23 +167,24 @@ def as_of_join(
     valid_to: str = "valid_to",
     attributes: Sequence[str] = ("customer_tier",),
     suffix: str = "_at_event",
+    bucket_seconds: int = 86400 * 30,
 ) -> DataFrame:
     """Attach the history version valid at each fact's time:
     key equal and ``valid_from <= ts < coalesce(valid_to, +inf)``.
 
-    An equi-join on the key with a range condition: per key the history
-    side holds only that key's versions, so no pair explosion; AQE splits a
-    skewed fact partition."""
-    h = history.select(
-        F.col(key).alias("_h_key"), F.col(valid_from).alias("_h_from"), F.col(valid_to).alias("_h_to"),
-        *[F.col(a).alias(f"{a}{suffix}") for a in attributes],
-    )
-    cond = (
-        (F.col(key) == F.col("_h_key"))
-        & (F.col(fact_ts) >= F.col("_h_from"))
-        & (F.col("_h_to").isNull() | (F.col(fact_ts) < F.col("_h_to")))
+    Not a range-conditioned equi-join (that pairs every fact of a key with
+    every version of it before filtering: facts x versions for a hot key).
+    The latest version with ``valid_from <= ts`` is found by a merge of facts
+    and versions per (key, time bucket) (:func:`keyed_as_of`); it applies
+    when the fact is before its ``valid_to``."""
+    found = keyed_as_of(facts, history, [key], fact_ts, valid_from, [*attributes, valid_to],
+                        bucket_seconds=bucket_seconds, prefix="_asof_")
+    ok = F.col(f"_asof_{valid_from}").isNotNull() & (
+        F.col(f"_asof_{valid_to}").isNull() | (F.col(fact_ts) < F.col(f"_asof_{valid_to}")))
+    return found.select(
+        *facts.columns,
+        *[F.when(ok, F.col(f"_asof_{a}")).alias(f"{a}{suffix}") for a in attributes],
     )
-    return facts.join(h, cond, "left").drop("_h_key", "_h_from", "_h_to")
 
 
 def latest_snapshot_rows(history: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ helpers here partition by (key, time bucket) instead and stay exact:
 * :func:`keyed_lag_lead` - previous / next row of the same key by (time, tie):
   within the bucket by a window, across buckets from a one-row-per-bucket
   table rolled over the key's non-empty buckets.
+* :func:`keyed_as_of` - the version of another table in force at each row's
+  time (as-of join) the same way, without pairing rows with versions.
 
 The per-key windows that remain run over one row per non-empty bucket only.
 """
@@ -198,3 +200,46 @@ def keyed_lag_lead(
     joined = inner.join(edges, keys + ["_b"], "left")
     picked = F.coalesce(F.col("_in"), F.col("_carry"))
     return joined.select(*df.columns, *[picked.getField(c).alias(f"{prefix}{c}") for c in value_cols])
+
+
+def keyed_as_of(
+    facts: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    fact_ts: str,
+    valid_from: str,
+    payload_cols: Sequence[str],
+    bucket_seconds: int = 86400 * 30,
+    prefix: str = "asof_",
+) -> DataFrame:
+    """Latest history row of the same key with ``valid_from <= fact_ts``,
+    for every fact, without pairing facts with versions.
+
+    Facts and history rows are unioned and ordered by time within
+    (key, time bucket), history first at equal times; the running max of the
+    history payload (a struct led by ``valid_from``) is the latest version so
+    far. The version in force at a bucket's start comes from a one-row-per-
+    (key, bucket) table rolled over the key's buckets. Work per fact is
+    constant however many versions or facts one key has."""
+    keys = list(keys)
+    bucket_us = bucket_seconds * MICROS
+    h = history.select(
+        *keys, F.col(valid_from).alias("_t"),
+        F.struct(F.col(valid_from).alias("_vf"), *[F.col(c).alias(c) for c in payload_cols]).alias("_h"),
+    )
+    f_cols = facts.columns
+    fr = facts.select(*[F.col(c) for c in f_cols], F.col(fact_ts).alias("_t"))
+    hr = h.select(*[F.lit(None).cast(facts.schema[c].dataType).alias(c) if c not in keys else F.col(c) for c in f_cols],
+                  "_t", "_h")
+    u = fr.withColumn("_h", F.lit(None).cast(h.schema["_h"].dataType)).withColumn("_kind", F.lit(1)).unionByName(
+        hr.withColumn("_kind", F.lit(0)))
+    u = u.withColumn("_b", F.floor(_micros("_t") / F.lit(bucket_us)).cast("bigint"))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    inner = u.withColumn("_in", F.max("_h").over(w)).where(F.col("_kind") == 1)
+    buckets = u.groupBy(*keys, "_b").agg(F.max("_h").alias("_last"))
+    carry_w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = buckets.select(*keys, "_b", F.max("_last").over(carry_w).alias("_carry"))
+    j = inner.join(carry, keys + ["_b"], "left")
+    picked = F.coalesce(F.col("_in"), F.col("_carry"))
+    return j.select(*f_cols, *[picked.getField(c).alias(f"{prefix}{c}") for c in payload_cols],
+                    picked.getField("_vf").alias(f"{prefix}{valid_from}"))

@@ -80,3 +80,31 @@ def test_trailing_stats_with_lag_in_same_pass(events):
                          lag_cols=["id"], tie="id", lag_prefix="p_").collect()
     assert {r["id"]: r["p_id"] for r in got} == want_prev
     assert {r["id"]: (r["w_count"], Decimal(r["w_sum_v"])) for r in got} == want
+
+
+def test_as_of_join_matches_brute_force(spark):
+    from ordermart.operators.change import as_of_join
+
+    rnd = random.Random(3)
+    hist, facts = [], []
+    for key, n_versions in [("HOT", 60), ("A", 3), ("B", 1), ("C", 0)]:
+        t = BASE
+        for v in range(n_versions):
+            start = t
+            t = t + timedelta(days=rnd.randint(1, 40))
+            end = None if v == n_versions - 1 and key != "B" else t  # B's only version is closed
+            hist.append((key, f"{key}-v{v}", start, end))
+    for i in range(600):
+        key = "HOT" if i % 3 else rnd.choice(["A", "B", "C"])
+        ts = BASE + timedelta(days=rnd.randint(-5, 2500), seconds=rnd.randint(0, 86399))
+        facts.append((f"F{i}", key, ts))
+    facts += [("EQ", "HOT", hist[5][2])]  # exactly at a version start
+    h = spark.createDataFrame(hist, "customer_id string, customer_tier string, valid_from timestamp, valid_to timestamp")
+    f = spark.createDataFrame(facts, "order_id string, customer_id string, ts timestamp")
+    want = {}
+    for oid, key, ts in facts:
+        m = [v for (k, v, s, e) in hist if k == key and s <= ts and (e is None or ts < e)]
+        want[oid] = m[0] if m else None
+    got = {r["order_id"]: r["customer_tier_at_event"] for r in as_of_join(f, h, "customer_id", "ts").collect()}
+    assert got == want
+    assert got["EQ"] == "HOT-v5"
