@@ -85,12 +85,25 @@ def run_gold(spark: SparkSession, p: LakePaths, as_of: str) -> DataFrame:
     return spark.read.parquet(p.export)
 
 
+def mart_registry(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of_ts: str) -> lake.SourceRegistry:
+    """Sources by logical name and models reading each other by
+    name (each ``ref`` is a lazy DataFrame, also registered as a view)."""
+    reg = lake.SourceRegistry(spark)
+    reg.register_path("silver_orders", p.silver)
+    reg.register_path("customer_ltv_gold", p.export)
+    reg.register("silver_customers", lambda r: customers_src)
+    reg.register("stg_orders", lambda r: marts.stage_orders(r.ref("silver_orders")))
+    reg.register("stg_customers", lambda r: marts.stage_customers(r.ref("silver_customers")))
+    reg.register("int_orders_enriched", lambda r: marts.enrich_orders(r.ref("stg_orders"), r.ref("stg_customers")))
+    reg.register("fct_orders_source", lambda r: marts.fct_orders(r.ref("int_orders_enriched"), as_of_ts))
+    return reg
+
+
 def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of: str, as_of_ts: str) -> dict[str, str]:
     """C6, C7 -> E2 -> C11 -> B8 (fact, merged by order_id, clustered by
     date); E3 (dimension); D6 (finance). Returns the written paths."""
-    stg_c = marts.stage_customers(customers_src)
-    stg_o = marts.stage_orders(lake.read_history(spark, p.silver))
-    fct_new = marts.fct_orders(marts.enrich_orders(stg_o, stg_c), as_of_ts)
+    reg = mart_registry(spark, p, customers_src, as_of_ts)
+    fct_new = reg.ref("fct_orders_source")
     fct_path = f"{p.marts}/fct_orders"
     if lake.path_exists(spark, fct_path):
         target = spark.read.parquet(fct_path)
@@ -99,12 +112,12 @@ def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of
     else:  # first run: full load
         fct = fct_new
     sink.write_clustered(fct, fct_path)
-    fct = spark.read.parquet(fct_path)
-    ltv = spark.read.parquet(p.export)
+    reg.register_path("fct_orders", fct_path)
     paths = {"fct_orders": fct_path, "dim_customers": f"{p.marts}/dim_customers",
              "revenue_summary": f"{p.marts}/revenue_summary"}
-    sink._writer(marts.dim_customers(stg_c, ltv, as_of, as_of_ts)).parquet(paths["dim_customers"])
-    sink._writer(marts.revenue_summary(fct, as_of_ts)).parquet(paths["revenue_summary"])
+    dim = marts.dim_customers(reg.ref("stg_customers"), reg.ref("customer_ltv_gold"), as_of, as_of_ts)
+    sink._writer(dim).parquet(paths["dim_customers"])
+    sink._writer(marts.revenue_summary(reg.ref("fct_orders"), as_of_ts)).parquet(paths["revenue_summary"])
     return paths
 
 

@@ -70,3 +70,33 @@ def test_stream_state_late_duplicate_restart(spark):
     assert a["T4"]["last_tx_timestamp"].isoformat().startswith("2024-01-01T00:00:50")
     scored = spark.read.json(f"{root}/out/scored")
     assert scored.count() == 5 and set(scored.columns) == {"key", "value", "batch_id"}
+
+
+def test_run_fraud_stream_end_to_end(spark):
+    """The full entry point (decode, guard, state, profile joins, fan-out
+    and the quarantine of undecodable messages) on a file source."""
+    from ordermart.streaming import scorer
+
+    root = scratch_path(spark, "o6")
+    os.makedirs(f"{root}/in")
+    with open(f"{root}/in/part.txt", "w") as f:
+        f.write("\n".join([_tx_line(i, "A", f"2024-01-01T00:00:{i:02d}.000000Z") for i in range(1, 8)]
+                          + ["{broken", _tx_line(99, "M", "2024-01-01T00:00:09.000000Z")]) + "\n")
+    hist = spark.createDataFrame([("Z", "A", "U", "M", 5.0, "web", "D", 40.0, 0.0, "2023-12-31T00:00:00.000000Z")],
+                                 "transaction_id string, card_id string, customer_id string, merchant_id string, "
+                                 "amount_usd double, merchant_category string, device_fingerprint string, "
+                                 "latitude double, longitude double, event_time string")
+    hist.withColumn("amount_usd", F.col("amount_usd").cast("decimal(18,4)")).write.parquet(f"{root}/history")
+    profile = scorer.profile_tables(spark.read.parquet(f"{root}/history"), "2023-12-31")
+    q, qq = scorer.run_fraud_stream(spark, f"{root}/out", f"{root}/ck", profile, ["M-X"], path=f"{root}/in",
+                                    trigger={"availableNow": True})
+    q.awaitTermination()
+    qq.awaitTermination()
+    scored = spark.read.json(f"{root}/out/scored")
+    decisions = {r["key"]: json.loads(r["value"])["fraud_decision"] for r in scored.collect()}
+    assert len(decisions) == 8
+    assert decisions["T6"] == "BLOCK" and decisions["T7"] == "BLOCK"   # 5 and 6 earlier events in 60 s
+    assert decisions["T1"] == "PASS"
+    alerts = spark.read.json(f"{root}/out/alerts").count()
+    assert alerts == sum(1 for d in decisions.values() if d != "PASS")
+    assert spark.read.json(f"{root}/out/quarantine").count() == 1
