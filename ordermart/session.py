@@ -64,8 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a shared folder (object store / HDFS) that "
+                "all executors and the driver can reach; a machine-local folder would not survive executor loss")
         conf_dir = tempfile.mkdtemp(prefix="ordermart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
