@@ -86,10 +86,12 @@ def write_snapshot_and_latest(df: DataFrame, gold_root: str, latest_path: str, a
 
 
 def quarantine_corrupt(corrupt: DataFrame, path: str, quarantined_at: str | None = None) -> None:
-    """Append unparsable lines as JSON with the quarantine time. The
-    reject set is small by nature; it is written as it is partitioned."""
+    """Append unparsable lines as JSON with the quarantine time. The raw
+    line is stored as ``_raw_record`` (a plain column: Spark treats a field
+    named ``_corrupt_record`` specially when the quarantine is read back).
+    The reject set is small by nature; it is written as it is partitioned."""
     ts = F.current_timestamp() if quarantined_at is None else F.lit(quarantined_at).cast("timestamp")
-    corrupt.select("_corrupt_record", ts.alias("_quarantine_ts")).write.mode("append").json(path)
+    corrupt.select(F.col("_corrupt_record").alias("_raw_record"), ts.alias("_quarantine_ts")).write.mode("append").json(path)
 
 
 def quarantine_invalid(invalid: DataFrame, path: str, run_date: str) -> None:
