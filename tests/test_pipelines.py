@@ -46,3 +46,16 @@ def test_marts_and_snapshot(spark):
     snap = pipelines.run_snapshot(spark, p, cust.select(
         "customer_id", "customer_tier", F.col("updated_at").cast("timestamp").alias("customer_updated_at")), AS_OF_TS)
     assert snap.where("valid_to IS NULL").count() == cust.count()
+
+
+def test_read_partition_prunes(spark):
+    from ordermart.sinks import lake as sink
+    from ordermart.sources import lake
+
+    root = scratch_path(spark, "prune")
+    df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "order_id string, d string")
+    sink.write_partitioned(df, root, "d", 2, ["order_id"])
+    one = lake.read_partition(spark, root, "2024-01-02", "d")
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(d" in plan and "= 2024-01-02" in plan
+    assert [r["order_id"] for r in one.collect()] == ["b"] and "d" in one.columns

@@ -101,3 +101,13 @@ def test_score_projection_and_bands(spark):
     assert s["triggered_rules"] == '["velocity_5min"]' and s["fraud_score"] == 0.0
     b = spark.createDataFrame([(0.9,), (0.85,), (0.6,), (0.59,)], "fraud_score double")
     assert [r["score_band"] for r in rules.score_bands(b).collect()] == ["BLOCK", "REVIEW", "REVIEW", "PASS"]
+
+
+def test_cold_card_policy(spark):
+    cold = dict(amount_count_30d=0, amount_sum_30d=Decimal(0), device_seen_90d=None, category_seen_30d=None,
+                amount_usd=Decimal("800"))
+    df = spark.createDataFrame([row(**cold)], COLS)
+    flagged = rules.decide(rules.blocklist_flag(df, [])).first()
+    assert flagged["is_cold"] is True and flagged["fraud_decision"] == "BLOCK"   # new device + category
+    skipped = rules.decide(rules.blocklist_flag(df, []), cold_card_policy="skip").first()
+    assert skipped["fraud_decision"] == "PASS"
