@@ -73,15 +73,30 @@ def _kv(df: DataFrame) -> DataFrame:
     return df.select(F.col("transaction_id").alias("key"), F.to_json(F.struct(*rules.SCORED_COLUMNS)).alias("value"))
 
 
-def fan_out(out_root: str):
+SCORED_TOPIC = "transactions.scored"
+ALERTS_TOPIC = "fraud.alerts"
+
+
+def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: dict | None = None):
     """One batch function, all outputs, idempotent by
-    batch id."""
+    batch id. With ``kafka_bootstrap`` the scored and alert records also go
+    to their topics (key = transaction id, so consumers de-duplicate a
+    replayed batch by key); the file outputs stay the audit of record."""
+    def to_topic(kv: DataFrame, topic: str) -> None:
+        w = kv.write.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap).option("topic", topic)
+        for k, v in (kafka_options or {}).items():
+            w = w.option(k, v)
+        w.save()
+
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
             scored = rules.score_projection(b, F.col("processed_at"))
             _kv(scored).write.mode("overwrite").json(f"{out_root}/scored/batch_id={batch_id}")
             _kv(rules.alerts(scored)).write.mode("overwrite").json(f"{out_root}/alerts/batch_id={batch_id}")
+            if kafka_bootstrap:
+                to_topic(_kv(scored), SCORED_TOPIC)
+                to_topic(_kv(rules.alerts(scored)), ALERTS_TOPIC)
             audit = b.select(
                 "transaction_id", "card_id", "customer_id", "amount_usd", "fraud_decision",
                 F.to_json("triggered_rules_list").alias("triggered_rules"), "decision_reason", "processed_at",
@@ -118,7 +133,7 @@ def run_fraud_stream(
     trig = trigger or {"processingTime": fixed.TRIGGER_INTERVAL}
     tx = source.read_transactions(spark, path=path, bootstrap=bootstrap, max_files_per_trigger=max_files_per_trigger)
     scored = score_stream(tx, profile, blocklist, processed_at)
-    q = (scored.writeStream.foreachBatch(fan_out(out_root))
+    q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap))
          .option("checkpointLocation", f"{checkpoint}/scorer").trigger(**trig).start())
     qq = quarantine_undecodable(tx, out_root, checkpoint, trig)
     return q, qq
