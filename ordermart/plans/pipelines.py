@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
 from ordermart.session import cut_lineage

@@ -417,7 +417,6 @@ def q_nightly_profile(spark, sf):
 
 
 # --- Data quality -------------------------------------------------------------
-from ordermart import schemas  # noqa: E402
 from ordermart.functions import fixed  # noqa: E402
 from ordermart.operators import quality  # noqa: E402
 

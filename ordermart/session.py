@@ -39,6 +39,10 @@ def get_spark(
             builder.config("spark.sql.shuffle.partitions", str(CLUSTER_SHUFFLE_PARTITIONS))
             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
             .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "4")
+            # keyed stream state (per card) off-heap in RocksDB, checkpointed as changelogs
+            .config("spark.sql.streaming.stateStore.providerClass",
+                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+            .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         )
     builder = (
         builder.config("spark.ui.enabled", "false")
