@@ -386,3 +386,10 @@ FROM tx_decided f GROUP BY 1, 2, 3""", "tx_decided"))
 oracle("stream_equals_batch", with_ctes(
     "SELECT count(*) AS rows, count(*) AS equal_1min, count(*) AS equal_5min, count(*) AS equal_last_position "
     "FROM transactions", "transactions"))
+
+from ordermart.plans.queries import SILVER_SCHEMA_DDL  # noqa: E402
+
+_SCHEMA_ROWS = [c.strip().split(" ", 1) for c in SILVER_SCHEMA_DDL.split(", ")]
+oracle("dq_schema", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', '{t}', '{t}', TRUE)" for n, t in _SCHEMA_ROWS
+) + ") AS t(column_name, expected_type, actual_type, passed)")

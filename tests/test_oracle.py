@@ -25,8 +25,8 @@ def con():
     return duck(SF)
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"dq_schema"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
