@@ -91,7 +91,7 @@ SELECT c.customer_id, c.email, c.first_name, c.last_name, c.first_name || ' ' ||
   CAST(coalesce(l.revenue_l12m_usd, 0) AS DECIMAL(18,2)) AS revenue_l12m_usd,
   coalesce(l.orders_l12m, 0) AS orders_l12m, coalesce(l.ltv_segment, 'new_customers') AS ltv_segment,
   CAST(coalesce(l.cancel_rate, 0) AS DOUBLE) AS cancel_rate,
-  datediff('day', CAST(c.customer_created_at AS DATE), DATE '{LTV_AS_OF}') AS customer_age_days,
+  CAST(datediff('day', CAST(c.customer_created_at AS DATE), DATE '{LTV_AS_OF}') AS INTEGER) AS customer_age_days,
   l.first_order_date IS NULL AS is_never_purchased,
   c.customer_created_at, c.customer_updated_at, TIMESTAMP '2001-08-02 06:00:00' AS _updated_at
 FROM stg_customers c LEFT JOIN ({ltv_sql(LTV_AS_OF)}) l USING (customer_id)""", "stg_customers", "silver_orders"))
@@ -333,7 +333,7 @@ oracle("bronze_op_rejects", with_ctes(
     "SELECT CASE WHEN op = 'd' THEN 'delete_event' WHEN op IS NULL THEN 'null_op' ELSE 'unknown_op' END AS _reject_reason, "
     "count(*) AS rows FROM cdc_events WHERE NOT coalesce(op IN ('c', 'u', 'r'), FALSE) GROUP BY 1", "cdc_events"))
 oracle("silver_fx_rate_table", ORACLE["silver_fx_usd"])
-oracle("sink_roundtrip_bronze", with_ctes(f"SELECT *, '{RUN_DATE}' AS ingestion_date FROM cdc_bronze", "cdc_bronze"))
+oracle("sink_roundtrip_bronze", with_ctes(f"SELECT *, DATE '{RUN_DATE}' AS ingestion_date FROM cdc_bronze", "cdc_bronze"))
 oracle("sink_roundtrip_silver", ORACLE["silver_orders"])
 oracle("sink_snapshot_latest", ORACLE["customer_ltv"])
 oracle("sink_quarantine", with_ctes(

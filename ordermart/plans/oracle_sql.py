@@ -188,7 +188,7 @@ FROM (
     count(CASE WHEN order_status IN {EXCLUDED_IN} THEN order_id END) AS cancelled_orders,
     count(CASE WHEN {l12} THEN order_id END) AS orders_l12m,
     coalesce(CAST(sum(CASE WHEN {l12} THEN order_total_usd END) AS DECIMAL(18,2)), 0) AS revenue_l12m_usd,
-    datediff('day', max(order_date), DATE '{as_of}') AS days_since_last_order,
+    CAST(datediff('day', max(order_date), DATE '{as_of}') AS INTEGER) AS days_since_last_order,
     round(CAST(count(CASE WHEN order_status IN {EXCLUDED_IN} THEN order_id END) AS DOUBLE)
           / CAST(greatest(count(order_id), 1) AS DOUBLE), 4) AS cancel_rate
   FROM silver_orders GROUP BY customer_id)"""
@@ -276,7 +276,7 @@ FROM {silver}""")
 def enriched_cte(name: str, stg: str) -> None:
     cte(name, [stg, "stg_customers"], f"""
 SELECT o.*, c.customer_tier, c.country_code AS customer_country, c.acquisition_channel,
-  datediff('day', CAST(c.customer_created_at AS DATE), o.order_date) AS days_since_customer_signup,
+  CAST(datediff('day', CAST(c.customer_created_at AS DATE), o.order_date) AS INTEGER) AS days_since_customer_signup,
   CASE WHEN o.shipping_country = c.country_code THEN FALSE ELSE TRUE END AS is_cross_border,
   {BAND_SQL.format(c="o.order_total_usd")} AS revenue_band
 FROM {stg} o LEFT JOIN stg_customers c USING (customer_id)""")
@@ -311,7 +311,7 @@ SELECT order_date, channel, customer_tier, shipping_country AS country_code, rev
   {n} AS total_orders,
   count(CASE WHEN order_status = 'delivered' THEN 1 END) AS delivered_orders,
   {canc} AS cancelled_orders,
-  sum(item_count) AS total_items_sold,
+  CAST(sum(item_count) AS BIGINT) AS total_items_sold,
   CAST(sum(order_total_usd) AS DECIMAL(18,2)) AS gross_revenue_usd,
   CAST(sum(recognised_revenue_usd) AS DECIMAL(18,2)) AS recognised_revenue_usd,
   CAST(sum(lost_revenue_usd) AS DECIMAL(18,2)) AS lost_revenue_usd,

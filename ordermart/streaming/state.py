@@ -59,9 +59,10 @@ def _velocity_fn(short_us: int, long_us: int, horizon_us: int, position_ttl_ms:
             state.update(([], [], [], [], int(ts[j]), str(ids[j]), float(lat[j]), float(lon[j])))
             state.setTimeoutTimestamp(int(ts[j] // 1000) + position_ttl_ms)
             return
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if batch.empty:
+        frames = [p for p in pdfs if not p.empty]
+        if not frames:
             return
+        batch = pd.concat(frames, ignore_index=True)
         t_new = batch["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
         if state.exists:
             st = state.get
