@@ -145,10 +145,13 @@ class QualitySuite:
         return self
 
     def _relationship_frame(self, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-        child = self.df.select(F.col(column).alias("_k")).where(F.col("_k").isNotNull())
+        # pre-aggregate child rows per key (map-side partial counts) so a hot
+        # key is one row before the anti join; the parent side is its keys
+        child = (self.df.select(F.col(column).alias("_k")).where(F.col("_k").isNotNull())
+                 .groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")))
         par = parent.select(F.col(parent_column).alias("_k"))
         orphans = child.join(par, "_k", "left_anti").agg(
-            F.count(F.lit(1)).alias("_o"), F.count_distinct("_k").alias("_od"))
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("_o"), F.count(F.lit(1)).alias("_od"))
         return orphans.select(_result(
             f"relationships:{column}", F.col("_o") == 0,
             F.format_string("orphan_rows=%d orphan_keys=%d", F.col("_o"), F.col("_od")),
