@@ -44,7 +44,7 @@ def main() -> None:
     from ordermart.plans.queries import QUERIES
 
     spark = get_spark("ordermart-bench", local=True, cores=cpus,
-                      extra_conf={"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
+                      extra_conf={"spark.sql.shuffle.partitions": os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(int(cpus))),
                                   "spark.driver.memory": "16g"})
     from ordermart.plans.queries import materialize_inputs
     from ordermart.session import scratch_path

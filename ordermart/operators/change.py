@@ -164,7 +164,7 @@ def as_of_join(
     key: str,
     fact_ts: str,
     valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
+    valid_to: str | None = "valid_to",
     attributes: Sequence[str] = ("customer_tier",),
     suffix: str = "_at_event",
     bucket_seconds: int = 86400 * 30,
@@ -176,11 +176,16 @@ def as_of_join(
     every version of it before filtering: facts x versions for a hot key).
     The latest version with ``valid_from <= ts`` is found by a merge of facts
     and versions per (key, time bucket) (:func:`keyed_as_of`); it applies
-    when the fact is before its ``valid_to``."""
-    found = keyed_as_of(facts, history, [key], fact_ts, valid_from, [*attributes, valid_to],
+    when the fact is before its ``valid_to``. With ``valid_to=None`` the
+    history is a full change log (contiguous versions: each ends where the
+    next starts), so the latest version at or before the fact is the answer
+    and no validity intervals need computing first."""
+    extra = [valid_to] if valid_to else []
+    found = keyed_as_of(facts, history, [key], fact_ts, valid_from, [*attributes, *extra],
                         bucket_seconds=bucket_seconds, prefix="_asof_")
-    ok = F.col(f"_asof_{valid_from}").isNotNull() & (
-        F.col(f"_asof_{valid_to}").isNull() | (F.col(fact_ts) < F.col(f"_asof_{valid_to}")))
+    ok = F.col(f"_asof_{valid_from}").isNotNull()
+    if valid_to:
+        ok = ok & (F.col(f"_asof_{valid_to}").isNull() | (F.col(fact_ts) < F.col(f"_asof_{valid_to}")))
     return found.select(
         *facts.columns,
         *[F.when(ok, F.col(f"_asof_{a}")).alias(f"{a}{suffix}") for a in attributes],

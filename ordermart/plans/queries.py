@@ -291,7 +291,9 @@ def q_scd2_apply(spark, sf):
 @query("tier_at_order_time")
 def q_tier_at_order_time(spark, sf):
     orders = stg_orders(spark, sf).select("order_id", "customer_id", "order_created_at")
-    return change.as_of_join(orders, customer_history(spark, sf), "customer_id", "order_created_at")
+    versions = marts.stage_customers(A.customer_versions(A.load_table(spark, sf, "customer")))
+    return change.as_of_join(orders, versions, "customer_id", "order_created_at",
+                             valid_from="customer_updated_at", valid_to=None)
 
 
 # --- Fraud features and rules -----------------------------------------------
