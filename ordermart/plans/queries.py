@@ -540,7 +540,7 @@ def q_silver_reject_accounting(spark, sf):
 # --- Bronze, sinks and pipelines ---------------------------------------------
 from ordermart.operators import bronze as bronze_ops  # noqa: E402
 from ordermart.plans import pipelines  # noqa: E402
-from ordermart.session import scratch_path  # noqa: E402
+from ordermart.session import scratch_path, shuffle_partitions  # noqa: E402
 from ordermart.sinks import lake as sink  # noqa: E402
 from ordermart.sources import cdc, lake  # noqa: E402
 
@@ -722,8 +722,9 @@ def _stream_run(spark, sf, build, name):
         land = land.unionByName(replay.where(F.col("_slice") == s - 1).select(value))
         land.write.text(f"{root}/landing/slice={s:03d}")
         txs = stream_source.read_transactions(spark, path=f"{root}/landing/slice=*")
-        q = build(txs, root).trigger(availableNow=True).start()
-        q.awaitTermination()
+        with shuffle_partitions(spark, None):
+            q = build(txs, root).trigger(availableNow=True).start()
+            q.awaitTermination()
         if q.exception():
             raise q.exception()
     return root

@@ -9,6 +9,7 @@ own is only chosen when that setting is unset, as in tests.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -100,3 +101,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Temporarily set the shuffle width, e.g. while a stateful stream starts:
+    its state-store partition count is fixed by the first run's setting and
+    stays for the life of the checkpoint, so it is chosen deliberately
+    (default: the cluster's parallelism) rather than inherited."""
+    if n is None:
+        n = spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

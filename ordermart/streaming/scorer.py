@@ -127,15 +127,21 @@ def run_fraud_stream(
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
     processed_at: Column | None = None,
+    state_partitions: int | None = None,
 ):
     """Start the scorer; returns the running query (and the quarantine
-    query). ``trigger`` defaults to the 500 ms processing-time trigger."""
+    query). ``trigger`` defaults to the 500 ms processing-time trigger;
+    ``state_partitions`` (default: cluster parallelism) fixes the number of
+    keyed-state partitions for the life of the checkpoint."""
+    from ordermart.session import shuffle_partitions
+
     trig = trigger or {"processingTime": fixed.TRIGGER_INTERVAL}
     tx = source.read_transactions(spark, path=path, bootstrap=bootstrap, max_files_per_trigger=max_files_per_trigger)
     scored = score_stream(tx, profile, blocklist, processed_at)
-    q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap))
-         .option("checkpointLocation", f"{checkpoint}/scorer").trigger(**trig).start())
-    qq = quarantine_undecodable(tx, out_root, checkpoint, trig)
+    with shuffle_partitions(spark, state_partitions):
+        q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap))
+             .option("checkpointLocation", f"{checkpoint}/scorer").trigger(**trig).start())
+        qq = quarantine_undecodable(tx, out_root, checkpoint, trig)
     return q, qq
 
 
