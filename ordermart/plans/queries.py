@@ -352,7 +352,7 @@ def decided(spark, sf):
 
 
 def scored(spark, sf):
-    return rules.score_projection(decided(spark, sf), AS_OF_TS)
+    return rules.score_batch(tx(spark, sf), BLOCKLISTED_MERCHANTS, AS_OF_TS)
 
 
 def _rule_query(name):
