@@ -393,3 +393,4 @@ _SCHEMA_ROWS = [c.strip().split(" ", 1) for c in SILVER_SCHEMA_DDL.split(", ")]
 oracle("dq_schema", "SELECT * FROM (VALUES " + ", ".join(
     f"('{n}', '{t}', '{t}', TRUE)" for n, t in _SCHEMA_ROWS
 ) + ") AS t(column_name, expected_type, actual_type, passed)")
+oracle("sink_table_stats", with_ctes("SELECT 'fct_orders' AS table_name, count(*) AS row_count FROM fct_orders", "fct_orders"))

@@ -829,3 +829,14 @@ def q_stream_equals_batch(spark, sf):
         F.count_if(same("tx_count_5min")).alias("equal_5min"),
         F.count_if(same("last_tx_timestamp")).alias("equal_last_position"),
     )
+
+
+@query("sink_table_stats")
+def q_sink_table_stats(spark, sf):
+    """The fact table saved as a catalog table and analysed; the
+    catalog's row count must equal the table's."""
+    import uuid
+
+    db = f"ordermart_{uuid.uuid4().hex[:8]}"
+    name = sink.save_table(fct(spark, sf), db, "fct_orders", scratch_path(spark, "catalog"), cluster_col="order_date")
+    return sink.table_statistics(spark, name).select(F.lit("fct_orders").alias("table_name"), "row_count")

@@ -130,3 +130,27 @@ def write_audit(scored: DataFrame, path: str, date_col: str = "event_date") -> N
 def analyze_table(spark, table: str) -> None:
     """Statistics for the optimizer after a build."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def save_table(df: DataFrame, database: str, table: str, location: str, cluster_col: str | None = None) -> str:
+    """Write ``df`` as a catalog table of ``database`` (created at
+    ``location`` when missing) and compute its statistics, so later joins on
+    it are planned from real sizes. Returns the qualified name."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    name = f"{database}.{table}"
+    out = df.repartitionByRange(cluster_col).sortWithinPartitions(cluster_col) if cluster_col else df
+    out.write.mode("overwrite").format("parquet").saveAsTable(name)
+    analyze_table(spark, name)
+    return name
+
+
+def table_statistics(spark, table: str) -> DataFrame:
+    """Row count and size the catalog holds for ``table`` (after ANALYZE)."""
+    from pyspark.sql import functions as F
+
+    stats = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Statistics")
+    return stats.select(
+        F.lit(table).alias("table_name"),
+        F.regexp_extract("data_type", r"([0-9]+) rows", 1).cast("bigint").alias("row_count"),
+    )
