@@ -39,6 +39,9 @@ def get_spark(
         builder = (
             builder.config("spark.sql.shuffle.partitions", str(CLUSTER_SHUFFLE_PARTITIONS))
             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+            # use the advisory size as the coalescing target (the default
+            # parallelism-first mode would only merge up to 1 MB)
+            .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
             .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "4")
             # keyed stream state (per card) off-heap in RocksDB, checkpointed as changelogs
             .config("spark.sql.streaming.stateStore.providerClass",
