@@ -100,10 +100,18 @@ def prepare_session(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
+    """Cut the lineage through the shared checkpoint folder (survives
+    executor loss). ``how="table"`` (default) writes a Parquet table there
+    and reads it back, so later steps still get column pruning and filter
+    pushdown; ``how="checkpoint"`` is Spark's reliable RDD checkpoint."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @contextlib.contextmanager
