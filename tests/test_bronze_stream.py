@@ -100,3 +100,27 @@ def test_run_fraud_stream_end_to_end(spark):
     alerts = spark.read.json(f"{root}/out/alerts").count()
     assert alerts == sum(1 for d in decisions.values() if d != "PASS")
     assert spark.read.json(f"{root}/out/quarantine").count() == 1
+
+
+def test_admission_control_splits_batches(spark):
+    """A5: at most one new file per micro-batch (the file-source form of the
+    per-trigger record cap), so two landed files make two batches."""
+    from ordermart.streaming import scorer
+
+    root = scratch_path(spark, "a5")
+    os.makedirs(f"{root}/in")
+    for i in range(2):
+        with open(f"{root}/in/part{i}.txt", "w") as f:
+            f.write(_tx_line(10 + i, "A", f"2024-01-01T00:0{i}:00.000000Z") + "\n")
+    spark.createDataFrame([("Z", "A", "U", "M", "web", "D", 1.0, 1.0, "2023-12-31T00:00:00.000000Z")],
+                          "transaction_id string, card_id string, customer_id string, merchant_id string, "
+                          "merchant_category string, device_fingerprint string, latitude double, longitude double, "
+                          "event_time string").withColumn("amount_usd", F.lit(5).cast("decimal(18,4)")).write.parquet(
+        f"{root}/history")
+    profile = scorer.profile_tables(spark.read.parquet(f"{root}/history"), "2023-12-31")
+    q, qq = scorer.run_fraud_stream(spark, f"{root}/out", f"{root}/ck", profile, [], path=f"{root}/in",
+                                    trigger={"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    qq.awaitTermination()
+    batches = {r["batch_id"] for r in spark.read.parquet(f"{root}/out/audit").select("batch_id").collect()}
+    assert len(batches) == 2
