@@ -1,0 +1 @@
+"""Fixed business values and reusable column expressions."""

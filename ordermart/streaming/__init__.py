@@ -1,0 +1 @@
+"""Structured Streaming: transaction source, keyed card state, scorer and sinks."""
