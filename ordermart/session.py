@@ -128,3 +128,19 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
         yield n
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@contextlib.contextmanager
+def sql_conf(spark: SparkSession, settings: dict):
+    """Temporarily apply SQL settings (restored afterwards)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

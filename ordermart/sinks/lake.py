@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
 from ordermart.operators.change import merge_upsert
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, sql_conf
 
 MAX_RECORDS_PER_FILE = 2_000_000
 
@@ -48,12 +48,19 @@ def spread(df: DataFrame, partition_col: str | None, files: int, salt_cols: Sequ
 def write_bronze(df: DataFrame, root: str, run_date: str, files: int = fixed.BRONZE_FILES) -> None:
     """B1: idempotent replace of one ingestion-date partition."""
     out = df.withColumn("ingestion_date", F.lit(str(run_date)))
-    _writer(spread(out, "ingestion_date", files, ["order_id", "_kafka_timestamp_ms"])).partitionBy("ingestion_date").parquet(root)
+    write_partitioned(out, root, "ingestion_date", files, ["order_id", "_kafka_timestamp_ms"])
 
 
 def write_partitioned(df: DataFrame, root: str, partition_col: str, files: int, salt_cols: Sequence[str]) -> None:
-    """Dynamic overwrite of every partition present in ``df``."""
-    _writer(spread(df, partition_col, files, salt_cols)).partitionBy(partition_col).parquet(root)
+    """Dynamic overwrite of every partition present in ``df``.
+
+    AQE keeps splitting large partition values (REBALANCE skew handling) but
+    does not coalesce for this write: coalescing by bytes would hand a
+    many-date backfill of small dates to one task that opens every file in
+    turn, while the uncoalesced hash spread writes them in parallel (empty
+    shuffle partitions write nothing)."""
+    with sql_conf(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        _writer(spread(df, partition_col, files, salt_cols)).partitionBy(partition_col).parquet(root)
 
 
 def write_silver(df: DataFrame, root: str, key: str = "order_id", partition_col: str = "order_date",
