@@ -1,9 +1,11 @@
 """Parquet lake writers.
 
 Partition writes use dynamic partition overwrite, so a rerun replaces only
-the partitions it produces. File counts come from a deterministic salt (a
-hash of the row key, never ``rand()``): a task retried after an executor loss
-routes every row exactly as the first attempt did.
+the partitions it produces, and a ``REBALANCE`` hint on the partition column
+(AQE splits a large value into advisory-size files). Unpartitioned writes get
+their file count from a deterministic salt (a hash of the row key, never
+``rand()``): a task retried after an executor loss routes every row exactly as
+the first attempt did.
 """
 
 from __future__ import annotations
