@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
 from ordermart.functions.columns import elapsed_hours, haversine_km, parse_iso_instant
-from ordermart.operators.fraud_windows import keyed_lag_lead, trailing_counts, trailing_stats
+from ordermart.operators.fraud_windows import keyed_lag_lead, keyed_prev_time, trailing_counts, trailing_stats
 
 DAY = 86400
 
@@ -65,21 +65,25 @@ def last_position(tx: DataFrame, ts: str = "event_ts") -> DataFrame:
     )
 
 
+def _seen_within(tx: DataFrame, keys: list[str], ts: str, days: int, value: str, out: str) -> DataFrame:
+    """Has this key occurred in ``[t - days, t)``: the latest strictly
+    earlier time of the key is within the window (no per-card set, no row
+    replication). A NULL value is never seen."""
+    prev = keyed_prev_time(tx, keys, ts, out="_prev_t", bucket_seconds=DAY)
+    seen = F.col(value).isNotNull() & F.coalesce(
+        F.col("_prev_t") >= F.col("_t") - F.lit(days * DAY * 1_000_000), F.lit(False))
+    return prev.withColumn(out, seen).drop("_prev_t", "_t")
+
+
 def device_seen(tx: DataFrame, ts: str = "event_ts", days: int = fixed.DEVICE_WINDOW_DAYS) -> DataFrame:
-    """has this card used this device in the last 90 days (count over
-    the (card, device) key, no per-card set). A NULL device is never seen."""
-    out = trailing_stats(tx, ["card_id", "device_fingerprint"], ts, days * DAY, unit_seconds=DAY, prefix="_d90_")
-    return out.withColumn(
-        "device_seen_90d", F.col("device_fingerprint").isNotNull() & (F.col("_d90_count") > 0)
-    ).drop("_d90_count")
+    """has this card used this device in the last 90 days (keyed by
+    (card, device), no per-card set). A NULL device is never seen."""
+    return _seen_within(tx, ["card_id", "device_fingerprint"], ts, days, "device_fingerprint", "device_seen_90d")
 
 
 def category_seen(tx: DataFrame, ts: str = "event_ts", days: int = fixed.CATEGORY_WINDOW_DAYS) -> DataFrame:
     """has this card used this merchant category in the last 30 days."""
-    out = trailing_stats(tx, ["card_id", "merchant_category"], ts, days * DAY, unit_seconds=DAY, prefix="_c30_")
-    return out.withColumn(
-        "category_seen_30d", F.col("merchant_category").isNotNull() & (F.col("_c30_count") > 0)
-    ).drop("_c30_count")
+    return _seen_within(tx, ["card_id", "merchant_category"], ts, days, "merchant_category", "category_seen_30d")
 
 
 def geo_speed(tx: DataFrame, ts: str = "event_ts") -> DataFrame:

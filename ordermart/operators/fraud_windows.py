@@ -243,3 +243,27 @@ def keyed_as_of(
     picked = F.coalesce(F.col("_in"), F.col("_carry"))
     return j.select(*f_cols, *[picked.getField(c).alias(f"{prefix}{c}") for c in payload_cols],
                     picked.getField("_vf").alias(f"{prefix}{valid_from}"))
+
+
+def keyed_prev_time(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    out: str = "prev_ts",
+    bucket_seconds: int = 86400,
+) -> DataFrame:
+    """Add ``out``: the latest time of an earlier row of the same key
+    (strictly earlier, microsecond epoch; NULL when none). "Seen within N
+    days" is ``out >= t - N days``, which needs no row replication: a running
+    max within (key, time bucket) plus, for a bucket's first rows, the max of
+    the key's previous non-empty buckets."""
+    keys = list(keys)
+    bucket_us = bucket_seconds * MICROS
+    base = df.withColumn("_t", _micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)).cast("bigint"))
+    earlier = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    inner = base.withColumn("_pin", F.max("_t").over(earlier))
+    per_bucket = base.groupBy(*keys, "_b").agg(F.max("_t").alias("_bmax"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*keys, "_b", F.max("_bmax").over(before).alias("_carry"))
+    j = inner.join(carry, keys + ["_b"], "left")
+    return j.select(*df.columns, F.coalesce(F.col("_pin"), F.col("_carry")).alias(out), "_t")

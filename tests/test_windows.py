@@ -108,3 +108,15 @@ def test_as_of_join_matches_brute_force(spark):
     got = {r["order_id"]: r["customer_tier_at_event"] for r in as_of_join(f, h, "customer_id", "ts").collect()}
     assert got == want
     assert got["EQ"] == "HOT-v5"
+
+
+def test_keyed_prev_time(events):
+    from ordermart.operators.fraud_windows import keyed_prev_time
+
+    rows = events.collect()
+    want = {}
+    for r in rows:
+        earlier = [x["ts"] for x in rows if x["k"] == r["k"] and x["ts"] < r["ts"]]
+        want[r["id"]] = max(earlier) if earlier else None
+    got = keyed_prev_time(events, ["k"], "ts", out="p").withColumn("p", F.timestamp_micros("p")).collect()
+    assert {r["id"]: r["p"] for r in got} == want
