@@ -15,6 +15,8 @@ helpers here partition by (key, time bucket) instead and stay exact:
   table rolled over the key's non-empty buckets.
 * :func:`keyed_as_of` - the version of another table in force at each row's
   time (as-of join) the same way, without pairing rows with versions.
+* :func:`keyed_prev_time` - the latest strictly earlier time of the key
+  ("seen within N days" without replicating rows).
 
 The per-key windows that remain run over one row per non-empty bucket only.
 """
