@@ -86,10 +86,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "ordermart", f"{name}-{uuid.uuid4().hex[:12]}")
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "ordermart", f"{name}-{uuid.uuid4().hex[:12]}"])
 
 
 def prepare_session(spark: SparkSession) -> None:
