@@ -10,7 +10,9 @@ known to be removable on the spot. The first lane deals hashes into buckets
 whose number follows the corpus size, so one bucket is a bounded piece of
 work; the second identifies the window inside the bucket. A bucket finds the
 earliest occurrence of every hash and returns the starts of all others. The
-starts of a document meet again by document, and its words are cut there.
+starts go back packed by shard of documents, so a bucket returns few rows however
+many documents it touches; a shard merges them to one row per document, which
+is joined to its text, and the words are cut there.
 Two windows are taken as equal when both lanes agree (over 64 + log2(buckets)
 bits), no text is compared again.
 
@@ -25,8 +27,6 @@ are ignored, whatever their names.
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,28 +34,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import (
-    WordHashes, compress_texts, decompress, id_key, mix64, pack_u32, rows_of, text_bytes, unpack_u32)
+    Texts, compress_texts, decompress, id_key, mix64, pack_u32, powers, rows_of, text_bytes, unpack_u32)
 
 WINDOW = 20
-#: Windows hashed together in a task, and windows of one bucket (a task's working set, about 40 bytes each).
-CHUNK_WINDOWS = 1_000_000
+#: Bytes of text hashed together in a task, and windows of one bucket (a task's working set, about 40 bytes each).
+CHUNK_BYTES = 6_000_000
 BUCKET_WINDOWS = 4_000_000
 #: Fixed odd multipliers of the two hash lanes.
 LANES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 _PARTS = ("bucket int, n int, hashes binary, doc_ids binary, doc_prints binary, doc_counts binary, starts binary")
+_PACKED = "shard int, doc_ids binary, doc_prints binary, doc_counts binary, starts binary"
 _FOUND = "id_key long, print long, starts binary"
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def _lane(words: np.ndarray, base: int, size: int) -> np.ndarray:
     """Hashes of the windows at 0..n-size of one run of word hashes."""
-    up, down = _powers(base, len(words)), _powers(pow(base, -1, 2**64), len(words))
+    up, down = powers(base, len(words)), powers(pow(base, -1, 2**64), len(words))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up, dtype=np.uint64)])
     return (sums[size:] - sums[:-size]) * down[:len(words) - size + 1]
 
@@ -88,12 +83,14 @@ def _window_parts(size: int, buckets: int):
     """Map side: chunks of documents -> one row per (chunk, bucket) of
     earliest occurrences, and rows (bucket -1) of starts already known to be later."""
 
-    def emit(cache: WordHashes, chunk: list):
+    def emit(chunk: list):
         chunk.sort(key=lambda d: d[0])  # earliest ids first
-        words = [d[2] for d in chunk]
-        counts = np.array([len(w) for w in words])
         ids, prints = np.array([d[0] for d in chunk]), np.array([d[1] for d in chunk])
-        h = cache.of(list(chain.from_iterable(words)))
+        t = Texts([d[2] for d in chunk])
+        spans = t.words()
+        h, counts = t.hashes(*spans), np.bincount(t.owner(spans[0]), minlength=len(chunk))
+        if len(h) < size:
+            return []
         doc = np.repeat(np.arange(len(chunk)), counts)
         start = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
         at = np.flatnonzero(start + size <= counts[doc])
@@ -126,51 +123,77 @@ def _window_parts(size: int, buckets: int):
                 [pa.array(c, k) for c, k in zip(zip(*rows[i:i + 64]), kinds)], names)
 
     def parts(batches):
-        cache, chunk, n = WordHashes(), [], 0
+        chunk, n = [], 0
         for key, fp, text in rows_of(batches, "id_key", "print", "text"):
-            words = text.split()
-            if len(words) < size:
-                continue
-            chunk.append((key, fp, words))
-            n += len(words)
-            if n >= CHUNK_WINDOWS:
-                yield from batches_of(emit(cache, chunk))
+            chunk.append((key, fp, text))
+            n += len(text)
+            if n >= CHUNK_BYTES:
+                yield from batches_of(emit(chunk))
                 chunk, n = [], 0
         if chunk:
-            yield from batches_of(emit(cache, chunk))
+            yield from batches_of(emit(chunk))
 
     return parts
 
 
-def _later_starts(group: pd.DataFrame) -> pd.DataFrame:
+def _by_shard(ids, prints, doc, start, shards: int) -> pd.DataFrame:
+    """Starts of documents (``doc`` numbers them, in runs) packed to one row per shard of documents."""
+    heads = np.append(0, np.flatnonzero(np.diff(doc)) + 1) if len(doc) else np.empty(0, np.int64)
+    which, counts = doc[heads], np.diff(np.append(heads, len(doc)))
+    shard = (mix64(ids.view(np.uint64) ^ mix64(prints.view(np.uint64)))[which] % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    by_window = np.argsort(np.repeat(shard, counts), kind="stable")
+    start, which, counts = start[by_window].astype(np.uint32), which[order], counts[order].astype(np.uint32)
+    edges = np.searchsorted(shard[order], np.arange(shards + 1))
+    ends = np.append(0, np.cumsum(counts, dtype=np.int64))
+    rows = [(s, ids[which[a:b]].tobytes(), prints[which[a:b]].tobytes(), counts[a:b].tobytes(),
+             start[ends[a]:ends[b]].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+    return pd.DataFrame(rows, columns=["shard", "doc_ids", "doc_prints", "doc_counts", "starts"])
+
+
+def _later_starts(shards: int):
     """One bucket: the starts of all windows that also start earlier."""
-    if group["bucket"].iloc[0] < 0:  # known on the map side
-        return pd.DataFrame({
-            "id_key": np.frombuffer(b"".join(group["doc_ids"]), np.int64),
-            "print": np.frombuffer(b"".join(group["doc_prints"]), np.int64),
-            "starts": group["starts"].to_numpy()})
+
+    def later_starts(group: pd.DataFrame) -> pd.DataFrame:
+        ids = np.frombuffer(b"".join(group["doc_ids"]), np.int64)
+        prints = np.frombuffer(b"".join(group["doc_prints"]), np.int64)
+        if group["bucket"].iloc[0] < 0:  # known on the map side, a document a row
+            doc = np.repeat(np.arange(len(ids)), group["n"].to_numpy())
+            return _by_shard(ids, prints, doc, np.frombuffer(b"".join(group["starts"]), np.uint32), shards)
+        key = np.frombuffer(b"".join(group["hashes"]), np.uint64)
+        counts = np.concatenate([unpack_u32(c, len(i) // 8) for c, i in zip(group["doc_counts"], group["doc_ids"])])
+        start = np.concatenate([np.cumsum(unpack_u32(s, n).view(np.int32)) for s, n in zip(group["starts"], group["n"])])
+        doc = np.repeat(np.arange(len(ids)), counts)
+        dense = np.unique(ids, return_inverse=True)[1].astype(np.uint64)
+        later = _later(key, (dense[doc] << np.uint64(32)) | start.astype(np.uint64))
+        return _by_shard(ids, prints, doc[later], start[later], shards)
+
+    return later_starts
+
+
+def _by_document(group: pd.DataFrame) -> pd.DataFrame:
+    """One shard: a row per document with all its starts."""
     ids = np.frombuffer(b"".join(group["doc_ids"]), np.int64)
     prints = np.frombuffer(b"".join(group["doc_prints"]), np.int64)
-    key = np.frombuffer(b"".join(group["hashes"]), np.uint64)
-    counts = np.concatenate([unpack_u32(c, len(i) // 8) for c, i in zip(group["doc_counts"], group["doc_ids"])])
-    start = np.concatenate([np.cumsum(unpack_u32(s, n).view(np.int32)) for s, n in zip(group["starts"], group["n"])])
-    doc = np.repeat(np.arange(len(ids)), counts)
-    dense = np.unique(ids, return_inverse=True)[1].astype(np.uint64)
-    later = _later(key, (dense[doc] << np.uint64(32)) | start.astype(np.uint64))
-    rows = [(ids[d], prints[d], s.astype(np.uint32).tobytes()) for d, s in _grouped(doc[later], start[later])]
-    return pd.DataFrame(rows, columns=["id_key", "print", "starts"])
+    ends = 4 * np.cumsum(np.frombuffer(b"".join(group["doc_counts"]), np.uint32), dtype=np.int64)
+    starts = b"".join(group["starts"])
+    found: dict[tuple, list] = {}
+    for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
+        found.setdefault((ids[i], prints[i]), []).append(starts[a:b])
+    return pd.DataFrame([(i, p, b"".join(s)) for (i, p), s in found.items()], columns=["id_key", "print", "starts"])
 
 
 def repeated_windows(docs: DataFrame, size: int = WINDOW, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """Starts (uint32) of every window that also starts earlier, by document:
-    (id_key, print, starts). A document may have several rows. ``docs``:
+    (id_key, print, starts). ``docs``:
     id_key long, print long (a fingerprint of the text), text binary."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(2**31 - 1, total // (6 * bucket_windows) + 1))  # a word and its space take about six bytes
     parts = docs.mapInArrow(_window_parts(size, buckets), _PARTS)
     known = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("doc_ids"), F.lit(max(64, buckets))).cast("int"))
     return (parts.withColumn("bucket", F.coalesce(known, "bucket"))
-            .groupBy("bucket").applyInPandas(_later_starts, _FOUND))
+            .groupBy("bucket").applyInPandas(_later_starts(buckets), _PACKED)
+            .groupBy("shard").applyInPandas(_by_document, _FOUND))
 
 
 def _cut(size: int):
@@ -185,7 +208,7 @@ def _cut(size: int):
                 words = decompress(blob).split()
                 step = np.zeros(len(words) + 1, np.int32)
                 if starts:
-                    s = np.frombuffer(b"".join(starts), np.uint32).astype(np.int64)
+                    s = np.frombuffer(starts, np.uint32).astype(np.int64)
                     np.add.at(step, s, 1)
                     np.add.at(step, s + size, -1)
                 gone = np.cumsum(step[:-1]) > 0
@@ -214,8 +237,7 @@ def remove_repeats(documents: DataFrame, size: int = WINDOW, bucket_windows: int
     docs = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), id_key(F.col(id_col)).alias("id_key"),
         text_bytes(F.col(text_col)).alias("text")).withColumn("print", F.xxhash64("text"))
-    found = (repeated_windows(docs.select("id_key", "print", "text"), size, bucket_windows)
-             .groupBy("id_key", "print").agg(F.collect_list("starts").alias("starts")))
+    found = repeated_windows(docs.select("id_key", "print", "text"), size, bucket_windows)
     joined = compress_texts(docs, "text").join(found, ["id_key", "print"], "left")
     return joined.select("doc_id", "ztext", "starts").mapInArrow(
         _cut(size), "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"

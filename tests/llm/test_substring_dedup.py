@@ -54,7 +54,7 @@ def test_matches_brute_force_on_random_overlaps(spark):
 
 def test_chunks_do_not_change_the_result(spark, monkeypatch):
     rows = [(d, " ".join(f"w{(d * 3 + i) % 50}" for i in range(30))) for d in range(40)]
-    monkeypatch.setattr(sd, "CHUNK_WINDOWS", 25)
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 200)
     assert run(spark, rows, 5) == brute(rows, 5)
 
 
