@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.llm import substring_dedup
+from ordermart.llm import (
+    language_id, minhash_dedup, quality_classifier, quality_rules, secret_scan, substring_dedup)
 from ordermart.llm.common import corpus_session, read_table
 
 
@@ -16,7 +17,40 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return secret_scan.scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_language_id": op3_language_id,
+    "op4_secret_scan": op4_secret_scan,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLE: dict[str, str] = {}
