@@ -18,7 +18,8 @@ bounded input. The model (``2**BITS`` x languages floats) reaches the driver.
 
 Scoring. A text is cut into sequences of ``STEPS`` words, all of it; the
 sequences of a batch of documents run through forward-backward together, a
-word position at a time. A word's scores are computed once per distinct word.
+word position at a time. A word's scores are computed once per distinct word of
+a batch.
 
 Cases. ``und``, score 0: null text, no letter in it, or nothing to learn from.
 Ties go to the first language in alphabetical order. Rows that share an id
@@ -31,8 +32,8 @@ an empty result.
 from __future__ import annotations
 
 import pickle
-from collections import Counter, defaultdict
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import rows_of, sliced, text_bytes
+from ordermart.llm.common import BYTES, LOWER, Texts, rows_of, sliced, text_bytes
 from ordermart.llm.quality_classifier import fold
 
 BITS = 17
@@ -54,61 +55,86 @@ FOLDS, HELD_OUT = 4, 2
 NGRAMS = (2, 3, 4)
 
 
-def normal(word: bytes) -> str:
-    """The word in lower case without leading and trailing marks; empty if it has no letter."""
-    w = word.decode("utf-8", "replace").lower()
-    if not w.isalpha():
-        a, b = 0, len(w)
-        while a < b and not w[a].isalpha():
-            a += 1
-        while b > a and not w[b - 1].isalpha():
-            b -= 1
-        w = w[a:b]
-    return w
-
-
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, weight row, value) of the n-gram and word features."""
-    marked = [b"^" + w.encode() + b"$" for w in words]
-    sizes = np.array([len(m) for m in marked])
-    text = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
-    owner = np.repeat(np.arange(len(marked)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(text))  # bytes to the word's end, this one included
-    at, rows = [], []
-    for n in NGRAMS:
-        h = np.full(max(len(text) - n + 1, 0), n, np.uint64)
-        for k in range(n):
-            h = (h ^ text[k:k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        ok = np.flatnonzero(left[:len(h)] >= n)
-        at.append(owner[ok])
-        rows.append((h[ok] >> np.uint64(64 - BITS)).astype(np.int64))
-    at.append(np.arange(len(words)))
-    rows.append(np.array([xxhash.xxh3_64_intdigest(w.encode()) >> (64 - BITS) for w in words], np.int64))
-    at, rows = np.concatenate(at), np.concatenate(rows)
-    return at, rows, 1 / np.sqrt(np.bincount(at, minlength=len(words)))[at]
+_LETTER = np.zeros(256, bool)  # bytes of non-ASCII characters count as letters
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+_ASCII_LETTER = re.compile(rb"[A-Za-z]")
+_MARKED = np.array([int.from_bytes(xxhash.xxh3_64_digest(b"%d" % n)) | 1 for n in range(max(NGRAMS) + 1)], np.uint64)
+
+
+class Vocabulary:
+    """The distinct words of a batch of texts, without their outer marks and in
+    lower case, and where they occur."""
+
+    def __init__(self, texts: list[bytes]):
+        t = Texts(texts)
+        starts, ends = t.words()
+        letters = _LETTER[t.data]
+        upto = np.append(0, np.cumsum(letters))
+        places = np.append(np.flatnonzero(letters), 0)
+        a, b = upto[starts], upto[ends]
+        starts, ends = np.where(b > a, places[a], starts), np.where(b > a, places[b - 1] + 1, starts)
+        self.owner = t.owner(starts)
+        hashes = t.hashes(starts, ends, LOWER)
+        self.hashes, first, self.at = np.unique(hashes, return_index=True, return_inverse=True)
+        self.starts, self.ends, self.data = starts[first], ends[first], t.data
+        self.letters = self.ends > self.starts
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def features(self) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+        """Offsets of the words in the arrays of n-gram rows (one array per n; row
+        ``2**BITS`` where no n-gram starts) and each word's own row, all with
+        the same value in a word: 1 / sqrt(its number of features)."""
+        sizes = self.ends - self.starts + 2
+        offsets = np.cumsum(sizes) - sizes
+        place = np.arange(sizes.sum()) - np.repeat(offsets, sizes)
+        source = np.repeat(self.starts, sizes) + place - 1
+        text = _SMALL[self.data[np.clip(source, 0, max(len(self.data) - 1, 0))]] if len(self.data) else source.astype(np.uint8)
+        text[offsets], text[offsets + sizes - 1] = ord("^"), ord("$")
+        code = np.append(BYTES[text], np.zeros(max(NGRAMS), np.uint64))
+        left = np.repeat(sizes, sizes) - place
+        rows = []
+        for n in NGRAMS:
+            h = np.zeros(len(text), np.uint64)
+            for k in range(n):
+                h += code[k:k + len(text)] * _MARKED[k]
+            h = (h * _MARKED[n]) >> np.uint64(64 - BITS)
+            h[left < n] = 2**BITS
+            rows.append(h.astype(np.int32))
+        count = 1 + sum(np.maximum(sizes - n + 1, 0) for n in NGRAMS)
+        return offsets, rows, (self.hashes >> np.uint64(64 - BITS)).astype(np.int32), 1 / np.sqrt(count)
 
 
 @dataclass
 class Crf:
     labels: list[str]
-    weights: np.ndarray  # 2**BITS x languages
-    lexicon: dict[str, int]  # word -> bits of the languages whose lexicon has it
+    weights: np.ndarray  # languages x (2**BITS + 1), the last always zero
+    lexicon: np.ndarray  # sorted hashes of the lexicons' words
+    in_lexicon: np.ndarray  # words of the lexicons x languages, 0 or 1
     lexicon_weights: np.ndarray  # languages x languages
     transitions: np.ndarray  # languages x languages, log scores
 
-    def in_lexicon(self, words: list[str]) -> np.ndarray:
-        bits = [self.lexicon.get(w, 0) for w in words]
-        return np.array([[b >> k & 1 for k in range(len(self.labels))] for b in bits], np.float32).reshape(
-            len(words), len(self.labels))
-
-    def emissions(self, words: list[str]) -> np.ndarray:
-        """Scores of each word under each language; zero for a word without letters."""
-        out = self.in_lexicon(words) @ self.lexicon_weights
-        at, rows, value = features(words)
-        for k in range(len(self.labels)):
-            out[:, k] += np.bincount(at, self.weights[rows, k] * value, minlength=len(words))
-        out[[not w for w in words]] = 0
+    def memberships(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(hashes), len(self.labels)), np.float32)
+        if len(self.lexicon):
+            at = np.minimum(np.searchsorted(self.lexicon, hashes), len(self.lexicon) - 1)
+            known = self.lexicon[at] == hashes
+            out[known] = self.in_lexicon[at[known]]
+        return out
+
+    def emissions(self, words: Vocabulary) -> np.ndarray:
+        """Scores of each distinct word under each language; zero for a word without letters."""
+        out = self.memberships(words.hashes) @ self.lexicon_weights
+        offsets, rows, own, value = words.features()
+        for k, w in enumerate(self.weights):
+            total = w[own]
+            for r in rows:
+                total = total + np.add.reduceat(w[r], offsets)
+            out[:, k] += total * value
+        out[~words.letters] = 0
         return out
 
 
@@ -132,54 +158,58 @@ def forward_backward(scores: np.ndarray, real: np.ndarray, transitions: np.ndarr
 
 
 def fit(runs: list[tuple[str, list[bytes]]]) -> Crf:
-    """(language, words) runs, in a fixed shuffled order -> model."""
+    """(language, words) runs, in a fixed order -> model."""
     labels = sorted({lang for lang, _ in runs})
     number, size = {lang: k for k, lang in enumerate(labels)}, len(labels)
-    counts: dict[str, Counter] = defaultdict(Counter)
-    known: dict[bytes, str] = {}
-    for lang, words in runs:
-        for w in words:
-            known.setdefault(w, normal(w))
-        counts[lang].update(x for w in words if (x := known[w]))
-    total = sum(counts.values(), Counter())
-    lexicon: dict[str, int] = defaultdict(int)
-    for lang, c in counts.items():
-        for w in sorted((w for w in c if c[w] > 2 and 2 * c[w] > total[w]), key=lambda w: (-c[w], w))[:LEXICON]:
-            lexicon[w] |= 1 << number[lang]
-    types = sorted({x for x in known.values()})
-    row = {w: i for i, w in enumerate(types)}
-    model = Crf(labels, np.zeros((2**BITS, size), np.float32), dict(lexicon), np.zeros((size, size), np.float32),
+    words = Vocabulary([b" ".join(w) for _, w in runs])
+    gold_of = np.array([number[lang] for lang, _ in runs])[words.owner]
+    counts = np.zeros((len(words), size))
+    np.add.at(counts, (words.at, gold_of), 1)
+    counts[~words.letters] = 0
+    chosen = np.zeros((len(words), size), bool)
+    for k in range(size):
+        able = np.flatnonzero((counts[:, k] > 2) & (2 * counts[:, k] > counts.sum(axis=1)))
+        chosen[able[np.lexsort((words.hashes[able], -counts[able, k]))[:LEXICON]], k] = True
+    listed = chosen.any(axis=1)
+    model = Crf(labels, np.zeros((size, 2**BITS + 1), np.float32), words.hashes[listed],
+                chosen[listed].astype(np.float32), np.zeros((size, size), np.float32),
                 np.zeros((size, size), np.float32))
-    at, rows, value = features(types)
+    offsets, grams, own, value = words.features()
+    owner = np.repeat(np.arange(len(words)), np.diff(np.append(offsets, len(grams[0]))))
+    at = np.concatenate([*[owner] * len(grams), np.arange(len(words))])
+    rows = np.concatenate([*grams, own])
+    at, rows = at[rows < 2**BITS], rows[rows < 2**BITS]
     order = np.argsort(at, kind="stable")
-    at, rows, value = at[order], rows[order], value[order]
-    edges = np.searchsorted(at, np.arange(len(types) + 1))
-    lex = model.in_lexicon(types)
-    silent = np.array([not w for w in types])
+    at, rows = at[order], rows[order]
+    value = value[at]
+    edges = np.searchsorted(at, np.arange(len(words) + 1))
+    lex, silent = model.memberships(words.hashes), ~words.letters
+    by_run = np.split(words.at, np.searchsorted(words.owner, np.arange(1, len(runs))))
     sums = [np.full(x.shape, 1e-6, np.float32) for x in (model.weights, model.lexicon_weights, model.transitions)]
 
-    def ascend(param, seen, grad, index=slice(None)):
-        seen[index] += grad * grad
-        param[index] += RATE * (grad - DECAY * param[index]) / np.sqrt(seen[index])
+    def ascend(param, seen, grad):
+        seen += grad * grad
+        param += RATE * (grad - DECAY * param) / np.sqrt(seen)
 
     steps = RUN * RUNS_PER_SEQUENCE
     rng = np.random.default_rng(7)
     for _ in range(EPOCHS):
         shuffled = rng.permutation(len(runs))
-        flat = [(row[known[w]], number[runs[i][0]]) for i in shuffled for w in runs[i][1]]
+        flat = np.concatenate([by_run[i] for i in shuffled])
+        spoken = np.concatenate([np.full(len(by_run[i]), number[runs[i][0]]) for i in shuffled])
         for start in range(0, len(flat), BATCH * steps):
-            part = flat[start:start + BATCH * steps]
+            part = np.arange(start, min(start + BATCH * steps, len(flat)))
             n = -(-len(part) // steps)
             real = (np.arange(n * steps) < len(part)).reshape(n, steps)
-            part = part + part[-1:] * (n * steps - len(part))
-            word, gold = (np.array(x).reshape(n, steps) for x in zip(*part))
+            part = np.pad(part, (0, n * steps - len(part)), mode="edge")
+            word, gold = flat[part].reshape(n, steps), spoken[part].reshape(n, steps)
             used, inverse = np.unique(word, return_inverse=True)
             inverse = inverse.reshape(n, steps)
             take = np.concatenate([np.arange(edges[u], edges[u + 1]) for u in used])
             local = np.repeat(np.arange(len(used)), edges[used + 1] - edges[used])
             scores = lex[used] @ model.lexicon_weights
             for k in range(size):
-                scores[:, k] += np.bincount(local, model.weights[rows[take], k] * value[take], minlength=len(used))
+                scores[:, k] += np.bincount(local, model.weights[k, rows[take]] * value[take], minlength=len(used))
             scores[silent[used]] = 0
             post, fwd, bwd, e, a = forward_backward(scores[inverse].astype(np.float32), real, model.transitions)
             wrong = np.eye(size, dtype=np.float32)[gold] - post
@@ -189,76 +219,51 @@ def fit(runs: list[tuple[str, list[bytes]]]) -> Crf:
             by_word[silent[used]] = 0
             touched, back = np.unique(rows[take], return_inverse=True)
             grad = np.stack([np.bincount(back, by_word[local, k] * value[take], minlength=len(touched))
-                             for k in range(size)], axis=1).astype(np.float32)
+                             for k in range(size)]).astype(np.float32)
             pair = fwd[:, :-1, :, None] * a * (e[:, 1:] * bwd[:, 1:])[:, :, None, :]
             pair /= pair.sum(axis=(2, 3), keepdims=True)
             both = real[:, 1:]
-            seen = np.zeros((size, size))
-            np.add.at(seen, (gold[:, :-1][both], gold[:, 1:][both]), 1)
-            ascend(model.weights, sums[0], grad, touched)
+            went = np.zeros((size, size))
+            np.add.at(went, (gold[:, :-1][both], gold[:, 1:][both]), 1)
+            w, seen = model.weights[:, touched], sums[0][:, touched]
+            ascend(w, seen, grad)
+            model.weights[:, touched], sums[0][:, touched] = w, seen
             ascend(model.lexicon_weights, sums[1], (lex[used].T @ by_word).astype(np.float32))
-            ascend(model.transitions, sums[2], (seen - pair[both].sum(axis=0)).astype(np.float32))
+            ascend(model.transitions, sums[2], (went - pair[both].sum(axis=0)).astype(np.float32))
     return model
 
 
-@dataclass
-class Words(dict):
-    """word -> its row in a table of emission scores, filled for the new words of a batch at once."""
-
-    model: Crf
-    limit: int = 250_000
-    pending: list = field(default_factory=list)
-
-    def __post_init__(self):
-        self.scores = np.empty((0, len(self.model.labels)), np.float32)
-        self.letters = np.empty(0, bool)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self.scores) + len(self.pending)
-        self.pending.append(normal(word))
-        return at
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) >= self.limit:
-            self.clear()
-            self.__post_init__()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.pending:
-            self.scores = np.concatenate([self.scores, self.model.emissions(self.pending).astype(np.float32)])
-            self.letters = np.concatenate([self.letters, [bool(w) for w in self.pending]])
-            self.pending = []
-        return at
-
-
-def predict(texts: list[bytes], words: Words) -> list[tuple[str, float]]:
+def predict(texts: list[bytes], model: Crf) -> list[tuple[str, float]]:
     """(language, score) of whole texts."""
-    labels = words.model.labels
-    split = [t.split() for t in texts]
-    counts = np.array([len(w) for w in split], np.int64)
-    if not labels or not counts.sum():
+    size = len(model.labels)
+    words = Vocabulary(texts)
+    if not size or not len(words):
         return [("und", 0.0)] * len(texts)
-    at = words.of([w for x in split for w in x])
+    emissions, at, owner = model.emissions(words), words.at, words.owner
+    counts = np.bincount(owner, minlength=len(texts))
     per = -(-counts // STEPS)  # sequences per text
-    owner = np.repeat(np.arange(len(texts)), counts)
     place = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
     place += np.repeat((np.cumsum(per) - per) * STEPS, counts)
-    sums = np.zeros((len(texts), len(labels)))
+    sums = np.zeros((len(texts), size))
     for start in range(0, int(per.sum()), SEQUENCES):
         a, b = np.searchsorted(place, (start * STEPS, (start + SEQUENCES) * STEPS))
-        scores = np.zeros((min(SEQUENCES, int(per.sum()) - start) * STEPS, len(labels)), np.float32)
+        n = min(SEQUENCES, int(per.sum()) - start)
         here = place[a:b] - start * STEPS
-        scores[here] = words.scores[at[a:b]]
-        real = np.zeros(len(scores), bool)
-        real[here] = True
-        post = forward_backward(scores.reshape(-1, STEPS, len(labels)), real.reshape(-1, STEPS),
-                                words.model.transitions)[0]
-        post = post.reshape(-1, len(labels))[here] * words.letters[at[a:b]][:, None]
-        for k in range(len(labels)):
+        scores, real = np.zeros((n * STEPS, size), np.float32), np.zeros(n * STEPS, bool)
+        scores[here], real[here] = emissions[at[a:b]], True
+        post = forward_backward(scores.reshape(n, STEPS, size), real.reshape(n, STEPS), model.transitions)[0]
+        post = post.reshape(-1, size)[here] * words.letters[at[a:b]][:, None]
+        for k in range(size):
             sums[:, k] += np.bincount(owner[a:b], post[:, k], minlength=len(texts))
     n = np.bincount(owner, words.letters[at], minlength=len(texts))
     mean = np.round(sums / np.maximum(n, 1)[:, None], 6)
     best = mean.argmax(axis=1)
-    return [(labels[k], float(min(1.0, m[k]))) if c else ("und", 0.0) for k, m, c in zip(best, mean, n)]
+    return [(model.labels[k], float(min(1.0, m[k]))) if c and has_letter(t) else ("und", 0.0)
+            for k, m, c, t in zip(best, mean, n, texts)]
+
+
+def has_letter(text: bytes) -> bool:
+    return bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
 def training_runs(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -295,7 +300,7 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> Crf:
     stream = training_runs(documents, sample).repartition(1).sortWithinPartitions(F.xxhash64("key", "part"), "key", "part")
     row = stream.select("lang", "words").mapInArrow(learn, "model binary").first()
     none = np.zeros((0, 0), np.float32)
-    return pickle.loads(row["model"]) if row else Crf([], none, {}, none, none)
+    return pickle.loads(row["model"]) if row else Crf([], none, np.empty(0, np.uint64), none, none, none)
 
 
 def identify(documents: DataFrame, model: Crf | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,9 +309,8 @@ def identify(documents: DataFrame, model: Crf | None = None, id_col: str = "doc_
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded: 2**BITS x languages
 
     def label(batches):
-        words = Words(shared.value)
         for b in sliced(batches):
-            found = predict(b.column("text").to_pylist(), words)
+            found = predict(b.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                 ["doc_id", "lang_pred", "score"])

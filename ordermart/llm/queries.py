@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm import (
-    language_id, minhash_dedup, quality_classifier, quality_rules, secret_scan, substring_dedup)
+    decontaminate, language_id, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, sharding,
+    substring_dedup, warc)
 from ordermart.llm.common import corpus_session, read_table
+from ordermart.session import scratch_path
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +35,34 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return mixing.mixture(read_table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    path = scratch_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payload=False)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus_session(spark)
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return sharding.manifest(read_table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus_session(spark)
     return quality_rules.judge(read_table(spark, sf_dir, "documents")).select(
@@ -50,7 +74,11 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_language_id": op3_language_id,
     "op4_secret_scan": op4_secret_scan,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_warc": op6_warc,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_sharding": op8_sharding,
+    "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op5_source_mixing": mixing.ORACLE}
