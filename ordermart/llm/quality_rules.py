@@ -131,14 +131,12 @@ def judge(documents: DataFrame) -> DataFrame:
     measured = _shares(cut_lineage(measure(documents))).withColumn("base_failed", base_failed)
     sketch = cut_lineage(sketches(measured))
     by_lang = cut_lineage(merge(sketch, "lang"))
-    own, lang, corpus = (fences(s, *by) for s, by in (
-        (sketch, ("lang", "source")), (by_lang, ("lang",)), (merge(by_lang), ())))
+    own, lang = fences(sketch, "lang", "source"), fences(by_lang, "lang")
+    corpus = fences(merge(by_lang)).first()  # one row of five numbers
     renamed = lambda df, tag: df.withColumnsRenamed({m: f"{tag}_{m}" for m in MEASURES})
-    one = F.lit(1).alias("one")  # the corpus has one row of fences
-    groups = (renamed(own, "own").join(renamed(lang, "lang"), "lang", "left").select("*", one)
-              .join(renamed(corpus, "all").select("*", one), "one")
-              .select("lang", "source", *[F.coalesce(f"own_{m}", f"lang_{m}", f"all_{m}").alias(f"max_{m}")
-                                          for m in MEASURES]))
+    groups = renamed(own, "own").join(renamed(lang, "lang"), "lang", "left").select(
+        "lang", "source", *[F.coalesce(f"own_{m}", f"lang_{m}", F.lit(corpus[m]).cast("long")).alias(f"max_{m}")
+                            for m in MEASURES])
     judged = measured.join(groups, ["lang", "source"], "left")
     over = F.lit(False)
     for m in MEASURES:
