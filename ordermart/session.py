@@ -108,7 +108,28 @@ def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
         return df.checkpoint(eager=True)
     path = scratch_path(spark, "cut")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard_cut(*frames: DataFrame) -> None:
+    """Delete the tables behind lineage cuts once nothing reads them any more."""
+    for df in frames:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            delete_path(df.sparkSession, path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a table folder, whatever store it is in."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
 @contextlib.contextmanager
@@ -119,12 +140,18 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
     (default: the cluster's parallelism) rather than inherited."""
     if n is None:
         n = spark.sparkContext.defaultParallelism
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
+    with sql_conf(spark, {"spark.sql.shuffle.partitions": str(n)}):
+        yield n
+
+
+@contextlib.contextmanager
+def stream_start(spark: SparkSession, state_partitions: int | None):
+    """Settings a keyed stream captures when it starts: its state width, and no
+    batches without data (a processing-time timeout would otherwise ask for one
+    after the other; timeouts are handled with the next data)."""
+    with shuffle_partitions(spark, state_partitions) as n, sql_conf(
+            spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
         yield n
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 @contextlib.contextmanager

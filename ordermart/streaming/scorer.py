@@ -1,18 +1,22 @@
 """Streaming fraud scorer and its sinks.
 
-source -> decode -> watermark + de-dup -> keyed card state (velocity, last
-position) -> stream-static joins with the nightly profile (30-day amounts,
-known devices, known categories) -> rule columns -> one ``foreachBatch``
-that writes scored, alerts, audit and quarantine outputs for the batch id.
-
-Every output folder is ``.../batch_id=N`` written in overwrite mode, so a
-batch replayed after a failure replaces its own files: together with the
-checkpoint this gives one copy per event in every output, and the scorer
-runs once per event (not once per sink).
+source -> decode -> keyed card state (velocity, last position, duplicates and
+late events told apart) -> stream-static joins with the nightly profile
+(30-day amounts, known devices, known categories) -> rule columns -> one
+``foreachBatch`` that writes all outputs of the batch.
+
+Every event ends in exactly one place: scored (on time or late, both decided
+and audited), duplicates, or the quarantine of undecodable messages.
+
+Outputs lie in ``.../run=R/batch_id=N``, written in overwrite mode: R stands for
+the checkpoint and N for the batch, so a replayed batch replaces its own files
+and a new checkpoint, whose batches count from 0 again, cannot touch the old
+run's. The scorer runs once per event (not once per sink).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
 from ordermart.operators import features, rules
+from ordermart.session import hadoop_path, stream_start
 from ordermart.streaming import source, state
 
 
@@ -47,12 +52,15 @@ def score_stream(
     profile: dict[str, DataFrame],
     blocklist: Sequence[str],
     processed_at: Column | None = None,
-    lateness: str = "10 minutes",
+    lateness_seconds: int = 600,
+    id_memory_seconds: int = 86_400,
+    position_ttl_days: int = fixed.PROFILE_TTL_DAYS,
 ) -> DataFrame:
     """O6 core: decoded transaction stream -> scored stream (plus the
-    feature columns, for the audit output)."""
-    ok = source.with_late_and_duplicate_guard(tx.where(F.col("_decode_ok")), lateness)
-    st = state.card_velocity_state(ok)
+    feature columns, for the audit output, and ``_status``)."""
+    st = state.card_velocity_state(
+        tx.where(F.col("_decode_ok")), lateness_seconds=lateness_seconds,
+        id_memory_seconds=id_memory_seconds, position_ttl_days=position_ttl_days)
     dev = profile["devices"].select("card_id", "device_fingerprint", F.lit(True).alias("device_seen_90d"))
     cat = profile["categories"].select("card_id", "merchant_category", F.lit(True).alias("category_seen_30d"))
     enriched = (
@@ -77,9 +85,24 @@ SCORED_TOPIC = "transactions.scored"
 ALERTS_TOPIC = "fraud.alerts"
 
 
-def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: dict | None = None):
+def stream_run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a checkpoint, kept beside it: the same for every restart from
+    it, a new one when it was lost."""
+    fs, path = hadoop_path(spark, f"{checkpoint}/run_id")
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.writeUTF(uuid.uuid4().hex[:12])
+        out.close()
+    into = fs.open(path)
+    try:
+        return into.readUTF()
+    finally:
+        into.close()
+
+
+def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: dict | None = None, run_id: str = "0"):
     """One batch function, all outputs, idempotent by
-    batch id. With ``kafka_bootstrap`` the scored and alert records also go
+    run and batch id; the audit is partitioned by event date below that. With ``kafka_bootstrap`` the scored and alert records also go
     to their topics (key = transaction id, so consumers de-duplicate a
     replayed batch by key); the file outputs stay the audit of record."""
     def to_topic(kv: DataFrame, topic: str) -> None:
@@ -89,11 +112,15 @@ def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: di
         w.save()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
+        at = f"run={run_id}/batch_id={batch_id}"
+        everything = batch.persist()
         try:
+            b = everything.where("_status <> 'duplicate'")
             scored = rules.score_projection(b, F.col("processed_at"))
-            _kv(scored).write.mode("overwrite").json(f"{out_root}/scored/batch_id={batch_id}")
-            _kv(rules.alerts(scored)).write.mode("overwrite").json(f"{out_root}/alerts/batch_id={batch_id}")
+            _kv(scored).write.mode("overwrite").json(f"{out_root}/scored/{at}")
+            _kv(rules.alerts(scored)).write.mode("overwrite").json(f"{out_root}/alerts/{at}")
+            everything.where("_status = 'duplicate'").select("transaction_id", "card_id", "event_ts").write.mode(
+                "overwrite").parquet(f"{out_root}/duplicates/{at}")
             if kafka_bootstrap:
                 to_topic(_kv(scored), SCORED_TOPIC)
                 to_topic(_kv(rules.alerts(scored)), ALERTS_TOPIC)
@@ -101,11 +128,13 @@ def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: di
                 "transaction_id", "card_id", "customer_id", "amount_usd", "fraud_decision",
                 F.to_json("triggered_rules_list").alias("triggered_rules"), "decision_reason", "processed_at",
                 "tx_count_1min", "tx_count_5min", "last_latitude", "last_longitude", "last_tx_timestamp",
-                "amount_count_30d", "speed_kmh", F.to_date("event_ts").alias("event_date"),
+                "amount_count_30d", "speed_kmh", (F.col("_status") == "late").alias("is_late"),
+                F.to_date("event_ts").alias("event_date"),
             )
-            audit.write.mode("overwrite").parquet(f"{out_root}/audit/batch_id={batch_id}")
+            audit.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(
+                f"{out_root}/audit/{at}")
         finally:
-            b.unpersist()
+            everything.unpersist()
     return write
 
 
@@ -125,46 +154,61 @@ def run_fraud_stream(
     path: str | None = None,
     bootstrap: str | None = None,
     trigger: dict | None = None,
+    max_per_trigger: int = fixed.MAX_RECORDS_PER_TRIGGER,
     max_files_per_trigger: int | None = None,
     processed_at: Column | None = None,
+    lateness_seconds: int = 600,
+    id_memory_seconds: int = 86_400,
+    position_ttl_days: int = fixed.PROFILE_TTL_DAYS,
+    max_future: str = "1 day",
     state_partitions: int | None = None,
 ):
     """Start the scorer; returns the running query (and the quarantine
-    query). ``trigger`` defaults to the 500 ms processing-time trigger;
-    ``state_partitions`` (default: cluster parallelism) fixes the number of
-    keyed-state partitions for the life of the checkpoint."""
-    from ordermart.session import shuffle_partitions
-
+    query). ``trigger`` defaults to the 500 ms processing-time trigger and
+    ``max_per_trigger`` caps the records of a micro-batch (files:
+    ``max_files_per_trigger``). ``state_partitions`` fixes the number of
+    keyed-state partitions for the life of the checkpoint: name it on a
+    cluster, its default, the parallelism at the start, counts only executors
+    that have registered by then."""
     trig = trigger or {"processingTime": fixed.TRIGGER_INTERVAL}
-    tx = source.read_transactions(spark, path=path, bootstrap=bootstrap, max_files_per_trigger=max_files_per_trigger)
-    scored = score_stream(tx, profile, blocklist, processed_at)
-    with shuffle_partitions(spark, state_partitions):
-        q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap))
+    tx = source.reject_future(source.read_transactions(
+        spark, path=path, bootstrap=bootstrap, max_per_trigger=max_per_trigger,
+        max_files_per_trigger=max_files_per_trigger), max_future)
+    scored = score_stream(tx, profile, blocklist, processed_at, lateness_seconds, id_memory_seconds, position_ttl_days)
+    run = stream_run_id(spark, checkpoint)
+    with stream_start(spark, state_partitions):
+        q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap, run_id=run))
              .option("checkpointLocation", f"{checkpoint}/scorer").trigger(**trig).start())
         qq = quarantine_undecodable(tx, out_root, checkpoint, trig)
     return q, qq
 
 
-def velocity_windows(tx: DataFrame, lateness: str = "10 minutes") -> tuple[DataFrame, DataFrame]:
-    """Tumbling 1-minute and sliding 5-minute (1-minute slide) counts
-    per card, event time."""
-    w = source.with_late_and_duplicate_guard(tx.where(F.col("_decode_ok")), lateness)
-    tumbling = w.groupBy("card_id", F.window("event_ts", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("tx_count"))
-    sliding = w.groupBy("card_id", F.window("event_ts", "5 minutes", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("tx_count"))
-    flat = lambda d: d.select("card_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tx_count")
-    return flat(tumbling), flat(sliding)
+def velocity_windows(tx: DataFrame, id_memory_seconds: int = 86_400) -> tuple[DataFrame, DataFrame]:
+    """Per micro-batch, counts of a card's events per tumbling minute and
+    per sliding five minutes (one-minute slide), by event time.
 
+    The counts are partial: a window's value is the sum over batches
+    (:func:`window_totals`), so an event counts however late it comes, and
+    nothing is held in memory for windows. Duplicates are left out by the
+    card state."""
+    once = state.card_velocity_state(tx.where(F.col("_decode_ok")), id_memory_seconds=id_memory_seconds).where(
+        "_status <> 'duplicate'")
+    minute = F.window("event_ts", "1 minute")
+    five = F.window("event_ts", "5 minutes", "1 minute")
+    flat = lambda w: once.select("card_id", w.alias("w")).select(
+        "card_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+    return flat(minute), flat(five)
 
-def upsert_batches(out_path: str, keys: Sequence[str]):
-    """Update-mode window results, written per batch; the latest batch's
-    row per key is the current value (read with :func:`latest_rows`)."""
+
+def write_window_counts(out_path: str, run_id: str = "0"):
+    """J9 sink: each batch's partial counts per card and window."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        (batch.groupBy("card_id", "window_start", "window_end").agg(F.count("*").alias("tx_count"))
+         .write.mode("overwrite").parquet(f"{out_path}/run={run_id}/batch_id={batch_id}"))
     return write
 
 
-def latest_rows(spark: SparkSession, out_path: str, keys: Sequence[str]) -> DataFrame:
-    from ordermart.operators.clean import latest_per_key
-
-    df = spark.read.parquet(out_path).drop("batch_id")
-    return latest_per_key(df, list(keys), ["_batch_id"]).drop("_batch_id")
+def window_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """Current counts: the partial counts of all batches added up."""
+    return spark.read.parquet(out_path).groupBy("card_id", "window_start", "window_end").agg(
+        F.sum("tx_count").alias("tx_count"))

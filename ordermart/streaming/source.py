@@ -60,7 +60,9 @@ def read_transactions(
     return decode_transactions(reader.load(path), "value")
 
 
-def with_late_and_duplicate_guard(tx: DataFrame, delay: str = "10 minutes", key: str = "transaction_id") -> DataFrame:
-    """Event-time watermark and de-duplication of replayed ids within
-    it (state for an id is dropped once the watermark passes)."""
-    return tx.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark([key])
+def reject_future(tx: DataFrame, max_future: str = "1 day") -> DataFrame:
+    """An event dated further ahead of the clock than ``max_future`` is not
+    decodable as an event of now: it goes the way of undecodable messages
+    instead of making all later traffic of its card late."""
+    ahead = F.coalesce(F.col("event_ts") > F.current_timestamp() + F.expr(f"INTERVAL {max_future}"), F.lit(False))
+    return tx.withColumn("_decode_ok", F.col("_decode_ok") & ~ahead)

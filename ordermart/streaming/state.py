@@ -1,21 +1,28 @@
-"""Keyed card state for the stream scorer.
+"""Keyed card state for the stream scorer.
 
 Per card the state holds the events of the retention horizon (velocity frame
-+ allowed lateness): event time (micros), id, latitude, longitude; plus the
-newest event already pruned (the carry) so the previous position is known
-after an idle period. For each micro-batch the card's new events are scored
-against state + earlier events of the batch, *then* added (scored before the
-update, as the reference does):
++ lateness): event time (micros), id, latitude, longitude; the newest event
+already pruned (the carry), so the previous position is known after an idle
+period; and a 64-bit hash and the time of every id of the id memory. For
+each micro-batch the card's new events are scored against state + earlier
+events of the batch, *then* added (scored before the update, as the reference
+does):
 
 * ``tx_count_1min`` / ``tx_count_5min`` - earlier events (by event time) in
   ``[t - 60 s, t)`` / ``[t - 300 s, t)``;
-* ``last_*`` - the previous event by (event time, id).
-
-Events arriving in event-time order give exactly the batch window result; an
-event later than its batch gets the counts known at arrival. Event-time
-timeouts compact an idle card to its newest event (for the previous
-position) and clear it after the position TTL, so state stays bounded. Work per
-group is vectorised (numpy ``searchsorted``), never per row.
+* ``last_*`` - the previous event by (event time, id);
+* ``_status`` - ``duplicate`` when the id is in the card's id memory (or
+  earlier in the batch), else ``late`` when the event lies before the horizon
+  of the card's newest event (it gets the counts known at arrival), else
+  ``on_time``.
+
+No event is dropped: there is no event-time watermark, so nothing is filtered
+before this function, however late it is, and a long gap in event time changes
+nothing. State is bounded by the horizon and the id memory per card, and a card idle for
+``position_ttl_days`` (processing time) is forgotten; the batch form knows no
+such limit, so a card that returns later has no previous position here. An event
+time far in the future would make all later events late; the source rejects
+those (:func:`source.reject_future`). Work per group is vectorised (numpy).
 """
 
 from __future__ import annotations
@@ -25,13 +32,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ordermart.functions import fixed
 
 STATE_SCHEMA = (
     "ts array<bigint>, ids array<string>, lat array<double>, lon array<double>, "
-    "carry_ts bigint, carry_id string, carry_lat double, carry_lon double"
+    "carry_ts bigint, carry_id string, carry_lat double, carry_lon double, "
+    "seen array<bigint>, seen_ts array<bigint>"
 )
 PASS_THROUGH = [
     ("transaction_id", "string"), ("card_id", "string"), ("customer_id", "string"),
@@ -41,40 +50,44 @@ PASS_THROUGH = [
 ]
 OUTPUT_SCHEMA = ", ".join(f"{n} {t}" for n, t in PASS_THROUGH) + (
     ", tx_count_1min bigint, tx_count_5min bigint, last_latitude float, last_longitude float, "
-    "last_tx_timestamp timestamp"
+    "last_tx_timestamp timestamp, _status string"
 )
 
 
-def _velocity_fn(short_us: int, long_us: int, horizon_us: int, position_ttl_ms: int):
+def _velocity_fn(short_us: int, long_us: int, horizon_us: int, memory_us: int, position_ttl_ms: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            # idle card: drop the velocity events, keep only the newest event
-            # as the carry (one small row) until the position TTL passes
-            st = state.get
-            ts, ids, lat, lon = list(st[0] or []), list(st[1] or []), list(st[2] or []), list(st[3] or [])
-            if not ts:
-                state.remove()
-                return
-            j = max(range(len(ts)), key=lambda i: (ts[i], ids[i]))
-            state.update(([], [], [], [], int(ts[j]), str(ids[j]), float(lat[j]), float(lon[j])))
-            state.setTimeoutTimestamp(int(ts[j] // 1000) + position_ttl_ms)
+            state.remove()
             return
         frames = [p for p in pdfs if not p.empty]
         if not frames:
             return
-        batch = pd.concat(frames, ignore_index=True)
+        arrived = pd.concat(frames, ignore_index=True)
+        st = state.get if state.exists else [None] * 10
+        h_t, h_lat, h_lon = (np.asarray([] if x is None else x, dtype=d)
+                             for x, d in zip((st[0], st[2], st[3]), ("int64", "float64", "float64")))
+        h_id = np.asarray([] if st[1] is None else st[1], dtype=object)
+        carry = tuple(st[4:8])
+        seen, seen_ts = (np.asarray([] if x is None else x, dtype="int64") for x in st[8:10])
+
+        # the first arrival of an id counts, later ones are duplicates
+        hashes = arrived["_id_hash"].to_numpy(dtype="int64")
+        again = np.ones(len(arrived), bool)
+        again[np.unique(hashes, return_index=True)[1]] = False
+        again |= np.isin(hashes, seen)
+        if again.any():
+            rest = arrived.loc[again, [n for n, _ in PASS_THROUGH]].copy()
+            for c in ("tx_count_1min", "tx_count_5min"):
+                rest[c] = np.int64(0)
+            for c in ("last_latitude", "last_longitude"):
+                rest[c] = np.full(len(rest), np.nan, dtype="float32")
+            rest["last_tx_timestamp"] = pd.Series(pd.NaT, index=rest.index, dtype="datetime64[us]")
+            rest["_status"] = "duplicate"
+            yield rest
+        batch, hashes = arrived.loc[~again].reset_index(drop=True), hashes[~again]
+        if batch.empty:
+            return
         t_new = batch["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        if state.exists:
-            st = state.get
-            h_t = np.asarray(st[0] or [], dtype="int64")
-            h_id = np.asarray(st[1] or [], dtype=object)
-            h_lat = np.asarray(st[2] or [], dtype="float64")
-            h_lon = np.asarray(st[3] or [], dtype="float64")
-            carry = (st[4], st[5], st[6], st[7])
-        else:
-            h_t, h_id = np.empty(0, "int64"), np.empty(0, object)
-            h_lat, h_lon = np.empty(0, "float64"), np.empty(0, "float64")
-            carry = (None, None, None, None)
         n_id = batch["transaction_id"].to_numpy(dtype=object)
         n_lat = batch["latitude"].astype("float64").to_numpy()
         n_lon = batch["longitude"].astype("float64").to_numpy()
@@ -112,19 +125,25 @@ def _velocity_fn(short_us: int, long_us: int, horizon_us: int, position_ttl_ms:
         out["last_tx_timestamp"] = pd.to_datetime(
             pd.Series(np.where(valid_prev, last_t, np.iinfo("int64").min)), unit="us", errors="coerce")
         out.loc[~valid_prev, "last_tx_timestamp"] = pd.NaT
+        newest = max(int(h_t[-1]) if h_t.size else 0, carry[0] or 0)  # before this batch
+        out["_status"] = np.where(t_new < newest - horizon_us, "late", "on_time")
 
         # update: keep the horizon, move the newest pruned event into the carry
         cutoff = all_t[-1] - horizon_us
         keep = all_t >= cutoff
         if (~keep).any():
             j = np.flatnonzero(~keep)[-1]
-            carry = (int(all_t[j]), str(all_id[j]), float(all_lat[j]), float(all_lon[j]))
+            if carry[0] is None or all_t[j] >= carry[0]:
+                carry = (int(all_t[j]), str(all_id[j]), float(all_lat[j]), float(all_lon[j]))
+        seen, seen_ts = np.concatenate([seen, hashes]), np.concatenate([seen_ts, t_new])
+        known = seen_ts >= all_t[-1] - memory_us
         state.update((
             all_t[keep].tolist(), [str(x) for x in all_id[keep]],
             all_lat[keep].tolist(), all_lon[keep].tolist(),
             carry[0], carry[1], carry[2], carry[3],
+            seen[known].tolist(), seen_ts[known].tolist(),
         ))
-        state.setTimeoutTimestamp(int(all_t[-1] // 1000) + int(horizon_us // 1000))
+        state.setTimeoutDuration(position_ttl_ms)
         yield out
 
     return fn
@@ -135,11 +154,13 @@ def card_velocity_state(
     short_seconds: int = fixed.VELOCITY_SHORT_SECONDS,
     long_seconds: int = fixed.VELOCITY_LONG_SECONDS,
     lateness_seconds: int = 600,
+    id_memory_seconds: int = 86_400,
     position_ttl_days: int = fixed.PROFILE_TTL_DAYS,
 ) -> DataFrame:
-    """``groupBy(card_id).applyInPandasWithState`` over a watermarked
+    """``groupBy(card_id).applyInPandasWithState`` over the decoded
     stream (hash-partitioned by card into the state store)."""
-    fn = _velocity_fn(short_seconds * 1_000_000, long_seconds * 1_000_000,
-                      (long_seconds + lateness_seconds) * 1_000_000, position_ttl_days * 86_400_000)
-    return tx.select([n for n, _ in PASS_THROUGH]).groupBy("card_id").applyInPandasWithState(
-        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    horizon = long_seconds + lateness_seconds
+    fn = _velocity_fn(short_seconds * 1_000_000, long_seconds * 1_000_000, horizon * 1_000_000,
+                      max(horizon, id_memory_seconds) * 1_000_000, position_ttl_days * 86_400_000)
+    return tx.select(*[n for n, _ in PASS_THROUGH], F.xxhash64("transaction_id").alias("_id_hash")).groupBy(
+        "card_id").applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)

@@ -9,7 +9,7 @@ from ordermart.sources import cdc
 
 
 def test_corrupt_split_and_ops(spark):
-    path = scratch_path(spark, "cdc-test")
+    path = scratch_path(spark, "cdc-test").removeprefix("file:")
     os.makedirs(path)
     after = {"order_id": "O1", "customer_id": "C1"}
     lines = [json.dumps({"op": op, "ts_ms": "1", "after": after}) for op in ["c", "u", "r", "d"]]
@@ -35,9 +35,10 @@ def _tx_line(i, card, t, lat=40.0):
 
 
 def test_stream_state_late_duplicate_restart(spark):
+    from ordermart.session import stream_start
     from ordermart.streaming import scorer, source
 
-    root = scratch_path(spark, "stream-test")
+    root = scratch_path(spark, "stream-test").removeprefix("file:")
     # the profile is a stored table, as the nightly refresh writes it (with a
     # small *local* frame as the static side, Spark 4.1 fails to convert the
     # Arrow rows of the state operator in the joined plan)
@@ -58,9 +59,10 @@ def test_stream_state_late_duplicate_restart(spark):
         with open(f"{root}/in/b{i}/part.txt", "w") as f:
             f.write("\n".join(lines) + "\n")
         tx = source.read_transactions(spark, path=f"{root}/in/b*")
-        q = (scorer.score_stream(tx, profile, [], F.lit("2024-01-02").cast("timestamp"))
-             .writeStream.foreachBatch(scorer.fan_out(f"{root}/out")).option("checkpointLocation", f"{root}/ck")
-             .trigger(availableNow=True).start())
+        with stream_start(spark, None):
+            q = (scorer.score_stream(tx, profile, [], F.lit("2024-01-02").cast("timestamp"))
+                 .writeStream.foreachBatch(scorer.fan_out(f"{root}/out")).option("checkpointLocation", f"{root}/ck")
+                 .trigger(availableNow=True).start())
         q.awaitTermination()
     a = {r["transaction_id"]: r for r in spark.read.parquet(f"{root}/out/audit").collect()}
     assert sorted(a) == ["T1", "T2", "T3", "T4", "T5"]          # duplicate T2 dropped, junk not scored
@@ -69,7 +71,7 @@ def test_stream_state_late_duplicate_restart(spark):
     assert a["T5"]["tx_count_1min"] == 2                           # late: counts known at arrival (T1, T2)
     assert a["T4"]["last_tx_timestamp"].isoformat().startswith("2024-01-01T00:00:50")
     scored = spark.read.json(f"{root}/out/scored")
-    assert scored.count() == 5 and set(scored.columns) == {"key", "value", "batch_id"}
+    assert scored.count() == 5 and set(scored.columns) == {"key", "value", "run", "batch_id"}
 
 
 def test_run_fraud_stream_end_to_end(spark):
@@ -77,7 +79,7 @@ def test_run_fraud_stream_end_to_end(spark):
     and the quarantine of undecodable messages) on a file source."""
     from ordermart.streaming import scorer
 
-    root = scratch_path(spark, "o6")
+    root = scratch_path(spark, "o6").removeprefix("file:")
     os.makedirs(f"{root}/in")
     with open(f"{root}/in/part.txt", "w") as f:
         f.write("\n".join([_tx_line(i, "A", f"2024-01-01T00:00:{i:02d}.000000Z") for i in range(1, 8)]
@@ -107,7 +109,7 @@ def test_admission_control_splits_batches(spark):
     per-trigger record cap), so two landed files make two batches."""
     from ordermart.streaming import scorer
 
-    root = scratch_path(spark, "a5")
+    root = scratch_path(spark, "a5").removeprefix("file:")
     os.makedirs(f"{root}/in")
     for i in range(2):
         with open(f"{root}/in/part{i}.txt", "w") as f:
