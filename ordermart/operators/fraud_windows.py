@@ -84,15 +84,18 @@ def trailing_stats(
 
     w = Window.partitionBy(*keys, "_b").orderBy("_t")
     before = w.rangeBetween(Window.unboundedPreceding, -1)
-    from_now = w.rangeBetween(0, Window.unboundedFollowing)
+    whole = Window.partitionBy(*keys, "_b")
     is_own, is_ctx = ~F.col("_ctx"), F.col("_ctx")
+    # context rows from now on = all of the bucket's minus those before: running
+    # sums and one total, so work is linear in the rows of a bucket
+    from_now = lambda fn: (F.coalesce(fn.over(whole), F.lit(0)) - F.coalesce(fn.over(before), F.lit(0)))
     stats = {
         "_cnt_own": F.count(F.when(is_own, F.lit(1))).over(before),
-        "_cnt_ctx": F.count(F.when(is_ctx, F.lit(1))).over(from_now),
+        "_cnt_ctx": from_now(F.count(F.when(is_ctx, F.lit(1)))),
     }
     for v in vcols:
         stats[f"_s_own{v}"] = F.sum(F.when(is_own, F.col(v))).over(before)
-        stats[f"_s_ctx{v}"] = F.sum(F.when(is_ctx, F.col(v))).over(from_now)
+        stats[f"_s_ctx{v}"] = from_now(F.sum(F.when(is_ctx, F.col(v))))
     lag_cols = list(lag_cols)
     if lag_cols:
         payload = F.struct(F.col("_t").alias("_pt"), *([F.col(tie).alias("_ptie")] if tie else []),
@@ -142,31 +145,37 @@ def trailing_counts(
 ) -> DataFrame:
     """Several short frames in one pass: for each ``name -> seconds`` add the
     count of earlier rows of the key in ``[t - seconds, t)``. Every frame must
-    fit in one unit (default: the longest frame). Rows of bucket ``b - 1``
-    are replicated into ``b`` shifted by one unit; a frame of ``f`` seconds
-    counts own rows in ``[t - f, t)`` and context rows shifted to at least
-    ``t + unit - f``. One shuffle and one window operator for all frames."""
-    unit = unit_seconds or max(frames.values())
+    fit in one unit (default: an hour, or the longest frame).
+
+    A row enters every frame at its time and leaves a frame ``seconds`` later,
+    so a frame's count is the running sum of +1 and -1 marks before ``t``:
+    linear in the rows of a (key, bucket), however many fall in a frame. A leave
+    mark lies in the row's bucket or the next one, where an enter mark before
+    the bucket's start goes with it. One shuffle and one running window for
+    all frames."""
+    unit = unit_seconds or max(3600, *frames.values())
     if any(f > unit for f in frames.values()):
         raise ValueError("every frame must fit in one unit")
     unit_us = unit * MICROS
     keys = list(keys)
+    marks = [f"_m_{n}" for n in frames]
     base = df.withColumn("_t", _micros(ts)).withColumn("_b", F.floor(F.col("_t") / F.lit(unit_us)).cast("bigint"))
-    own = base.withColumn("_ctx", F.lit(False))
-    other = [c for c in own.columns if c not in keys + ["_t", "_b", "_ctx"]]
-    ctx = base.select(
-        *keys, (F.col("_t") + F.lit(unit_us)).alias("_t"), (F.col("_b") + F.lit(1)).alias("_b"),
-        *[F.lit(None).cast(own.schema[c].dataType).alias(c) for c in other], F.lit(True).alias("_ctx"),
-    ).select(own.columns)
-    w = Window.partitionBy(*keys, "_b").orderBy("_t")
-    is_own, is_ctx = ~F.col("_ctx"), F.col("_ctx")
-    cols = []
-    for name, f in frames.items():
-        f_us = f * MICROS
-        own_c = F.count(F.when(is_own, F.lit(1))).over(w.rangeBetween(-f_us, -1))
-        ctx_c = F.count(F.when(is_ctx, F.lit(1))).over(w.rangeBetween(unit_us - f_us, Window.unboundedFollowing))
-        cols.append((own_c + ctx_c).cast("bigint").alias(name))
-    out = own.unionByName(ctx).select("*", *cols).where(~F.col("_ctx"))
+    own = base.select("*", *[F.lit(1).alias(m) for m in marks], F.lit(True).alias("_own"))
+    start_next = (F.col("_b") + 1) * F.lit(unit_us)
+    crosses = [F.col("_t") + F.lit(f * MICROS) >= start_next for f in frames.values()]
+    entered = F.struct((start_next - 1).alias("_t"), (F.col("_b") + 1).alias("_b"),
+                       *[F.when(c, 1).otherwise(0).alias(m) for c, m in zip(crosses, marks)])
+    leaves = [F.struct((F.col("_t") + F.lit(f * MICROS)).alias("_t"), F.when(c, F.col("_b") + 1).otherwise(F.col("_b")).alias("_b"),
+                       *[F.lit(-1 if m == own_mark else 0).alias(m) for m in marks])
+              for f, c, own_mark in zip(frames.values(), crosses, marks)]
+    others = base.select(*keys, F.explode(F.array(entered, *leaves)).alias("x")).select(*keys, "x.*")
+    others = others.where(" or ".join(f"`{m}` <> 0" for m in marks))
+    blank = [c for c in own.columns if c not in [*keys, "_t", "_b", "_own", *marks]]
+    ctx = others.select("*", *[F.lit(None).cast(own.schema[c].dataType).alias(c) for c in blank],
+                        F.lit(False).alias("_own")).select(own.columns)
+    earlier = Window.partitionBy(*keys, "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    counts = [F.coalesce(F.sum(m).over(earlier), F.lit(0)).cast("bigint").alias(n) for n, m in zip(frames, marks)]
+    out = own.unionByName(ctx).select("*", *counts).where("_own")
     return out.select(*df.columns, *frames)
 
 
