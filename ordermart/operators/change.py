@@ -54,10 +54,12 @@ def merge_upsert(
 
 
 def latest_deletes(changes: DataFrame, key: str = "order_id", op: str = "_cdc_operation",
-                   order_by: Sequence[str] = ("_kafka_timestamp_ms",)) -> DataFrame:
+                   order_by: Sequence[str] = ("try_cast(_kafka_timestamp_ms AS bigint)",)) -> DataFrame:
     """Keys whose latest change event is a delete (one aggregate with
-    map-side partial aggregation, no per-key sort)."""
-    latest = changes.groupBy(key).agg(F.max_by(F.col(op), F.struct(*[F.col(c) for c in order_by])).alias("_op"))
+    map-side partial aggregation, no per-key sort). Broker times are compared
+    as numbers; of events at the same time a delete counts as the later."""
+    ranks = F.struct(*[F.expr(c) for c in order_by], (F.col(op) == "d").alias("_d"))
+    latest = changes.groupBy(key).agg(F.max_by(F.col(op), ranks).alias("_op"))
     return latest.where(F.col("_op") == "d").select(key)
 
 
@@ -190,8 +192,3 @@ def as_of_join(
         *facts.columns,
         *[F.when(ok, F.col(f"_asof_{a}")).alias(f"{a}{suffix}") for a in attributes],
     )
-
-
-def latest_snapshot_rows(history: DataFrame) -> DataFrame:
-    return history.where(F.col("valid_to").isNull())
-

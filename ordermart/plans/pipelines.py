@@ -1,19 +1,20 @@
 """End-to-end jobs (O1-O5): layers hand over through Parquet folders only.
 
 Each job is what a scheduler step would run: read its input folder, apply
-the layer's operators, gate on quality, write. Quality gates read a persisted
-frame so the write does not recompute the lineage.
+the layer's operators, gate on quality and on the accounting of its rows,
+write. A frame that a gate and a write both read is cut to a table in the shared
+folder, which is deleted when the job has ended.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermart.functions import fixed
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, discard_cut
 from ordermart.operators import bronze, change, clean, gold, marts, quality
 from ordermart.sinks import lake as sink
 from ordermart.sources import cdc, lake
@@ -30,57 +31,100 @@ class LakePaths:
     export: str
     marts: str
     snapshots: str
+    rejects: str
 
     @classmethod
     def under(cls, root: str) -> "LakePaths":
         return cls(*(f"{root}/{n}" for n in (
             "landing", "bronze", "quarantine/bronze", "silver", "quarantine/silver",
-            "gold/customer_ltv", "export/customer_ltv_latest", "marts", "snapshots/customers")))
+            "gold/customer_ltv", "export/customer_ltv_latest", "marts", "snapshots/customers", "rejects/bronze")))
 
 
 def run_bronze(spark: SparkSession, p: LakePaths, run_date: str, ingested_at: str | None = None,
                expected_rows: int = 0) -> int:
-    """O1: A1 -> C2 -> (B4) -> C1 -> L12 -> B1. Returns rows written."""
-    raw = cdc.read_cdc_json(spark, p.landing)
-    parsed, corrupt = cdc.split_corrupt(raw)
+    """O1: A1 -> C2 -> (B4) -> C1 -> L12 -> B1. Returns rows written.
+
+    Every line of the landing ends in exactly one table: Bronze, the corrupt
+    quarantine, or the rejects (deletes, NULL and unknown operations, with
+    their reason). The accounting of that is a gate."""
+    landed = cut_lineage(cdc.read_cdc_json(spark, p.landing))  # parsed once, read by each branch
+    totals = bronze.bronze_accounting(landed).first()
+    if not totals["balanced"]:
+        raise ValueError(f"Bronze accounting does not balance: {totals.asDict()}")
+    parsed, corrupt = cdc.split_corrupt(landed, persist=False)
     sink.quarantine_corrupt(corrupt, p.quarantine, ingested_at)
-    flat = bronze.flatten_envelope(parsed, run_date, ingested_at).persist(StorageLevel.MEMORY_AND_DISK)
+    sink.write_rejects(bronze.op_rejects(parsed), p.rejects, run_date)
+    flat = bronze.flatten_envelope(parsed, run_date, ingested_at)
     suite = quality.QualitySuite(flat, "bronze_orders").not_empty().no_nulls(["order_id", "customer_id", "_ingestion_date"])
     if expected_rows > 0:
         suite.volume(expected_rows, fixed.BRONZE_VOLUME_TOLERANCE)
-    rows = suite.validate(raise_on_failure=True)
-    sink.write_bronze(flat, p.bronze, run_date)
-    flat.unpersist()
-    raw.unpersist()
-    return int(next(r["details"] for r in rows if r["check_name"] == "not_empty").split("=")[1])
-
-
-def run_silver(spark: SparkSession, p: LakePaths, run_date: str) -> DataFrame:
-    """O2: A2 -> C3 -> C4 (+B5) -> F1 -> E4 -> C8 -> L12 -> B2 (merge by key
-    into the dates touched)."""
+    sink.write_bronze(quality.gate(flat, suite), p.bronze, run_date)
+    discard_cut(landed)
+    return totals["kept_rows"]
+
+
+def bronze_written(spark: SparkSession, p: LakePaths, run_date: str) -> DataFrame:
+    """L13 over the stored tables of a run: lines landed against rows of
+    Bronze, of the corrupt quarantine and of the rejects."""
+    rejects = spark.read.parquet(p.rejects).where(F.col("reject_date") == run_date)
+    parts = [
+        spark.read.text(p.landing).agg(F.count("*").alias("n")).select(F.lit("input_rows").alias("part"), "n"),
+        spark.read.schema("_raw_record string").json(p.quarantine).agg(F.count("*").alias("n")).select(F.lit("corrupt_rows"), "n"),
+        lake.read_partition(spark, p.bronze, run_date).agg(F.count("*").alias("n")).select(F.lit("kept_rows"), "n"),
+        rejects.agg(F.count_if(F.col("_reject_reason") == "delete_event").alias("n")).select(F.lit("deleted_rows"), "n"),
+        rejects.agg(F.count_if(F.col("_reject_reason") != "delete_event").alias("n")).select(F.lit("unknown_op_rows"), "n")]
+    rows = parts[0]
+    for other in parts[1:]:
+        rows = rows.union(other)
+    names = ["input_rows", "corrupt_rows", "kept_rows", "deleted_rows", "unknown_op_rows"]
+    wide = rows.agg(*[F.max(F.when(F.col("part") == c, F.col("n"))).alias(c) for c in names])
+    return wide.withColumn("balanced", F.col(names[0]) == sum((F.col(c) for c in names[2:]), F.col(names[1])))
+
+
+def run_silver(spark: SparkSession, p: LakePaths, run_date: str, deletes: bool = False) -> DataFrame:
+    """O2: A2 -> C3 -> C4 (+B5) -> F1 -> E4 -> C8 -> L13 -> L12 -> B2 (latest
+    version per key, in the dates touched). With ``deletes`` the keys whose
+    latest change of the run is a delete event leave Silver (X24). Returns
+    the stored table."""
     src = lake.read_partition(spark, p.bronze, run_date).drop("ingestion_date")
-    silver, invalid = clean.silver_orders(src, run_date)
-    sink.quarantine_invalid(invalid, p.silver_quarantine, run_date)
-    silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
-    (quality.QualitySuite(silver, "silver_orders").not_empty()
-     .no_nulls(["order_id", "customer_id", "order_date", "order_total_usd"])
-     .unique(["order_id"]).accepted_values("order_status", fixed.VALID_ORDER_STATUSES)
-     .validate(raise_on_failure=True))
+    tagged = cut_lineage(clean.cast_and_normalise(src).withColumn("_quarantine_reason", clean.invalid_reason()))
+    totals = quality.reject_accounting(tagged, "silver").first()
+    if not totals["balanced"]:
+        raise ValueError(f"Silver accounting does not balance: {totals.asDict()}")
+    sink.quarantine_invalid(tagged.where("_quarantine_reason is not null"), p.silver_quarantine, run_date)
+    valid = tagged.where("_quarantine_reason is null").drop("_quarantine_reason")
+    silver = cut_lineage(clean.derive_order_flags(clean.fx_lookup(clean.latest_per_key(valid))))
+    quality.gate(silver, quality.QualitySuite(silver, "silver_orders").not_empty()
+                 .no_nulls(["order_id", "customer_id", "order_date", "order_total_usd"])
+                 .unique(["order_id"]).accepted_values("order_status", fixed.VALID_ORDER_STATUSES))
     existing = lake.read_history(spark, p.silver) if lake.path_exists(spark, p.silver) else None
-    written = sink.write_silver(silver, p.silver, existing=existing)
-    silver.unpersist()
-    return written
+    sink.write_silver(silver, p.silver, existing=existing)
+    if deletes:
+        drop_deleted(spark, p, run_date)
+    discard_cut(tagged, silver)
+    return lake.read_history(spark, p.silver)
+
+
+def drop_deleted(spark: SparkSession, p: LakePaths, run_date: str) -> None:
+    """Rewrite the dates of Silver that hold keys whose latest change of
+    the run is a delete event, without them."""
+    gone = spark.read.parquet(p.rejects).where((F.col("reject_date") == run_date) & (F.col("op") == "d")).select(
+        F.col("after.order_id").alias("order_id"), F.col("op").alias("_cdc_operation"),
+        F.col("ts_ms").alias("_kafka_timestamp_ms"))
+    kept = lake.read_partition(spark, p.bronze, run_date).select("order_id", "_cdc_operation", "_kafka_timestamp_ms")
+    keys = cut_lineage(change.latest_deletes(kept.unionByName(gone)))
+    sink.delete_from_partitions(keys, p.silver, "order_id", "order_date")
+    discard_cut(keys)
 
 
 def run_gold(spark: SparkSession, p: LakePaths, as_of: str) -> DataFrame:
     """O3: A3 -> D5 + N1 -> L12 -> B3. Returns the latest copy as read back."""
-    ltv = gold.compute_ltv_metrics(lake.read_history(spark, p.silver), as_of)
-    ltv = ltv.persist(StorageLevel.MEMORY_AND_DISK)
-    (quality.QualitySuite(ltv, "gold_customer_ltv").not_empty()
-     .no_nulls(["customer_id", "total_orders", "ltv_segment"]).unique(["customer_id"])
-     .accepted_values("ltv_segment", fixed.LTV_SEGMENTS).validate(raise_on_failure=True))
+    ltv = cut_lineage(gold.compute_ltv_metrics(lake.read_history(spark, p.silver), as_of))
+    quality.gate(ltv, quality.QualitySuite(ltv, "gold_customer_ltv").not_empty()
+                 .no_nulls(["customer_id", "total_orders", "ltv_segment"]).unique(["customer_id"])
+                 .accepted_values("ltv_segment", fixed.LTV_SEGMENTS))
     sink.write_snapshot_and_latest(ltv, p.gold, p.export, as_of)
-    ltv.unpersist()
+    discard_cut(ltv)
     return spark.read.parquet(p.export)
 
 
@@ -98,34 +142,48 @@ def mart_registry(spark: SparkSession, p: LakePaths, customers_src: DataFrame, a
     return reg
 
 
-def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of: str, as_of_ts: str) -> dict[str, str]:
-    """C6, C7 -> E2 -> C11 -> B8 (fact, merged by order_id, clustered by
-    date); E3 (dimension); D6 (finance). Returns the written paths."""
+def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of: str, as_of_ts: str,
+              lookback_column: str = "order_date") -> dict[str, str]:
+    """C6, C7 -> E2 -> C11 -> B8 (fact, merged by order_id into the dates
+    touched); E3 (dimension); D6 (finance). Returns the written paths.
+
+    ``lookback_column``: what the incremental look-back compares with the
+    stored maximum. ``order_date`` takes in recent orders; ``order_updated_at``
+    also orders of any date that were corrected since."""
     reg = mart_registry(spark, p, customers_src, as_of_ts)
     fct_new = reg.ref("fct_orders_source")
     fct_path = f"{p.marts}/fct_orders"
-    if lake.path_exists(spark, fct_path):
-        target = spark.read.parquet(fct_path)
-        wm = change.read_target_watermark(target)
-        fct = cut_lineage(change.merge_upsert(target, change.incremental_lookback(fct_new, wm), "order_id"))
-    else:  # first run: full load
-        fct = fct_new
-    sink.write_clustered(fct, fct_path)
+    target = spark.read.parquet(fct_path) if lake.path_exists(spark, fct_path) else None
+    since = change.read_target_watermark(target, lookback_column)
+    sink.merge_into_partitions(change.incremental_lookback(fct_new, since, column=lookback_column),
+                               fct_path, "order_id", "order_date", target)
     reg.register_path("fct_orders", fct_path)
     paths = {"fct_orders": fct_path, "dim_customers": f"{p.marts}/dim_customers",
              "revenue_summary": f"{p.marts}/revenue_summary"}
     dim = marts.dim_customers(reg.ref("stg_customers"), reg.ref("customer_ltv_gold"), as_of, as_of_ts)
-    sink._writer(dim).parquet(paths["dim_customers"])
-    sink._writer(marts.revenue_summary(reg.ref("fct_orders"), as_of_ts)).parquet(paths["revenue_summary"])
+    sink.replace_table(dim, paths["dim_customers"])
+    sink.replace_table(marts.revenue_summary(reg.ref("fct_orders"), as_of_ts), paths["revenue_summary"])
     return paths
 
 
 def run_snapshot(spark: SparkSession, p: LakePaths, source: DataFrame, run_ts: str) -> DataFrame:
-    """C7 -> E7. Applies one snapshot step to the stored history (or
-    starts it) and replaces the history folder via a lineage cut."""
-    if lake.path_exists(spark, p.snapshots):
-        out = cut_lineage(change.scd2_apply(spark.read.parquet(p.snapshots), source, run_ts))
+    """C7 -> E7. One snapshot step: only the open versions are read and
+    replaced; versions that close are appended to the closed history, which is
+    never rewritten. Returns the whole history.
+
+    Closed versions carry the run that closed them as a partition, so a step
+    that failed half-way and runs again replaces what it had appended."""
+    open_path, closed_path = f"{p.snapshots}/open", f"{p.snapshots}/closed"
+    if lake.path_exists(spark, open_path):
+        step = cut_lineage(change.scd2_apply(spark.read.parquet(open_path), source, run_ts))
+        run = "".join(c for c in run_ts if c.isdigit())
+        sink._writer(step.where("valid_to is not null").withColumn("closed_run", F.lit(run))).partitionBy(
+            "closed_run").parquet(closed_path)
+        sink.replace_table(step.where("valid_to is null"), open_path)
+        discard_cut(step)
     else:  # first run
-        out = change.scd2_initial(source)
-    sink._writer(out).parquet(p.snapshots)
-    return spark.read.parquet(p.snapshots)
+        sink.replace_table(change.scd2_initial(source), open_path)
+    history = spark.read.parquet(open_path)
+    if lake.path_exists(spark, closed_path):
+        history = history.unionByName(spark.read.parquet(closed_path).drop("closed_run"))
+    return history

@@ -1,24 +1,23 @@
 """Parquet lake writers.
 
+File sizes follow the data (B14): every write goes through a ``REBALANCE``
+hint, by which AQE joins small pieces and splits large ones (a hot date, a
+one-day load) toward the advisory size; no writer has a fixed number of tasks.
 Partition writes use dynamic partition overwrite, so a rerun replaces only
-the partitions it produces, and a ``REBALANCE`` hint on the partition column
-(AQE splits a large value into advisory-size files). Unpartitioned writes get
-their file count from a deterministic salt (a hash of the row key, never
-``rand()``): a task retried after an executor loss routes every row exactly as
-the first attempt did.
+the partitions it produces. Keyed tables are merged partition by partition, and
+whole-table replacements are written beside the table and swapped in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.functions import fixed
 from ordermart.operators.change import merge_upsert
-from ordermart.session import cut_lineage, sql_conf
+from ordermart.operators.clean import VERSION_ORDER, latest_per_key
+from ordermart.session import cut_lineage, delete_path, discard_cut, hadoop_path, sql_conf
 
 MAX_RECORDS_PER_FILE = 2_000_000
 
@@ -32,28 +31,12 @@ def _writer(df: DataFrame, mode: str = "overwrite"):
     )
 
 
-def spread(df: DataFrame, partition_col: str | None, files: int, salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """File sizing.
-
-    Partitioned writes use a ``REBALANCE(partition_col)`` hint: AQE keeps one
-    value's rows together when they are few and splits a large value (a
-    one-day load, a hot date) into advisory-size chunks, so the file count
-    follows the data volume instead of ``dates x files``. Unpartitioned
-    writes get ``files`` files via a deterministic hash salt."""
-    if partition_col is not None:
-        return df.hint("rebalance", partition_col)
-    salt_cols = list(salt_cols or df.columns[:1])
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(files))
-    return df.repartition(files, salt)
-
-
-def write_bronze(df: DataFrame, root: str, run_date: str, files: int = fixed.BRONZE_FILES) -> None:
+def write_bronze(df: DataFrame, root: str, run_date: str) -> None:
     """B1: idempotent replace of one ingestion-date partition."""
-    out = df.withColumn("ingestion_date", F.lit(str(run_date)))
-    write_partitioned(out, root, "ingestion_date", files, ["order_id", "_kafka_timestamp_ms"])
+    write_partitioned(df.withColumn("ingestion_date", F.lit(str(run_date))), root, "ingestion_date")
 
 
-def write_partitioned(df: DataFrame, root: str, partition_col: str, files: int, salt_cols: Sequence[str]) -> None:
+def write_partitioned(df: DataFrame, root: str, partition_col: str) -> None:
     """Dynamic overwrite of every partition present in ``df``.
 
     AQE keeps splitting large partition values (REBALANCE skew handling) but
@@ -62,36 +45,94 @@ def write_partitioned(df: DataFrame, root: str, partition_col: str, files: int,
     turn, while the uncoalesced hash spread writes them in parallel (empty
     shuffle partitions write nothing)."""
     with sql_conf(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        _writer(spread(df, partition_col, files, salt_cols)).partitionBy(partition_col).parquet(root)
+        _writer(df.hint("rebalance", partition_col)).partitionBy(partition_col).parquet(root)
+
+
+def merge_into_partitions(
+    updates: DataFrame,
+    root: str,
+    key: str,
+    partition_col: str,
+    existing: DataFrame | None,
+    order_by: Sequence[str] | None = None,
+) -> list:
+    """Merge rows by key into a table partitioned by ``partition_col``.
+
+    Touched partitions are those of the update rows and those where their
+    keys now lie (a key whose date moves leaves its old date). Only these are
+    read (a literal filter, so the scan prunes folders), merged, and
+    replaced; the files of all other partitions stay as they are. With
+    ``order_by`` the latest of old and new row per key stays, so an older run
+    cannot overwrite newer rows; without it the update wins. The list of
+    touched dates is what reaches the driver. Returns it."""
+    if existing is None:
+        write_partitioned(updates, root, partition_col)
+        return []
+    spark = updates.sparkSession
+    updates = cut_lineage(updates.select(existing.columns))  # read several times
+    where_now = existing.select(key, partition_col).join(updates.select(key), key, "left_semi")
+    touched = [r[0] for r in updates.select(partition_col).union(where_now.select(partition_col)).distinct().collect()]
+    old = existing.where(F.col(partition_col).isin(touched)) if touched else existing.where("false")
+    merged = cut_lineage(latest_per_key(old.unionByName(updates), key, order_by) if order_by
+                         else merge_upsert(old, updates, key))
+    left = {r[0] for r in merged.select(partition_col).distinct().collect()}
+    write_partitioned(merged, root, partition_col)
+    for value in set(touched) - left:  # a date all of whose keys moved away
+        delete_path(spark, f"{root}/{partition_col}={value}")
+    discard_cut(updates, merged)
+    return sorted(touched)
+
+
+def delete_from_partitions(keys: DataFrame, root: str, key: str, partition_col: str) -> list:
+    """Remove keys from a partitioned table, rewriting only the dates that hold them."""
+    spark = keys.sparkSession
+    table = spark.read.parquet(root)
+    touched = [r[0] for r in table.select(key, partition_col).join(keys.select(key), key, "left_semi")
+               .select(partition_col).distinct().collect()]
+    if touched:
+        left = cut_lineage(table.where(F.col(partition_col).isin(touched)).join(keys.select(key), key, "left_anti"))
+        still = {r[0] for r in left.select(partition_col).distinct().collect()}
+        write_partitioned(left, root, partition_col)
+        for value in set(touched) - still:
+            delete_path(spark, f"{root}/{partition_col}={value}")
+        discard_cut(left)
+    return sorted(touched)
 
 
 def write_silver(df: DataFrame, root: str, key: str = "order_id", partition_col: str = "order_date",
-                 files: int = fixed.SILVER_FILES, existing: DataFrame | None = None) -> DataFrame:
-    """B2 with X3 fixed: merge the new rows into the existing rows of the
-    dates they touch (latest per key), cut the lineage with a reliable
-    checkpoint (the merge reads the folder it is about to overwrite), then
-    dynamically overwrite only those dates. Returns the written rows."""
-    if existing is not None:
-        touched = df.select(partition_col).distinct()
-        old = existing.join(touched, partition_col, "left_semi")
-        df = merge_upsert(old, df.select(existing.columns), key)
-        df = cut_lineage(df)
-    write_partitioned(df, root, partition_col, files, [key])
-    return df
-
-
-def write_snapshot_and_latest(df: DataFrame, gold_root: str, latest_path: str, as_of: str,
-                              files: int = fixed.GOLD_FILES) -> int:
-    """One computation, two outputs (dated snapshot and stable latest
-    copy). Persisted once, unpersisted after both writes."""
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = cached.count()
-        _writer(cached.repartition(files)).parquet(f"{gold_root}/as_of_date={as_of}")
-        _writer(cached.repartition(files)).parquet(latest_path)
-    finally:
-        cached.unpersist()
-    return n
+                 existing: DataFrame | None = None) -> None:
+    """B2 with X3 fixed: latest version per key across stored and new rows."""
+    merge_into_partitions(df, root, key, partition_col, existing, VERSION_ORDER)
+
+
+def swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Replace the table at ``path`` by the finished one at ``staged``: the old
+    one is renamed away first and deleted last, so a failure leaves one whole."""
+    fs, target = hadoop_path(spark, path)
+    _, new = hadoop_path(spark, staged)
+    _, old = hadoop_path(spark, f"{path.rstrip('/')}__old")
+    fs.delete(old, True)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} away")
+    if not fs.rename(new, target):
+        raise OSError(f"cannot move {staged} to {path}")
+    fs.delete(old, True)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write a whole table beside ``path`` (which ``df`` may read), then swap it in."""
+    staged = f"{path.rstrip('/')}__new"
+    _writer(df.hint("rebalance")).parquet(staged)
+    swap_in(df.sparkSession, staged, path)
+
+
+def write_snapshot_and_latest(df: DataFrame, gold_root: str, latest_path: str, as_of: str) -> None:
+    """The dated snapshot is written from ``df``; the stable latest copy is
+    copied from that snapshot's files, so nothing is computed or cached twice."""
+    snapshot = f"{gold_root}/as_of_date={as_of}"
+    _writer(df.hint("rebalance")).parquet(snapshot)
+    replace_table(df.sparkSession.read.schema(df.schema).parquet(snapshot), latest_path)
 
 
 def quarantine_corrupt(corrupt: DataFrame, path: str, quarantined_at: str | None = None) -> None:
@@ -103,12 +144,18 @@ def quarantine_corrupt(corrupt: DataFrame, path: str, quarantined_at: str | None
     corrupt.select(F.col("_corrupt_record").alias("_raw_record"), ts.alias("_quarantine_ts")).write.mode("append").json(path)
 
 
+def write_rejects(rejects: DataFrame, path: str, run_date: str) -> None:
+    """Events that a layer does not take, with their reason; a rerun of a date replaces its rejects."""
+    _writer(rejects.withColumn("reject_date", F.lit(str(run_date)))).partitionBy("reject_date").parquet(path)
+
+
 def quarantine_invalid(invalid: DataFrame, path: str, run_date: str) -> None:
-    """Append rule violators with reason and date, by ingestion date."""
+    """Rule violators with reason and date, by ingestion date; a rerun of a
+    date replaces that date's rejects."""
     out = invalid.withColumn("_quarantine_date", F.lit(str(run_date)))
     if "_quarantine_reason" not in out.columns:
         out = out.withColumn("_quarantine_reason", F.lit("business_rule_violation"))
-    out.write.mode("append").option("compression", "snappy").partitionBy("_ingestion_date").parquet(path)
+    _writer(out).partitionBy("_ingestion_date").parquet(path)
 
 
 def write_profile_features(profile: DataFrame, path: str) -> None:
@@ -125,10 +172,10 @@ def write_profile_features(profile: DataFrame, path: str) -> None:
     _writer(profile.select(*cols)).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, cluster_col: str = "order_date", files: int = 8) -> None:
-    """G1: range-partition by the cluster column and sort within files, so
-    readers filtering on it skip whole row groups."""
-    _writer(df.repartitionByRange(files, cluster_col).sortWithinPartitions(cluster_col)).parquet(path)
+def write_clustered(df: DataFrame, path: str, cluster_col: str = "order_date") -> None:
+    """G1: rows of a cluster value lie together, sorted, so readers that filter
+    on it skip whole row groups; a value too large for one task is split."""
+    _writer(df.hint("rebalance", cluster_col).sortWithinPartitions(cluster_col)).parquet(path)
 
 
 def write_audit(scored: DataFrame, path: str, date_col: str = "event_date") -> None:
@@ -148,7 +195,7 @@ def save_table(df: DataFrame, database: str, table: str, location: str, cluster_
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     name = f"{database}.{table}"
-    out = df.repartitionByRange(cluster_col).sortWithinPartitions(cluster_col) if cluster_col else df
+    out = df.hint("rebalance", cluster_col).sortWithinPartitions(cluster_col) if cluster_col else df
     out.write.mode("overwrite").format("parquet").saveAsTable(name)
     analyze_table(spark, name)
     return name

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermart.session import hadoop_path
+
 
 def read_partition(spark: SparkSession, root: str, run_date: str, partition_col: str = "ingestion_date") -> DataFrame:
     """A2: exactly one partition, by a filter on the partition column:
@@ -17,9 +19,8 @@ def read_partition(spark: SparkSession, root: str, run_date: str, partition_col:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (first-run detection), via the Hadoop
     file system of the path, so it works for object stores too."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
