@@ -68,8 +68,3 @@ def elapsed_hours(later_ts: Column, earlier_ts: Column) -> Column:
 def parse_iso_instant(text: Column) -> Column:
     """ISO-8601 instant text ('...Z' or with offset) -> timestamp."""
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]X"))
-
-
-def money_avg_2(value: Column) -> Column:
-    """Average of a decimal money column rounded half-up to 2 places."""
-    return F.avg(value).cast("decimal(18,2)")

@@ -57,11 +57,6 @@ BRONZE_VOLUME_TOLERANCE = 0.35
 FRESHNESS_WARN_HOURS = 2
 FRESHNESS_ERROR_HOURS = 6
 
-# --- fixed values: file sizing ----------------------------------------------
-BRONZE_FILES = 20
-SILVER_FILES = 20
-GOLD_FILES = 10
-
 # --- fixed values: fraud rules ----------------------------------------------
 VELOCITY_1MIN_THRESHOLD = 5
 VELOCITY_5MIN_THRESHOLD = 10
@@ -79,9 +74,5 @@ PROFILE_TTL_DAYS = 35
 SCORE_BLOCK_ABOVE = 0.85
 SCORE_REVIEW_FROM = 0.6
 RISK_ACTIONS = ["BLOCK", "REVIEW"]
-RULE_NAMES = [
-    "blacklisted_merchant", "velocity_1min", "velocity_5min", "amount_spike",
-    "geo_impossibility", "new_device_high_amount", "unusual_merchant_category",
-]
 MAX_RECORDS_PER_TRIGGER = 10_000
 TRIGGER_INTERVAL = "500 milliseconds"

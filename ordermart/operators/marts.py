@@ -34,7 +34,8 @@ def stage_orders(silver: DataFrame) -> DataFrame:
 
 def stage_customers(src: DataFrame) -> DataFrame:
     """trim/lower email and channel, default names, upper country,
-    booleans and dates typed."""
+    booleans and dates typed. A text that does not parse becomes NULL (and is
+    listed by :func:`unparsable_customers`) instead of failing the job."""
     return src.select(
         "customer_id",
         F.lower(F.trim(F.col("email"))).alias("email"),
@@ -43,15 +44,27 @@ def stage_customers(src: DataFrame) -> DataFrame:
         F.upper(F.trim(F.col("country_code"))).alias("country_code"),
         F.lower(F.trim(F.col("acquisition_channel"))).alias("acquisition_channel"),
         "customer_tier",
-        F.col("is_email_verified").cast("boolean").alias("is_email_verified"),
-        F.col("is_marketing_opted_in").cast("boolean").alias("is_marketing_opted_in"),
-        F.col("created_at").cast("timestamp").alias("customer_created_at"),
-        F.col("updated_at").cast("timestamp").alias("customer_updated_at"),
-        F.col("date_of_birth").cast("date").alias("date_of_birth"),
+        F.col("is_email_verified").try_cast("boolean").alias("is_email_verified"),
+        F.col("is_marketing_opted_in").try_cast("boolean").alias("is_marketing_opted_in"),
+        F.col("created_at").try_cast("timestamp").alias("customer_created_at"),
+        F.col("updated_at").try_cast("timestamp").alias("customer_updated_at"),
+        F.col("date_of_birth").try_cast("date").alias("date_of_birth"),
         "_ingested_at",
     )
 
 
+#: Customer columns that arrive as text, and their types.
+CUSTOMER_TYPES = {"is_email_verified": "boolean", "is_marketing_opted_in": "boolean", "created_at": "timestamp",
+                  "updated_at": "timestamp", "date_of_birth": "date"}
+
+
+def unparsable_customers(src: DataFrame) -> DataFrame:
+    """C7 rejects: rows with a text that is no value of its type, and which columns."""
+    bad = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in CUSTOMER_TYPES.items()]))
+    return src.withColumn("_unparsable", bad).where(F.size("_unparsable") > 0)
+
+
 def enrich_orders(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """E2 + C9 + C10: orders left join current customers using customer_id.
 

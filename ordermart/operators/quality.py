@@ -7,8 +7,8 @@ small result DataFrame (check_name, passed, details):
   outside a domain, freshness) is one aggregate in **one** pass, fused with
   the first uniqueness check (group by its key, then a one-row merge);
 * each further uniqueness check adds one grouped aggregate (one shuffle);
-* each accepted-values check adds a bounded sample (sorted distinct bad
-  values, ``limit`` k) for the details text;
+* all accepted-values checks together add one scan, whose bad values are
+  counted per (check, value) before they meet;
 * each relationship check adds one anti join.
 
 Only the result frame (one row per check) is ever collected, by
@@ -45,11 +45,11 @@ def py_list_text(values: Column) -> Column:
 class QualitySuite:
     df: DataFrame
     dataset_name: str
-    sample_size: int = 20
     _counts: list = field(default_factory=list)   # (alias, agg expr)
     _rows: list = field(default_factory=list)     # row builders over the main aggregate
     _extra: list = field(default_factory=list)    # separate one-row frames
     _unique: list = field(default_factory=list)   # column lists of uniqueness checks
+    _accepted: list = field(default_factory=list)  # (column, allowed values)
 
     # -- declarations -----------------------------------------------------
     def _count(self, alias: str, expr: Column, combine: str = "sum") -> str:
@@ -101,19 +101,30 @@ class QualitySuite:
         )
 
     def accepted_values(self, column: str, allowed: Sequence[str]) -> "QualitySuite":
-        """NULL passes; details list the first ``sample_size`` distinct
-        bad values in sort order and the number of bad rows."""
-        bad = ~F.col(column).isin(list(allowed))
-        a = self._count(f"_bad_{column}", F.count_if(F.coalesce(bad, F.lit(False))))
-        self._rows.append(("accepted", column, a, bad))
+        """NULL passes; details list the distinct bad values in sort order
+        and the number of bad rows (:meth:`bad_values` has them as rows)."""
+        self._accepted.append((column, list(allowed)))
         return self
 
-    def _sample(self, column: str, bad: Column) -> DataFrame:
-        return (
-            self.df.where(bad).select(F.col(column).cast("string").alias("_v")).distinct()
-            .orderBy("_v").limit(self.sample_size)
-            .agg(F.array_sort(F.collect_list("_v")).alias("_vals"))
-        )
+    def _accepted_frame(self) -> DataFrame:
+        """One row per accepted-values check, from one scan: each row's bad
+        values become (check, value) pairs, counted per pair before they meet."""
+        pairs = F.array(*[
+            F.when(~F.col(c).isin(allowed), F.struct(F.lit(i).alias("check"), F.col(c).cast("string").alias("value")))
+            for i, (c, allowed) in enumerate(self._accepted)])
+        bad = (self.df.select(F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("p"))
+               .groupBy("p.check", "p.value").agg(F.count("*").alias("rows")))
+        checks = self.df.sparkSession.createDataFrame(
+            [(i, f"accepted_values:{c}") for i, (c, _) in enumerate(self._accepted)], "check int, name string")
+        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), F.array_sort(F.collect_list("value")).alias("values"))
+        text = F.concat(F.lit("invalid_values="), py_list_text(F.coalesce("values", F.array().cast("array<string>"))),
+                        F.format_string(" invalid_rows=%d", F.coalesce("rows", F.lit(0))))
+        return checks.join(per_check, "check", "left").select(_result(F.col("name"), F.col("rows").isNull(), text).alias("r"))
+
+    def bad_values(self, column: str, allowed: Sequence[str]) -> DataFrame:
+        """L5/D13 as rows: every value outside the domain and its number of rows."""
+        value = F.col(column).cast("string").alias("value")
+        return self.df.where(~F.col(column).isin(list(allowed))).groupBy(value).agg(F.count("*").alias("rows"))
 
     def volume(self, expected: int, tolerance: float = fixed.VOLUME_TOLERANCE) -> "QualitySuite":
         """|actual - expected| / max(expected, 1) <= tolerance."""
@@ -184,21 +195,10 @@ class QualitySuite:
                 frames.append(agg.select(self._unique_row(cols, F.col("_t"), F.col("_d")).alias("r")))
         else:
             main = self.df.agg(*[e.alias(a) for a, e, _ in parts]) if parts else None
-        plain = [r for r in self._rows if callable(r)]
-        if plain or unique_rows:
-            frames.append(main.select(F.explode(F.array(*[r() for r in plain], *unique_rows)).alias("r")))
-        for r in self._rows:
-            if callable(r):
-                continue
-            _, column, a, bad = r
-            u = self._sample(column, bad).select("_vals", F.lit(None).cast("bigint").alias(a)).unionByName(
-                main.select(F.lit(None).cast("array<string>").alias("_vals"), F.col(a).cast("bigint").alias(a)))
-            one = u.agg(F.max("_vals").alias("_vals"), F.max(a).alias(a))
-            frames.append(one.select(_result(
-                f"accepted_values:{column}", F.col(a) == 0,
-                F.concat(F.lit("invalid_values="), py_list_text(F.coalesce(F.col("_vals"), F.array().cast("array<string>"))),
-                         F.format_string(" invalid_rows=%d", F.col(a))),
-            ).alias("r")))
+        if self._rows or unique_rows:
+            frames.append(main.select(F.explode(F.array(*[r() for r in self._rows], *unique_rows)).alias("r")))
+        if self._accepted:
+            frames.append(self._accepted_frame())
         frames.extend(self._relationship_frame(*spec[1:]) for spec in self._extra)
         out = frames[0]
         for f in frames[1:]:
@@ -247,26 +247,27 @@ def suite_from_specs(df: DataFrame, dataset_name: str, specs: Sequence[dict], pa
     return s
 
 
-def gate(df: DataFrame, suite: QualitySuite, persist: bool = True) -> DataFrame:
-    """Run the suite before a write; returns the (persisted) frame when
-    every check passes, raises otherwise. Persisting keeps the write from
-    recomputing the lineage the checks already read."""
-    if persist:
-        df = df.persist()
-        suite.df = df
+def gate(df: DataFrame, suite: QualitySuite) -> DataFrame:
+    """Run the suite before a write; returns the frame when every check
+    passes, raises otherwise."""
     suite.validate(raise_on_failure=True)
     return df
 
 
-def schema_conformance(df: DataFrame, expected: StructType, spark=None) -> DataFrame:
+def schema_conformance(df: DataFrame, expected: StructType) -> DataFrame:
     """One row per expected or actual column: name, expected and actual
-    type, passed. Metadata only - no data is read."""
-    spark = spark or df.sparkSession
+    type, its non-NULL rows (one aggregate over the table), passed."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     want = {f.name: f.dataType.simpleString() for f in expected.fields}
     names = list(want) + [n for n in actual if n not in want]
-    rows = [(n, want.get(n), actual.get(n), want.get(n) == actual.get(n)) for n in names]
-    return spark.createDataFrame(rows, "column_name string, expected_type string, actual_type string, passed boolean")
+    filled = df.agg(*[F.count(F.col(f"`{n}`")).alias(n) for n in actual])
+    kind = "string"
+    rows = F.array(*[F.struct(
+        F.lit(n).alias("column_name"), F.lit(want.get(n)).cast(kind).alias("expected_type"),
+        F.lit(actual.get(n)).cast(kind).alias("actual_type"),
+        (F.col(f"`{n}`") if n in actual else F.lit(None)).cast("bigint").alias("non_null_rows"),
+        F.lit(want.get(n) == actual.get(n)).alias("passed")) for n in names])
+    return filled.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def reject_accounting(tagged: DataFrame, layer: str, reason: str = "_quarantine_reason") -> DataFrame:

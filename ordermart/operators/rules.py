@@ -23,16 +23,13 @@ REASON_SUSPICIOUS = "Suspicious signals: "
 REASON_NONE = "No fraud signals"
 
 
-def blocklist_flag(tx: DataFrame, blocklist: Sequence[str] | DataFrame, merchant: str = "merchant_id",
-                   broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def blocklist_flag(tx: DataFrame, blocklist: Sequence[str] | DataFrame, merchant: str = "merchant_id") -> DataFrame:
     """``is_blacklisted_merchant``. A literal list becomes ``isin``; a
-    table is joined (left, on the merchant) and broadcast only after its
-    size is checked."""
+    table is joined (left, on the merchant): AQE broadcasts it when its real
+    size allows and splits a hot merchant otherwise."""
     if not isinstance(blocklist, DataFrame):
         return tx.withColumn("is_blacklisted_merchant", F.col(merchant).isin(list(blocklist)))
     bl = blocklist.select(F.col(blocklist.columns[0]).alias("_bl_merchant")).distinct()
-    if bl.count() <= broadcast_max_rows:
-        bl = F.broadcast(bl)
     j = tx.join(bl, F.col(merchant) == F.col("_bl_merchant"), "left")
     return j.withColumn("is_blacklisted_merchant", F.col("_bl_merchant").isNotNull()).drop("_bl_merchant")
 

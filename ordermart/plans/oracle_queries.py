@@ -332,6 +332,14 @@ FROM cdc_events""", "cdc_events"))
 oracle("bronze_op_rejects", with_ctes(
     "SELECT CASE WHEN op = 'd' THEN 'delete_event' WHEN op IS NULL THEN 'null_op' ELSE 'unknown_op' END AS _reject_reason, "
     "count(*) AS rows FROM cdc_events WHERE NOT coalesce(op IN ('c', 'u', 'r'), FALSE) GROUP BY 1", "cdc_events"))
+oracle("pipeline_bronze_accounting", ORACLE["bronze_reject_accounting"])
+oracle("sink_quarantine_corrupt", with_ctes(
+    f"SELECT TIMESTAMP '{AS_OF_TS_DQ}' AS _quarantine_ts, count(*) AS rows FROM cdc_events WHERE broken", "cdc_events"))
+oracle("silver_older_run_after_newer", ORACLE["silver_orders"])
+oracle("rule_blocklist_table", with_ctes(
+    "SELECT transaction_id, merchant_id IN ('M-13', 'M-42') AS is_blacklisted_merchant FROM transactions", "transactions"))
+oracle("dq_bad_values", "SELECT p_brand AS value, count(*) AS rows FROM part "
+       "WHERE p_brand NOT IN ('Brand#11', 'Brand#22') GROUP BY 1")
 oracle("silver_fx_rate_table", ORACLE["silver_fx_usd"])
 oracle("sink_roundtrip_bronze", with_ctes(f"SELECT *, DATE '{RUN_DATE}' AS ingestion_date FROM cdc_bronze", "cdc_bronze"))
 oracle("sink_roundtrip_silver", ORACLE["silver_orders"])
@@ -361,6 +369,14 @@ oracle("stream_alerts", with_ctes(
     "stream_scored"))
 oracle("stream_dedup", with_ctes(
     "SELECT count(*) AS rows, count(DISTINCT transaction_id) AS transactions FROM transactions", "transactions"))
+oracle("stream_accounting", with_ctes("""
+SELECT count(*) + count(*) FILTER (WHERE replay AND NOT late) + count(*) FILTER (WHERE replay) + count(*) FILTER (WHERE broken)
+    AS input_rows,
+  count(*) AS decided_rows, count(*) AS transactions, TRUE AS has_late,
+  2 * count(*) FILTER (WHERE replay AND NOT late) + count(*) FILTER (WHERE replay AND late) AS duplicate_rows,
+  count(*) FILTER (WHERE broken) AS undecodable_rows, TRUE AS balanced
+FROM (SELECT n % 37 = 1 AS late, n % 50 = 0 AS replay, n % 211 = 0 AS broken
+      FROM (SELECT CAST(split_part(transaction_id, '-', 2) AS BIGINT) AS n FROM transactions))""", "transactions"))
 oracle("stream_tumbling_velocity", with_ctes("""
 SELECT card_id, time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
   time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end, count(*) AS tx_count
@@ -390,7 +406,7 @@ oracle("stream_equals_batch", with_ctes(
 from ordermart.plans.queries import SILVER_SCHEMA_DDL  # noqa: E402
 
 _SCHEMA_ROWS = [c.strip().split(" ", 1) for c in SILVER_SCHEMA_DDL.split(", ")]
-oracle("dq_schema", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{n}', '{t}', '{t}', TRUE)" for n, t in _SCHEMA_ROWS
-) + ") AS t(column_name, expected_type, actual_type, passed)")
+oracle("dq_schema", with_ctes(" UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, '{t}' AS expected_type, '{t}' AS actual_type, count({n}) AS non_null_rows, TRUE AS passed "
+    "FROM silver_orders" for n, t in _SCHEMA_ROWS), "silver_orders"))
 oracle("sink_table_stats", with_ctes("SELECT 'fct_orders' AS table_name, count(*) AS row_count FROM fct_orders", "fct_orders"))

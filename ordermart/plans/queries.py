@@ -149,7 +149,7 @@ def q_customer_ltv(spark, sf):
 
 @query("ltv_join_variant")
 def q_ltv_join_variant(spark, sf):
-    return gold.compute_ltv_metrics_joined(silver(spark, sf), LTV_AS_OF)
+    return gold.ltv_metrics_by_class(silver(spark, sf), LTV_AS_OF)
 
 
 @query("ltv_segments")
@@ -540,7 +540,7 @@ def q_silver_reject_accounting(spark, sf):
 # --- Bronze, sinks and pipelines ---------------------------------------------
 from ordermart.operators import bronze as bronze_ops  # noqa: E402
 from ordermart.plans import pipelines  # noqa: E402
-from ordermart.session import scratch_path, shuffle_partitions  # noqa: E402
+from ordermart.session import cut_lineage, scratch_path, stream_start  # noqa: E402
 from ordermart.sinks import lake as sink  # noqa: E402
 from ordermart.sources import cdc, lake  # noqa: E402
 
@@ -575,6 +575,41 @@ def q_bronze_reject_accounting(spark, sf):
     return bronze_ops.bronze_accounting(raw)
 
 
+@query("pipeline_bronze_accounting")
+def q_pipeline_bronze_accounting(spark, sf):
+    return pipelines.bronze_written(spark, _pipeline_lake(spark, sf), RUN_DATE)
+
+
+@query("sink_quarantine_corrupt")
+def q_sink_quarantine_corrupt(spark, sf):
+    back = spark.read.schema("_raw_record string, _quarantine_ts timestamp").json(_pipeline_lake(spark, sf).quarantine)
+    return back.groupBy("_quarantine_ts").agg(F.count("*").alias("rows"))
+
+
+@query("silver_older_run_after_newer")
+def q_silver_older_run_after_newer(spark, sf):
+    """B2: the newest versions are stored first, the first versions after; the table is that of one run."""
+    root = scratch_path(spark, "silver-order")
+    sink.write_silver(silver(spark, sf), root)
+    older = A.bronze_rows(_orders(spark, sf)).where(F.col("_cdc_operation") == "c")
+    sink.write_silver(clean.silver_orders(older)[0], root, existing=lake.read_history(spark, root))
+    return lake.read_history(spark, root).select(SILVER_COLUMNS)
+
+
+@query("dq_bad_values")
+def q_dq_bad_values(spark, sf):
+    """All values outside a domain as rows, more than 20 of them."""
+    part = A.load_table(spark, sf, "part")
+    return quality.QualitySuite(part, "part").bad_values("p_brand", ["Brand#11", "Brand#22"])
+
+
+@query("rule_blocklist_table")
+def q_rule_blocklist_table(spark, sf):
+    """E9 with the blocklist as a table."""
+    blocked = tx(spark, sf).select("merchant_id").where(F.col("merchant_id").isin(BLOCKLISTED_MERCHANTS)).distinct()
+    return rules.blocklist_flag(tx(spark, sf), blocked).select("transaction_id", "is_blacklisted_merchant")
+
+
 @query("bronze_op_rejects")
 def q_bronze_op_rejects(spark, sf):
     rej = bronze_ops.op_rejects(A.cdc_events(_orders(spark, sf)))
@@ -722,7 +757,7 @@ def _stream_run(spark, sf, build, name):
         land = land.unionByName(replay.where(F.col("_slice") == s - 1).select(value))
         land.write.text(f"{root}/landing/slice={s:03d}")
         txs = stream_source.read_transactions(spark, path=f"{root}/landing/slice=*")
-        with shuffle_partitions(spark, None):
+        with stream_start(spark, None):
             q = build(txs, root).trigger(availableNow=True).start()
             q.awaitTermination()
         if q.exception():
@@ -730,11 +765,20 @@ def _stream_run(spark, sf, build, name):
     return root
 
 
+ID_MEMORY = 35 * 86_400  # replays come up to two slices later
+
+
+def _stored_profile(spark, sf):
+    """The nightly profile tables, stored as the refresh writes them (not recomputed per micro-batch)."""
+    return {n: cut_lineage(t) for n, t in stream_scorer.profile_tables(tx(spark, sf), PROFILE_DATE).items()}
+
+
 def _scorer_build(spark, sf):
-    profile = stream_scorer.profile_tables(tx(spark, sf), PROFILE_DATE)
+    profile = _stored_profile(spark, sf)
 
     def build(txs, root):
-        scored = stream_scorer.score_stream(txs, profile, BLOCKLISTED_MERCHANTS, F.lit(AS_OF_TS).cast("timestamp"))
+        scored = stream_scorer.score_stream(txs, profile, BLOCKLISTED_MERCHANTS, F.lit(AS_OF_TS).cast("timestamp"),
+                                            id_memory_seconds=ID_MEMORY)
         return scored.writeStream.foreachBatch(stream_scorer.fan_out(f"{root}/out")).option(
             "checkpointLocation", f"{root}/checkpoint")
     return build
@@ -771,10 +815,9 @@ def q_stream_dedup(spark, sf):
 
 def _window_build(which):
     def build(txs, root):
-        tumbling, sliding = stream_scorer.velocity_windows(txs)
+        tumbling, sliding = stream_scorer.velocity_windows(txs, ID_MEMORY)
         df = tumbling if which == "tumbling" else sliding
-        return (df.writeStream.outputMode("update")
-                .foreachBatch(stream_scorer.upsert_batches(f"{root}/out", ["card_id", "window_start"]))
+        return (df.writeStream.foreachBatch(stream_scorer.write_window_counts(f"{root}/out"))
                 .option("checkpointLocation", f"{root}/checkpoint"))
     return build
 
@@ -782,13 +825,56 @@ def _window_build(which):
 @query("stream_tumbling_velocity")
 def q_stream_tumbling(spark, sf):
     root = _stream_run(spark, sf, _window_build("tumbling"), "stream-tumbling")
-    return stream_scorer.latest_rows(spark, f"{root}/out", ["card_id", "window_start"])
+    return stream_scorer.window_totals(spark, f"{root}/out")
 
 
 @query("stream_sliding_velocity")
 def q_stream_sliding(spark, sf):
     root = _stream_run(spark, sf, _window_build("sliding"), "stream-sliding")
-    return stream_scorer.latest_rows(spark, f"{root}/out", ["card_id", "window_start"])
+    return stream_scorer.window_totals(spark, f"{root}/out")
+
+
+LATE_MODULUS, BROKEN_MODULUS = 37, 211
+
+
+@query("stream_accounting")
+def q_stream_accounting(spark, sf):
+    """O6 through :func:`run_fraud_stream`: events 45 minutes late (they come
+    with the second landing, after newer ones of their card), ids replayed at once
+    and in the second landing, broken lines. Every line is decided once, a duplicate,
+    or undecodable."""
+    root = scratch_path(spark, "stream-accounting")
+    t = features.with_event_ts(tx(spark, sf)).withColumn(
+        "_n", F.element_at(F.split("transaction_id", "-"), 2).cast("bigint"))
+    value = F.to_json(F.struct(*[F.col(f.name) for f in TRANSACTION.fields])).alias("value")
+    late = F.col("_n") % LATE_MODULUS == 1
+    replayed = t.where(F.col("_n") % REPLAY_MODULUS == 0)
+    broken = t.where(F.col("_n") % BROKEN_MODULUS == 0).select(F.concat(F.lit("{broken "), "transaction_id").alias("value"))
+    first = t.where(~late).select(value).unionByName(replayed.where(~late).select(value)).unionByName(broken)
+    second = t.where(late).select(value).unionByName(replayed.select(value))
+    profile = _stored_profile(spark, sf)
+    for i, lines in enumerate((first, second)):
+        lines.write.text(f"{root}/landing/part={i}")
+        for q in stream_scorer.run_fraud_stream(
+                spark, f"{root}/out", f"{root}/checkpoint", profile, BLOCKLISTED_MERCHANTS, path=f"{root}/landing/part=*",
+                trigger={"availableNow": True}, processed_at=F.lit(AS_OF_TS).cast("timestamp"), id_memory_seconds=ID_MEMORY):
+            q.awaitTermination()
+            if q.exception():
+                raise q.exception()
+    audit = spark.read.parquet(f"{root}/out/audit")
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    parts = [
+        count(spark.read.text(f"{root}/landing"), "input_rows"),
+        audit.agg(F.count("*").alias("decided_rows"), F.count_distinct("transaction_id").alias("transactions"),
+                  F.max("is_late").alias("has_late")),
+        count(spark.read.parquet(f"{root}/out/duplicates"), "duplicate_rows"),
+        count(spark.read.schema("_raw string").json(f"{root}/out/quarantine"), "undecodable_rows")]
+    one = [p.withColumn("_one", F.lit(1)) for p in parts]  # a row each
+    joined = one[0]
+    for other in one[1:]:
+        joined = joined.join(other, "_one")
+    return joined.drop("_one").withColumn(
+        "balanced", F.col("input_rows") == F.col("decided_rows") + F.col("duplicate_rows") + F.col("undecodable_rows"))
 
 
 @query("silver_apply_deletes")

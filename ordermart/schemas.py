@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    DecimalType,
-    FloatType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import DecimalType, FloatType, StringType, StructField, StructType
 
+# --- fixed values: names and types of the fields that producers send ---------
 ORDER_FIELDS = [
     "order_id", "customer_id", "order_status", "order_total_amount",
     "currency_code", "channel", "created_at", "updated_at",
@@ -33,8 +25,6 @@ CDC_ENVELOPE_WITH_CORRUPT = StructType(
     CDC_ENVELOPE.fields + [StructField(CORRUPT_COLUMN, StringType(), True)]
 )
 
-BRONZE_AUDIT = ["_cdc_operation", "_kafka_timestamp_ms", "_ingestion_date", "_ingested_at", "_source_system"]
-
 TRANSACTION = StructType(
     [
         StructField("transaction_id", StringType(), False),
@@ -51,41 +41,3 @@ TRANSACTION = StructType(
         StructField("event_time", StringType(), False),
     ]
 )
-
-SCORED = StructType(
-    [
-        StructField("transaction_id", StringType(), False),
-        StructField("card_id", StringType(), False),
-        StructField("customer_id", StringType(), False),
-        StructField("amount_usd", DecimalType(18, 4), False),
-        StructField("fraud_decision", StringType(), False),
-        StructField("triggered_rules", StringType(), True),
-        StructField("fraud_score", FloatType(), True),
-        StructField("decision_reason", StringType(), True),
-        StructField("processed_at", TimestampType(), False),
-    ]
-)
-
-CHECK_RESULT = StructType(
-    [
-        StructField("check_name", StringType(), False),
-        StructField("passed", BooleanType(), False),
-        StructField("details", StringType(), True),
-    ]
-)
-
-CARD_FEATURES = StructType(
-    [
-        StructField("card_id", StringType(), False),
-        StructField("avg_amount_30d", DecimalType(18, 4), True),
-        StructField("last_latitude", FloatType(), True),
-        StructField("last_longitude", FloatType(), True),
-        StructField("last_tx_timestamp", TimestampType(), True),
-        StructField("seen_device_fingerprints", ArrayType(StringType()), True),
-        StructField("merchant_categories_30d", ArrayType(StringType()), True),
-    ]
-)
-
-
-def schema_fields(schema: StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields]

@@ -51,7 +51,7 @@ def test_fused_equals_join_variant(spark):
 
     s = silver(spark, "/root/testdata/sf0.001")
     a = sorted(gold.compute_ltv_metrics(s, "2001-08-01").collect())
-    b = sorted(gold.compute_ltv_metrics_joined(s, "2001-08-01").collect())
+    b = sorted(gold.ltv_metrics_by_class(s, "2001-08-01").collect())
     assert a == b
 
 

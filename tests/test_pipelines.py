@@ -54,7 +54,7 @@ def test_read_partition_prunes(spark):
 
     root = scratch_path(spark, "prune")
     df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "order_id string, d string")
-    sink.write_partitioned(df, root, "d", 2, ["order_id"])
+    sink.write_partitioned(df, root, "d")
     one = lake.read_partition(spark, root, "2024-01-02", "d")
     plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(d" in plan and "= 2024-01-02" in plan
