@@ -65,7 +65,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = powers(_BASE, _BLOCK), powers(pow(_BASE, -1, 2**64), _BLOCK)
+_UP, _DOWN = powers(_BASE, _BLOCK), powers(pow(_BASE, -1, 2**64), _BLOCK + 1)  # an empty span may start at the end
 
 
 class Texts:

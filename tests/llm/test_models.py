@@ -132,3 +132,11 @@ def test_forward_backward_equals_enumeration(steps):
             for t, k in enumerate(path):
                 want[t, k] += p
         assert np.allclose(post[s, :n], want / want.sum(axis=1, keepdims=True))
+
+
+def test_empty_spans_at_the_end_of_a_block():
+    from ordermart.llm.common import _BLOCK
+
+    t = Texts([b"a" * (_BLOCK - 1) + b" -- b"])
+    h = t.hashes(np.array([0, _BLOCK, _BLOCK + 3]), np.array([_BLOCK - 1, _BLOCK, _BLOCK + 4]))
+    assert len(set(h.tolist())) == 3
