@@ -81,6 +81,12 @@ oracle("fct_orders_merged", with_ctes(
     f"SELECT order_id, order_date, order_status, order_total_usd, recognised_revenue_usd, lost_revenue_usd FROM ("
     f"SELECT * FROM {_PREV} p WHERE NOT EXISTS (SELECT 1 FROM {_INCR} i WHERE i.order_id = p.order_id) "
     f"UNION ALL SELECT * FROM {_INCR})", "fct_orders", "first_fct"))
+_INCR_UPDATED = (f"(SELECT * FROM fct_orders WHERE order_updated_at >= CAST((SELECT max(order_updated_at) FROM {_PREV}) AS DATE) "
+                 "- INTERVAL 3 DAY)")
+oracle("fct_orders_merged_by_update", with_ctes(
+    "SELECT order_id, order_date, order_status, order_total_usd, recognised_revenue_usd, lost_revenue_usd FROM ("
+    f"SELECT * FROM {_PREV} p WHERE NOT EXISTS (SELECT 1 FROM {_INCR_UPDATED} i WHERE i.order_id = p.order_id) "
+    f"UNION ALL SELECT * FROM {_INCR_UPDATED})", "fct_orders", "first_fct"))
 oracle("dim_customers", with_ctes(f"""
 SELECT c.customer_id, c.email, c.first_name, c.last_name, c.first_name || ' ' || c.last_name AS full_name,
   c.country_code, c.acquisition_channel, c.customer_tier, c.is_email_verified, c.is_marketing_opted_in, c.date_of_birth,

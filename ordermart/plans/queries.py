@@ -247,6 +247,16 @@ def q_fct_merged(spark, sf):
                          "recognised_revenue_usd", "lost_revenue_usd")
 
 
+@query("fct_orders_merged_by_update")
+def q_fct_merged_by_update(spark, sf):
+    """The merge with the look-back on the update time: orders of any date that were corrected come in."""
+    target = cut_lineage(fct_previous_run(spark, sf))
+    since = change.read_target_watermark(target, "order_updated_at")
+    updates = change.incremental_lookback(fct(spark, sf), since, column="order_updated_at")
+    return change.merge_upsert(target, updates, "order_id").select(
+        "order_id", "order_date", "order_status", "order_total_usd", "recognised_revenue_usd", "lost_revenue_usd")
+
+
 @query("dim_customers")
 def q_dim_customers(spark, sf):
     ltv = gold.compute_ltv_metrics(silver(spark, sf), LTV_AS_OF)
