@@ -36,6 +36,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermart.llm.common import id_key
 from ordermart.session import cut_lineage
 
 SHARDS = 16
@@ -164,14 +165,13 @@ def manifest(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def place(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with their shard and slot (other columns unchanged)."""
-    found = assign(documents, shards).select(
-        F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("shard").alias("__shard"),
-        F.col("slot").alias("__slot"))
+    keyed = documents.select(id_key(F.col("doc_id")).alias("doc_id"), "text")
+    found = assign(keyed, shards).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"),
+                                         F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"),
-                            F.col("doc_id").cast("long").alias("__id"), group_key(F.col("text")).alias("__key"))
-    joined = rows.join(found, rows["__id"].eqNullSafe(found["__id"]) & (rows["__key"] == found["__key"])).select(
-        "__row", "__shard", "__slot", found["__id"], found["__key"])
-    same = Window.partitionBy("__id", "__key").orderBy(F.lit(0))
+                            id_key(F.col("doc_id")).alias("__id"), group_key(F.col("text")).alias("__key"))
+    joined = rows.join(found, ["__id", "__key"])
+    same = Window.partitionBy("__id", "__key").orderBy(F.lit(0))  # as the join has dealt the rows
     numbered = joined.withColumn("__k", F.row_number().over(same) - 1)
     return numbered.select(
         *[F.col(f"__row.`{c}`") for c in documents.columns if c not in ("shard", "slot")],
