@@ -10,6 +10,7 @@ from ordermart.llm import (
     decontaminate, language_id, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, sharding,
     substring_dedup, warc)
 from ordermart.llm.common import corpus_session, read_table
+from ordermart.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 from ordermart.session import scratch_path
 
 
@@ -50,7 +51,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus_session(spark)
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_shingles", "component_id", "kept", "class_id")
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +82,3 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE = {"op5_source_mixing": mixing.ORACLE}
