@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.llm import decontaminate, minhash_dedup, mixing, quality_classifier, sharding
 from ordermart.llm.common import corpus_session, read_table
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, discard_cut
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +56,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus_session(spark)
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
+        before, docs = docs, cut_lineage(stage(spark, docs, sf_dir))
+        discard_cut(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import id_key
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, discard_cut
 
 SHARDS = 16
 #: Rows numbered together.
@@ -143,6 +143,7 @@ def assign(documents: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", t
         .groupBy("doc_id", "key", "size", "text_crc32").agg(F.count("*").alias("n")))
     groups = cut_lineage(rows.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("bytes")))
     placed = rows.withColumns({"shard": shard_of(groups, shards), "range": F.substring("key", 1, _FIRST)})
+    discard_cut(groups)
     crowded = placed.groupBy("shard", "range").agg(F.ceil(F.count("*") / CELL_ROWS).alias("parts")).where("parts > 1")
     celled = placed.join(crowded, ["shard", "range"], "left").withColumn(
         "part", F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))).drop("parts")
