@@ -15,9 +15,12 @@ A fingerprint within ``RADIUS`` of a probe agrees with it in at least one of
 that near to a probe's block are listed per block; a window none of whose
 blocks is listed cannot be within the radius, the others are compared with the
 probes listed there. Every window of every class at every word position is looked up: all
-fingerprints within the radius are found. Candidates are then compared exactly: the
-multisets of ``SHINGLE``-word shingles, a shingle weighing its
-characters, must have a weighted Jaccard similarity of at least ``SIMILARITY``.
+fingerprints within the radius are found. Candidates are then compared exactly: of all
+spans of words, of any length, that share a word with a near window, the best one's multiset
+of ``SHINGLE``-word shingles, a shingle weighing its characters, must have a weighted
+Jaccard similarity to the item's of at least ``SIMILARITY``. Only spans of a weight that
+this similarity allows need a look; the best one begins and ends with a shingle of the item,
+so lost and gained words move its ends. A window must lie in the text as a whole.
 
 All of it happens where the document is read: no shuffle, and no skew from a
 passage that very many documents share. The benchmark is the query set: it is
@@ -152,14 +155,21 @@ class SizeIndex:
         return pairs[:, 0], pairs[:, 1]
 
 
+def _rolled(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The shingle of ``k`` words at every word."""
+    return sum(mix64(hashes[i:len(hashes) - k + 1 + i] + np.uint64(i + 1)) for i in range(k))
+
+
+def _weights(sizes: np.ndarray, k: int) -> np.ndarray:
+    return np.convolve(sizes, np.ones(k, np.int64), "valid")
+
+
 def shingles(hashes: np.ndarray, sizes: np.ndarray) -> dict[int, int]:
     """Shingle -> its weight times its count."""
     k = min(SHINGLE, len(hashes))
     out: dict[int, int] = {}
     if k:
-        rolled = sum(mix64(hashes[i:len(hashes) - k + 1 + i] + np.uint64(i + 1)) for i in range(k))
-        weight = np.convolve(sizes, np.ones(k, np.int64), "valid")
-        for h, w in zip(rolled.tolist(), weight.tolist()):
+        for h, w in zip(_rolled(hashes, k).tolist(), _weights(sizes, k).tolist()):
             out[h] = out.get(h, 0) + w
     return out
 
@@ -170,6 +180,39 @@ def weighted_jaccard(a: dict[int, int], b: dict[int, int]) -> float:
     return both / total if total else 0.0
 
 
+def best_span(item: dict[int, int], k: int, hashes: np.ndarray, sizes: np.ndarray) -> tuple[float, int, int]:
+    """(similarity, first word, words) of the span most similar to an item of
+    ``k``-word shingles, the first of equals; similarity 0 if all are under ``SIMILARITY``."""
+    best, total = (0.0, 0, 0), sum(item.values())
+    if len(hashes) < k:
+        return best
+    rolled, weight = _rolled(hashes, k).tolist(), _weights(sizes, k)
+    at = [j for j, h in enumerate(rolled) if h in item]  # a best span begins and ends with one of these
+    own = weight[at]
+    if own.sum() / total < SIMILARITY:
+        return best
+    before, places = [], {}  # a shingle counts while the occurrence its item's count before it is out of the span
+    for j, w in zip(at, own.tolist()):
+        earlier = places.setdefault(rolled[j], [])
+        count = item[rolled[j]] // w
+        before.append(earlier[-count] if len(earlier) >= count else -1)
+        earlier.append(j)
+    at, before = np.array(at), np.array(before)
+    upto, shared = np.append(0, np.cumsum(weight)), np.append(0, np.cumsum(own))
+    ends = upto[at + 1]
+    stops = np.searchsorted(ends, upto[at] + total / SIMILARITY, side="right")
+    for i in np.flatnonzero((shared[stops] - shared[:-1]) / total >= SIMILARITY).tolist():
+        s, stop = at[i], stops[i]
+        if (shared[stop] - shared[i]) / total <= best[0]:
+            continue
+        both = np.cumsum(np.where(before[i:stop] < s, own[i:stop], 0))
+        similar = both / (total + ends[i:stop] - upto[s] - both)
+        j = int(similar.argmax())
+        if similar[j] >= SIMILARITY and similar[j] > best[0]:
+            best = (float(similar[j]), int(s), int(at[i + j] - s + k))
+    return best
+
+
 @dataclass
 class BenchmarkIndex:
     ids: list[int]
@@ -201,24 +244,38 @@ def find(texts: list[bytes], index: BenchmarkIndex) -> list[list[dict]]:
     words = Words(texts)
     out: list[dict] = [{} for _ in texts]
     if len(words):
-        tried = set()
+        near: dict = {}  # (text, item) -> stretches of words that near windows cover
         fits = {c.size: c for c in index.classes if c.size <= len(words)}
         for size, prints in words.simhashes(sorted(fits)):
-            c = fits[size]
-            at, probe = c.within(prints)
-            for p, q in zip(at.tolist(), probe.tolist()):
-                doc, item = int(words.owner[p]), int(c.items[q])
-                a, b = int(words.first[doc]), int(words.first[doc + 1])
-                if p + c.size > b:
+            at, probe = fits[size].within(prints)
+            for p, item in zip(at.tolist(), fits[size].items[probe].tolist()):
+                doc = int(words.owner[p])
+                if p + size > words.first[doc + 1]:
                     continue  # the window runs over the text's end
-                start = p - int(c.offsets[q])
-                if (item, start) in tried:
-                    continue
-                tried.add((item, start))
-                lo, hi = max(start, a), min(start + index.sizes[item], b)
-                s = weighted_jaccard(index.shingles[item], shingles(words.hashes[lo:hi], words.sizes[lo:hi]))
-                if s >= SIMILARITY and s > out[doc].get(item, (0.0, 0))[0]:
-                    out[doc][item] = (s, lo - a, hi - lo)
+                stretches = near.setdefault((doc, item), [])
+                if stretches and p <= stretches[-1][1]:
+                    stretches[-1][1] = p + size
+                else:
+                    stretches.append([p, p + size])
+        upto = {k: np.append(0, np.cumsum(_weights(words.sizes, k)))
+                for k in {min(SHINGLE, index.sizes[item]) for _, item in near}}  # weight of the shingles before each
+        for (doc, item), stretches in near.items():
+            a, b = int(words.first[doc]), int(words.first[doc + 1])
+            k, most = min(SHINGLE, index.sizes[item]), sum(index.shingles[item].values()) / SIMILARITY
+            if b - a < k:
+                continue
+            w = upto[k]
+            for p, q in stretches:
+                best = out[doc].get(item, (0.0, 0, 0))
+                if best[0] == 1:
+                    break
+                # a span of at most that weight which ends after p, one which starts before q
+                low = np.searchsorted(w, w[max(p - k + 1, a)] - most)
+                high = np.searchsorted(w, w[min(q, len(w) - 1)] + most, side="right") + k - 1
+                lo, hi = max(int(low), a), min(int(high), b)
+                s, start, n = best_span(index.shingles[item], k, words.hashes[lo:hi], words.sizes[lo:hi])
+                if s > best[0]:
+                    out[doc][item] = (s, lo + start - a, n)
     return [[{"item_id": index.ids[i], "start": start, "n_words": n, "similarity": round(s, 6)}
              for i, (s, start, n) in sorted(found.items(), key=lambda x: (x[1][1], x[0]))] for found in out]
 

@@ -1,6 +1,7 @@
 """Decontamination against exact all-pairs similarity, and the Hamming index against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -92,3 +93,50 @@ def test_registered_query_finds_exact_passages(spark):
     want = {(r.doc_id, i) for r in spark.read.parquet(f"{sf}/documents.parquet").collect() for i, x in items if x in flat(r.text)}
     got = {(r.doc_id, r.item_id) for r in e.queries()["op9_decontamination"](spark, sf).collect()}
     assert want and want <= got
+
+
+def best_of_all_spans(item, text):
+    """Weighted Jaccard of the best span, over all starts and ends, from the words themselves."""
+    def grams(w):
+        return [tuple(w[i:i + dc.SHINGLE]) for i in range(len(w) - dc.SHINGLE + 1)]
+
+    def weight(g):
+        return sum(map(len, g))
+
+    a, best = Counter(grams(item)), 0.0
+    total = sum(weight(g) * n for g, n in a.items())
+    for s in range(len(text)):
+        seen, both, own = Counter(), 0, 0
+        for g in grams(text[s:]):
+            seen[g] += 1
+            own += weight(g)
+            both += weight(g) if seen[g] <= a[g] else 0
+            best = max(best, both / (total + own - both))
+    return best
+
+
+def test_passages_that_lost_or_gained_words():
+    rng = random.Random(11)
+    pool = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10))) for _ in range(400)]
+    found, wanted = Counter(), Counter()
+    for n in (20, 40, 50, 90):
+        for edit in ("drop", "insert"):
+            for at in (0, 1, 2, n // 4, n // 2, n // 2 + 3, n - 3, n - 2, n - 1) * 3:
+                item = rng.choices(pool, k=n)
+                if at % 2:
+                    item[n // 2:n // 2 + 6] = item[:6]  # a repeated shingle
+                passage = item[:at] + (item[at + 1:] if edit == "drop" else ["gained", *item[at:]])
+                text = rng.choices(pool, k=40) + passage + rng.choices(pool, k=40)
+                best = best_of_all_spans(item, text)
+                got = dc.find([b"other text", " ".join(text).encode()], dc.build_index([(5, " ".join(item).encode())]))[1]
+                assert best >= dc.SIMILARITY or not got
+                if best >= dc.SIMILARITY:
+                    wanted[edit, n] += 1
+                    found[edit, n] += len(got)
+                for m in got:
+                    assert abs(m["similarity"] - best) < 2e-6
+                    span = text[m["start"]:m["start"] + m["n_words"]]
+                    assert abs(best_of_all_spans(item, span) - best) < 1e-9
+    assert all(n >= 9 for n in wanted.values()) and len(wanted) == 8
+    assert sum(found.values()) >= 0.97 * sum(wanted.values())
+    assert all(found[k] >= 0.9 * wanted[k] for k in wanted), (found, wanted)
