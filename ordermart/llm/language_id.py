@@ -9,9 +9,10 @@ how often a text goes over from one language to another. Forward-backward gives
 each word's posterior over the languages; a text's language is that of the
 largest mean posterior over its words with letters, and the mean its score.
 
-Training. The documents of smallest ``xxhash64(id)`` outside the held-out fold
-that have a text and a language, at most ``SAMPLE`` (a documented bound), give up
-to ``SEGMENTS`` runs of ``RUN`` words each. Runs of different documents are
+Training. Of each language, the documents of smallest ``xxhash64(id)`` outside the
+held-out fold that have a text, at most ``SAMPLE`` per language (a documented bound;
+every language that has one is learned, however rare), give up to ``SEGMENTS`` runs of
+``RUN`` words each. Each task passes on at most ``SAMPLE`` ids of a language. Runs of different documents are
 put together to sequences that switch language, so transitions are learned from
 switches too, and the likelihood is raised by AdaGrad steps in one task of
 bounded input. The model (``2**BITS`` x languages floats) reaches the driver.
@@ -38,14 +39,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import BYTES, LOWER, Texts, rows_of, sliced, text_bytes
 from ordermart.llm.quality_classifier import fold
 
 BITS = 17
-SAMPLE = 3000
+SAMPLE = 750  # documents of each language; at most 1000, where Spark stops limiting ranks before the shuffle
 SEGMENTS, RUN, RUNS_PER_SEQUENCE = 16, 8, 4
 EPOCHS, BATCH, RATE, DECAY = 3, 64, 0.3, 1e-6
 LEXICON = 200
@@ -267,14 +268,15 @@ def has_letter(text: bytes) -> bool:
 
 
 def training_runs(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(key, part, lang, words) runs of at most ``sample`` documents."""
+    """(key, part, lang, words) runs of at most ``sample`` documents of each language."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                             F.col("text").cast("string").alias("text"))
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()
                         & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    ids = (usable.select("doc_id").distinct().withColumn("key", F.xxhash64("doc_id"))
-           .orderBy("key", "doc_id").limit(sample))
-    rows = usable.join(F.broadcast(ids), "doc_id").groupBy("key", "doc_id").agg(  # at most ``sample`` ids
+    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("key", F.xxhash64("doc_id"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
+    ids = ids.withColumn("rank", rank).where(F.col("rank") <= sample).select("doc_id", "key")
+    rows = usable.join(F.broadcast(ids), "doc_id").groupBy("key", "doc_id").agg(  # at most ``sample`` ids a language
         F.min(F.struct("lang", "text")).alias("d")).select("key", "d.lang", text_bytes(F.col("d.text")).alias("text"))
 
     def runs(batches):

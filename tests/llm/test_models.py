@@ -107,6 +107,25 @@ def test_language_odd_rows(spark):
     assert li.identify(docs.where("false")).count() == 0
 
 
+def test_rare_language_is_learned_and_the_sample_is_bounded(spark):
+    corpus_session(spark)
+    words = {"aa": "lorem ipsum dolor amet sit".split(), "bb": "zwei drei vier uhr tag".split(), "rare": "yksi kaksi kolme nelja".split()}
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(8)), k)
+            for i, k in enumerate(["aa"] * 2500 + ["bb"] * 2500 + ["rare"] * 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    runs = li.training_runs(docs, 40)
+    assert "WindowGroupLimit" in runs._jdf.queryExecution().executedPlan().toString()
+    got = {r.lang: {x.key for x in runs.where(F.col("lang") == r.lang).collect()} for r in runs.select("lang").distinct().collect()}
+    usable = [(i, k) for i, _, k in rows if crc(i, 4) != 2]
+    assert {k: len(v) for k, v in got.items()} == {k: min(40, sum(x == k for _, x in usable)) for k in words}
+    keys = {r.doc_id: r.key for r in docs.select("doc_id", F.xxhash64("doc_id").alias("key")).collect()}
+    assert all(v == set(sorted(keys[i] for i, x in usable if x == k)[:40]) for k, v in got.items())
+    out = {r.doc_id: r.lang_pred for r in li.identify(docs, li.train(docs, 40)).collect()}
+    assert all(out[i] == k for i, _, k in rows)
+    assert li.SAMPLE <= 1000  # spark.sql.optimizer.windowGroupLimitThreshold
+
+
 def test_code_switched_words_follow_their_language():
     rng = random.Random(2)
     words = {"aa": [f"{x}um" for x in "lor ips dol am sit fer ver".split()], "bb": [f"{x}en" for x in "zwei drei vier uhr tag gut".split()]}
