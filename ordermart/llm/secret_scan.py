@@ -9,15 +9,16 @@ of pieces and matches alternate and their running sum gives every start
 and not n^2. Texts without a match skip all of this.
 
 Entropy. A candidate is a maximal run of ``[A-Za-z0-9+/_=-]`` of at least
-``WINDOW`` characters. Its character class (hex, alphanumeric, base64) is the
-narrowest that holds all its characters; each class asks for digits and
-letters and has its own threshold. Over a window of ``WINDOW`` characters the
+``WINDOW`` characters. Its character class (hex, alphanumeric, one case with
+joiners, base64) is the narrowest that holds all its characters; each class asks
+for digits and letters and has its own threshold. Over a window of ``WINDOW`` characters the
 entropy is ``log2 W - S / W`` with ``S = sum c log2 c`` over the characters'
 counts c. A step takes the leaving character's term from c to c - 1 and the
 entering one's from c to c + 1, so S is kept by increments and no count is
 recomputed. A candidate whose best window reaches the threshold is a span of
-kind ``entropy``, unless an allow-list pattern matches it or a rule's span
-already covers it.
+kind ``entropy``, unless a rule's span already covers it. Windows that overlap a
+match of ``ALLOW_PARTS`` do not count: the others are those of the pieces between
+the matches. Candidates that are harmless as a whole (``ALLOW``) are no spans.
 
 Cases. Null and empty texts have no spans. Rows are independent: repeated rows
 and null or repeated ids get their own, equal results; no column but id and
@@ -44,15 +45,17 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 CLASSES = {
     "hex": (r"^[0-9A-Fa-f]+$", (r"[0-9]", r"[A-Fa-f]"), 3.0),
     "alnum": (r"^[0-9A-Za-z]+$", (r"[0-9]", r"[A-Za-z]"), 3.5),
+    "joined": (r"^([0-9a-z+/_=-]+|[0-9A-Z+/_=-]+)$", (r"[0-9]", r"[A-Za-z]"), 3.8),
     "base64": (r"^[0-9A-Za-z+/_=-]+$", (r"[0-9]", r"[a-z]", r"[A-Z]"), 3.7),
 }
 #: Candidates that match one of these are known to be harmless.
 ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|dummy",
     r"(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$",  # UUID
-    r"(?i)0123456789|abcdefghij|(.)\1{5}",               # alphabets and fillers
     r"^[A-Za-z]+([/_-][A-Za-z]+)*[/_-]?[0-9]{0,4}$",     # words joined to a path or name
 )
+#: So are the parts of a candidate that match this: words between joiners that hold such a name, alphabets, fillers.
+ALLOW_PARTS = (r"(?i)[0-9a-z]*(?:example|sample|placeholder|changeme|dummy)[0-9a-z]*"
+               r"|0123456789|abcdefghij|(.)\1{5,}+")
 KIND_ORDER = ("assign", "access", "hex", "entropy")
 FOLD = 200
 _SPANS = "array<struct<start:int,k:int,end:int,kind:string>>"
@@ -132,7 +135,8 @@ def is_secret_like(s: Column) -> Column:
             has = has & s.rlike(p)
         needed = F.when(s.rlike(chars), F.when(has, F.lit(bits))).otherwise(needed)
     return F.when(allowed, F.lit(False)).otherwise(_let(needed, lambda n: F.when(
-        n.isNull(), F.lit(False)).otherwise(window_entropy(s) >= n)))
+        n.isNull(), F.lit(False)).otherwise(F.exists(
+            F.split(s, ALLOW_PARTS, -1), lambda p: F.coalesce(window_entropy(p) >= n, F.lit(False))))))
 
 
 def _joined(spans: Column) -> Column:
