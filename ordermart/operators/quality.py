@@ -106,9 +106,10 @@ class QualitySuite:
         self._accepted.append((column, list(allowed)))
         return self
 
-    def _accepted_frame(self) -> DataFrame:
+    def _accepted_frame(self, list_values: bool) -> DataFrame:
         """One row per accepted-values check, from one scan: each row's bad
-        values become (check, value) pairs, counted per pair before they meet."""
+        values become (check, value) pairs, counted per pair before they meet.
+        Without ``list_values`` the details give the number of distinct values."""
         pairs = F.array(*[
             F.when(~F.col(c).isin(allowed), F.struct(F.lit(i).alias("check"), F.col(c).cast("string").alias("value")))
             for i, (c, allowed) in enumerate(self._accepted)])
@@ -116,9 +117,13 @@ class QualitySuite:
                .groupBy("p.check", "p.value").agg(F.count("*").alias("rows")))
         checks = self.df.sparkSession.createDataFrame(
             [(i, f"accepted_values:{c}") for i, (c, _) in enumerate(self._accepted)], "check int, name string")
-        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), F.array_sort(F.collect_list("value")).alias("values"))
-        text = F.concat(F.lit("invalid_values="), py_list_text(F.coalesce("values", F.array().cast("array<string>"))),
-                        F.format_string(" invalid_rows=%d", F.coalesce("rows", F.lit(0))))
+        values = F.array_sort(F.collect_list("value")) if list_values else F.count(F.lit(1))
+        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), values.alias("values"))
+        if list_values:
+            found = F.concat(F.lit("invalid_values="), py_list_text(F.coalesce("values", F.array().cast("array<string>"))))
+        else:
+            found = F.format_string("distinct_invalid_values=%d", F.coalesce("values", F.lit(0)))
+        text = F.concat(found, F.format_string(" invalid_rows=%d", F.coalesce("rows", F.lit(0))))
         return checks.join(per_check, "check", "left").select(_result(F.col("name"), F.col("rows").isNull(), text).alias("r"))
 
     def bad_values(self, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -169,11 +174,12 @@ class QualitySuite:
         ).alias("r"))
 
     # -- evaluation -------------------------------------------------------
-    def results(self) -> DataFrame:
+    def results(self, list_values: bool = True) -> DataFrame:
         """All checks as one small frame. Row-level aggregates run in one
         pass; with a uniqueness check that pass groups by its key first
         (map-side partial aggregation), so counts, totals and the distinct
-        key count all come from one shuffle plus a one-row global merge."""
+        key count all come from one shuffle plus a one-row global merge.
+        ``list_values`` puts all bad values of a check into its details."""
         seen, parts = set(), []
         for alias, expr, combine in self._counts:
             if alias not in seen:
@@ -198,7 +204,7 @@ class QualitySuite:
         if self._rows or unique_rows:
             frames.append(main.select(F.explode(F.array(*[r() for r in self._rows], *unique_rows)).alias("r")))
         if self._accepted:
-            frames.append(self._accepted_frame())
+            frames.append(self._accepted_frame(list_values))
         frames.extend(self._relationship_frame(*spec[1:]) for spec in self._extra)
         out = frames[0]
         for f in frames[1:]:
@@ -207,8 +213,9 @@ class QualitySuite:
 
     def validate(self, raise_on_failure: bool = True) -> list:
         """Collect the (small) result frame, log every check, raise
-        listing the failed check names."""
-        rows = self.results().collect()
+        listing the failed check names. Bad values are counted, not gathered
+        (:meth:`bad_values` has them as rows)."""
+        rows = self.results(list_values=False).collect()
         failed = [r for r in rows if not r["passed"]]
         for r in rows:
             (log.info if r["passed"] else log.error)(

@@ -73,3 +73,14 @@ def test_schema_conformance(spark, df):
     out = {r["column_name"]: r["passed"] for r in quality.schema_conformance(
         df, _parse_datatype_string("id string, s int, extra date")).collect()}
     assert out == {"id": True, "s": False, "extra": False, "amt": False}
+
+
+def test_validate_counts_bad_values_without_gathering_them(spark):
+    df = spark.range(3000).selectExpr("concat('free text ', id % 1000) s", "'x' t")
+    s = quality.QualitySuite(df, "t").accepted_values("s", ["free text 1"]).accepted_values("t", ["x"])
+    r = {x["check_name"]: (x["passed"], x["details"]) for x in s.validate(raise_on_failure=False)}
+    assert r == {"accepted_values:s": (False, "distinct_invalid_values=999 invalid_rows=2997"),
+                 "accepted_values:t": (True, "distinct_invalid_values=0 invalid_rows=0")}
+    assert "collect_list" not in s.results(list_values=False)._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError, match="accepted_values:s"):
+        s.validate()
