@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ordermart.llm import mixing
+from ordermart.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from ordermart.llm.quality_rules import (
     CAPITALS, MAX_REPEAT_PERCENT, MEASURES, MIN_GROUP, MIN_WORDS, REPEAT_WINDOW, SPREAD, SYMBOLS)
 from ordermart.llm.substring_dedup import WINDOW
@@ -86,5 +87,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+LINES = rf"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+x AS (SELECT doc_id, line, i, translate(regexp_replace(line, '^{_SPACE}+|{_SPACE}+$', '', 'g'), '{CAPITALS}', '{CAPITALS.lower()}') AS k
+      FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM l)),
+gone AS (SELECT k, max(doc_id) AS keeper FROM x WHERE length(k) >= {MIN_CHARS} GROUP BY k HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+kept AS (SELECT x.doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM x LEFT JOIN gone USING (k)
+         WHERE keeper IS NULL OR keeper = x.doc_id GROUP BY x.doc_id)
+SELECT l.doc_id, len(lines) AS n_lines, len(lines) - coalesce(kept.n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM l LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE = {"op1_substring_dedup": SUBSTRING, "op5_source_mixing": mixing.ORACLE, "op7_minhash_near_dedup": NEAR,
-          "op10_quality_rules": RULES}
+          "op10_quality_rules": RULES, "op11_line_dedup": LINES}

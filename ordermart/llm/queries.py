@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm import (
-    decontaminate, language_id, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, sharding,
+    decontaminate, language_id, line_dedup, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, sharding,
     substring_dedup, warc)
 from ordermart.llm.common import corpus_session, read_table
 from ordermart.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
@@ -70,6 +70,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    return line_dedup.drop_common_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -81,4 +87,5 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_line_dedup": op11_line_dedup,
 }
