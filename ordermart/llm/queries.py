@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm import (
     decontaminate, language_id, line_dedup, minhash_dedup, mixing, quality_classifier, quality_rules, secret_scan, sharding,
-    substring_dedup, warc)
+    substring_dedup, turn_repair, vector_codes, warc)
 from ordermart.llm.common import corpus_session, read_table
 from ordermart.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 from ordermart.session import scratch_path
@@ -76,6 +76,25 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    conversations = read_table(spark, sf_dir, "conversations")
+    found = turn_repair.digest(turn_repair.repair(turn_repair.damage(conversations)))
+    ids = conversations.select(F.col("conv_id").cast("long").alias("of_conv")).distinct()
+    nothing = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return ids.join(found, F.col("of_conv").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("of_conv").alias("conv_id"),
+        *(F.coalesce(F.col(c), nothing.get(c, F.lit(0).cast("long"))).alias(c) for c in found.columns if c != "conv_id"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus_session(spark)
+    coded, codebooks = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.codebooks_sha256(codebooks)).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -88,4 +107,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
     "op11_line_dedup": op11_line_dedup,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -15,7 +15,8 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{os.path.join(SF, 'documents.parquet')}')")
+    for table in ("documents", "conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{os.path.join(SF, f'{table}.parquet')}')")
     cur = con.execute(e.oracle_sql()[name])
     names = [c[0] for c in cur.description]
     want = sorted((tuple(r) for r in cur.fetchall()), key=str)
