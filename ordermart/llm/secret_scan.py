@@ -13,11 +13,12 @@ Entropy. A candidate is a maximal run of ``[A-Za-z0-9+/_=-]`` of at least
 joiners, base64) is the narrowest that holds all its characters; each class asks
 for digits and letters and has its own threshold. Over a window of ``WINDOW`` characters the
 entropy is ``log2 W - S / W`` with ``S = sum c log2 c`` over the characters'
-counts c. A step takes the leaving character's term from c to c - 1 and the
-entering one's from c to c + 1, so S is kept by increments and no count is
-recomputed. A candidate whose best window reaches the threshold is a span of
+counts c. The fold's state holds the counts of the window, packed in a few longs; a step
+takes the leaving character's count down and the entering one's up and moves S by the
+difference of their terms (whole numbers, so nothing drifts). No count is
+recomputed and work is linear in the length of a candidate. A candidate whose best window reaches the threshold is a span of
 kind ``entropy``, unless a rule's span already covers it. Windows that overlap a
-match of ``ALLOW_PARTS`` do not count: the others are those of the pieces between
+match of ``ALLOW_WORDS`` or ``ALLOW_PARTS`` do not count: the others are those of the pieces between
 the matches. Candidates that are harmless as a whole (``ALLOW``) are no spans.
 
 Cases. Null and empty texts have no spans. Rows are independent: repeated rows
@@ -51,11 +52,14 @@ CLASSES = {
 #: Candidates that match one of these are known to be harmless.
 ALLOW = (
     r"(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$",  # UUID
-    r"^[A-Za-z]+([/_-][A-Za-z]+)*[/_-]?[0-9]{0,4}$",     # words joined to a path or name
+    r"^[A-Za-z]++(?:[/_-][A-Za-z]++)*+[/_-]?[0-9]{0,4}$",  # words joined to a path or name
 )
-#: So are the parts of a candidate that match this: words between joiners that hold such a name, alphabets, fillers.
-ALLOW_PARTS = (r"(?i)[0-9a-z]*(?:example|sample|placeholder|changeme|dummy)[0-9a-z]*"
-               r"|0123456789|abcdefghij|(.)\1{5,}+")
+#: So are the parts of a candidate that match these: a word between joiners that holds such a name (looked
+#: for from the word's start only, so once through the candidate); alphabets and fillers.
+ALLOW_WORDS = r"(?i)(?<![0-9a-z])[0-9a-z]*?(?:example|sample|placeholder|changeme|dummy)[0-9a-z]*+"
+ALLOW_PARTS = r"(?i) |0123456789|abcdefghij|(.)\1{5,}+"
+#: Counts of a window: BITS each, PER_WORD in a long, of the characters + to z; terms c log2 c in units of 1 / ONE.
+FIRST, LAST, BITS, PER_WORD, ONE = ord("+"), ord("z"), 5, 12, 2**40
 KIND_ORDER = ("assign", "access", "hex", "entropy")
 FOLD = 200
 _SPANS = "array<struct<start:int,k:int,end:int,kind:string>>"
@@ -98,29 +102,51 @@ def _spans(text: Column, pattern: str, kind: str, keep) -> Column:
     return F.when(text.rlike(pattern), _let(lengths, fold)).otherwise(none)
 
 
-def _plog(c: Column) -> Column:
-    return F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
+def _word_of(code: Column) -> Column:
+    """Where the count of a character is held: (number of the word, shift, one there)."""
+    return _let(code - FIRST, lambda k: F.struct(
+        F.floor(k / PER_WORD).cast("int").alias("word"), (k % PER_WORD * BITS).alias("shift"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), k % PER_WORD * BITS).alias("one")))
 
 
 def window_entropy(s: Column, window: int = WINDOW) -> Column:
-    """Largest Shannon entropy, in bits per character, of any ``window``
-    consecutive characters, by incremental counts; null for shorter strings."""
-    count = lambda c, w: F.length(w) - F.length(F.replace(w, c, F.lit("")))
-
-    def step(acc, i):
-        full = i > window
-        left = F.substring(s, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
-        rest = F.when(full, F.substring(left, F.lit(2), F.lit(window))).otherwise(left)
-        gone, came = count(F.substring(left, F.lit(1), F.lit(1)), left), count(F.substring(s, i, F.lit(1)), rest)
-        total = (acc["s"] + F.when(full, _plog(gone - 1) - _plog(gone)).otherwise(F.lit(0.0))
-                 + _plog(came + 1) - _plog(came))
-        return _let(total, lambda t: F.struct(t.alias("s"), F.when(
-            i >= window, F.greatest(acc["best"], F.lit(math.log2(window)) - t / window))
-            .otherwise(acc["best"]).alias("best")))
-
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(-1.0).alias("best"))
-    best = F.aggregate(F.sequence(F.lit(1), F.length(s)), start, step)["best"]
-    return F.when(F.length(s) >= window, F.round(best, 6))
+    """Largest Shannon entropy, in bits per character, of any ``window`` (31 at
+    most) consecutive characters of a string of candidate characters; null for
+    shorter strings. A step costs the same however long the string is: the counts of the
+    current window are carried, one is taken down and one up."""
+    if not 1 < window < 2**BITS:
+        raise ValueError(f"a window has 2 to {2**BITS - 1} characters")
+    plog = [round(c * math.log2(c) * ONE) if c else 0 for c in range(window + 1)]
+    gain = F.lit([b - a for a, b in zip(plog, plog[1:])])  # of S when a count goes from c to c + 1
+    words = [f"w{j}" for j in range(-(-(LAST - FIRST + 1) // PER_WORD))]
+
+    def count(counts, at):
+        word = F.get(F.array(*(counts[w] for w in words)), at["word"])
+        return F.call_function("shiftright", word, at["shift"]).bitwiseAND(F.lit(2**BITS - 1).cast("long")).cast("int")
+
+    def changed(counts, at, sign):
+        return [(counts[w] + F.when(at["word"] == j, sign * at["one"]).otherwise(F.lit(0).cast("long"))).alias(w)
+                for j, w in enumerate(words)]
+
+    def fold(places):
+        def step(acc, i):
+            came, gone = F.get(places, i), F.get(places, i - window)
+
+            def add(x):
+                total = x["s"] + F.get(gain, count(x, came))
+                return _let(total, lambda t: F.struct(*changed(x, came, 1), t.alias("s"), F.when(
+                    i >= window - 1, F.least(x["best"], t)).otherwise(x["best"]).alias("best")))
+
+            without = F.when(gone.isNull(), acc).otherwise(F.struct(
+                *changed(acc, gone, -1), (acc["s"] - F.get(gain, count(acc, gone) - 1)).alias("s"), acc["best"].alias("best")))
+            return _let(without, add)
+
+        zero = F.lit(0).cast("long")
+        start = F.struct(*(zero.alias(w) for w in words), zero.alias("s"), F.lit(2**62).alias("best"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), start, step)["best"]
+
+    least = _let(F.transform(F.split(s, ""), lambda c: _word_of(F.ascii(c))), fold)
+    return F.when(F.length(s) >= window, F.round(F.lit(math.log2(window)) - least / (window * ONE), 6))
 
 
 def is_secret_like(s: Column) -> Column:
@@ -136,7 +162,8 @@ def is_secret_like(s: Column) -> Column:
         needed = F.when(s.rlike(chars), F.when(has, F.lit(bits))).otherwise(needed)
     return F.when(allowed, F.lit(False)).otherwise(_let(needed, lambda n: F.when(
         n.isNull(), F.lit(False)).otherwise(F.exists(
-            F.split(s, ALLOW_PARTS, -1), lambda p: F.coalesce(window_entropy(p) >= n, F.lit(False))))))
+            F.split(F.regexp_replace(s, ALLOW_WORDS, " "), ALLOW_PARTS, -1),
+            lambda p: F.coalesce(window_entropy(p) >= n, F.lit(False))))))
 
 
 def _joined(spans: Column) -> Column:

@@ -177,3 +177,29 @@ def test_registered_queries(spark, name):
         assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == counts(d.text)
                    for r, d in zip(out, docs))
         assert [r.kept for r in out] == kept
+
+
+def test_entropy_time_is_linear_in_the_candidate(spark):
+    import time
+
+    rng = random.Random(6)
+    corpus_session(spark)
+
+    def seconds(text):
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        t0 = time.time()
+        row = ss.scan(df).first()
+        return time.time() - t0, row
+
+    def token(n, chars="ABCDEFGHabcdefgh01234567"):
+        return "".join(rng.choice(chars) for _ in range(n))
+
+    seconds(token(2000))
+    short, long = min(seconds(token(16_000))[0] for _ in range(2)), min(seconds(token(64_000))[0] for _ in range(2))
+    assert long < 5 * short + 1
+    for text in (token(200_000, "ab1"), "ab1" * 333_000 + "example", "-a" * 100_000 + "1"):
+        took, row = seconds(text)
+        assert took < 60 and row.n_entropy == 0
+    took, row = seconds(token(1_000_000))
+    assert took < 60 and row.n_entropy == 1 and row.spans.startswith("entropy:0:1000000")
+    print(f"{short:.1f} s for 16,000 characters, {long:.1f} s for 64,000, {took:.1f} s for 1,000,000")
