@@ -17,6 +17,7 @@ from ordermart.functions import fixed
 from ordermart.session import cut_lineage, discard_cut
 from ordermart.operators import bronze, change, clean, gold, marts, quality
 from ordermart.sinks import lake as sink
+from ordermart.sinks.versions import VersionedTable, part_name, replace_table, table_exists
 from ordermart.sources import cdc, lake
 
 
@@ -97,8 +98,7 @@ def run_silver(spark: SparkSession, p: LakePaths, run_date: str, deletes: bool =
     quality.gate(silver, quality.QualitySuite(silver, "silver_orders").not_empty()
                  .no_nulls(["order_id", "customer_id", "order_date", "order_total_usd"])
                  .unique(["order_id"]).accepted_values("order_status", fixed.VALID_ORDER_STATUSES))
-    existing = lake.read_history(spark, p.silver) if lake.path_exists(spark, p.silver) else None
-    sink.write_silver(silver, p.silver, existing=existing)
+    sink.write_silver(silver, p.silver)
     if deletes:
         drop_deleted(spark, p, run_date)
     discard_cut(tagged, silver)
@@ -125,7 +125,7 @@ def run_gold(spark: SparkSession, p: LakePaths, as_of: str) -> DataFrame:
                  .accepted_values("ltv_segment", fixed.LTV_SEGMENTS))
     sink.write_snapshot_and_latest(ltv, p.gold, p.export, as_of)
     discard_cut(ltv)
-    return spark.read.parquet(p.export)
+    return lake.read_history(spark, p.export)
 
 
 def mart_registry(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of_ts: str) -> lake.SourceRegistry:
@@ -153,37 +153,35 @@ def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of
     reg = mart_registry(spark, p, customers_src, as_of_ts)
     fct_new = reg.ref("fct_orders_source")
     fct_path = f"{p.marts}/fct_orders"
-    target = spark.read.parquet(fct_path) if lake.path_exists(spark, fct_path) else None
+    target = lake.read_history(spark, fct_path) if table_exists(spark, fct_path) else None
     since = change.read_target_watermark(target, lookback_column)
     sink.merge_into_partitions(change.incremental_lookback(fct_new, since, column=lookback_column),
-                               fct_path, "order_id", "order_date", target)
+                               fct_path, "order_id", "order_date")
     reg.register_path("fct_orders", fct_path)
     paths = {"fct_orders": fct_path, "dim_customers": f"{p.marts}/dim_customers",
              "revenue_summary": f"{p.marts}/revenue_summary"}
     dim = marts.dim_customers(reg.ref("stg_customers"), reg.ref("customer_ltv_gold"), as_of, as_of_ts)
-    sink.replace_table(dim, paths["dim_customers"])
-    sink.replace_table(marts.revenue_summary(reg.ref("fct_orders"), as_of_ts), paths["revenue_summary"])
+    replace_table(dim, paths["dim_customers"])
+    replace_table(marts.revenue_summary(reg.ref("fct_orders"), as_of_ts), paths["revenue_summary"])
     return paths
 
 
 def run_snapshot(spark: SparkSession, p: LakePaths, source: DataFrame, run_ts: str) -> DataFrame:
     """C7 -> E7. One snapshot step: only the open versions are read and
-    replaced; versions that close are appended to the closed history, which is
+    replaced; versions that close are added to the closed history, which is
     never rewritten. Returns the whole history.
 
-    Closed versions carry the run that closed them as a partition, so a step
-    that failed half-way and runs again replaces what it had appended."""
-    open_path, closed_path = f"{p.snapshots}/open", f"{p.snapshots}/closed"
-    if lake.path_exists(spark, open_path):
-        step = cut_lineage(change.scd2_apply(spark.read.parquet(open_path), source, run_ts))
-        run = "".join(c for c in run_ts if c.isdigit())
-        sink._writer(step.where("valid_to is not null").withColumn("closed_run", F.lit(run))).partitionBy(
-            "closed_run").parquet(closed_path)
-        sink.replace_table(step.where("valid_to is null"), open_path)
-        discard_cut(step)
-    else:  # first run
-        sink.replace_table(change.scd2_initial(source), open_path)
-    history = spark.read.parquet(open_path)
-    if lake.path_exists(spark, closed_path):
-        history = history.unionByName(spark.read.parquet(closed_path).drop("closed_run"))
-    return history
+    Open and closed versions are parts of one versioned table, so one commit moves a version from one
+    to the other; a step that failed anywhere runs again from the history before it."""
+    table = VersionedTable(spark, p.snapshots)
+    base = table.head()
+    if base is None:  # first run
+        step = change.scd2_initial(source)
+        names = []
+    else:
+        names = [part_name("scd_part", "open")]
+        step = change.scd2_apply(table.read(names, base).drop("scd_part"), source, run_ts)
+    closed = f"closed-{(base.number if base else 0) + 1:09d}"
+    table.write(step.withColumn("scd_part", F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(closed))),
+                "scd_part", base, names)
+    return table.read().drop("scd_part")

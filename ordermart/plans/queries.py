@@ -602,7 +602,7 @@ def q_silver_older_run_after_newer(spark, sf):
     root = scratch_path(spark, "silver-order")
     sink.write_silver(silver(spark, sf), root)
     older = A.bronze_rows(_orders(spark, sf)).where(F.col("_cdc_operation") == "c")
-    sink.write_silver(clean.silver_orders(older)[0], root, existing=lake.read_history(spark, root))
+    sink.write_silver(clean.silver_orders(older)[0], root)
     return lake.read_history(spark, root).select(SILVER_COLUMNS)
 
 
@@ -654,7 +654,7 @@ def q_sink_roundtrip_silver(spark, sf):
     root = scratch_path(spark, "silver")
     first = A.bronze_rows(_orders(spark, sf)).where(F.col("_cdc_operation") == "c")
     sink.write_silver(clean.silver_orders(first)[0], root)
-    sink.write_silver(silver(spark, sf), root, existing=lake.read_history(spark, root))
+    sink.write_silver(silver(spark, sf), root)
     return lake.read_history(spark, root).select(SILVER_COLUMNS)
 
 
@@ -663,7 +663,7 @@ def q_sink_snapshot_latest(spark, sf):
     root = scratch_path(spark, "gold")
     sink.write_snapshot_and_latest(gold.compute_ltv_metrics(silver(spark, sf), LTV_AS_OF),
                                    f"{root}/customer_ltv", f"{root}/latest", LTV_AS_OF)
-    return spark.read.parquet(f"{root}/latest")
+    return lake.read_history(spark, f"{root}/latest")
 
 
 @query("sink_quarantine")
@@ -723,7 +723,7 @@ def q_pipeline_marts(spark, sf):
     pipelines.run_silver(spark, p, RUN_DATE)
     pipelines.run_gold(spark, p, LTV_AS_OF)
     paths = pipelines.run_marts(spark, p, A.customers_src(A.load_table(spark, sf, "customer")), LTV_AS_OF, AS_OF_TS)
-    return spark.read.parquet(paths["revenue_summary"])
+    return lake.read_history(spark, paths["revenue_summary"])
 
 
 @query("pipeline_snapshot")

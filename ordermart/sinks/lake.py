@@ -4,22 +4,21 @@ File sizes follow the data (B14): every write goes through a ``REBALANCE``
 hint, by which AQE joins small pieces and splits large ones (a hot date, a
 one-day load) toward the advisory size; no writer has a fixed number of tasks.
 Partition writes use dynamic partition overwrite, so a rerun replaces only
-the partitions it produces. Keyed tables are merged partition by partition, and
-whole-table replacements are written beside the table and swapped in.
+the partitions it produces. Keyed tables are merged partition by partition and
+whole tables are replaced as atomic versions (``versions``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.operators.change import merge_upsert
 from ordermart.operators.clean import VERSION_ORDER, latest_per_key
-from ordermart.session import cut_lineage, delete_path, discard_cut, hadoop_path, sql_conf
-
-MAX_RECORDS_PER_FILE = 2_000_000
+from ordermart.session import cut_lineage, delete_path, discard_cut, sql_conf
+from ordermart.sinks.versions import MAX_RECORDS_PER_FILE, VersionedTable, part_name, replace_table
 
 
 def _writer(df: DataFrame, mode: str = "overwrite"):
@@ -48,91 +47,64 @@ def write_partitioned(df: DataFrame, root: str, partition_col: str) -> None:
         _writer(df.hint("rebalance", partition_col)).partitionBy(partition_col).parquet(root)
 
 
-def merge_into_partitions(
-    updates: DataFrame,
-    root: str,
-    key: str,
-    partition_col: str,
-    existing: DataFrame | None,
-    order_by: Sequence[str] | None = None,
-) -> list:
-    """Merge rows by key into a table partitioned by ``partition_col``.
+def merge_into_partitions(updates: DataFrame, root: str, key: str, partition_col: str,
+                          order_by: Sequence[str] | None = None) -> list:
+    """Merge rows by key into a versioned table partitioned by ``partition_col``.
 
     Touched partitions are those of the update rows and those where their
-    keys now lie (a key whose date moves leaves its old date). Only these are
-    read (a literal filter, so the scan prunes folders), merged, and
-    replaced; the files of all other partitions stay as they are. With
+    keys now lie (a key whose date moves leaves its old date). The key index
+    names the folders that may hold a key; only these are read for their keys, only the touched ones
+    are read whole, merged and replaced, and one commit makes the new version
+    current. The files of all other partitions stay as they are. With
     ``order_by`` the latest of old and new row per key stays, so an older run
     cannot overwrite newer rows; without it the update wins. The list of
     touched dates is what reaches the driver. Returns it."""
-    if existing is None:
-        write_partitioned(updates, root, partition_col)
+    table = VersionedTable(updates.sparkSession, root)
+    base = table.head()
+    updates = cut_lineage(updates if base is None else updates.select(base.schema.fieldNames()))  # read several times
+    if base is None:
+        table.write(updates, partition_col, None, None, key=key)
+        discard_cut(updates)
         return []
-    spark = updates.sparkSession
-    updates = cut_lineage(updates.select(existing.columns))  # read several times
-    where_now = existing.select(key, partition_col).join(updates.select(key), key, "left_semi")
+    there = table.read(table.holding(base, updates.select(key), key), base)
+    where_now = there.select(key, partition_col).join(updates.select(key), key, "left_semi")
     touched = [r[0] for r in updates.select(partition_col).union(where_now.select(partition_col)).distinct().collect()]
-    old = existing.where(F.col(partition_col).isin(touched)) if touched else existing.where("false")
+    names = [part_name(partition_col, v) for v in touched]
+    old = table.read(names, base)
     merged = cut_lineage(latest_per_key(old.unionByName(updates), key, order_by) if order_by
                          else merge_upsert(old, updates, key))
-    left = {r[0] for r in merged.select(partition_col).distinct().collect()}
-    write_partitioned(merged, root, partition_col)
-    for value in set(touched) - left:  # a date all of whose keys moved away
-        delete_path(spark, f"{root}/{partition_col}={value}")
+    table.write(merged, partition_col, base, names, key=key)
     discard_cut(updates, merged)
     return sorted(touched)
 
 
 def delete_from_partitions(keys: DataFrame, root: str, key: str, partition_col: str) -> list:
-    """Remove keys from a partitioned table, rewriting only the dates that hold them."""
-    spark = keys.sparkSession
-    table = spark.read.parquet(root)
-    touched = [r[0] for r in table.select(key, partition_col).join(keys.select(key), key, "left_semi")
+    """Remove keys from a versioned partitioned table, rewriting only the dates that hold them."""
+    table = VersionedTable(keys.sparkSession, root)
+    base = table.head()
+    there = table.read(table.holding(base, keys.select(key), key), base)
+    touched = [r[0] for r in there.select(key, partition_col).join(keys.select(key), key, "left_semi")
                .select(partition_col).distinct().collect()]
     if touched:
-        left = cut_lineage(table.where(F.col(partition_col).isin(touched)).join(keys.select(key), key, "left_anti"))
-        still = {r[0] for r in left.select(partition_col).distinct().collect()}
-        write_partitioned(left, root, partition_col)
-        for value in set(touched) - still:
-            delete_path(spark, f"{root}/{partition_col}={value}")
+        names = [part_name(partition_col, v) for v in touched]
+        left = cut_lineage(table.read(names, base).join(keys.select(key), key, "left_anti"))
+        table.write(left, partition_col, base, names, key=key)
         discard_cut(left)
     return sorted(touched)
 
 
-def write_silver(df: DataFrame, root: str, key: str = "order_id", partition_col: str = "order_date",
-                 existing: DataFrame | None = None) -> None:
+def write_silver(df: DataFrame, root: str, key: str = "order_id", partition_col: str = "order_date") -> None:
     """B2 with X3 fixed: latest version per key across stored and new rows."""
-    merge_into_partitions(df, root, key, partition_col, existing, VERSION_ORDER)
-
-
-def swap_in(spark: SparkSession, staged: str, path: str) -> None:
-    """Replace the table at ``path`` by the finished one at ``staged``: the old
-    one is renamed away first and deleted last, so a failure leaves one whole."""
-    fs, target = hadoop_path(spark, path)
-    _, new = hadoop_path(spark, staged)
-    _, old = hadoop_path(spark, f"{path.rstrip('/')}__old")
-    fs.delete(old, True)
-    fs.mkdirs(target.getParent())
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} away")
-    if not fs.rename(new, target):
-        raise OSError(f"cannot move {staged} to {path}")
-    fs.delete(old, True)
-
-
-def replace_table(df: DataFrame, path: str) -> None:
-    """Write a whole table beside ``path`` (which ``df`` may read), then swap it in."""
-    staged = f"{path.rstrip('/')}__new"
-    _writer(df.hint("rebalance")).parquet(staged)
-    swap_in(df.sparkSession, staged, path)
+    merge_into_partitions(df, root, key, partition_col, VERSION_ORDER)
 
 
 def write_snapshot_and_latest(df: DataFrame, gold_root: str, latest_path: str, as_of: str) -> None:
     """The dated snapshot is written from ``df``; the stable latest copy is
-    copied from that snapshot's files, so nothing is computed or cached twice."""
-    snapshot = f"{gold_root}/as_of_date={as_of}"
-    _writer(df.hint("rebalance")).parquet(snapshot)
-    replace_table(df.sparkSession.read.schema(df.schema).parquet(snapshot), latest_path)
+    copied from that snapshot's files, so nothing is computed or cached twice. Both are versioned tables."""
+    snapshots = VersionedTable(df.sparkSession, gold_root)
+    dated = part_name("as_of_date", as_of)
+    version = snapshots.write(df.withColumn("as_of_date", F.lit(as_of)), "as_of_date", snapshots.head(), [dated])
+    replace_table(snapshots.read([dated], version).drop("as_of_date"), latest_path)
 
 
 def quarantine_corrupt(corrupt: DataFrame, path: str, quarantined_at: str | None = None) -> None:

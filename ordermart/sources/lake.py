@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.session import hadoop_path
+from ordermart.sinks.versions import VersionedTable
 
 
 def read_partition(spark: SparkSession, root: str, run_date: str, partition_col: str = "ingestion_date") -> DataFrame:
@@ -24,8 +25,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """A3: all partitions."""
-    return spark.read.parquet(root)
+    """A3: all partitions, of a versioned table those of its current version."""
+    table = VersionedTable(spark, root)
+    version = table.head()
+    return table.read(version=version) if version else spark.read.parquet(root)
 
 
 class SourceRegistry:
@@ -41,7 +44,9 @@ class SourceRegistry:
         self._loaders[name] = loader
 
     def register_path(self, name: str, path: str, fmt: str = "parquet") -> None:
-        self._loaders[name] = lambda reg: reg.spark.read.format(fmt).load(path)
+        """A folder of files; Parquet ones may be a versioned table."""
+        self._loaders[name] = lambda reg: (read_history(reg.spark, path) if fmt == "parquet"
+                                           else reg.spark.read.format(fmt).load(path))
 
     def ref(self, name: str) -> DataFrame:
         df = self._loaders[name](self)

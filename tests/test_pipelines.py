@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ordermart.plans import pipelines
 from ordermart.plans.queries import AS_OF_TS, LTV_AS_OF, RUN_DATE
 from ordermart.session import scratch_path
-from ordermart.sources import adapters as A
+from ordermart.sources import adapters as A, lake
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,15 +16,15 @@ def test_layers_rerun_idempotent(spark):
     n1 = pipelines.run_bronze(spark, p, RUN_DATE, AS_OF_TS)
     pipelines.run_silver(spark, p, RUN_DATE)
     g1 = sorted(pipelines.run_gold(spark, p, LTV_AS_OF).collect())
-    s1 = sorted(spark.read.parquet(p.silver).collect())
+    s1 = sorted(lake.read_history(spark, p.silver).collect())
     # rerun every layer on the same landing
     n2 = pipelines.run_bronze(spark, p, RUN_DATE, AS_OF_TS)
     pipelines.run_silver(spark, p, RUN_DATE)
     g2 = sorted(pipelines.run_gold(spark, p, LTV_AS_OF).collect())
-    s2 = sorted(spark.read.parquet(p.silver).collect())
+    s2 = sorted(lake.read_history(spark, p.silver).collect())
     assert n1 == n2 > 0
     assert spark.read.parquet(p.bronze).count() == n1          # partition replaced, not appended
-    assert s1 == s2 and len(s1) == spark.read.parquet(p.silver).select("order_id").distinct().count()
+    assert s1 == s2 and len(s1) == lake.read_history(spark, p.silver).select("order_id").distinct().count()
     assert g1 == g2 and len(g1) > 0
     corrupt = spark.read.json(p.quarantine)
     assert corrupt.where(F.col("_raw_record").isNotNull()).count() > 0
@@ -38,10 +38,10 @@ def test_marts_and_snapshot(spark):
     pipelines.run_gold(spark, p, LTV_AS_OF)
     cust = A.customers_src(A.load_table(spark, SF, "customer"))
     paths = pipelines.run_marts(spark, p, cust, LTV_AS_OF, AS_OF_TS)
-    first = sorted(spark.read.parquet(paths["fct_orders"]).collect())
+    first = sorted(lake.read_history(spark, paths["fct_orders"]).collect())
     paths = pipelines.run_marts(spark, p, cust, LTV_AS_OF, AS_OF_TS)   # incremental merge run
-    assert sorted(spark.read.parquet(paths["fct_orders"]).collect()) == first
-    dim = spark.read.parquet(paths["dim_customers"])
+    assert sorted(lake.read_history(spark, paths["fct_orders"]).collect()) == first
+    dim = lake.read_history(spark, paths["dim_customers"])
     assert dim.count() == cust.count()
     snap = pipelines.run_snapshot(spark, p, cust.select(
         "customer_id", "customer_tier", F.col("updated_at").cast("timestamp").alias("customer_updated_at")), AS_OF_TS)
@@ -50,7 +50,6 @@ def test_marts_and_snapshot(spark):
 
 def test_read_partition_prunes(spark):
     from ordermart.sinks import lake as sink
-    from ordermart.sources import lake
 
     root = scratch_path(spark, "prune")
     df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "order_id string, d string")
