@@ -50,19 +50,25 @@ def op_rejects(cdc: DataFrame, keep_ops: Sequence[str] = fixed.CDC_KEEP_OPS) ->
     )
 
 
+def accounting_counts(corrupt_col: str = "_corrupt_record", keep_ops: Sequence[str] = fixed.CDC_KEEP_OPS) -> dict[str, Column]:
+    """L13 for Bronze: what the lines of a landing are, as aggregates."""
+    op = F.col("op")
+    ok = F.col(corrupt_col).isNull()
+    kept = ok & F.coalesce(op.isin(list(keep_ops)), F.lit(False))
+    return {
+        "input_rows": F.count(F.lit(1)),
+        "corrupt_rows": F.count_if(~ok),
+        "kept_rows": F.count_if(kept),
+        "deleted_rows": F.count_if(ok & (op == "d")),
+        "unknown_op_rows": F.count_if(ok & ~F.coalesce(op.isin(list(keep_ops) + ["d"]), F.lit(False))),
+    }
+
+
 def bronze_accounting(raw: DataFrame, corrupt_col: str = "_corrupt_record",
                       keep_ops: Sequence[str] = fixed.CDC_KEEP_OPS) -> DataFrame:
     """L13 for Bronze: lines in = corrupt + kept + deletes + NULL/unknown op,
     from one aggregate."""
-    op = F.col("op")
-    ok = F.col(corrupt_col).isNull()
-    out = raw.agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(~ok).alias("corrupt_rows"),
-        F.count_if(ok & F.coalesce(op.isin(list(keep_ops)), F.lit(False))).alias("kept_rows"),
-        F.count_if(ok & (op == "d")).alias("deleted_rows"),
-        F.count_if(ok & ~F.coalesce(op.isin(list(keep_ops) + ["d"]), F.lit(False))).alias("unknown_op_rows"),
-    )
+    out = raw.agg(*[c.alias(name) for name, c in accounting_counts(corrupt_col, keep_ops).items()])
     return out.withColumn(
         "balanced",
         F.col("input_rows") == F.col("corrupt_rows") + F.col("kept_rows") + F.col("deleted_rows") + F.col("unknown_op_rows"),

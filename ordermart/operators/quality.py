@@ -11,17 +11,18 @@ small result DataFrame (check_name, passed, details):
   counted per (check, value) before they meet;
 * each relationship check adds one anti join.
 
-Only the result frame (one row per check) is ever collected, by
-:meth:`QualitySuite.validate`.
+:meth:`QualitySuite.measure` takes the row-level counts while the frame is being written
+(an ``Observation`` on the write), so a gate needs no pass of its own for them. Only the result frame
+(one row per check) is ever collected, by :meth:`QualitySuite.validate`.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,10 +36,12 @@ def _result(name: Column | str, passed: Column, details: Column) -> Column:
     return F.struct(nm.alias("check_name"), passed.alias("passed"), details.alias("details"))
 
 
-def py_list_text(values: Column) -> Column:
-    """Render an array<string> like a Python list: ['a', 'b']."""
-    quoted = F.transform(values, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with counts taken while it is written: (frame, observation). The observation
+    must be the frame's last step, so it runs in the tasks that write: their counts are taken once each,
+    whatever is retried before them."""
+    seen = Observation()
+    return df.observe(seen, *[F.coalesce(c, F.lit(0)).alias(a) for a, c in counts.items()]), seen
 
 
 @dataclass
@@ -50,6 +53,7 @@ class QualitySuite:
     _extra: list = field(default_factory=list)    # separate one-row frames
     _unique: list = field(default_factory=list)   # column lists of uniqueness checks
     _accepted: list = field(default_factory=list)  # (column, allowed values)
+    _measured: dict | None = None                 # row-level aggregates taken by measure()
 
     # -- declarations -----------------------------------------------------
     def _count(self, alias: str, expr: Column, combine: str = "sum") -> str:
@@ -101,15 +105,14 @@ class QualitySuite:
         )
 
     def accepted_values(self, column: str, allowed: Sequence[str]) -> "QualitySuite":
-        """NULL passes; details list the distinct bad values in sort order
-        and the number of bad rows (:meth:`bad_values` has them as rows)."""
+        """NULL passes; details give the numbers of distinct bad values and
+        of bad rows (:meth:`bad_values` has the values as rows)."""
         self._accepted.append((column, list(allowed)))
         return self
 
-    def _accepted_frame(self, list_values: bool) -> DataFrame:
+    def _accepted_frame(self) -> DataFrame:
         """One row per accepted-values check, from one scan: each row's bad
-        values become (check, value) pairs, counted per pair before they meet.
-        Without ``list_values`` the details give the number of distinct values."""
+        values become (check, value) pairs, counted per pair before they meet."""
         pairs = F.array(*[
             F.when(~F.col(c).isin(allowed), F.struct(F.lit(i).alias("check"), F.col(c).cast("string").alias("value")))
             for i, (c, allowed) in enumerate(self._accepted)])
@@ -117,13 +120,8 @@ class QualitySuite:
                .groupBy("p.check", "p.value").agg(F.count("*").alias("rows")))
         checks = self.df.sparkSession.createDataFrame(
             [(i, f"accepted_values:{c}") for i, (c, _) in enumerate(self._accepted)], "check int, name string")
-        values = F.array_sort(F.collect_list("value")) if list_values else F.count(F.lit(1))
-        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), values.alias("values"))
-        if list_values:
-            found = F.concat(F.lit("invalid_values="), py_list_text(F.coalesce("values", F.array().cast("array<string>"))))
-        else:
-            found = F.format_string("distinct_invalid_values=%d", F.coalesce("values", F.lit(0)))
-        text = F.concat(found, F.format_string(" invalid_rows=%d", F.coalesce("rows", F.lit(0))))
+        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("values"))
+        text = F.format_string("distinct_invalid_values=%d invalid_rows=%d", F.coalesce("values", F.lit(0)), F.coalesce("rows", F.lit(0)))
         return checks.join(per_check, "check", "left").select(_result(F.col("name"), F.col("rows").isNull(), text).alias("r"))
 
     def bad_values(self, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -174,20 +172,30 @@ class QualitySuite:
         ).alias("r"))
 
     # -- evaluation -------------------------------------------------------
-    def results(self, list_values: bool = True) -> DataFrame:
+    def _parts(self) -> list:
+        return list({alias: (alias, expr, combine) for alias, expr, combine in self._counts}.values())
+
+    def measure(self, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Run ``write``, which stores the frame and returns it as read back, and take the
+        row-level aggregates on the way; the other checks read what was stored."""
+        bad = [(f"_bad_{i}", F.count_if(~F.col(c).isin(allowed)), "sum") for i, (c, allowed) in enumerate(self._accepted)]
+        seen = Observation()
+        self.df = write(self.df.observe(seen, F.count(F.lit(1)).alias("_n"), *[e.alias(a) for a, e, _ in [*self._parts(), *bad] if a != "_n"]))
+        self._measured = seen.get
+        return self.df
+
+    def results(self) -> DataFrame:
         """All checks as one small frame. Row-level aggregates run in one
-        pass; with a uniqueness check that pass groups by its key first
+        pass (none after :meth:`measure`); with a uniqueness check that pass groups by its key first
         (map-side partial aggregation), so counts, totals and the distinct
-        key count all come from one shuffle plus a one-row global merge.
-        ``list_values`` puts all bad values of a check into its details."""
-        seen, parts = set(), []
-        for alias, expr, combine in self._counts:
-            if alias not in seen:
-                seen.add(alias)
-                parts.append((alias, expr, combine))
+        key count all come from one shuffle plus a one-row global merge."""
+        parts = self._parts()
         frames: list[DataFrame] = []
-        unique_rows = []
-        if self._unique:
+        unique_rows, rest = [], self._unique
+        if self._measured is not None:
+            main = self.df.sparkSession.range(1).select(*[
+                F.lit(self._measured[a]).cast("bigint" if c == "sum" else "timestamp").alias(a) for a, _, c in parts])
+        elif self._unique:
             first, *rest = self._unique
             grouped = self.df.groupBy(*first).agg(
                 F.count(F.lit(1)).alias("_gc"), *[e.alias(a) for a, e, _ in parts])
@@ -195,16 +203,20 @@ class QualitySuite:
             merge += [(F.max(a) if c == "max" else F.coalesce(F.sum(a), F.lit(0))).alias(a) for a, _, c in parts]
             main = grouped.agg(*merge)
             unique_rows.append(self._unique_row(first, F.col("_utotal"), F.col("_udistinct")))
-            for cols in rest:
-                per_key = self.df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-                agg = per_key.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_t"), F.count(F.lit(1)).alias("_d"))
-                frames.append(agg.select(self._unique_row(cols, F.col("_t"), F.col("_d")).alias("r")))
         else:
             main = self.df.agg(*[e.alias(a) for a, e, _ in parts]) if parts else None
+        for cols in rest:
+            per_key = self.df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+            agg = per_key.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_t"), F.count(F.lit(1)).alias("_d"))
+            frames.append(agg.select(self._unique_row(cols, F.col("_t"), F.col("_d")).alias("r")))
         if self._rows or unique_rows:
             frames.append(main.select(F.explode(F.array(*[r() for r in self._rows], *unique_rows)).alias("r")))
-        if self._accepted:
-            frames.append(self._accepted_frame(list_values))
+        if self._accepted and self._measured is not None and not any(self._measured[f"_bad_{i}"] for i in range(len(self._accepted))):
+            frames.append(self.df.sparkSession.range(1).select(F.explode(F.array(*[
+                _result(f"accepted_values:{c}", F.lit(True), F.lit("distinct_invalid_values=0 invalid_rows=0"))
+                for c, _ in self._accepted])).alias("r")))
+        elif self._accepted:
+            frames.append(self._accepted_frame())
         frames.extend(self._relationship_frame(*spec[1:]) for spec in self._extra)
         out = frames[0]
         for f in frames[1:]:
@@ -213,9 +225,8 @@ class QualitySuite:
 
     def validate(self, raise_on_failure: bool = True) -> list:
         """Collect the (small) result frame, log every check, raise
-        listing the failed check names. Bad values are counted, not gathered
-        (:meth:`bad_values` has them as rows)."""
-        rows = self.results(list_values=False).collect()
+        listing the failed check names."""
+        rows = self.results().collect()
         failed = [r for r in rows if not r["passed"]]
         for r in rows:
             (log.info if r["passed"] else log.error)(
@@ -303,6 +314,20 @@ def volume_by_partition(df: DataFrame, partition_col: str, trailing: int = 7,
         "passed", F.coalesce(F.col("deviation") <= tolerance, F.lit(True)))
 
 
+def volume_of_runs(runs: DataFrame, trailing: int = 7, tolerance: float = fixed.VOLUME_TOLERANCE) -> DataFrame:
+    """L6 over the stored metrics of all runs (one row per layer and run): rows kept by each run
+    against the mean of the ``trailing`` runs before it that passed their gate. The first
+    run of a layer has nothing to be held against and passes."""
+    w = Window.partitionBy("layer").orderBy("run_date").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.collect_list(F.when(F.col("passed"), F.col("kept_rows"))).over(w)  # one number a run
+    last = F.slice(F.reverse(before), 1, trailing)
+    expected = F.when(F.size(last) > 0, F.aggregate(last, F.lit(0).cast("long"), lambda a, x: a + x) / F.size(last))
+    out = runs.withColumn("expected", F.round(expected, 2))
+    dev = F.abs(F.col("kept_rows") - F.col("expected")) / F.greatest(F.col("expected"), F.lit(1.0))
+    return out.withColumn("deviation", F.round(dev, 4)).withColumn(
+        "volume_passed", F.coalesce(F.col("deviation") <= tolerance, F.lit(True)))
+
+
 def source_freshness(df: DataFrame, source: str, column: str, as_of_ts: str,
                      warn_hours: float = fixed.FRESHNESS_WARN_HOURS,
                      error_hours: float = fixed.FRESHNESS_ERROR_HOURS) -> DataFrame:

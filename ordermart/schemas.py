@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DecimalType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DecimalType, FloatType, LongType, StringType, StructField, StructType
 
 # --- fixed values: names and types of the fields that producers send ---------
 ORDER_FIELDS = [
@@ -25,6 +25,13 @@ CDC_ENVELOPE_WITH_CORRUPT = StructType(
     CDC_ENVELOPE.fields + [StructField(CORRUPT_COLUMN, StringType(), True)]
 )
 
+#: Events that Bronze does not take, and one row of measures per layer and run.
+CDC_REJECTS = StructType(CDC_ENVELOPE.fields + [StructField("_reject_reason", StringType(), True)])
+RUN_METRICS = StructType(
+    [StructField(name, LongType(), True) for name in ("input_rows", "kept_rows", "rejected_rows", "null_keys", "newest_ts_ms")]
+    + [StructField("passed", BooleanType(), True)]
+)
+
 TRANSACTION = StructType(
     [
         StructField("transaction_id", StringType(), False),

@@ -12,11 +12,11 @@ touches most folders anyway, takes all folders as candidates.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCKS, BITS, PROBES, MAX_KEYS = 64, 32, 16, 1_000_000
+BLOCKS, BITS, PROBES, MAX_KEYS = 16, 32, 16, 1_000_000
 SCHEMA = "part string, block int, n long, bits binary"
 
 
@@ -56,23 +56,40 @@ def build(rows: DataFrame, key: str, partition_col: str) -> DataFrame:
     hashed = rows.select(part.alias("part"), F.xxhash64(F.col(key)).alias("h")).withColumn("block", _block_of(F.col("h")))
 
     def filters(batches):
-        at, found = None, []
+        at, found, out = None, [], []
 
-        def row():
+        def flush():
+            ready = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                pa.string(), pa.int32(), pa.int64(), pa.binary()))], ["part", "block", "n", "bits"])
+            out.clear()
+            return ready
+
+        def close():
             h = np.concatenate(found)
-            return pd.DataFrame([(*at, len(h), _filter(h))], columns=["part", "block", "n", "bits"])
+            out.append((*at, len(h), _filter(h)))
 
         for batch in batches:
-            for name, group in batch.groupby(["part", "block"], sort=False):
+            part, block, h = batch.column("part").dictionary_encode(), *(
+                batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "h"))
+            code = part.indices.to_numpy(zero_copy_only=False).astype(np.int64) * BLOCKS + block
+            edges = [0, *(np.flatnonzero(np.diff(code)) + 1).tolist(), len(h)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                name = part.dictionary[int(code[a]) // BLOCKS].as_py(), int(block[a])
                 if name != at:
                     if found:
-                        yield row()
+                        close()
                     at, found = name, []
-                found.append(group["h"].to_numpy(np.int64))
+                found.append(h[a:b])
+            if sum(len(r[3]) for r in out) > 8 << 20:
+                yield flush()
         if found:
-            yield row()
+            close()
+        if out:
+            yield flush()
 
-    return hashed.repartition("part", "block").sortWithinPartitions("part", "block").mapInPandas(filters, SCHEMA)
+    return hashed.repartition("part", "block").sortWithinPartitions("part", "block").mapInArrow(filters, SCHEMA)
 
 
 def candidates(index: DataFrame, live: dict[str, str], keys: DataFrame, key: str, max_keys: int = MAX_KEYS) -> list[str]:
@@ -88,12 +105,12 @@ def candidates(index: DataFrame, live: dict[str, str], keys: DataFrame, key: str
     def probe(batches):
         live, hashes, edges = sent.value
         for batch in batches:
-            out = [(p, _may_hold(b, hashes[edges[k]:edges[k + 1]])) for v, p, k, b in zip(
-                batch["version"], batch["part"], batch["block"], batch["bits"]) if live.get(p) == v]
-            if out:
-                yield pd.DataFrame(out, columns=["part", "hit"])
+            rows = zip(*(batch.column(c).to_pylist() for c in ("version", "part", "block", "bits")))
+            hits = sorted({p for v, p, k, b in rows if live.get(p) == v and _may_hold(b, hashes[edges[k]:edges[k + 1]])})
+            seen = sorted({p for v, p in zip(batch.column("version").to_pylist(), batch.column("part").to_pylist()) if live.get(p) == v})
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array(np.isin(seen, hits))], ["part", "hit"])
 
-    found = index.select("version", "part", "block", "bits").mapInPandas(probe, "part string, hit boolean").groupBy("part").agg(
+    found = index.select("version", "part", "block", "bits").mapInArrow(probe, "part string, hit boolean").groupBy("part").agg(
         F.max("hit").alias("hit")).collect()  # one row a folder
     known = {r["part"]: r["hit"] for r in found}
     sent.unpersist()

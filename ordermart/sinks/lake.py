@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ordermart.operators.change import merge_upsert
 from ordermart.operators.clean import VERSION_ORDER, latest_per_key
+from ordermart.operators.quality import counted
+from ordermart.schemas import RUN_METRICS
 from ordermart.session import cut_lineage, delete_path, discard_cut, sql_conf
 from ordermart.sinks.versions import MAX_RECORDS_PER_FILE, VersionedTable, part_name, replace_table
 
@@ -30,13 +32,20 @@ def _writer(df: DataFrame, mode: str = "overwrite"):
     )
 
 
-def write_bronze(df: DataFrame, root: str, run_date: str) -> None:
-    """B1: idempotent replace of one ingestion-date partition."""
-    write_partitioned(df.withColumn("ingestion_date", F.lit(str(run_date))), root, "ingestion_date")
+def write_bronze(df: DataFrame, root: str, run_date: str) -> int:
+    """B1: idempotent replace of one ingestion-date partition. Returns the rows written."""
+    return write_partitioned(df.withColumn("ingestion_date", F.lit(str(run_date))), root, "ingestion_date")
 
 
-def write_partitioned(df: DataFrame, root: str, partition_col: str) -> None:
-    """Dynamic overwrite of every partition present in ``df``.
+def _write_counted(df: DataFrame, write) -> int:
+    """Run ``write`` on the frame; its rows are counted in the tasks that write them."""
+    out, seen = counted(df, rows=F.count(F.lit(1)))
+    write(out)
+    return seen.get["rows"]
+
+
+def write_partitioned(df: DataFrame, root: str, partition_col: str) -> int:
+    """Dynamic overwrite of every partition present in ``df``. Returns the rows written.
 
     AQE keeps splitting large partition values (REBALANCE skew handling) but
     does not coalesce for this write: coalescing by bytes would hand a
@@ -44,7 +53,8 @@ def write_partitioned(df: DataFrame, root: str, partition_col: str) -> None:
     turn, while the uncoalesced hash spread writes them in parallel (empty
     shuffle partitions write nothing)."""
     with sql_conf(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        _writer(df.hint("rebalance", partition_col)).partitionBy(partition_col).parquet(root)
+        return _write_counted(df.hint("rebalance", partition_col),
+                              lambda out: _writer(out).partitionBy(partition_col).parquet(root))
 
 
 def merge_into_partitions(updates: DataFrame, root: str, key: str, partition_col: str,
@@ -107,27 +117,37 @@ def write_snapshot_and_latest(df: DataFrame, gold_root: str, latest_path: str, a
     replace_table(snapshots.read([dated], version).drop("as_of_date"), latest_path)
 
 
-def quarantine_corrupt(corrupt: DataFrame, path: str, quarantined_at: str | None = None) -> None:
-    """Append unparsable lines as JSON with the quarantine time. The raw
+def quarantine_corrupt(corrupt: DataFrame, path: str, run_date: str, quarantined_at: str | None = None) -> int:
+    """Unparsable lines as JSON with the quarantine time, in the folder of their run date; a
+    rerun of a date replaces its lines, also by none. The raw
     line is stored as ``_raw_record`` (a plain column: Spark treats a field
     named ``_corrupt_record`` specially when the quarantine is read back).
-    The reject set is small by nature; it is written as it is partitioned."""
+    The reject set is small by nature; it is written as it is partitioned. Returns the rows written."""
     ts = F.current_timestamp() if quarantined_at is None else F.lit(quarantined_at).cast("timestamp")
-    corrupt.select(F.col("_corrupt_record").alias("_raw_record"), ts.alias("_quarantine_ts")).write.mode("append").json(path)
+    return _write_counted(corrupt.select(F.col("_corrupt_record").alias("_raw_record"), ts.alias("_quarantine_ts")),
+                          lambda out: out.write.mode("overwrite").json(f"{path}/quarantine_date={run_date}"))
 
 
-def write_rejects(rejects: DataFrame, path: str, run_date: str) -> None:
-    """Events that a layer does not take, with their reason; a rerun of a date replaces its rejects."""
-    _writer(rejects.withColumn("reject_date", F.lit(str(run_date)))).partitionBy("reject_date").parquet(path)
+def write_rejects(rejects: DataFrame, path: str, run_date: str) -> int:
+    """Events that a layer does not take, with their reason; a rerun of a date
+    replaces its rejects, also by none. Returns the rows written."""
+    return _write_counted(rejects, lambda out: out.write.mode("overwrite").parquet(f"{path}/reject_date={run_date}"))
 
 
-def quarantine_invalid(invalid: DataFrame, path: str, run_date: str) -> None:
+def quarantine_invalid(invalid: DataFrame, path: str, run_date: str) -> int:
     """Rule violators with reason and date, by ingestion date; a rerun of a
-    date replaces that date's rejects."""
+    date replaces that date's rejects, also by none. Returns the rows written."""
     out = invalid.withColumn("_quarantine_date", F.lit(str(run_date)))
     if "_quarantine_reason" not in out.columns:
         out = out.withColumn("_quarantine_reason", F.lit("business_rule_violation"))
-    _writer(out).partitionBy("_ingestion_date").parquet(path)
+    delete_path(invalid.sparkSession, f"{path}/_ingestion_date={run_date}")
+    return _write_counted(out, lambda o: _writer(o).partitionBy("_ingestion_date").parquet(path))
+
+
+def write_run_metrics(spark, path: str, layer: str, run_date: str, values: dict) -> None:
+    """The measures of one run of a layer; a rerun replaces them."""
+    row = tuple(values.get(f.name) for f in RUN_METRICS.fields)
+    spark.createDataFrame([row], RUN_METRICS).coalesce(1).write.mode("overwrite").parquet(f"{path}/layer={layer}/run_date={run_date}")
 
 
 def write_profile_features(profile: DataFrame, path: str) -> None:

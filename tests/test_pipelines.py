@@ -58,3 +58,25 @@ def test_read_partition_prunes(spark):
     plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(d" in plan and "= 2024-01-02" in plan
     assert [r["order_id"] for r in one.collect()] == ["b"] and "d" in one.columns
+
+
+def test_bronze_rerun_and_failed_gate(spark):
+    """A rerun replaces corrupt lines and rejects, also by none; a run that fails its gate keeps Bronze as it was."""
+    import pytest
+
+    p = pipelines.LakePaths.under(scratch_path(spark, "rerun"))
+    lines = A.cdc_json_lines(A.load_table(spark, SF, "orders")).cache()
+    lines.write.text(f"{p.landing}/a")
+    lines.where(F.col("value").startswith('{"op":"c"') & F.col("value").endswith("}}")).limit(40).write.text(f"{p.landing}/b")
+    n = pipelines.run_bronze(spark, p, RUN_DATE, AS_OF_TS, source=f"{p.landing}/a")
+    first = pipelines.bronze_written(spark, p, RUN_DATE, f"{p.landing}/a").first()
+    assert first.balanced and first.kept_rows == n and min(first.corrupt_rows, first.deleted_rows, first.unknown_op_rows) > 0
+    assert pipelines.run_bronze(spark, p, RUN_DATE, AS_OF_TS, source=f"{p.landing}/b") == 40  # the same date again, nothing rejected
+    again = pipelines.bronze_written(spark, p, RUN_DATE, f"{p.landing}/b").first()
+    assert tuple(again) == (40, 0, 40, 0, 0, True)
+    pipelines.run_silver(spark, p, RUN_DATE, deletes=True)
+    with pytest.raises(ValueError, match="volume_anomaly"):
+        pipelines.run_bronze(spark, p, "2001-08-03", AS_OF_TS, source=f"{p.landing}/a")
+    assert {str(r[0]) for r in spark.read.parquet(p.bronze).select("ingestion_date").distinct().collect()} == {RUN_DATE}
+    kept = {r.run_date: (r.kept_rows, r.passed) for r in pipelines.run_metrics(spark, p).collect()}
+    assert kept == {RUN_DATE: (40, True), "2001-08-03": (n, False)}
