@@ -57,6 +57,64 @@ def test_round_trip(spark, monkeypatch):
     assert got == want
 
 
+def members(data):
+    """(offset, content) of the gzip members of a file."""
+    import zlib
+
+    at = 0
+    while at < len(data):
+        z = zlib.decompressobj(31)
+        content = z.decompress(data[at:]) + z.flush()
+        yield at, content
+        at = len(data) - len(z.unused_data)
+
+
+def test_ids_links_and_offsets(spark):
+    """Every revisit refers to the id of a response in the archives, ids are unique and the same however the
+    rows are partitioned, and each record is a gzip member that can be read alone."""
+    import pathlib
+
+    corpus_session(spark)
+    rows = [(i, f"http://x/{i}", "page " * (i % 7) * (400 if i % 5 == 0 else 1)) for i in range(50)]
+    rows += [(None, "u", "page "), (None, "u", "page "), (0, "v", ""), (0, "v", ""), (3, "w", "page " * 3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for n in (1, 4):
+        path = scratch_path(spark, "warc")
+        warc.write_archives(df.repartition(n), path)
+        records = []
+        for f in pathlib.Path(path.removeprefix("file:")).glob("part-*"):
+            data = f.read_bytes()
+            for at, content in members(data):
+                got = list(warc.parse(content))
+                assert len(got) <= 1  # a record, or the separator
+                records += got
+        found.append(sorted((h[b"warc-record-id"], h.get(b"warc-refers-to"), h[b"warc-type"], block) for h, block in records))
+        ids = [h[b"warc-record-id"] for h, _ in records]
+        assert len(ids) == len(set(ids))
+        responses = {h[b"warc-record-id"] for h, _ in records if h[b"warc-type"] == b"response"}
+        links = [h[b"warc-refers-to"] for h, _ in records if h[b"warc-type"] == b"revisit"]
+        assert len(links) > 30 and set(links) <= responses
+    assert found[0] == found[1]
+
+
+def test_revisit_without_its_response_raises(spark, tmp_path):
+    corpus_session(spark)
+    sha = hashlib.sha1(b"a").hexdigest()
+    response, revisit = (warc.page_records(*x)[0] for x in ((1, "u", b"a", sha, None), (2, "u", b"a", sha, 1)))
+    other = warc.page_records(1, "u", b"b", hashlib.sha1(b"b").hexdigest(), None)[0]
+    wrong = revisit.replace(b"X-Payload-Length: 1", b"X-Payload-Length: 2")
+    for name, records, ok in (("both", [response, revisit], True), ("lost", [revisit], False), ("other", [other, revisit], False),
+                              ("length", [response, wrong], False)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.gz").write_bytes(b"".join(warc.member(r + b"\r\n\r\n") + warc.SEPARATOR for r in records))
+        if ok:
+            assert len(warc.read_archives(spark, f"file://{tmp_path / name}").collect()) == 2
+        else:
+            with pytest.raises(ValueError, match="revisits refer to"):
+                warc.read_archives(spark, f"file://{tmp_path / name}")
+
+
 def test_empty_table(spark):
     assert round_trip(spark, []) == []
 
@@ -72,7 +130,7 @@ def test_chunked_framing():
 def test_broken_segments_raise(spark, tmp_path):
     corpus_session(spark)
     digest = hashlib.sha1(b"q" * 30_000).hexdigest()
-    records = warc.page_records("urn:page:1;0.1", "u", b"q" * 30_000, digest, None)
+    records = warc.page_records(1, "u", b"q" * 30_000, digest, None)
     assert len(records) > 3
     for name, kept in (("lost", records[:1] + records[2:]), ("short", records[:-1]), ("double", records + records[1:2])):
         folder = tmp_path / name
