@@ -117,8 +117,8 @@ SCORED_COLUMNS = [
 ]
 
 
-def score_projection(decided: DataFrame, processed_at: Column | str) -> DataFrame:
-    """M9: the 9-column scored record; rules as a JSON array text."""
+def score_projection(decided: DataFrame, processed_at: Column | str, *more: Column) -> DataFrame:
+    """M9: the 9-column scored record; rules as a JSON array text. ``more``: columns carried beside it."""
     ts = processed_at if isinstance(processed_at, Column) else F.lit(processed_at).cast("timestamp")
     return decided.select(
         "transaction_id", "card_id", "customer_id", "amount_usd", "fraud_decision",
@@ -126,6 +126,7 @@ def score_projection(decided: DataFrame, processed_at: Column | str) -> DataFram
         F.lit(0.0).cast("float").alias("fraud_score"),
         "decision_reason",
         ts.alias("processed_at"),
+        *more,
     )
 
 

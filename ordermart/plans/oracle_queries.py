@@ -387,6 +387,11 @@ oracle("stream_alerts", with_ctes(
     "stream_scored"))
 oracle("stream_dedup", with_ctes(
     "SELECT count(*) AS rows, count(DISTINCT transaction_id) AS transactions FROM transactions", "transactions"))
+oracle("stream_nightly_profiles", with_ctes(
+    "SELECT count(*) AS rows, count(*) AS equal_rows, TRUE AS has_profiles, TRUE AS both_nights FROM transactions", "transactions"))
+oracle("stream_record_cap", with_ctes(
+    "SELECT CAST(ceil(count(*) / ceil(count(*) / 10)) AS BIGINT) AS batches, CAST(ceil(count(*) / 10) AS BIGINT) AS largest, "
+    "count(*) AS rows FROM transactions", "transactions"))
 oracle("stream_accounting", with_ctes("""
 SELECT count(*) + count(*) FILTER (WHERE replay AND NOT late) + count(*) FILTER (WHERE replay) + count(*) FILTER (WHERE broken)
     AS input_rows,

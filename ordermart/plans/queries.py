@@ -781,6 +781,8 @@ def q_pipeline_snapshot(spark, sf):
 
 # --- Streams ------------------------------------------------------------------
 from ordermart.schemas import TRANSACTION  # noqa: E402
+from ordermart.streaming import outputs as stream_outputs  # noqa: E402
+from ordermart.streaming import profiles as stream_profiles  # noqa: E402
 from ordermart.streaming import scorer as stream_scorer  # noqa: E402
 from ordermart.streaming import source as stream_source  # noqa: E402
 
@@ -838,14 +840,15 @@ def _scorer_build(spark, sf):
 @query("stream_velocity")
 def q_stream_velocity(spark, sf):
     root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-velocity")
-    return spark.read.parquet(f"{root}/out/audit").select(
+    return stream_outputs.read_output(spark, f"{root}/out", "audit").select(
         "transaction_id", "tx_count_1min", "tx_count_5min", "last_latitude", "last_longitude", "last_tx_timestamp")
 
 
 @query("stream_scored")
 def q_stream_scored(spark, sf):
     root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-scored")
-    kv = spark.read.schema("key string, value string").json(f"{root}/out/scored")
+    stream_outputs.compact(spark, f"{root}/out", "scored")
+    kv = stream_outputs.read_output(spark, f"{root}/out", "scored")
     rec = F.from_json("value", "transaction_id string, fraud_decision string, triggered_rules string, decision_reason string")
     return kv.select("key", rec.alias("r")).select("key", "r.fraud_decision", "r.triggered_rules", "r.decision_reason")
 
@@ -853,14 +856,14 @@ def q_stream_scored(spark, sf):
 @query("stream_alerts")
 def q_stream_alerts(spark, sf):
     root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-alerts")
-    kv = spark.read.schema("key string, value string").json(f"{root}/out/alerts")
+    kv = stream_outputs.read_output(spark, f"{root}/out", "alerts")
     return kv.select("key", F.get_json_object("value", "$.fraud_decision").alias("fraud_decision"))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf):
     root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-dedup")
-    a = spark.read.parquet(f"{root}/out/audit")
+    a = stream_outputs.read_output(spark, f"{root}/out", "audit")
     return a.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("transaction_id").alias("transactions"))
 
 
@@ -882,6 +885,7 @@ def q_stream_tumbling(spark, sf):
 @query("stream_sliding_velocity")
 def q_stream_sliding(spark, sf):
     root = _stream_run(spark, sf, _window_build("sliding"), "stream-sliding")
+    stream_scorer.fold_windows(spark, f"{root}/out")
     return stream_scorer.window_totals(spark, f"{root}/out")
 
 
@@ -912,13 +916,13 @@ def q_stream_accounting(spark, sf):
             q.awaitTermination()
             if q.exception():
                 raise q.exception()
-    audit = spark.read.parquet(f"{root}/out/audit")
+    audit = stream_outputs.read_output(spark, f"{root}/out", "audit")
     count = lambda df, name: df.agg(F.count("*").alias(name))
     parts = [
         count(spark.read.text(f"{root}/landing"), "input_rows"),
         audit.agg(F.count("*").alias("decided_rows"), F.count_distinct("transaction_id").alias("transactions"),
                   F.max("is_late").alias("has_late")),
-        count(spark.read.parquet(f"{root}/out/duplicates"), "duplicate_rows"),
+        count(stream_outputs.read_output(spark, f"{root}/out", "duplicates"), "duplicate_rows"),
         count(spark.read.schema("_raw string").json(f"{root}/out/quarantine"), "undecodable_rows")]
     one = [p.withColumn("_one", F.lit(1)) for p in parts]  # a row each
     joined = one[0]
@@ -928,6 +932,65 @@ def q_stream_accounting(spark, sf):
         "balanced", F.col("input_rows") == F.col("decided_rows") + F.col("duplicate_rows") + F.col("undecodable_rows"))
 
 
+@query("stream_nightly_profiles")
+def q_stream_nightly_profiles(spark, sf):
+    """One running query over three parts of the transactions; a night's profile is published before the
+    second and the third. Every event must have the profile values of the latest night before its date (none when
+    that has expired), as joined here in batch."""
+    root = scratch_path(spark, "stream-nights")
+    t = features.with_event_ts(tx(spark, sf)).withColumn("_d", F.to_date("event_ts"))
+    lo, days = t.agg(F.min("_d"), F.date_diff(F.max("_d"), F.min("_d"))).first()
+    nights = [lo + dt.timedelta(days=days * i // 3) for i in (1, 2)]
+    edges = [lo - dt.timedelta(days=1), *nights, lo + dt.timedelta(days=days)]
+    value = F.to_json(F.struct(*[F.col(f.name) for f in TRANSACTION.fields])).alias("value")
+    store = stream_profiles.ProfileStore(spark, f"{root}/profile")
+    profiles, running = {}, []
+    try:
+        for i, (a, b) in enumerate(zip(edges, edges[1:])):
+            if i:
+                profiles[str(a)] = {n: cut_lineage(p) for n, p in stream_scorer.profile_tables(tx(spark, sf), str(a)).items()}
+                store.publish(profiles[str(a)], str(a))
+            t.where((F.col("_d") > F.lit(a)) & (F.col("_d") <= F.lit(b))).select(value).write.text(f"{root}/landing/part={i}")
+            if not running:
+                running += stream_scorer.run_fraud_stream(
+                    spark, f"{root}/out", f"{root}/checkpoint", store, BLOCKLISTED_MERCHANTS, path=f"{root}/landing/part=*",
+                    trigger={"processingTime": "0 seconds"}, processed_at=F.lit(AS_OF_TS).cast("timestamp"))
+            for q in running:
+                q.processAllAvailable()
+    finally:
+        for q in running:
+            q.stop()
+    got = stream_outputs.read_output(spark, f"{root}/out", "audit").select(
+        "transaction_id", F.col("amount_count_30d").alias("got"))
+    night = F.when(F.col("_d") > F.lit(nights[1]), F.lit(nights[1])).when(F.col("_d") > F.lit(nights[0]), F.lit(nights[0]))
+    dated = t.withColumn("_night", F.when(F.date_diff("_d", night) <= fixed.PROFILE_TTL_DAYS, night))
+    amounts = [p["amounts"].withColumn("_night", F.lit(n).cast("date")) for n, p in profiles.items()]
+    want = dated.join(amounts[0].unionByName(amounts[1]), ["card_id", "_night"], "left").select(
+        "transaction_id", F.coalesce("amount_count_30d", F.lit(0)).alias("want"), "_night")
+    return want.join(got, "transaction_id", "left").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("want") == F.col("got")).alias("equal_rows"),
+        (F.count_if(F.col("want") > 0) > 0).alias("has_profiles"), (F.count_distinct("_night") == 2).alias("both_nights"))
+
+
+@query("stream_record_cap")
+def q_stream_record_cap(spark, sf):
+    """A5: all transactions landed at once, with a cap of a tenth of them: ten micro-batches, the same totals."""
+    root = scratch_path(spark, "stream-cap")
+    t = tx(spark, sf)
+    cap = -(-t.count() // 10)
+    value = F.to_json(F.struct(*[F.col(f.name) for f in TRANSACTION.fields])).alias("value")
+    stream_source.land_capped(t.select(value).coalesce(1), f"{root}/landing", cap)
+    for q in stream_scorer.run_fraud_stream(
+            spark, f"{root}/out", f"{root}/checkpoint", _stored_profile(spark, sf), BLOCKLISTED_MERCHANTS, path=f"{root}/landing",
+            trigger={"availableNow": True}, max_files_per_trigger=1, processed_at=F.lit(AS_OF_TS).cast("timestamp"),
+            id_memory_seconds=ID_MEMORY):
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    per = spark.read.parquet(f"{root}/out/audit").groupBy("batch_id").agg(F.count("*").alias("n"))
+    return per.agg(F.count("*").alias("batches"), F.max("n").alias("largest"), F.sum("n").alias("rows"))
+
+
 @query("silver_apply_deletes")
 def q_silver_apply_deletes(spark, sf):
     """Silver from the CDC envelopes with delete events applied: an
@@ -955,7 +1018,7 @@ def q_stream_equals_batch(spark, sf):
     """Stream = batch: the stream's keyed-state features joined with the
     batch window features of the same events, per feature equality."""
     root = _stream_run(spark, sf, _scorer_build(spark, sf), "stream-eq")
-    s = spark.read.parquet(f"{root}/out/audit").select(
+    s = stream_outputs.read_output(spark, f"{root}/out", "audit").select(
         "transaction_id", *[F.col(c).alias(f"s_{c}") for c in ["tx_count_1min", "tx_count_5min", "last_tx_timestamp"]])
     b = features.offline_features(tx(spark, sf)).select("transaction_id", "tx_count_1min", "tx_count_5min", "last_tx_timestamp")
     j = b.join(s, "transaction_id", "full_outer")

@@ -146,11 +146,13 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
 
 @contextlib.contextmanager
 def stream_start(spark: SparkSession, state_partitions: int | None):
-    """Settings a keyed stream captures when it starts: its state width, and no
-    batches without data (a processing-time timeout would otherwise ask for one
+    """Settings a keyed stream captures when it starts: its state width, state in RocksDB (which the
+    id memory needs), and no batches without data (a processing-time timeout would otherwise ask for one
     after the other; timeouts are handled with the next data)."""
-    with shuffle_partitions(spark, state_partitions) as n, sql_conf(
-            spark, {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+    with shuffle_partitions(spark, state_partitions) as n, sql_conf(spark, {
+            "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+            "spark.sql.streaming.stateStore.providerClass":
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}):
         yield n
 
 

@@ -79,6 +79,7 @@ class Version(NamedTuple):
     parts: dict[str, str]
     schema: StructType
     partition_col: str | None
+    meta: dict  # what its writer noted with it
 
 
 class VersionedTable:
@@ -93,7 +94,7 @@ class VersionedTable:
         if not text.endswith("\n"):  # its writer failed between creating and writing it
             return None
         e = json.loads(text)
-        return Version(number, e["parts"], StructType.fromJson(e["schema"]), e["partition_col"])
+        return Version(number, e["parts"], StructType.fromJson(e["schema"]), e["partition_col"], e.get("meta") or {})
 
     def head(self) -> Version | None:
         """The current version; None before the first commit."""
@@ -120,7 +121,7 @@ class VersionedTable:
             found = self.spark.read.schema(version.schema).option("basePath", f"{self.root}/data").parquet(*paths)
         return found.select(version.schema.fieldNames())
 
-    def commit(self, base: Version | None, parts: dict[str, str], schema: StructType, partition_col: str | None) -> int:
+    def commit(self, base: Version | None, parts: dict[str, str], schema: StructType, partition_col: str | None, meta: dict) -> int:
         """Make ``parts`` the current version, if none was committed since ``base``."""
         entries = self._entries()
         done = next((n for n in reversed(entries) if self._entry(n)), 0)
@@ -128,13 +129,14 @@ class VersionedTable:
             raise RuntimeError(f"{self.root}: version {done} was committed since this job started")
         number = (entries[-1] if entries else 0) + 1
         create_file(self.spark, f"{self.root}/_log/{number:012d}.json", json.dumps(
-            {"parts": parts, "schema": schema.jsonValue(), "partition_col": partition_col}) + "\n")
+            {"parts": parts, "schema": schema.jsonValue(), "partition_col": partition_col, "meta": meta}) + "\n")
         return number
 
     def write(self, df: DataFrame, partition_col: str | None, base: Version | None, replaces: Iterable[str] | None,
-              key: str | None = None) -> Version:
+              key: str | None = None, meta: dict | None = None) -> Version:
         """Commit ``df`` in place of the parts named by ``replaces`` (None: of the whole table)
-        and of those it has rows for. With ``key`` (``df`` is then read twice) its index is written as well."""
+        and of those it has rows for. With ``key`` (``df`` is then read twice) its index is written as well. ``meta``
+        is committed with the version."""
         if partition_col:
             df = df.select(*(c for c in df.columns if c != partition_col), partition_col)
         tag = f"v{(base.number if base else 0) + 1:09d}-{uuid.uuid4().hex[:8]}"
@@ -148,9 +150,9 @@ class VersionedTable:
             parts = kept | dict.fromkeys(names, tag)
         else:
             parts = {"": tag}
-        number = self.commit(base, parts, df.schema, partition_col)
+        number = self.commit(base, parts, df.schema, partition_col, meta or {})
         self.vacuum()
-        return Version(number, parts, df.schema, partition_col)
+        return Version(number, parts, df.schema, partition_col, meta or {})
 
     def holding(self, version: Version, keys: DataFrame, key: str) -> list[str]:
         """Parts of ``version`` that may hold one of the keys."""

@@ -11,7 +11,9 @@ and audited), duplicates, or the quarantine of undecodable messages.
 Outputs lie in ``.../run=R/batch_id=N``, written in overwrite mode: R stands for
 the checkpoint and N for the batch, so a replayed batch replaces its own files
 and a new checkpoint, whose batches count from 0 again, cannot touch the old
-run's. The scorer runs once per event (not once per sink).
+run's. A batch is committed when all its outputs are written (``outputs``: ledger, compaction and
+readers). The scorer runs once per event (not once per sink). The profile is either that of one night, joined
+in the stream, or a ``ProfileStore`` of nightly versions, resolved by each micro-batch.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from ordermart.functions import fixed
 from ordermart.operators import features, rules
 from ordermart.session import hadoop_path, stream_start
-from ordermart.streaming import source, state
+from ordermart.streaming import outputs, source, state
+from ordermart.streaming.profiles import ProfileStore
 
 
 def profile_tables(tx: DataFrame, as_of_date: str) -> dict[str, DataFrame]:
@@ -61,24 +64,33 @@ def score_stream(
     st = state.card_velocity_state(
         tx.where(F.col("_decode_ok")), lateness_seconds=lateness_seconds,
         id_memory_seconds=id_memory_seconds, position_ttl_days=position_ttl_days)
+    return decide(enrich(st, profile), blocklist, processed_at)
+
+
+def enrich(st: DataFrame, profile: dict[str, DataFrame]) -> DataFrame:
+    """E5: the card state's output with the profile of one night."""
     dev = profile["devices"].select("card_id", "device_fingerprint", F.lit(True).alias("device_seen_90d"))
     cat = profile["categories"].select("card_id", "merchant_category", F.lit(True).alias("category_seen_30d"))
-    enriched = (
+    return (
         st.join(profile["amounts"], "card_id", "left")
         .join(dev, ["card_id", "device_fingerprint"], "left")
         .join(cat, ["card_id", "merchant_category"], "left")
         .withColumn("amount_count_30d", F.coalesce("amount_count_30d", F.lit(0)))
         .withColumn("amount_sum_30d", F.coalesce("amount_sum_30d", F.lit(0).cast("decimal(28,4)")))
     )
+
+
+def decide(enriched: DataFrame, blocklist: Sequence[str], processed_at: Column | None = None) -> DataFrame:
+    """Rule columns, decision and processing time of enriched events."""
     geo = features.geo_speed(enriched)
     decided = rules.decide(rules.blocklist_flag(geo, blocklist))
     ts = processed_at if processed_at is not None else F.current_timestamp()
     return decided.withColumn("processed_at", ts)
 
 
-def _kv(df: DataFrame) -> DataFrame:
+def _kv(df: DataFrame, *more: str) -> DataFrame:
     """key = transaction id, value = JSON of the scored record."""
-    return df.select(F.col("transaction_id").alias("key"), F.to_json(F.struct(*rules.SCORED_COLUMNS)).alias("value"))
+    return df.select(F.col("transaction_id").alias("key"), F.to_json(F.struct(*rules.SCORED_COLUMNS)).alias("value"), *more)
 
 
 SCORED_TOPIC = "transactions.scored"
@@ -100,9 +112,10 @@ def stream_run_id(spark: SparkSession, checkpoint: str) -> str:
         into.close()
 
 
-def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: dict | None = None, run_id: str = "0"):
+def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: dict | None = None, run_id: str = "0", score=None):
     """One batch function, all outputs, idempotent by
-    run and batch id; the audit is partitioned by event date below that. With ``kafka_bootstrap`` the scored and alert records also go
+    run and batch id, committed when all are written. ``score`` makes the scored rows from the batch (default:
+    it holds them). With ``kafka_bootstrap`` the scored and alert records also go
     to their topics (key = transaction id, so consumers de-duplicate a
     replayed batch by key); the file outputs stay the audit of record."""
     def to_topic(kv: DataFrame, topic: str) -> None:
@@ -113,13 +126,16 @@ def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: di
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = f"run={run_id}/batch_id={batch_id}"
-        everything = batch.persist()
+        spark = batch.sparkSession
+        arrived = batch.persist() if score else None  # the keyed state runs once
+        everything = (score(arrived) if score else batch).persist()
         try:
             b = everything.where("_status <> 'duplicate'")
-            scored = rules.score_projection(b, F.col("processed_at"))
-            _kv(scored).write.mode("overwrite").json(f"{out_root}/scored/{at}")
-            _kv(rules.alerts(scored)).write.mode("overwrite").json(f"{out_root}/alerts/{at}")
-            everything.where("_status = 'duplicate'").select("transaction_id", "card_id", "event_ts").write.mode(
+            scored = rules.score_projection(b, F.col("processed_at"), F.to_date("event_ts").alias("event_date"))
+            _kv(scored, "event_date").write.mode("overwrite").json(f"{out_root}/scored/{at}")
+            _kv(rules.alerts(scored), "event_date").write.mode("overwrite").json(f"{out_root}/alerts/{at}")
+            everything.where("_status = 'duplicate'").select(
+                "transaction_id", "card_id", "event_ts", F.to_date("event_ts").alias("event_date")).write.mode(
                 "overwrite").parquet(f"{out_root}/duplicates/{at}")
             if kafka_bootstrap:
                 to_topic(_kv(scored), SCORED_TOPIC)
@@ -131,10 +147,12 @@ def fan_out(out_root: str, kafka_bootstrap: str | None = None, kafka_options: di
                 "amount_count_30d", "speed_kmh", (F.col("_status") == "late").alias("is_late"),
                 F.to_date("event_ts").alias("event_date"),
             )
-            audit.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(
-                f"{out_root}/audit/{at}")
+            audit.write.mode("overwrite").parquet(f"{out_root}/audit/{at}")
+            outputs.commit_batch(spark, out_root, run_id, batch_id)
         finally:
             everything.unpersist()
+            if arrived is not None:
+                arrived.unpersist()
     return write
 
 
@@ -149,7 +167,7 @@ def run_fraud_stream(
     spark: SparkSession,
     out_root: str,
     checkpoint: str,
-    profile: dict[str, DataFrame],
+    profile: dict[str, DataFrame] | ProfileStore,
     blocklist: Sequence[str],
     path: str | None = None,
     bootstrap: str | None = None,
@@ -174,10 +192,17 @@ def run_fraud_stream(
     tx = source.reject_future(source.read_transactions(
         spark, path=path, bootstrap=bootstrap, max_per_trigger=max_per_trigger,
         max_files_per_trigger=max_files_per_trigger), max_future)
-    scored = score_stream(tx, profile, blocklist, processed_at, lateness_seconds, id_memory_seconds, position_ttl_days)
+    score = None
+    if isinstance(profile, ProfileStore):  # resolved by each micro-batch
+        scored = state.card_velocity_state(
+            tx.where(F.col("_decode_ok")), lateness_seconds=lateness_seconds,
+            id_memory_seconds=id_memory_seconds, position_ttl_days=position_ttl_days)
+        score = lambda batch: decide(profile.enrich(batch), blocklist, processed_at)
+    else:
+        scored = score_stream(tx, profile, blocklist, processed_at, lateness_seconds, id_memory_seconds, position_ttl_days)
     run = stream_run_id(spark, checkpoint)
     with stream_start(spark, state_partitions):
-        q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap, run_id=run))
+        q = (scored.writeStream.foreachBatch(fan_out(out_root, bootstrap, run_id=run, score=score))
              .option("checkpointLocation", f"{checkpoint}/scorer").trigger(**trig).start())
         qq = quarantine_undecodable(tx, out_root, checkpoint, trig)
     return q, qq
@@ -190,9 +215,8 @@ def velocity_windows(tx: DataFrame, id_memory_seconds: int = 86_400) -> tuple[Da
     The counts are partial: a window's value is the sum over batches
     (:func:`window_totals`), so an event counts however late it comes, and
     nothing is held in memory for windows. Duplicates are left out by the
-    card state."""
-    once = state.card_velocity_state(tx.where(F.col("_decode_ok")), id_memory_seconds=id_memory_seconds).where(
-        "_status <> 'duplicate'")
+    id memory."""
+    once = state.known_ids(tx.where(F.col("_decode_ok")), id_memory_seconds).where("NOT _again")
     minute = F.window("event_ts", "1 minute")
     five = F.window("event_ts", "5 minutes", "1 minute")
     flat = lambda w: once.select("card_id", w.alias("w")).select(
@@ -200,15 +224,22 @@ def velocity_windows(tx: DataFrame, id_memory_seconds: int = 86_400) -> tuple[Da
     return flat(minute), flat(five)
 
 
-def write_window_counts(out_path: str, run_id: str = "0"):
-    """J9 sink: each batch's partial counts per card and window."""
+def write_window_counts(out_root: str, run_id: str = "0"):
+    """J9 sink: each batch's partial counts per card and window, committed like the scorer's outputs."""
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.groupBy("card_id", "window_start", "window_end").agg(F.count("*").alias("tx_count"))
-         .write.mode("overwrite").parquet(f"{out_path}/run={run_id}/batch_id={batch_id}"))
+         .withColumn("event_date", F.to_date("window_start"))
+         .write.mode("overwrite").parquet(f"{out_root}/windows/run={run_id}/batch_id={batch_id}"))
+        outputs.commit_batch(batch.sparkSession, out_root, run_id, batch_id)
     return write
 
 
-def window_totals(spark: SparkSession, out_path: str) -> DataFrame:
-    """Current counts: the partial counts of all batches added up."""
-    return spark.read.parquet(out_path).groupBy("card_id", "window_start", "window_end").agg(
-        F.sum("tx_count").alias("tx_count"))
+def window_totals(spark: SparkSession, out_root: str) -> DataFrame:
+    """Current counts: those folded so far and the partial counts of the batches since, added up."""
+    return outputs.read_output(spark, out_root, "windows").drop("event_date")
+
+
+def fold_windows(spark: SparkSession, out_root: str) -> int:
+    """Fold the partial counts of all committed batches into the base table; counts that come
+    later, of whatever window, are added by the next fold. Returns the batches folded."""
+    return outputs.compact(spark, out_root, "windows")

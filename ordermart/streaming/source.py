@@ -60,6 +60,13 @@ def read_transactions(
     return decode_transactions(reader.load(path), "value")
 
 
+def land_capped(lines: DataFrame, path: str, max_records: int = fixed.MAX_RECORDS_PER_TRIGGER) -> None:
+    """A5 for landed files: lines (one column) as files of at most ``max_records`` lines. A file
+    source takes whole files, so with ``max_files_per_trigger=1`` no micro-batch has more records than that,
+    however large a landing was."""
+    lines.write.mode("append").option("maxRecordsPerFile", max_records).text(path)
+
+
 def reject_future(tx: DataFrame, max_future: str = "1 day") -> DataFrame:
     """An event dated further ahead of the clock than ``max_future`` is not
     decodable as an event of now: it goes the way of undecodable messages

@@ -1,9 +1,14 @@
-"""Keyed card state for the stream scorer.
+"""Keyed state for the stream scorer (J5, J7, B12): known ids, then cards.
 
-Per card the state holds the events of the retention horizon (velocity frame
-+ lateness): event time (micros), id, latitude, longitude; the newest event
+Duplicates are told apart first, in a keyed step of their own (``transformWithStateInPandas``, RocksDB): ids are dealt by hash to
+``ID_BUCKETS`` state rows, each with a 64-bit hash and the time of the ids of the id memory,
+so the memory of a card that has a third of all events is spread over all
+rows, and a lookup is vectorised (one call per bucket and batch, not per id).
+
+Per card the state then holds only the events of the retention horizon (velocity frame
++ lateness): event time (micros), id, latitude, longitude; and the newest event
 already pruned (the carry), so the previous position is known after an idle
-period; and a 64-bit hash and the time of every id of the id memory. For
+period. For
 each micro-batch the card's new events are scored against state + earlier
 events of the batch, *then* added (scored before the update, as the reference
 does):
@@ -11,14 +16,15 @@ does):
 * ``tx_count_1min`` / ``tx_count_5min`` - earlier events (by event time) in
   ``[t - 60 s, t)`` / ``[t - 300 s, t)``;
 * ``last_*`` - the previous event by (event time, id);
-* ``_status`` - ``duplicate`` when the id is in the card's id memory (or
+* ``_status`` - ``duplicate`` when the id is in the id memory (or
   earlier in the batch), else ``late`` when the event lies before the horizon
   of the card's newest event (it gets the counts known at arrival), else
   ``on_time``.
 
 No event is dropped: there is no event-time watermark, so nothing is filtered
 before this function, however late it is, and a long gap in event time changes
-nothing. State is bounded by the horizon and the id memory per card, and a card idle for
+nothing. State is bounded by the horizon per card and the id memory per bucket (older than the bucket's newest
+event by more than the memory: forgotten), and a card idle for
 ``position_ttl_days`` (processing time) is forgotten; the batch form knows no
 such limit, so a card that returns later has no previous position here. An event
 time far in the future would make all later events late; the source rejects
@@ -33,15 +39,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ordermart.functions import fixed
 
 STATE_SCHEMA = (
     "ts array<bigint>, ids array<string>, lat array<double>, lon array<double>, "
-    "carry_ts bigint, carry_id string, carry_lat double, carry_lon double, "
-    "seen array<bigint>, seen_ts array<bigint>"
+    "carry_ts bigint, carry_id string, carry_lat double, carry_lon double"
 )
+ID_STATE_SCHEMA = "seen array<bigint>, seen_ts array<bigint>"
+ID_BUCKETS = 1024
 PASS_THROUGH = [
     ("transaction_id", "string"), ("card_id", "string"), ("customer_id", "string"),
     ("merchant_id", "string"), ("amount_usd", "decimal(18,4)"), ("merchant_category", "string"),
@@ -54,7 +62,42 @@ OUTPUT_SCHEMA = ", ".join(f"{n} {t}" for n, t in PASS_THROUGH) + (
 )
 
 
-def _velocity_fn(short_us: int, long_us: int, horizon_us: int, memory_us: int, position_ttl_ms: int):
+MARKED_SCHEMA = ", ".join(f"{n} {t}" for n, t in PASS_THROUGH) + ", _again boolean"
+
+
+class KnownIds(StatefulProcessor):
+    """Mark the events whose id is known; the first arrival of an id counts. One value of state per
+    bucket, expired when the bucket is idle."""
+
+    def __init__(self, memory_us: int, ttl_ms: int):
+        self.memory_us, self.ttl_ms = memory_us, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("ids", ID_STATE_SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen, seen_ts = (np.asarray(x, dtype="int64") for x in (self.state.get() if self.state.exists() else ([], [])))
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            hashes = pdf["id_hash"].to_numpy(dtype="int64")
+            again = np.ones(len(pdf), bool)
+            again[np.unique(hashes, return_index=True)[1]] = False
+            again |= np.isin(hashes, seen)
+            times = pdf["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
+            seen, seen_ts = np.concatenate([seen, hashes[~again]]), np.concatenate([seen_ts, times[~again]])
+            out = pdf[[n for n, _ in PASS_THROUGH]].copy()
+            out["_again"] = again
+            yield out
+        if len(seen):
+            known = seen_ts >= seen_ts.max() - self.memory_us
+            self.state.update((seen[known].tolist(), seen_ts[known].tolist()))
+
+    def close(self) -> None:
+        pass
+
+
+def _velocity_fn(short_us: int, long_us: int, horizon_us: int, position_ttl_ms: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
@@ -63,18 +106,13 @@ def _velocity_fn(short_us: int, long_us: int, horizon_us: int, memory_us: int, p
         if not frames:
             return
         arrived = pd.concat(frames, ignore_index=True)
-        st = state.get if state.exists else [None] * 10
+        st = state.get if state.exists else [None] * 8
         h_t, h_lat, h_lon = (np.asarray([] if x is None else x, dtype=d)
                              for x, d in zip((st[0], st[2], st[3]), ("int64", "float64", "float64")))
         h_id = np.asarray([] if st[1] is None else st[1], dtype=object)
         carry = tuple(st[4:8])
-        seen, seen_ts = (np.asarray([] if x is None else x, dtype="int64") for x in st[8:10])
 
-        # the first arrival of an id counts, later ones are duplicates
-        hashes = arrived["_id_hash"].to_numpy(dtype="int64")
-        again = np.ones(len(arrived), bool)
-        again[np.unique(hashes, return_index=True)[1]] = False
-        again |= np.isin(hashes, seen)
+        again = arrived["_again"].to_numpy(dtype=bool)
         if again.any():
             rest = arrived.loc[again, [n for n, _ in PASS_THROUGH]].copy()
             for c in ("tx_count_1min", "tx_count_5min"):
@@ -84,7 +122,7 @@ def _velocity_fn(short_us: int, long_us: int, horizon_us: int, memory_us: int, p
             rest["last_tx_timestamp"] = pd.Series(pd.NaT, index=rest.index, dtype="datetime64[us]")
             rest["_status"] = "duplicate"
             yield rest
-        batch, hashes = arrived.loc[~again].reset_index(drop=True), hashes[~again]
+        batch = arrived.loc[~again].reset_index(drop=True)
         if batch.empty:
             return
         t_new = batch["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
@@ -135,13 +173,10 @@ def _velocity_fn(short_us: int, long_us: int, horizon_us: int, memory_us: int, p
             j = np.flatnonzero(~keep)[-1]
             if carry[0] is None or all_t[j] >= carry[0]:
                 carry = (int(all_t[j]), str(all_id[j]), float(all_lat[j]), float(all_lon[j]))
-        seen, seen_ts = np.concatenate([seen, hashes]), np.concatenate([seen_ts, t_new])
-        known = seen_ts >= all_t[-1] - memory_us
         state.update((
             all_t[keep].tolist(), [str(x) for x in all_id[keep]],
             all_lat[keep].tolist(), all_lon[keep].tolist(),
             carry[0], carry[1], carry[2], carry[3],
-            seen[known].tolist(), seen_ts[known].tolist(),
         ))
         state.setTimeoutDuration(position_ttl_ms)
         yield out
@@ -157,10 +192,18 @@ def card_velocity_state(
     id_memory_seconds: int = 86_400,
     position_ttl_days: int = fixed.PROFILE_TTL_DAYS,
 ) -> DataFrame:
-    """``groupBy(card_id).applyInPandasWithState`` over the decoded
+    """Ids marked by :func:`known_ids`, then ``groupBy(card_id).applyInPandasWithState`` over the decoded
     stream (hash-partitioned by card into the state store)."""
     horizon = long_seconds + lateness_seconds
-    fn = _velocity_fn(short_seconds * 1_000_000, long_seconds * 1_000_000, horizon * 1_000_000,
-                      max(horizon, id_memory_seconds) * 1_000_000, position_ttl_days * 86_400_000)
-    return tx.select(*[n for n, _ in PASS_THROUGH], F.xxhash64("transaction_id").alias("_id_hash")).groupBy(
-        "card_id").applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    fn = _velocity_fn(short_seconds * 1_000_000, long_seconds * 1_000_000, horizon * 1_000_000, position_ttl_days * 86_400_000)
+    return known_ids(tx, max(horizon, id_memory_seconds), position_ttl_days).groupBy("card_id").applyInPandasWithState(
+        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def known_ids(tx: DataFrame, memory_seconds: int = 86_400, ttl_days: int = fixed.PROFILE_TTL_DAYS,
+              buckets: int = ID_BUCKETS) -> DataFrame:
+    """The decoded stream with ``_again``: whether the id came within the id memory."""
+    hashed = F.xxhash64("transaction_id")
+    rows = tx.select(*[n for n, _ in PASS_THROUGH], hashed.alias("id_hash"), F.pmod(hashed, F.lit(buckets)).cast("int").alias("id_bucket"))
+    return rows.groupBy("id_bucket").transformWithStateInPandas(
+        KnownIds(memory_seconds * 1_000_000, ttl_days * 86_400_000), MARKED_SCHEMA, "Append", "ProcessingTime")
