@@ -25,7 +25,9 @@ so lost and gained words move its ends. A window must lie in the text as a whole
 All of it happens where the document is read: no shuffle, and no skew from a
 passage that very many documents share. The benchmark is the query set: it is
 worked through in passes of ``PASS_ITEMS`` items, each with an index of bounded
-size (about 20 KB an item) sent to the tasks.
+size (about 20 KB an item of a hundred words) sent to the tasks. Passes are jobs one after the other, each over the
+stored documents and with its index alone in memory, so a task never holds more than one; each
+stores the few rows that it found, and these are joined to the documents at the end. With one pass nothing is stored.
 
 Cases. Null and empty texts match nothing; null, empty and word-less items match
 nothing. Items of fewer than ``SHINGLE`` words are one shingle: all of it must
@@ -37,6 +39,7 @@ carried along unchanged.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import LOWER, Texts, mix64, sliced, text_bytes
+from ordermart.session import cut_lineage, discard_cut
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -56,12 +60,14 @@ _ALNUM = np.zeros(256, bool)  # bytes of non-ASCII characters count as letters
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _SIGNS = 2 * np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int16) - 1
 MATCHES = "array<struct<item_id:bigint,start:int,n_words:int,similarity:double>>"
+_ARROW_MATCHES = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32()), ("similarity", pa.float64())]))
+_MERGE = 32  # results of passes kept as tables of their own
 
 
 def size_class(words: int) -> int:
-    """The longest of 1, 2, 3, 4, 6, 8, 12, ... 3072 that is at most nine tenths of ``words`` (one at least)."""
+    """The longest of 1, 2, 3, 4, 6, 8, 12, ... that is at most nine tenths of ``words`` (one at least)."""
     c = 1
-    while c < 3072 and _longer(c) <= 0.9 * words:
+    while _longer(c) <= 0.9 * words:
         c = _longer(c)
     return c
 
@@ -99,6 +105,8 @@ class Words:
         for size in sizes:
             power = 1 << (size.bit_length() - 1)
             while n < power:
+                if n == 2048:  # 4096 weights of 8 pass 16 bits
+                    sums = sums.astype(np.int32)
                 half, sums, n = sums, sums[n:] + sums[:-n], 2 * n
             total = sums if size == n else sums[:len(sums) - n // 2] + half[n:]
             yield size, np.packbits((total > 0).ravel()).view(np.uint64)
@@ -293,27 +301,55 @@ def _passes(benchmark: DataFrame):
         yield block
 
 
+def _matcher(index, all_rows: bool):
+    """Batches of (row or key, text) -> (row or key, matches); without ``all_rows`` only rows with a match."""
+
+    def matched(batches):
+        for b in sliced(batches, limit=_SLICE):
+            found = find(b.column("text").to_pylist(), index.value)
+            kind = b.column("row")
+            if not all_rows:
+                kind = kind.filter(pa.array([bool(x) for x in found]))
+                found = [x for x in found if x]
+            if len(found):
+                yield pa.RecordBatch.from_arrays([kind, pa.array(found, _ARROW_MATCHES)], ["row", "matches"])
+
+    return matched
+
+
 def matches(documents: DataFrame, benchmark: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``row``, the struct of the ``keep`` columns, and ``matches`` of every document."""
     keep = documents.columns if keep is None else keep
-    df = documents.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
-                          text_bytes(F.col("text")).alias("text"), F.array().cast(MATCHES).alias("matches"))
-    schema = df.schema
-    for block in _passes(benchmark):
-        shared = documents.sparkSession.sparkContext.broadcast(build_index(block))  # bounded by PASS_ITEMS
-
-        def matched(batches, shared=shared):
-            for b in sliced(batches, limit=_SLICE):
-                found = find(b.column("text").to_pylist(), shared.value)
-                if any(found):
-                    old = b.column("matches").to_pylist()
-                    found = pa.array([x + y for x, y in zip(old, found)], b.column("matches").type)
-                else:
-                    found = b.column("matches")
-                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), found], ["row", "text", "matches"])
-
-        df = df.mapInArrow(matched, schema)
-    return df.select("row", "matches")
+    context = documents.sparkSession.sparkContext
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    df = documents.select(row, text_bytes(F.col("text")).alias("text"))
+    schema = f"row {df.schema['row'].dataType.simpleString()}, matches {MATCHES}"
+    passes = _passes(benchmark)
+    first, second = next(passes, []), next(passes, None)
+    if second is None:
+        return df.mapInArrow(_matcher(context.broadcast(build_index(first)), True), schema)  # bounded by PASS_ITEMS
+    fixed = cut_lineage(df.withColumn("key", F.monotonically_increasing_id()))
+    found = []
+    for block in chain([first, second], passes):
+        shared = context.broadcast(build_index(block))
+        found.append(cut_lineage(fixed.select(F.col("key").alias("row"), "text").mapInArrow(
+            _matcher(shared, False), f"row long, matches {MATCHES}")))
+        shared.destroy()
+        if len(found) == _MERGE:
+            found = [_merged(found)]
+    by_key = _merged(found).select(F.col("row").alias("key"), "matches")
+    return fixed.select("key", "row").join(by_key, "key", "left").select(
+        "row", F.coalesce("matches", F.array().cast(MATCHES)).alias("matches"))
+
+
+def _merged(found: list[DataFrame]) -> DataFrame:
+    """One table of the rows that several passes found."""
+    rows = found[0]
+    for other in found[1:]:
+        rows = rows.union(other)
+    out = cut_lineage(rows.groupBy("row").agg(F.flatten(F.collect_list("matches")).alias("matches")))
+    discard_cut(*found)
+    return out
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def test_window_fingerprints_equal_direct_sums():
 
 
 def test_size_classes():
-    assert [dc.size_class(n) for n in (1, 2, 3, 4, 5, 10, 20, 60, 100, 10**6)] == [1, 1, 2, 3, 4, 8, 16, 48, 64, 3072]
+    assert [dc.size_class(n) for n in (1, 2, 3, 4, 5, 10, 20, 60, 100, 10**6)] == [1, 1, 2, 3, 4, 8, 16, 48, 64, 786432]
 
 
 def test_matches_equal_brute_force(spark, monkeypatch):
@@ -140,3 +140,58 @@ def test_passages_that_lost_or_gained_words():
     assert all(n >= 9 for n in wanted.values()) and len(wanted) == 8
     assert sum(found.values()) >= 0.97 * sum(wanted.values())
     assert all(found[k] >= 0.9 * wanted[k] for k in wanted), (found, wanted)
+
+
+def test_passes_hold_one_index_at_a_time(spark, monkeypatch):
+    """Many passes: each index is sent for its own job and taken away after it; the result is that of one pass."""
+    corpus_session(spark)
+    rng = random.Random(21)
+    items = [(i, " ".join(words(rng, 20))) for i in range(40)]
+    docs = [(d, " ".join(words(rng, 30) + items[d % 40][1].split() + items[(d * 7) % 40][1].split())) for d in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("row", F.lit("x"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(tuple(r) for r in dc.contaminated(df, bench).collect())
+    live, most = set(), []
+    real = spark.sparkContext.broadcast
+
+    def broadcast(value):
+        b = real(value)
+        live.add(b)
+        most.append(len(live))
+        destroy = b.destroy
+        monkeypatch.setattr(b, "destroy", lambda: (live.discard(b), destroy()))
+        return b
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(dc, "PASS_ITEMS", 3)
+    monkeypatch.setattr(dc, "_MERGE", 4)
+    kept = dc.keep_clean(df, bench)
+    assert sorted(tuple(r) for r in dc.contaminated(df, bench).collect()) == whole and len(whole) >= 90
+    assert max(most) == 1 and len(most) >= 28 and not live
+    assert kept.columns == df.columns and kept.count() == 0
+
+
+def recall(sizes, trials, seed=1):
+    """Share of passages with one word dropped, inserted or substituted that are found, per item length."""
+    rng = random.Random(seed)
+    out = {}
+    for n in sizes:
+        items = [(i, " ".join(words(rng, n)).encode()) for i in range(trials)]
+        index = dc.build_index(items)
+        hit = 0
+        for i, (_, text) in enumerate(items):
+            w, at = text.decode().split(), rng.randrange(n)
+            w[at:at + (i % 3 != 1)] = [] if i % 3 == 0 else ["changed"]
+            found = dc.find([" ".join(words(rng, 40) + w + words(rng, 40)).encode()], index)[0]
+            hit += any(m["item_id"] == i for m in found)
+        out[n] = hit / trials
+    return out
+
+
+def test_long_items_are_found_whole():
+    """Items longer than any window that 16-bit sums could hold."""
+    assert min(recall((500, 2000, 5000, 12_000), 9).values()) == 1
+    rng = random.Random(3)
+    item = words(rng, 9000)
+    half = dc.find([" ".join(item[:4500] + words(rng, 4500)).encode()], dc.build_index([(1, " ".join(item).encode())]))[0]
+    assert half == []  # half of it is not it
