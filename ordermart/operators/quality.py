@@ -328,6 +328,17 @@ def volume_of_runs(runs: DataFrame, trailing: int = 7, tolerance: float = fixed.
         "volume_passed", F.coalesce(F.col("deviation") <= tolerance, F.lit(True)))
 
 
+def freshness_of_runs(runs: DataFrame, as_of_ts: str, warn_hours: float = fixed.FRESHNESS_WARN_HOURS,
+                      error_hours: float = fixed.FRESHNESS_ERROR_HOURS) -> DataFrame:
+    """J8 from the stored measures of all runs: the newest event that each layer has taken, without a scan of its table."""
+    newest = runs.groupBy("layer").agg(F.max("newest_ts_ms").alias("newest_ts_ms"))
+    age = (F.unix_millis(F.lit(as_of_ts).cast("timestamp")) - F.col("newest_ts_ms")).cast("double") / 3.6e6
+    return newest.select(
+        "layer", F.timestamp_millis("newest_ts_ms").alias("newest_event"), F.round(age, 2).alias("age_hours"),
+        F.when(F.col("newest_ts_ms").isNull() | (age > error_hours), F.lit("error"))
+        .when(age > warn_hours, F.lit("warn")).otherwise(F.lit("pass")).alias("status"))
+
+
 def source_freshness(df: DataFrame, source: str, column: str, as_of_ts: str,
                      warn_hours: float = fixed.FRESHNESS_WARN_HOURS,
                      error_hours: float = fixed.FRESHNESS_ERROR_HOURS) -> DataFrame:

@@ -197,8 +197,11 @@ def run_marts(spark: SparkSession, p: LakePaths, customers_src: DataFrame, as_of
     reg = mart_registry(spark, p, customers_src, as_of_ts)
     fct_new = reg.ref("fct_orders_source")
     fct_path = f"{p.marts}/fct_orders"
-    target = lake.read_history(spark, fct_path) if table_exists(spark, fct_path) else None
-    since = change.read_target_watermark(target, lookback_column)
+    since = None
+    if table_exists(spark, fct_path):  # a partition column: from the folder names
+        from_names = lookback_column == "order_date"
+        since = (lake.newest_value(spark, fct_path, lookback_column) if from_names
+                 else change.read_target_watermark(lake.read_history(spark, fct_path), lookback_column))
     sink.merge_into_partitions(change.incremental_lookback(fct_new, since, column=lookback_column),
                                fct_path, "order_id", "order_date")
     reg.register_path("fct_orders", fct_path)

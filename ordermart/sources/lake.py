@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.session import hadoop_path
-from ordermart.sinks.versions import VersionedTable
+from ordermart.session import hadoop_path, sql_conf
+from ordermart.sinks.versions import VersionedTable, part_values
 
 
 def read_partition(spark: SparkSession, root: str, run_date: str, partition_col: str = "ingestion_date") -> DataFrame:
@@ -31,6 +31,29 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     return table.read(version=version) if version else spark.read.parquet(root)
 
 
+def newest_value(spark: SparkSession, path: str, column: str):
+    """The largest value of a column (dates and numbers) from the file footers: the V2
+    Parquet source answers MAX from row-group statistics, no column is read. A partition column is answered from the
+    folder names, of a versioned table from its log."""
+    table = VersionedTable(spark, path)
+    version = table.head()
+    if version is not None and version.partition_col == column:
+        kind = version.schema[column].dataType.simpleString()
+        names = [(v,) for v in part_values(version) if v is not None]
+        found = spark.createDataFrame(names, "v string").agg(F.max(F.col("v").cast(kind)).alias("m")) if names else None
+        return found.first()["m"] if found is not None else None
+    return newest_plan(spark, table.paths(version) if version else [path], column).first()["m"]
+
+
+def newest_plan(spark: SparkSession, paths: list[str], column: str) -> DataFrame:
+    """The frame behind :func:`newest_value`: one row, planned over footers."""
+    settings = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    with sql_conf(spark, settings):
+        found = spark.read.parquet(*paths).agg(F.max(column).alias("m"))
+        found._jdf.queryExecution().executedPlan()  # planned here, with these settings
+    return found
+
+
 class SourceRegistry:
     """Logical names for tables and models. A name maps to a loader
     (lazy DataFrame); models may read other names, which is the model graph.

@@ -31,10 +31,14 @@ from ordermart.streaming import outputs, source, state
 from ordermart.streaming.profiles import ProfileStore
 
 
-def profile_tables(tx: DataFrame, as_of_date: str) -> dict[str, DataFrame]:
+def profile_tables(tx: DataFrame, as_of_date: str, date_col: str | None = None) -> dict[str, DataFrame]:
     """M14 as lookup tables for the stream: per card amounts (30 days), and
     long (card, device) / (card, category) tables - sets as rows, so a card
-    with many devices is just more rows, never one big array."""
+    with many devices is just more rows, never one big array. ``date_col``: a stored
+    column with the event's date, by which the night's scan is limited to the longest window (90 days)."""
+    if date_col:
+        last = F.lit(as_of_date).cast("date")
+        tx = tx.where((F.col(date_col) > F.date_sub(last, fixed.DEVICE_WINDOW_DAYS)) & (F.col(date_col) <= last))
     df = features.with_event_ts(tx).withColumn("_d", F.to_date("event_ts"))
     end = F.lit(as_of_date).cast("date")
     upto = df.where(F.col("_d") <= end)

@@ -190,3 +190,51 @@ def test_large_updates_take_all_dates(spark):
     index = spark.read.schema(key_index.SCHEMA + ", version string").parquet(f"{root}/_keys")
     assert key_index.candidates(index, version.parts, keys, "order_id") == ["order_date=2024-01-02", "order_date=2024-01-03"]
     assert key_index.candidates(index, version.parts, keys, "order_id", max_keys=1) == list(version.parts)
+
+
+def plan_of(df):
+    return df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_newest_value_from_metadata(spark):
+    """From the log for a partition column, from file footers for others: no column is read."""
+    from ordermart.sources import lake
+
+    root = scratch_path(spark, "newest")
+    sink.merge_into_partitions(orders(spark, ("A", "x", "2024-03-01"), ("B", "x", "2024-03-09")), root, "order_id", "order_date")
+    assert str(lake.newest_value(spark, root, "order_date")) == "2024-03-09"
+    plain = scratch_path(spark, "newest")
+    spark.range(1000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("d")).write.parquet(plain)
+    assert lake.newest_value(spark, plain, "id") == 999 and str(lake.newest_value(spark, plain, "d")) == "2026-09-26"
+    plan = plan_of(lake.newest_plan(spark, [plain], "d"))
+    assert "PushedAggregation: [MAX(d)]" in plan
+    assert "PushedAggregation: [MAX" not in plan_of(spark.read.parquet(plain).agg(F.max("d")))  # the settings are put back
+
+
+def test_a_night_reads_ninety_days_of_folders(spark):
+    from ordermart.streaming import scorer
+
+    root = scratch_path(spark, "night")
+    tx = spark.range(400).select(
+        F.lit("A").alias("card_id"), F.concat(F.lit("T"), "id").alias("transaction_id"), F.lit("D").alias("device_fingerprint"),
+        F.lit("web").alias("merchant_category"), F.lit(1).cast("decimal(18,4)").alias("amount_usd"),
+        F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int")).alias("event_date"))
+    tx = tx.withColumn("event_time", F.date_format("event_date", "yyyy-MM-dd'T'12:00:00.000000'Z'"))
+    tx.write.partitionBy("event_date").parquet(root)
+    stored = spark.read.parquet(root)
+    limited, whole = (scorer.profile_tables(stored, "2023-12-31", c) for c in ("event_date", None))
+    for name in whole:
+        assert sorted(map(str, limited[name].collect())) == sorted(map(str, whole[name].collect()))
+        assert "PartitionFilters: [isnotnull(event_date" in plan_of(limited[name])
+    limited["devices"].collect()
+    scan = [m for m in plan_of(limited["devices"]).splitlines() if "PartitionFilters" in m]
+    assert scan and "event_date" in scan[0]
+
+
+def test_freshness_of_runs(spark):
+    from ordermart.operators import quality
+
+    runs = spark.createDataFrame([("bronze", "2024-01-01", 1704067200000), ("bronze", "2024-01-02", 1704100000000), ("silver", "x", None)],
+                                 "layer string, run_date string, newest_ts_ms long")
+    got = {r.layer: (r.age_hours, r.status) for r in quality.freshness_of_runs(runs, "2024-01-01 10:06:40").collect()}
+    assert got == {"bronze": (1.0, "pass"), "silver": (None, "error")}
