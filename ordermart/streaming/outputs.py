@@ -21,8 +21,9 @@ from ordermart.session import cut_lineage, discard_cut
 from ordermart.sinks import versions
 from ordermart.sinks.versions import VersionedTable, part_name
 
-#: Outputs stored as JSON lines and their columns; all others are Parquet.
-JSON_OUTPUTS = {name: "key string, value string, event_date date" for name in ("scored", "alerts")}
+#: Outputs stored as JSON records (key and value, as on a topic); all others are Parquet with an ``event_date``. The
+#: records carry their processing time only: their folders are those of its date.
+JSON_OUTPUTS = {name: "key string, value string" for name in ("scored", "alerts")}
 #: Outputs whose rows are partial counts: columns of the key, and the counts that add up.
 ADDITIVE = {"windows": (["card_id", "window_start", "window_end", "event_date"], ["tx_count"])}
 
@@ -46,7 +47,8 @@ def committed(spark: SparkSession, root: str) -> list[tuple[str, int]]:
 def _batches(spark: SparkSession, root: str, name: str, batches: list[tuple[str, int]]) -> DataFrame:
     paths = [f"{root}/{name}/run={r}/batch_id={b}" for r, b in batches]
     if name in JSON_OUTPUTS:
-        return spark.read.schema(JSON_OUTPUTS[name]).json(paths)
+        processed = F.to_date(F.substring(F.get_json_object("value", "$.processed_at"), 1, 10))
+        return spark.read.schema(JSON_OUTPUTS[name]).json(paths).withColumn("event_date", processed)
     return spark.read.parquet(*paths)
 
 
