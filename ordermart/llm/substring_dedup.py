@@ -13,8 +13,8 @@ earliest occurrence of every hash and returns the starts of all others. The
 starts go back packed by shard of documents, so a bucket returns few rows however
 many documents it touches; a shard merges them to one row per document, which
 is joined to its text, and the words are cut there.
-Two windows are taken as equal when both lanes agree (over 64 + log2(buckets)
-bits), no text is compared again.
+Two windows are taken as equal when their second lanes and, between chunks, their buckets agree (64 bits inside
+a chunk, 64 + log2(buckets) across), no text is compared again.
 
 Cases. A null or empty text has no words and comes back empty. A null
 ``doc_id`` sorts before every id. Rows that share a ``doc_id`` are one document
@@ -191,9 +191,10 @@ def repeated_windows(docs: DataFrame, size: int = WINDOW, bucket_windows: int =
     buckets = int(min(2**31 - 1, total // (6 * bucket_windows) + 1))  # a word and its space take about six bytes
     parts = docs.mapInArrow(_window_parts(size, buckets), _PARTS)
     known = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("doc_ids"), F.lit(max(64, buckets))).cast("int"))
-    return (parts.withColumn("bucket", F.coalesce(known, "bucket"))
+    # as many partitions as groups, however many the session's shuffles have: few groups share a task
+    return (parts.withColumn("bucket", F.coalesce(known, "bucket")).repartition(2 * buckets + 64, "bucket")
             .groupBy("bucket").applyInPandas(_later_starts(buckets), _PACKED)
-            .groupBy("shard").applyInPandas(_by_document, _FOUND))
+            .repartition(max(16, buckets), "shard").groupBy("shard").applyInPandas(_by_document, _FOUND))
 
 
 def _cut(size: int):
