@@ -137,7 +137,8 @@ def judge(documents: DataFrame) -> DataFrame:
     groups = renamed(own, "own").join(renamed(lang, "lang"), "lang", "left").select(
         "lang", "source", *[F.coalesce(f"own_{m}", f"lang_{m}", F.lit(corpus[m]).cast("long")).alias(f"max_{m}")
                             for m in MEASURES])
-    judged = measured.join(groups, ["lang", "source"], "left")
+    # a stored table of known size: small, it is broadcast, and no hot group is shuffled into one task
+    judged = measured.join(cut_lineage(groups), ["lang", "source"], "left")
     over = F.lit(False)
     for m in MEASURES:
         over = over | F.coalesce(F.col(m) > F.col(f"max_{m}"), F.lit(False))
