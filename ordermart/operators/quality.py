@@ -44,6 +44,12 @@ def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[F.coalesce(c, F.lit(0)).alias(a) for a, c in counts.items()]), seen
 
 
+def py_list_text(values: Column) -> Column:
+    """Render an array<string> like a Python list: ['a', 'b']."""
+    quoted = F.transform(values, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 @dataclass
 class QualitySuite:
     df: DataFrame
@@ -105,14 +111,15 @@ class QualitySuite:
         )
 
     def accepted_values(self, column: str, allowed: Sequence[str]) -> "QualitySuite":
-        """NULL passes; details give the numbers of distinct bad values and
-        of bad rows (:meth:`bad_values` has the values as rows)."""
+        """NULL passes; details give the distinct bad values, all of them in sort order, or for
+        gates their number (:meth:`results`), and the number of bad rows (:meth:`bad_values` has the values as rows)."""
         self._accepted.append((column, list(allowed)))
         return self
 
-    def _accepted_frame(self) -> DataFrame:
+    def _accepted_frame(self, list_values: bool) -> DataFrame:
         """One row per accepted-values check, from one scan: each row's bad
-        values become (check, value) pairs, counted per pair before they meet."""
+        values become (check, value) pairs, counted per pair before they meet.
+        Without ``list_values`` the details give the number of distinct values."""
         pairs = F.array(*[
             F.when(~F.col(c).isin(allowed), F.struct(F.lit(i).alias("check"), F.col(c).cast("string").alias("value")))
             for i, (c, allowed) in enumerate(self._accepted)])
@@ -120,8 +127,13 @@ class QualitySuite:
                .groupBy("p.check", "p.value").agg(F.count("*").alias("rows")))
         checks = self.df.sparkSession.createDataFrame(
             [(i, f"accepted_values:{c}") for i, (c, _) in enumerate(self._accepted)], "check int, name string")
-        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("values"))
-        text = F.format_string("distinct_invalid_values=%d invalid_rows=%d", F.coalesce("values", F.lit(0)), F.coalesce("rows", F.lit(0)))
+        values = F.array_sort(F.collect_list("value")) if list_values else F.count(F.lit(1))
+        per_check = bad.groupBy("check").agg(F.sum("rows").alias("rows"), values.alias("values"))
+        if list_values:
+            found = F.concat(F.lit("invalid_values="), py_list_text(F.coalesce("values", F.array().cast("array<string>"))))
+        else:
+            found = F.format_string("distinct_invalid_values=%d", F.coalesce("values", F.lit(0)))
+        text = F.concat(found, F.format_string(" invalid_rows=%d", F.coalesce("rows", F.lit(0))))
         return checks.join(per_check, "check", "left").select(_result(F.col("name"), F.col("rows").isNull(), text).alias("r"))
 
     def bad_values(self, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -184,11 +196,13 @@ class QualitySuite:
         self._measured = seen.get
         return self.df
 
-    def results(self) -> DataFrame:
+    def results(self, list_values: bool = False) -> DataFrame:
         """All checks as one small frame. Row-level aggregates run in one
         pass (none after :meth:`measure`); with a uniqueness check that pass groups by its key first
         (map-side partial aggregation), so counts, totals and the distinct
-        key count all come from one shuffle plus a one-row global merge."""
+        key count all come from one shuffle plus a one-row global merge.
+        ``list_values`` puts every distinct bad value of a check into its details (one text a check); a
+        gate's rows, which reach the driver, have their number."""
         parts = self._parts()
         frames: list[DataFrame] = []
         unique_rows, rest = [], self._unique
@@ -213,10 +227,10 @@ class QualitySuite:
             frames.append(main.select(F.explode(F.array(*[r() for r in self._rows], *unique_rows)).alias("r")))
         if self._accepted and self._measured is not None and not any(self._measured[f"_bad_{i}"] for i in range(len(self._accepted))):
             frames.append(self.df.sparkSession.range(1).select(F.explode(F.array(*[
-                _result(f"accepted_values:{c}", F.lit(True), F.lit("distinct_invalid_values=0 invalid_rows=0"))
+                _result(f"accepted_values:{c}", F.lit(True), F.lit(("invalid_values=[]" if list_values else "distinct_invalid_values=0") + " invalid_rows=0"))
                 for c, _ in self._accepted])).alias("r")))
         elif self._accepted:
-            frames.append(self._accepted_frame())
+            frames.append(self._accepted_frame(list_values))
         frames.extend(self._relationship_frame(*spec[1:]) for spec in self._extra)
         out = frames[0]
         for f in frames[1:]:

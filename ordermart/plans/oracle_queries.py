@@ -227,9 +227,11 @@ def _unique(ds, src, cols):
 
 
 def _accepted(ds, src, col, in_list):
+    vals = (f"(SELECT coalesce(list_sort(list(DISTINCT CAST({col} AS VARCHAR))), []) "
+            f"FROM {src} WHERE NOT ({col} IN {in_list}))")
     n = f"(SELECT count(*) FILTER (WHERE NOT ({col} IN {in_list})) FROM {src})"
-    values = f"(SELECT count(DISTINCT CAST({col} AS VARCHAR)) FILTER (WHERE NOT ({col} IN {in_list})) FROM {src})"
-    return _dq(ds, f"accepted_values:{col}", f"{n} = 0", f"printf('distinct_invalid_values=%d invalid_rows=%d', {values}, {n})")
+    text = f"'[' || array_to_string(list_transform({vals}, lambda x: '''' || x || ''''), ', ') || ']'"
+    return _dq(ds, f"accepted_values:{col}", f"{n} = 0", f"'invalid_values=' || {text} || printf(' invalid_rows=%d', {n})")
 
 
 def _expr(ds, src, name, expr):

@@ -469,7 +469,7 @@ PRODUCT_SPECS = [
 
 @query("dq_suite_results")
 def q_dq_suite(spark, sf):
-    a = quality.suite_from_specs(silver(spark, sf), "orders", ORDER_SPECS).results()
+    a = quality.suite_from_specs(silver(spark, sf), "orders", ORDER_SPECS).results(list_values=True)
     b = quality.suite_from_specs(stg_customers(spark, sf), "customers", CUSTOMER_SPECS).results()
     c = quality.suite_from_specs(products(spark, sf), "products", PRODUCT_SPECS).results()
     return a.unionByName(b).unionByName(c)
@@ -495,7 +495,7 @@ def q_dq_accepted(spark, sf):
     return (quality.QualitySuite(typed, "bronze_orders")
             .accepted_values("order_status", fixed.VALID_ORDER_STATUSES)
             .accepted_values("channel", fixed.VALID_CHANNELS)
-            .accepted_values("currency_code", list(fixed.FX_RATES_TO_USD)).results())
+            .accepted_values("currency_code", list(fixed.FX_RATES_TO_USD)).results(list_values=True))
 
 
 @query("dq_volume")
@@ -539,7 +539,7 @@ def q_dq_layer_gate(spark, sf):
     s = (quality.QualitySuite(silver(spark, sf), "silver_orders").not_empty()
          .no_nulls(["order_id", "customer_id", "order_date", "order_total_usd"])
          .unique(["order_id"]).accepted_values("order_status", fixed.VALID_ORDER_STATUSES))
-    return s.results()
+    return s.results(list_values=True)
 
 
 @query("silver_reject_accounting")

@@ -84,3 +84,12 @@ def test_validate_counts_bad_values_without_gathering_them(spark):
     assert "collect_list" not in s.results()._jdf.queryExecution().optimizedPlan().toString()
     with pytest.raises(ValueError, match="accepted_values:s"):
         s.validate()
+
+
+def test_results_list_every_bad_value(spark):
+    df = spark.createDataFrame([(f"bad {n:02d}", "x") for n in range(30)] * 2 + [("ok", "x"), (None, "x")], "s string, t string")
+    s = quality.QualitySuite(df, "t").accepted_values("s", ["ok"]).accepted_values("t", ["x"])
+    r = {x["check_name"]: (x["passed"], x["details"]) for x in s.results(list_values=True).collect()}
+    listed = ", ".join(f"'bad {n:02d}'" for n in range(30))
+    assert r == {"accepted_values:s": (False, f"invalid_values=[{listed}] invalid_rows=60"),
+                 "accepted_values:t": (True, "invalid_values=[] invalid_rows=0")}
