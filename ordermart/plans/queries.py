@@ -979,9 +979,9 @@ def q_stream_record_cap(spark, sf):
     t = tx(spark, sf)
     cap = -(-t.count() // 10)
     value = F.to_json(F.struct(*[F.col(f.name) for f in TRANSACTION.fields])).alias("value")
-    stream_source.land_capped(t.select(value).coalesce(1), f"{root}/landing", cap)
+    stream_source.land_capped(t.select(value), f"{root}/landing", cap)
     for q in stream_scorer.run_fraud_stream(
-            spark, f"{root}/out", f"{root}/checkpoint", _stored_profile(spark, sf), BLOCKLISTED_MERCHANTS, path=f"{root}/landing",
+            spark, f"{root}/out", f"{root}/checkpoint", _stored_profile(spark, sf), BLOCKLISTED_MERCHANTS, path=f"{root}/landing/file=*",
             trigger={"availableNow": True}, max_files_per_trigger=1, processed_at=F.lit(AS_OF_TS).cast("timestamp"),
             id_memory_seconds=ID_MEMORY):
         q.awaitTermination()

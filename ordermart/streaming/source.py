@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from ordermart.functions import fixed
 from ordermart.functions.columns import parse_iso_instant
 from ordermart.schemas import TRANSACTION
+from ordermart.session import cut_lineage, discard_cut
+
+#: Tasks that write the files of one landing.
+MAX_WRITERS = 1024
 
 
 def decode_transactions(raw: DataFrame, value_col: str = "value", broker_ts_col: str | None = None) -> DataFrame:
@@ -60,11 +64,29 @@ def read_transactions(
     return decode_transactions(reader.load(path), "value")
 
 
-def land_capped(lines: DataFrame, path: str, max_records: int = fixed.MAX_RECORDS_PER_TRIGGER) -> None:
-    """A5 for landed files: lines (one column) as files of at most ``max_records`` lines. A file
-    source takes whole files, so with ``max_files_per_trigger=1`` no micro-batch has more records than that,
-    however large a landing was."""
-    lines.write.mode("append").option("maxRecordsPerFile", max_records).text(path)
+def land_capped(lines: DataFrame, path: str, max_records: int = fixed.MAX_RECORDS_PER_TRIGGER) -> int:
+    """A5 for landed files: lines (one column) as files of ``max_records`` lines, the last of the rest, each in a folder
+    ``file=N`` of ``path``; returns how many. A file source takes whole files, so with ``max_files_per_trigger=1`` no
+    micro-batch has more records than that, however large a landing was.
+
+    The lines are numbered by their partition and place in it, and the files are written side by side."""
+    spark = lines.sparkSession
+    place = F.monotonically_increasing_id()  # partition << 33 + place in it
+    placed = cut_lineage(lines.toDF("value").withColumn("_place", place))  # numbered once
+    part, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND(2**33 - 1)
+    counts = placed.groupBy(part.alias("_part")).agg(F.max(place).alias("last")).orderBy("_part").collect()  # a row a partition
+    first, total = [], 0
+    for r in counts:
+        first.append((r["_part"], total))
+        total += r["last"] + 1
+    files = -(-total // max_records)
+    if files:
+        starts = F.broadcast(spark.createDataFrame(first, "_part long, _first long"))
+        number = F.floor((F.col("_first") + place) / max_records).cast("int")
+        (placed.withColumn("_part", part).join(starts, "_part").select("value", number.alias("file"))
+         .repartitionByRange(min(files, MAX_WRITERS), "file").write.mode("append").partitionBy("file").text(path))
+    discard_cut(placed)
+    return files
 
 
 def reject_future(tx: DataFrame, max_future: str = "1 day") -> DataFrame:

@@ -5,11 +5,12 @@ Duplicates are told apart first, in a keyed step of their own (``transformWithSt
 so the memory of a card that has a third of all events is spread over all
 rows, and a lookup is vectorised (one call per bucket and batch, not per id).
 
-Per card the state then holds only the events of the retention horizon (velocity frame
-+ lateness): event time (micros), id, latitude, longitude; and the newest event
+Cards are dealt by hash to ``CARD_BUCKETS`` state rows as well, so the number of Python calls and state rows of a batch does not grow
+with the number of cards; all cards of a bucket are scored together. Per card the state then holds only the events of the retention
+horizon (velocity frame + lateness): event time (micros), id, latitude, longitude; and the newest event
 already pruned (the carry), so the previous position is known after an idle
 period. For
-each micro-batch the card's new events are scored against state + earlier
+each micro-batch a card's new events are scored against state + earlier
 events of the batch, *then* added (scored before the update, as the reference
 does):
 
@@ -37,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -44,12 +46,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ordermart.functions import fixed
 
-STATE_SCHEMA = (
-    "ts array<bigint>, ids array<string>, lat array<double>, lon array<double>, "
-    "carry_ts bigint, carry_id string, carry_lat double, carry_lon double"
-)
+#: Of a bucket of cards: the events kept (card number, ts, lat, lon: numpy bytes; ids: Arrow strings) and its cards (Arrow:
+#: card_id, carry, and the processing time of the last event).
+STATE_SCHEMA = "card_number binary, ts binary, ids binary, lat binary, lon binary, cards binary"
+CARD_COLUMNS = pa.schema([("card_id", pa.string()), ("carry_ts", pa.int64()), ("carry_id", pa.string()),
+                          ("carry_lat", pa.float64()), ("carry_lon", pa.float64()), ("active_ms", pa.int64())])
+ID_COLUMN = pa.schema([("id", pa.string())])
 ID_STATE_SCHEMA = "seen array<bigint>, seen_ts array<bigint>"
-ID_BUCKETS = 1024
+ID_BUCKETS, CARD_BUCKETS = 1024, 256
 PASS_THROUGH = [
     ("transaction_id", "string"), ("card_id", "string"), ("customer_id", "string"),
     ("merchant_id", "string"), ("amount_usd", "decimal(18,4)"), ("merchant_category", "string"),
@@ -97,20 +101,36 @@ class KnownIds(StatefulProcessor):
         pass
 
 
+def _packed(df: pd.DataFrame, schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_table(pa.Table.from_pandas(df, schema, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(data)).read_all().to_pandas(integer_object_nulls=True)
+
+
+def _before(card: np.ndarray, t: np.ndarray, all_card: np.ndarray, all_t: np.ndarray) -> np.ndarray:
+    """For each (card, t) the number of events (all_card, all_t) of smaller cards, or of the card and earlier than t."""
+    is_event = np.repeat([False, True], [len(t), len(all_t)])
+    order = np.lexsort((is_event, np.concatenate([t, all_t]), np.concatenate([card, all_card])))
+    events = np.cumsum(is_event[order])
+    out = np.empty(len(order), "int64")
+    out[order] = events
+    return out[:len(t)]
+
+
 def _velocity_fn(short_us: int, long_us: int, horizon_us: int, position_ttl_ms: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        if state.hasTimedOut:  # no event of any of its cards for so long
             state.remove()
             return
         frames = [p for p in pdfs if not p.empty]
         if not frames:
             return
         arrived = pd.concat(frames, ignore_index=True)
-        st = state.get if state.exists else [None] * 8
-        h_t, h_lat, h_lon = (np.asarray([] if x is None else x, dtype=d)
-                             for x, d in zip((st[0], st[2], st[3]), ("int64", "float64", "float64")))
-        h_id = np.asarray([] if st[1] is None else st[1], dtype=object)
-        carry = tuple(st[4:8])
 
         again = arrived["_again"].to_numpy(dtype=bool)
         if again.any():
@@ -124,60 +144,89 @@ def _velocity_fn(short_us: int, long_us: int, horizon_us: int, position_ttl_ms:
             yield rest
         batch = arrived.loc[~again].reset_index(drop=True)
         if batch.empty:
+            if state.exists:
+                state.setTimeoutDuration(position_ttl_ms)
             return
-        t_new = batch["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        n_id = batch["transaction_id"].to_numpy(dtype=object)
-        n_lat = batch["latitude"].astype("float64").to_numpy()
-        n_lon = batch["longitude"].astype("float64").to_numpy()
+        if state.exists:
+            h_c, h_t, h_id, h_lat, h_lon, cards = state.get
+            h_c, h_t, h_lat, h_lon = (np.frombuffer(bytes(x), d) for x, d in (
+                (h_c, "int64"), (h_t, "int64"), (h_lat, "float64"), (h_lon, "float64")))
+            h_id, cards = _unpacked(h_id)["id"].to_numpy(dtype=object), _unpacked(cards)
+        else:
+            h_c, h_t, h_lat, h_lon = (np.empty(0, d) for d in ("int64", "int64", "float64", "float64"))
+            h_id, cards = np.empty(0, object), pd.DataFrame({c: [] for c in CARD_COLUMNS.names})
+        # cards are numbered by their row in the state, new ones after them
+        numbers, names = pd.factorize(np.concatenate([cards["card_id"].to_numpy(dtype=object), batch["card_id"].to_numpy(dtype=object)]))
+        c_new, n_known, n_cards = numbers[len(cards):].astype("int64"), len(cards), len(names)
+        carried = np.zeros(n_cards, bool)
+        carried[:n_known] = cards["carry_ts"].notna()
+        carry_t = np.zeros(n_cards, "int64")
+        carry_t[:n_known][carried[:n_known]] = cards["carry_ts"][carried[:n_known]].astype("int64")
+        carry_id = np.full(n_cards, None, object)
+        carry_id[:n_known] = cards["carry_id"]
+        carry_lat, carry_lon = np.full(n_cards, np.nan), np.full(n_cards, np.nan)
+        carry_lat[:n_known], carry_lon[:n_known] = cards["carry_lat"].astype("float64"), cards["carry_lon"].astype("float64")
 
+        t_new = batch["event_ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        all_c = np.concatenate([h_c, c_new])
         all_t = np.concatenate([h_t, t_new])
-        all_id = np.concatenate([h_id, n_id])
-        all_lat = np.concatenate([h_lat, n_lat])
-        all_lon = np.concatenate([h_lon, n_lon])
-        order = np.lexsort((all_id.astype(str), all_t))
-        all_t, all_id, all_lat, all_lon = all_t[order], all_id[order], all_lat[order], all_lon[order]
-
-        # strictly earlier by time, inside the frame
-        right = np.searchsorted(all_t, t_new, side="left")
-        c1 = right - np.searchsorted(all_t, t_new - short_us, side="left")
-        c5 = right - np.searchsorted(all_t, t_new - long_us, side="left")
+        all_id = np.concatenate([h_id, batch["transaction_id"].to_numpy(dtype=object)])
+        all_lat = np.concatenate([h_lat, batch["latitude"].astype("float64").to_numpy()])
+        all_lon = np.concatenate([h_lon, batch["longitude"].astype("float64").to_numpy()])
+        order = np.lexsort((all_id.astype(str), all_t, all_c))
+        all_c, all_t, all_id, all_lat, all_lon = (x[order] for x in (all_c, all_t, all_id, all_lat, all_lon))
+
+        # of the card, strictly earlier by time, inside the frame
+        right, short, long = np.split(_before(
+            np.tile(c_new, 3), np.concatenate([t_new, t_new - short_us, t_new - long_us]), all_c, all_t), 3)
         # previous by (time, id): where each new event landed in the sorted
-        # merge (inverse permutation), minus one
+        # merge (inverse permutation), minus one, if that is of the card
         inv = np.empty_like(order)
         inv[order] = np.arange(order.size)
         pos = inv[h_t.size:] - 1
-        has_prev = pos >= 0
-        prev_t = np.where(has_prev, all_t[np.maximum(pos, 0)], 0)
-        prev_lat = np.where(has_prev, all_lat[np.maximum(pos, 0)], np.nan)
-        prev_lon = np.where(has_prev, all_lon[np.maximum(pos, 0)], np.nan)
+        has_prev = (pos >= 0) & (all_c[np.maximum(pos, 0)] == c_new)
+        prev = np.maximum(pos, 0)
         out = batch[[n for n, _ in PASS_THROUGH]].copy()
-        out["tx_count_1min"] = c1.astype("int64")
-        out["tx_count_5min"] = c5.astype("int64")
-        carry_ok = (~has_prev) & (carry[0] is not None)
-        last_lat = np.where(carry_ok, carry[2] if carry[2] is not None else np.nan, prev_lat)
-        last_lon = np.where(carry_ok, carry[3] if carry[3] is not None else np.nan, prev_lon)
-        last_t = np.where(carry_ok, carry[0] if carry[0] is not None else 0, prev_t)
-        valid_prev = has_prev | carry_ok
+        out["tx_count_1min"] = right - short
+        out["tx_count_5min"] = right - long
+        valid_prev = has_prev | carried[c_new]
+        last_lat = np.where(has_prev, all_lat[prev], carry_lat[c_new])
+        last_lon = np.where(has_prev, all_lon[prev], carry_lon[c_new])
+        last_t = np.where(has_prev, all_t[prev], carry_t[c_new])
         out["last_latitude"] = pd.Series(np.where(valid_prev, last_lat, np.nan)).astype("float32")
         out["last_longitude"] = pd.Series(np.where(valid_prev, last_lon, np.nan)).astype("float32")
         out["last_tx_timestamp"] = pd.to_datetime(
             pd.Series(np.where(valid_prev, last_t, np.iinfo("int64").min)), unit="us", errors="coerce")
         out.loc[~valid_prev, "last_tx_timestamp"] = pd.NaT
-        newest = max(int(h_t[-1]) if h_t.size else 0, carry[0] or 0)  # before this batch
-        out["_status"] = np.where(t_new < newest - horizon_us, "late", "on_time")
-
-        # update: keep the horizon, move the newest pruned event into the carry
-        cutoff = all_t[-1] - horizon_us
-        keep = all_t >= cutoff
-        if (~keep).any():
-            j = np.flatnonzero(~keep)[-1]
-            if carry[0] is None or all_t[j] >= carry[0]:
-                carry = (int(all_t[j]), str(all_id[j]), float(all_lat[j]), float(all_lon[j]))
+        newest = carry_t.clip(0)  # before this batch
+        np.maximum.at(newest, h_c, h_t)
+        out["_status"] = np.where(t_new < newest[c_new] - horizon_us, "late", "on_time")
+
+        # update: keep the horizon, move each card's newest pruned event into its carry
+        last = np.flatnonzero(np.append(all_c[1:] != all_c[:-1], True))
+        cutoff = np.zeros(n_cards, "int64")
+        cutoff[all_c[last]] = all_t[last] - horizon_us
+        keep = all_t >= cutoff[all_c]
+        pruned = np.flatnonzero(~keep)
+        pruned = pruned[np.append(all_c[pruned][1:] != all_c[pruned][:-1], True)[:len(pruned)]]
+        pruned = pruned[~carried[all_c[pruned]] | (all_t[pruned] >= carry_t[all_c[pruned]])]
+        at = all_c[pruned]
+        carried[at], carry_t[at], carry_id[at] = True, all_t[pruned], all_id[pruned]
+        carry_lat[at], carry_lon[at] = all_lat[pruned], all_lon[pruned]
+        now = state.getCurrentProcessingTimeMs()
+        active = np.full(n_cards, now, "int64")
+        active[:n_known] = cards["active_ms"].astype("int64")
+        active[c_new] = now
+        stays = active > now - position_ttl_ms
+        number = np.cumsum(stays) - 1  # of the cards that stay
+        keep &= stays[all_c]
         state.update((
-            all_t[keep].tolist(), [str(x) for x in all_id[keep]],
-            all_lat[keep].tolist(), all_lon[keep].tolist(),
-            carry[0], carry[1], carry[2], carry[3],
-        ))
+            number[all_c[keep]].astype("int64").tobytes(), all_t[keep].tobytes(), _packed(pd.DataFrame({"id": all_id[keep]}), ID_COLUMN),
+            all_lat[keep].tobytes(), all_lon[keep].tobytes(),
+            _packed(pd.DataFrame({
+                "card_id": np.asarray(names, object), "carry_ts": pd.array(np.where(carried, carry_t, 0), "Int64"), "carry_id": carry_id,
+                "carry_lat": carry_lat, "carry_lon": carry_lon, "active_ms": active}).assign(
+                    carry_ts=lambda d: d["carry_ts"].mask(~carried))[stays], CARD_COLUMNS)))
         state.setTimeoutDuration(position_ttl_ms)
         yield out
 
@@ -191,12 +240,15 @@ def card_velocity_state(
     lateness_seconds: int = 600,
     id_memory_seconds: int = 86_400,
     position_ttl_days: int = fixed.PROFILE_TTL_DAYS,
+    buckets: int = CARD_BUCKETS,
 ) -> DataFrame:
-    """Ids marked by :func:`known_ids`, then ``groupBy(card_id).applyInPandasWithState`` over the decoded
-    stream (hash-partitioned by card into the state store)."""
+    """Ids marked by :func:`known_ids`, then ``applyInPandasWithState`` per bucket of cards over the decoded
+    stream. ``buckets`` stays for the life of the checkpoint."""
     horizon = long_seconds + lateness_seconds
     fn = _velocity_fn(short_seconds * 1_000_000, long_seconds * 1_000_000, horizon * 1_000_000, position_ttl_days * 86_400_000)
-    return known_ids(tx, max(horizon, id_memory_seconds), position_ttl_days).groupBy("card_id").applyInPandasWithState(
+    marked = known_ids(tx, max(horizon, id_memory_seconds), position_ttl_days)
+    bucket = F.pmod(F.xxhash64("card_id"), F.lit(buckets)).cast("int")
+    return marked.withColumn("card_bucket", bucket).groupBy("card_bucket").applyInPandasWithState(
         fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 

@@ -156,3 +156,70 @@ def test_ids_of_a_hot_card_are_spread_over_all_buckets():
     sizes = [len(v.value[0]) for v in buckets.values()]
     assert len(sizes) == state.ID_BUCKETS and sum(sizes) == 300_000 and max(sizes) < 450
     assert "ids" in state.STATE_SCHEMA and "seen" not in state.STATE_SCHEMA  # the card's row: its horizon only
+
+
+def card_batches(seed, cards=5, batches=5, each=40):
+    rng, number = np.random.default_rng(seed), 0
+    for b in range(batches):
+        out = pd.DataFrame({c: [None] * each for c, _ in state.PASS_THROUGH})
+        out["transaction_id"] = [f"T{number + i}" for i in rng.permutation(each)]
+        out["card_id"] = rng.choice([f"C{i}" for i in range(cards)], each)
+        out["event_ts"] = pd.to_datetime(rng.integers(0, 60, each) * 20 + b * 700, unit="s").astype("datetime64[us]")
+        out["latitude"] = out["longitude"] = rng.random(each).astype("float32")
+        out["_again"] = rng.random(each) < 0.1
+        number += each
+        yield out
+
+
+class CardState:
+    hasTimedOut, value, now = False, None, 0
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+
+def test_cards_of_a_bucket_are_scored_as_if_alone():
+    fn = state._velocity_fn(60_000_000, 300_000_000, 900_000_000, 1000)
+    columns = ["transaction_id", "tx_count_1min", "tx_count_5min", "last_latitude", "last_longitude", "last_tx_timestamp", "_status"]
+    together, alone = CardState(), {}
+    for batch in card_batches(3):
+        got = pd.concat(fn((0,), iter([batch[:25], batch[25:]]), together))
+        want = pd.concat([o for c, rows in batch.groupby("card_id") for o in fn((0,), iter([rows]), alone.setdefault(c, CardState()))])
+        got, want = (x[columns].sort_values("transaction_id").reset_index(drop=True) for x in (got, want))
+        pd.testing.assert_frame_equal(got, want)
+        brute = batch[~batch["_again"]]
+        if batch["transaction_id"].str[1:].astype(int).min() == 0:  # nothing known before
+            t = brute["event_ts"]
+            n = [int(((brute["card_id"] == c) & (t < x) & (t >= x - pd.Timedelta("300s"))).sum()) for c, x in zip(brute["card_id"], t)]
+            assert dict(zip(brute["transaction_id"], n)).items() <= dict(zip(got["transaction_id"], got["tx_count_5min"])).items()
+
+
+def test_idle_cards_leave_their_bucket():
+    fn, st = state._velocity_fn(60_000_000, 300_000_000, 900_000_000, 1000), CardState()
+    batch = next(card_batches(4)).assign(_again=False)
+    cards = lambda: set(state._unpacked(st.value[5])["card_id"])
+    for now, only in ((0, ["C0", "C1"]), (900, ["C1", "C2"]), (1500, ["C2"])):
+        st.now = now
+        list(fn((0,), iter([batch[batch["card_id"].isin(only)]]), st))
+    assert cards() == {"C1", "C2"} and st.timeout == 1000
+    assert set(np.frombuffer(st.value[0], "int64")) == {0, 1}
+
+
+def test_landed_files_are_full_however_the_lines_are_spread(spark):
+    from ordermart.streaming.source import land_capped
+
+    path = scratch_path(spark, "capped")
+    lines = spark.range(0, 25, 1, 4).select(F.concat(F.lit("line "), "id").alias("value")).where("value <> 'line 3'")
+    assert land_capped(lines, path, 10) == 3
+    rows = spark.read.text(path).select("value", F.input_file_name().alias("f")).collect()
+    assert sorted(Counter(r.f for r in rows).values()) == [4, 10, 10]
+    assert Counter(r.value for r in rows) == Counter(f"line {i}" for i in range(25) if i != 3)
+    assert land_capped(lines.where("false"), scratch_path(spark, "capped"), 10) == 0
