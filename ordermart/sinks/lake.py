@@ -1,6 +1,6 @@
 """Parquet lake writers.
 
-File sizes follow the data (B14): every write goes through a ``REBALANCE``
+File sizes follow the data (B14): every write but Bronze's (one folder, straight from a scan) goes through a ``REBALANCE``
 hint, by which AQE joins small pieces and splits large ones (a hot date, a
 one-day load) toward the advisory size; no writer has a fixed number of tasks.
 Partition writes use dynamic partition overwrite, so a rerun replaces only
@@ -33,8 +33,10 @@ def _writer(df: DataFrame, mode: str = "overwrite"):
 
 
 def write_bronze(df: DataFrame, root: str, run_date: str) -> int:
-    """B1: idempotent replace of one ingestion-date partition. Returns the rows written."""
-    return write_partitioned(df.withColumn("ingestion_date", F.lit(str(run_date))), root, "ingestion_date")
+    """B1: idempotent replace of one ingestion-date partition. Returns the rows written. All rows go to one
+    folder and come out of a scan, which joins small files and splits large ones, so they are written where they are read, without a shuffle."""
+    return _write_counted(df.withColumn("ingestion_date", F.lit(str(run_date))),
+                          lambda out: _writer(out).partitionBy("ingestion_date").parquet(root))
 
 
 def _write_counted(df: DataFrame, write) -> int:
@@ -71,11 +73,11 @@ def merge_into_partitions(updates: DataFrame, root: str, key: str, partition_col
     touched dates is what reaches the driver. Returns it."""
     table = VersionedTable(updates.sparkSession, root)
     base = table.head()
-    updates = cut_lineage(updates if base is None else updates.select(base.schema.fieldNames()))  # read several times
-    if base is None:
+    if base is None:  # read once
         table.write(updates, partition_col, None, None, key=key)
-        discard_cut(updates)
         return []
+    rows = updates.select(base.schema.fieldNames())
+    updates = rows if getattr(updates, "_cut_path", None) else cut_lineage(rows)  # read several times
     there = table.read(table.holding(base, updates.select(key), key), base)
     where_now = there.select(key, partition_col).join(updates.select(key), key, "left_semi")
     touched = [r[0] for r in updates.select(partition_col).union(where_now.select(partition_col)).distinct().collect()]

@@ -135,7 +135,7 @@ class VersionedTable:
     def write(self, df: DataFrame, partition_col: str | None, base: Version | None, replaces: Iterable[str] | None,
               key: str | None = None, meta: dict | None = None) -> Version:
         """Commit ``df`` in place of the parts named by ``replaces`` (None: of the whole table)
-        and of those it has rows for. With ``key`` (``df`` is then read twice) its index is written as well. ``meta``
+        and of those it has rows for. With ``key`` its index is written as well, from the files written. ``meta``
         is committed with the version."""
         if partition_col:
             df = df.select(*(c for c in df.columns if c != partition_col), partition_col)
@@ -143,7 +143,8 @@ class VersionedTable:
         path = f"{self.root}/data/version={tag}"
         write_parquet(df, path, partition_col)
         if key:
-            write_parquet(key_index.build(df, key, partition_col), f"{self.root}/_keys/version={tag}", None)
+            stored = self.spark.read.schema(df.schema).parquet(path)
+            write_parquet(key_index.build(stored, key, partition_col), f"{self.root}/_keys/version={tag}", None)
         if partition_col:
             names = [n for n in list_folder(self.spark, path) if "=" in n]
             kept = {} if replaces is None or base is None else {p: t for p, t in base.parts.items() if p not in set(replaces)}

@@ -80,3 +80,30 @@ def test_bronze_rerun_and_failed_gate(spark):
     assert {str(r[0]) for r in spark.read.parquet(p.bronze).select("ingestion_date").distinct().collect()} == {RUN_DATE}
     kept = {r.run_date: (r.kept_rows, r.passed) for r in pipelines.run_metrics(spark, p).collect()}
     assert kept == {RUN_DATE: (40, True), "2001-08-03": (n, False)}
+
+
+def test_first_version_and_bronze_are_written_as_they_are_read(spark, monkeypatch):
+    """The first version of a keyed table needs no copy of its rows; Bronze goes to its one folder without a shuffle."""
+    from pyspark.sql import functions as F
+
+    from ordermart.session import scratch_path
+    from ordermart.sinks import lake as sink
+    from ordermart.sinks.versions import VersionedTable
+
+    def never(*_):
+        raise AssertionError("cut")
+
+    root = scratch_path(spark, "keyed")
+    rows = spark.range(40).select(F.col("id").cast("string").alias("order_id"), F.expr("date'2024-01-01' + int(id % 3)").alias("order_date"))
+    with monkeypatch.context() as m:
+        m.setattr(sink, "cut_lineage", never)
+        assert sink.merge_into_partitions(rows, root, "order_id", "order_date") == []
+    table = VersionedTable(spark, root)
+    assert table.read().count() == 40
+    wanted = spark.createDataFrame([("4",)], "order_id string")
+    assert "order_date=2024-01-02" in table.holding(table.head(), wanted, "order_id")
+    path = scratch_path(spark, "bronze")
+    assert sink.write_bronze(spark.range(0, 40, 1, 4).select("id"), path, "2024-01-01") == 40
+    assert sink.write_bronze(spark.range(0, 20, 1, 4).select("id"), path, "2024-01-01") == 20  # replaced
+    back = spark.read.parquet(path)
+    assert back.count() == 20 and back.select(F.input_file_name()).distinct().count() == 4
