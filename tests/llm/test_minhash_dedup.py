@@ -156,3 +156,28 @@ def test_members_of_several_lists_meet_in_one(spark):
     assert pairs == {-3: {(s, i) for s in (0, 1) for i in range(4)}, -1: {(s, i) for s in (0, 1) for i in range(5)}}
     both = md._Sides(-1, blocks[2]["query"], blocks[2]["data"], md.match_threshold(85), 85)
     assert sorted(zip(both.ia.tolist(), both.ib.tolist())) == sorted([(i, 4) for i in range(4)] + [(4, i) for i in range(4)])
+
+
+def one_list(classes, t):
+    return classes.select("cls", F.lit(1).cast("long").alias("key"), F.lit(0).cast("long").alias("central"))
+
+
+def test_passes_and_shuffle_files(spark, monkeypatch):
+    """Many passes give all links; no job leaves its shuffle files."""
+    corpus_session(spark)
+    monkeypatch.setattr(md, "prefix_postings", one_list)
+    monkeypatch.setattr(md, "BLOCK", 8)
+    made, links_across = [], md.links_across
+    monkeypatch.setattr(md, "links_across", lambda *a: made.append(links_across(*a[:-2], 150, 10_000)) or made[-1])
+    rows = near_copies(3, groups=3, each=8)
+    df = spark.createDataFrame(rows, SCHEMA)
+
+    def shuffle_files():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before = shuffle_files()
+    out = md.near_duplicates(df, 3, 85)
+    assert not shuffle_files() - before
+    assert len(made[0]) > 1
+    assert sorted((tuple(r) for r in out.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str) == brute(rows, 3, 85)
