@@ -162,6 +162,35 @@ def one_list(classes, t):
     return classes.select("cls", F.lit(1).cast("long").alias("key"), F.lit(0).cast("long").alias("central"))
 
 
+def test_lists_of_two_among_the_lists_posted_again(spark, monkeypatch):
+    """Copies that only a long list holds together, and that share its further values with no other member."""
+    monkeypatch.setattr(md, "prefix_postings", one_list)
+    monkeypatch.setattr(md, "LONG", 5)
+    rows = []
+    for at, own in ((0, 120), (100, 40)):  # of sets posted under coordinates, and under shingles
+        pages = [(at + i, " ".join(f"w{at + i}x{j}" for j in range(own))) for i in range(8)]
+        rows += pages + [(50 + i, text + " more") for i, text in pages]
+    out = run(spark, rows, 3, 85)
+    assert out == brute(rows, 3, 85) and sum(not r[3] for r in out) == 16
+
+
+def test_lists_of_one_number_are_one(spark):
+    """x and y share a short list; each is in the main component of one of two longer lists whose numbers are equal."""
+    corpus_session(spark)
+    x = " ".join(f"w{i}" for i in range(60))
+    texts = {"x": x, "y": x + " more"} | {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdeuv"}
+    sets = dict(zip(texts, md.shingle_sets([t.encode() for t in texts.values()], 3)))
+    rows = [(c.encode(), t.encode(), len(sets[c]), md.signature(sets[c]).view("int64").tolist()) for c, t in texts.items()]
+    docs = spark.createDataFrame(rows, "cls binary, text binary, n_shingles long, sig array<long>")
+    packed = md.compress_texts(docs.select("cls", "text"), "text").withColumn("zbytes", F.length("ztext").cast("long"))
+    comps = {"u": "x", "v": "y"}
+    members = spark.createDataFrame(
+        [(c.encode(), key, comps.get(c, c).encode()) for key, of in ((5, "xuab"), (5 + 2**40, "yvcd"), (7, "xye")) for c in of],
+        "cls binary, key long, comp binary")
+    links = md.links_across(members, md.open_lists(members), docs.select("cls", "n_shingles", "sig"), packed, 3, 85, 1 << 18, 1 << 28)
+    assert {frozenset(map(bytes, r)) for part in links for r in part.collect()} == {frozenset((b"x", b"y"))}
+
+
 def test_passes_and_shuffle_files(spark, monkeypatch):
     """Many passes give all links; no job leaves its shuffle files."""
     corpus_session(spark)
